@@ -79,3 +79,11 @@ register("mart_revenue_orders_overall", oracle.revenue_sql((), MAX_DAY, TRAILING
 register("mart_revenue_orders_by_segment",
          oracle.revenue_sql(("install_platform",), MAX_DAY, TRAILING, source="orders"))(
     lambda spark, sf_dir: pipeline(spark, sf_dir, "orders").revenue(["install_platform"]))
+
+
+def _load_all() -> None:
+    """Import the modules that register the remaining query families."""
+    from cohortflow.plans import quality_queries  # noqa: F401
+
+
+_load_all()
