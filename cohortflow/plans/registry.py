@@ -83,7 +83,7 @@ register("mart_revenue_orders_by_segment",
 
 def _load_all() -> None:
     """Import the modules that register the remaining query families."""
-    from cohortflow.plans import quality_queries, report_queries  # noqa: F401
+    from cohortflow.plans import profile_queries, quality_queries, report_queries  # noqa: F401
 
 
 _load_all()

@@ -240,7 +240,9 @@ def adapter_sql() -> str:
     return f"""
 adapter_src AS (
     SELECT e.*, c.copy_no, json_extract_string(e.props, '$.k')::INTEGER AS k,
-           {name_case} AS event_name
+           {name_case} AS event_name,
+           epoch_us(CAST(DATE '{START_DATE}' + CAST(e.user_id % {STAGGER_DAYS} AS INTEGER) AS TIMESTAMP))
+               - (e.user_id % 3) * 86400000000 AS first_touch
     FROM events e
     CROSS JOIN (SELECT 0 AS copy_no UNION ALL SELECT 1) c
     WHERE CAST(e.ts AS DATE) >= DATE '{START_DATE}' + CAST(e.user_id % {STAGGER_DAYS} AS INTEGER)
@@ -271,7 +273,20 @@ raw_events AS (
         CASE WHEN n.user_id % 10 = 0 THEN NULL WHEN n.user_id % 10 IN (1, 2) THEN 'organic'
              ELSE '(none)' END AS traffic_source_medium,
         CASE WHEN n.user_id % 10 = 0 THEN NULL WHEN n.user_id % 10 IN (1, 2) THEN 'store'
-             ELSE '(direct)' END AS traffic_source_name
+             ELSE '(direct)' END AS traffic_source_name,
+        CASE WHEN n.user_id % 10 = 0 THEN NULL
+             WHEN n.user_id % 10 IN (1, 2) THEN (CASE WHEN n.user_id % 2 = 0 THEN 'google-play' ELSE 'app-store' END)
+             ELSE '(direct)' END AS traffic_source_source,
+        CAST(NULL AS VARCHAR) AS user_id,
+        n.first_touch AS user_first_touch_timestamp,
+        [{{'key': 'first_open_time', 'value': {{'string_value': NULL::VARCHAR, 'int_value': n.first_touch::BIGINT,
+           'float_value': NULL::DOUBLE, 'double_value': NULL::DOUBLE, 'set_timestamp_micros': epoch_us(n.ts)}}}},
+         {{'key': 'player_tier', 'value': {{'string_value': 'tier_' || (n.user_id % 3), 'int_value': NULL::BIGINT,
+           'float_value': NULL::DOUBLE, 'double_value': NULL::DOUBLE, 'set_timestamp_micros': epoch_us(n.ts)}}}}]
+            AS user_properties,
+        CAST(n.user_id % 5 AS DOUBLE) AS user_ltv_revenue,
+        'USD' AS user_ltv_currency,
+        CASE WHEN n.user_id % 2 = 0 THEN '{PLATFORM_STREAM["ANDROID"]}' ELSE '{PLATFORM_STREAM["IOS"]}' END AS stream_id
     FROM adapter_src n
     LEFT JOIN nation na ON na.n_nationkey = CAST(n.user_id % {NATION_COUNT} AS INTEGER)
 )"""
