@@ -80,6 +80,17 @@ def stg_events(raw: DataFrame) -> DataFrame:
     return out
 
 
+def dedup_staged(stg: DataFrame) -> DataFrame:
+    """Re-apply the staging dedup to already typed rows (incremental merges)."""
+    w = Window.partitionBy(*EVENT_KEY).orderBy(
+        F.col("event_bundle_sequence_id").asc_nulls_last(),
+        F.col("event_server_timestamp_offset").asc_nulls_last(),
+        F.col("event_value_in_usd").asc_nulls_last(),
+        F.col("event_date").asc_nulls_last(),
+    )
+    return stg.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
 def duplicate_keys(raw: DataFrame) -> DataFrame:
     """Event keys present more than once (``group by … having count(*) > 1``)."""
     return (raw.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("copies"))
