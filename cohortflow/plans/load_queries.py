@@ -137,3 +137,18 @@ register("schema_drift", _sql("\nUNION ALL\n".join(
     f"SELECT {i + 1} AS position, '{n}' AS column_name, '{t}' AS expected_type, '{t}' AS actual_type, "
     f"'ok' AS status, count({n}) AS n_non_null FROM stg" for i, (n, t) in enumerate(STAGING_COLUMNS))))(
     lambda spark, d: L.schema_drift(pipeline(spark, d).stg_events))
+
+
+def _stream_ingest(spark, d):
+    """Raw events land as day-grouped files; a file stream drains them in
+    several micro-batches, each merged into staging."""
+    from cohortflow.streaming.ingest import ingest_available
+    p = pipeline(spark, d)
+    src = shared_scratch_path(spark, "raw_landing")
+    utc_day = F.expr("CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)")
+    p.raw.repartition(6, utc_day).write.mode("overwrite").parquet(src)
+    return ingest_available(spark, src, shared_scratch_path(spark, "stg_stream"),
+                            shared_scratch_path(spark, "stream_ckpt"), max_files_per_trigger=2)
+
+
+register("stream_ingest", _sql("SELECT * FROM stg"))(_stream_ingest)

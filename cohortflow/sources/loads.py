@@ -69,7 +69,9 @@ def merge_increment(stg_path: str, new_raw: DataFrame, day_col: str = "event_dat
     """
     spark = new_raw.sparkSession
     incoming = staging.stg_events(new_raw)
-    existing = spark.read.parquet(stg_path)
+    existing = read_if_exists(spark, stg_path)
+    if existing is None:
+        return load_by_day(new_raw, stg_path, day_col)
     touched = incoming.select(day_col).distinct()
     kept = existing.join(touched, day_col, "left_semi")
     cols = [n for n, _ in STAGING_COLUMNS]
@@ -82,6 +84,14 @@ def merge_increment(stg_path: str, new_raw: DataFrame, day_col: str = "event_dat
     return spark.read.parquet(stg_path)
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def backfill_range(table_path: str, rebuilt: DataFrame, start: Column, end: Column,
                    part_col: str = "cohort_date") -> DataFrame:
     """Rebuild the ``part_col`` partitions in [start, end] from ``rebuilt``.
