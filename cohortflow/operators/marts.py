@@ -109,3 +109,18 @@ def engagement_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] =
         trailing_avg("engagement_sec_per_user", ["day_number", *slice_cols], trailing,
                      decimal_input=True).alias("engagement_sec_per_user_trailing_4w_avg"),
     )
+
+
+def weekly_triangle(dim: DataFrame, fact: DataFrame, weeks: int = 5) -> DataFrame:
+    """Documented extension: weekly-grain triangle — cohort week x week number
+    (users active at least once in that week since install / cohort-week size)."""
+    wk = F.date_trunc("week", F.col("cohort_date")).cast("date")
+    sizes = dim.groupBy(wk.alias("cohort_week")).agg(F.count(F.lit(1)).alias("cohort_size"))
+    active = (fact.where(F.col("day_number").between(0, 7 * weeks - 1))
+                  .select(wk.alias("cohort_week"), F.floor(F.col("day_number") / 7).cast("int").alias("week_number"),
+                          "user_pseudo_id")
+                  .groupBy("cohort_week", "week_number").agg(F.count_distinct("user_pseudo_id").alias("retained")))
+    piv = active.groupBy("cohort_week").pivot("week_number", list(range(weeks))).agg(F.first("retained"))
+    out = sizes.join(piv, "cohort_week", "left")
+    return out.select("cohort_week", "cohort_size",
+                      *[(F.col(str(w)).cast("double") / F.col("cohort_size")).alias(f"w{w}") for w in range(weeks)])

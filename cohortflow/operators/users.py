@@ -65,3 +65,9 @@ def dim_users(install: DataFrame, p: float = 0.99) -> DataFrame:
         *INSTALL_COLUMNS[:-1],
         (F.col("events_total") > p99).alias("is_outlier_events"),
     )
+
+
+def with_left_censored(dim: DataFrame, first_data_date) -> DataFrame:
+    """Documented extension: flag users whose cohort is the first data day
+    (their true install may precede the window)."""
+    return dim.withColumn("is_left_censored", F.col("cohort_date") == first_data_date)

@@ -83,7 +83,8 @@ register("mart_revenue_orders_by_segment",
 
 def _load_all() -> None:
     """Import the modules that register the remaining query families."""
-    from cohortflow.plans import load_queries, profile_queries, quality_queries, report_queries  # noqa: F401
+    from cohortflow.plans import (extension_queries, load_queries, profile_queries,  # noqa: F401
+                                  quality_queries, report_queries)
 
 
 _load_all()
