@@ -124,3 +124,10 @@ def weekly_triangle(dim: DataFrame, fact: DataFrame, weeks: int = 5) -> DataFram
     out = sizes.join(piv, "cohort_week", "left")
     return out.select("cohort_week", "cohort_size",
                       *[(F.col(str(w)).cast("double") / F.col("cohort_size")).alias(f"w{w}") for w in range(weeks)])
+
+
+def with_user_slice(dim: DataFrame, fact: DataFrame, slice_df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
+    """Attach a user-grain slice column (e.g. an experiment arm) to both the
+    dimension and the fact, for any builder above."""
+    s = slice_df.select("user_pseudo_id", col)
+    return dim.join(s, "user_pseudo_id", "left"), fact.join(s, "user_pseudo_id", "left")

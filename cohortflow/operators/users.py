@@ -71,3 +71,13 @@ def with_left_censored(dim: DataFrame, first_data_date) -> DataFrame:
     """Documented extension: flag users whose cohort is the first data day
     (their true install may precede the window)."""
     return dim.withColumn("is_left_censored", F.col("cohort_date") == first_data_date)
+
+
+def install_user_property(raw: DataFrame, key: str, out_col: str) -> DataFrame:
+    """Per user: the value of user property ``key`` on the earliest event that
+    carries it (A/B arm, tier …). Pre-aggregated map-side per user."""
+    from cohortflow.functions.params import user_property
+    v = user_property("user_properties", key)
+    first = raw.where(v.isNotNull()).groupBy("user_pseudo_id").agg(
+        F.min(F.struct(F.col("event_timestamp"), v.alias("v"))).alias("_f"))
+    return first.select("user_pseudo_id", F.col("_f.v").alias(out_col))

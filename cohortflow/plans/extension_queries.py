@@ -105,3 +105,35 @@ SELECT s.cohort_week, s.cohort_size, {_TRI_W.replace('retention_pct', 'CAST(r.re
 FROM sizes s LEFT JOIN ret r ON r.cohort_week = s.cohort_week
 GROUP BY s.cohort_week, s.cohort_size""".replace(sql_prefix() + ",\nwk", sql_prefix() + ",\nwk"))(
     lambda spark, d: M.weekly_triangle(pipeline(spark, d).dim_users, pipeline(spark, d).fact_enriched, 5))
+
+
+# A/B-style slice from a user property at install (here: the player tier)
+_AB_KEY, _AB_COL = "player_tier", "install_player_tier"
+
+
+def _ab_mart(spark, d, kind):
+    p = pipeline(spark, d)
+    arms = U.install_user_property(p.raw, _AB_KEY, _AB_COL)
+    dim, fact = M.with_user_slice(p.dim_users, p.fact_enriched, arms, _AB_COL)
+    build = M.retention_mart if kind == "retention" else M.revenue_mart
+    return build(dim, fact, [_AB_COL], MAX_DAY, TRAILING, null_label=_UNKNOWN)
+
+
+_AB_CTE = f""",
+ab_arm AS (
+    SELECT user_pseudo_id,
+           first(struct_extract(struct_extract(list_filter(user_properties, lambda x: x.key = '{_AB_KEY}')[1],
+                 'value'), 'string_value') ORDER BY event_timestamp,
+                 struct_extract(struct_extract(list_filter(user_properties, lambda x: x.key = '{_AB_KEY}')[1],
+                 'value'), 'string_value')) AS {_AB_COL}
+    FROM raw_events
+    WHERE struct_extract(struct_extract(list_filter(user_properties, lambda x: x.key = '{_AB_KEY}')[1],
+          'value'), 'string_value') IS NOT NULL
+    GROUP BY user_pseudo_id
+),
+dim_ab AS (SELECT d.*, a.{_AB_COL} FROM dim d LEFT JOIN ab_arm a ON a.user_pseudo_id = d.user_pseudo_id)"""
+
+for _kind, _parts in (("retention", oracle.retention_parts), ("revenue", oracle.revenue_parts)):
+    _body, _final = _parts((_AB_COL,), MAX_DAY, TRAILING, null_label=_UNKNOWN, dim="dim_ab")
+    register(f"mart_{_kind}_by_user_property", oracle.model_ctes(MAX_DAY) + _AB_CTE + _body + "\n" + _final)(
+        (lambda k: lambda spark, d: _ab_mart(spark, d, k))(_kind))

@@ -6,8 +6,9 @@ raw -> stg_events -> user_day_rollup -+-> int_user_install -> dim_users
 
 Shuffles before the marts: (1) the dedup exchange on the event key (after a
 partial top-1), (2) the user-day rollup exchange (after map-side partial
-aggregation), (3) one exchange of user-day rows by user that the install
-aggregate and the fact join share. Marts work on cohort x day rows only.
+aggregation), (3) one exchange of user-day rows into user buckets. The install
+aggregate and the fact join then read bucketed files without any exchange.
+Marts work on cohort x day rows only.
 
 ``persist=True`` writes staging (parquet) and the user-day rollup (bucketed
 by user) to the shared checkpoint folder (``spark.checkpoint.dir``) and
@@ -64,7 +65,11 @@ class Pipeline:
 
     @cached_property
     def int_user_install(self) -> DataFrame:
-        return users.int_user_install(self.rollup)
+        inst = users.int_user_install(self.rollup)
+        # user grain, bucketed like the rollup: the dimension, the p99 and the
+        # fact join all read it without recomputing the first-event aggregate,
+        # and the fact join stays a bucket-to-bucket merge join.
+        return materialize_bucketed(inst, "install", "user_pseudo_id") if self.persist else inst
 
     @cached_property
     def dim_users(self) -> DataFrame:

@@ -42,6 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(written tables and checkpoints must survive executor loss)")
     target = conf_dir or DEFAULT_CHECKPOINT_DIR
     spark.sparkContext.setCheckpointDir(target)
     return spark.sparkContext.getCheckpointDir() or target
