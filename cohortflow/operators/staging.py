@@ -75,7 +75,15 @@ def typed_projection(deduped: DataFrame) -> DataFrame:
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
-    out = typed_projection(dedup_events(raw))
+    """Typed projection first (row-local), then the dedup window.
+
+    Projecting before the exchange means the dedup shuffle carries the 21 flat
+    staging columns instead of the raw nested bags (``event_params``,
+    ``user_properties``, the struct columns). All dedup keys and tie-breaks
+    are staging columns, and rounding the value to (18,4) is monotonic, so the
+    surviving row is the same.
+    """
+    out = dedup_staged(typed_projection(raw))
     assert tuple(out.columns) == STAGING_COLUMN_NAMES
     return out
 
