@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 from cohortflow.functions.numeric import DEC4, avg_dec4, avg_double_dec4, ratio, to_dec4
 
 
@@ -23,7 +24,7 @@ def cum_window(partition_by: Sequence[str] | str, order_by: str = "day_number"):
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-def trailing_window(partition_by: Sequence[str] | str, rows: int = 28,
+def trailing_window(partition_by: Sequence[str] | str, rows: int = C.TRAILING_COHORTS,
                     order_by: str = "cohort_date"):
     """``rows`` preceding .. 1 preceding cohort rows (current row excluded)."""
     return (Window.partitionBy(*_cols(partition_by)).orderBy(F.col(order_by).asc())
@@ -35,7 +36,7 @@ def cum_sum(col: str | Column, partition_by: Sequence[str] | str) -> Column:
     return F.sum(c).over(cum_window(partition_by))
 
 
-def trailing_avg(col: str, partition_by: Sequence[str] | str, rows: int = 28,
+def trailing_avg(col: str, partition_by: Sequence[str] | str, rows: int = C.TRAILING_COHORTS,
                  decimal_input: bool = False) -> Column:
     """Trailing average rounded to decimal(18,4); NULL for the first cohort."""
     w = trailing_window(partition_by, rows)

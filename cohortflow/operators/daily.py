@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 from cohortflow.functions.numeric import DEC4, to_dec4
 
-PURCHASE_EVENT = "in_app_purchase"
-SESSION_EVENT = "session_start"
+PURCHASE_EVENT = C.PURCHASE_EVENT
+SESSION_EVENT = C.SESSION_EVENT
 MAX_LONG = 9223372036854775807
 
 FACT_COLUMNS = ("user_pseudo_id", "cohort_date", "activity_date", "day_number", "events",

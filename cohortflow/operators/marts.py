@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 from cohortflow.functions.numeric import DEC4, ratio, to_dec4
 from cohortflow.functions.windows import revenue_metrics_columns, trailing_avg
 from cohortflow.operators.spine import day_number_array
@@ -33,7 +34,7 @@ def _normalize_slices(df: DataFrame, slice_cols: Sequence[str], null_label: str
                        for c in df.columns])
 
 
-def cohort_grid(dim: DataFrame, slice_cols: Sequence[str] = (), max_day: int = 30,
+def cohort_grid(dim: DataFrame, slice_cols: Sequence[str] = (), max_day: int = C.MAX_DAY_NUMBER,
                 null_label: str | None = None) -> DataFrame:
     """(cohort_date, *slices, day_number, cohort_size) for every day 0..max_day."""
     users = _normalize_slices(dim.select("cohort_date", *slice_cols), slice_cols, null_label)
@@ -47,7 +48,7 @@ def _in_window(fact: DataFrame, max_day: int) -> DataFrame:
 
 
 def retention_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] = (),
-                   max_day: int = 30, trailing: int = 28, null_label: str | None = None) -> DataFrame:
+                   max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS, null_label: str | None = None) -> DataFrame:
     slice_cols = list(slice_cols)
     keys = ["cohort_date", *slice_cols, "day_number"]
     grid = cohort_grid(dim, slice_cols, max_day, null_label)
@@ -64,7 +65,7 @@ def retention_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] =
 
 
 def revenue_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] = (),
-                 max_day: int = 30, trailing: int = 28, null_label: str | None = None) -> DataFrame:
+                 max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS, null_label: str | None = None) -> DataFrame:
     slice_cols = list(slice_cols)
     keys = ["cohort_date", *slice_cols, "day_number"]
     grid = cohort_grid(dim, slice_cols, max_day, null_label)
@@ -90,7 +91,7 @@ def revenue_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] = ()
 
 
 def engagement_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] = (),
-                    max_day: int = 30, trailing: int = 28) -> DataFrame:
+                    max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS) -> DataFrame:
     """Documented extension: engagement seconds per cohort user by day number."""
     slice_cols = list(slice_cols)
     keys = ["cohort_date", *slice_cols, "day_number"]

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 from cohortflow.functions.params import param_int
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -127,7 +128,7 @@ def prof_user_property_keys(raw: DataFrame) -> DataFrame:
 
 
 def prof_engagement_dist(raw: DataFrame) -> DataFrame:
-    eng = raw.select(param_int("event_params", "engagement_time_msec").alias("ms")).where(F.col("ms").isNotNull())
+    eng = raw.select(param_int("event_params", C.ENGAGEMENT_KEY).alias("ms")).where(F.col("ms").isNotNull())
     p = _exact_percentiles(eng, "ms", [0.5, 0.99])
     counts = eng.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ms") < 0).alias("n_negative"))
     return counts.select("n", "n_negative", p.select(F.col("_p")[0]).scalar().alias("p50"),
@@ -168,7 +169,7 @@ def prof_first_touch_mismatch(raw: DataFrame) -> DataFrame:
 
 def prof_first_open_coverage(stg: DataFrame) -> DataFrame:
     per_user = stg.groupBy("user_pseudo_id").agg(
-        F.count_if(F.col("event_name") == "first_open").alias("fo"),
+        F.count_if(F.col("event_name") == C.FIRST_OPEN_EVENT).alias("fo"),
         F.coalesce(F.bool_or(F.col("previous_first_open_count") > 0), F.lit(False)).alias("re"))
     return per_user.agg(F.count(F.lit(1)).alias("n_users"),
                         F.count_if(F.col("fo") > 0).alias("users_with_first_open"),
@@ -176,7 +177,7 @@ def prof_first_open_coverage(stg: DataFrame) -> DataFrame:
 
 
 def prof_literal_nan(raw: DataFrame) -> DataFrame:
-    nan = F.col("device.operating_system") == "NaN"
+    nan = F.col("device.operating_system") == C.NAN_LITERAL
     return raw.agg(F.count_if(nan).alias("n_nan_rows"),
                    F.count_distinct(F.when(nan, F.col("user_pseudo_id"))).alias("n_nan_users"),
                    F.count(F.lit(1)).alias("n_rows"))
@@ -193,7 +194,7 @@ def prof_traffic_mix(raw: DataFrame) -> DataFrame:
 
 def prof_revenue_signals(raw: DataFrame) -> DataFrame:
     """Purchase-event payers vs lifetime-value payers, and the gap between them."""
-    event_payers = (raw.where((F.col("event_name") == "in_app_purchase") & (F.col("event_value_in_usd") > 0))
+    event_payers = (raw.where((F.col("event_name") == C.PURCHASE_EVENT) & (F.col("event_value_in_usd") > 0))
                        .select("user_pseudo_id").distinct())
     ltv_payers = raw.where(F.col("user_ltv.revenue") > 0).select("user_pseudo_id").distinct()
     gap = ltv_payers.join(event_payers, "user_pseudo_id", "left_anti")

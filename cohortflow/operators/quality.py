@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortflow import constants as C
+
 ROW_LEVEL = ("not_null", "accepted_values", "accepted_range", "expression_is_true")
 
 
@@ -153,7 +155,7 @@ def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Seq
                      .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")).alias("status")))
 
 
-def pipeline_checks(max_day: int = 30) -> list[Check]:
+def pipeline_checks(max_day: int = C.MAX_DAY_NUMBER) -> list[Check]:
     """The 71 generic checks declared on the source and every model."""
     nn = lambda t, *cols: [Check(t, "not_null", c) for c in cols]
     ex = lambda t, name, expr, col=None, sev="error": Check(t, "expression_is_true", col,
@@ -164,13 +166,13 @@ def pipeline_checks(max_day: int = 30) -> list[Check]:
     checks: list[Check] = []
     # source contract
     checks += nn("source_events", "user_pseudo_id", "event_timestamp", "event_name", "platform")
-    checks.append(Check("source_events", "accepted_values", "platform", {"values": ["ANDROID", "IOS"]}))
+    checks.append(Check("source_events", "accepted_values", "platform", {"values": list(C.PLATFORMS)}))
     # staging
     checks += nn("stg_events", "user_pseudo_id", "event_timestamp", "event_ts_utc", "event_date_utc",
                  "event_name", "platform", "device_category")
     checks.append(combo("stg_events", "user_pseudo_id", "event_timestamp", "event_name"))
     checks.append(ex("stg_events", "value_only_on_purchases",
-                     "event_value_in_usd is null or (event_value_in_usd > 0 and event_name = 'in_app_purchase')"))
+                     f"event_value_in_usd is null or (event_value_in_usd > 0 and event_name = '{C.PURCHASE_EVENT}')"))
     # spine
     checks += nn("day_numbers", "day_number")
     checks.append(Check("day_numbers", "unique", "day_number"))
@@ -213,7 +215,8 @@ def pipeline_checks(max_day: int = 30) -> list[Check]:
         checks.append(ex(t, "paying_le_size", "paying_users <= cohort_size"))
         if not sl:
             checks.append(ex(t, "arppu_consistent",
-                             "cum_arppu is null or abs(cum_arppu - cum_revenue / nullif(cum_paying_users, 0)) < 0.0001"))
+                             "cum_arppu is null or abs(cum_arppu - cum_revenue / nullif(cum_paying_users, 0)) "
+                             f"< {C.ARPPU_TOLERANCE}"))
     return checks
 
 
@@ -268,7 +271,7 @@ def _totals_check(spark, lhs_df: DataFrame, rhs_df: DataFrame) -> DataFrame:
 def _purchase_days_in_window(stg: DataFrame, dim: DataFrame, max_day: int, value_positive: bool = False):
     """Staging purchases pre-aggregated to (user, day) before meeting the user
     dimension — a hot user costs one row per day in the join, not its events."""
-    p = stg.where(F.col("event_name") == "in_app_purchase")
+    p = stg.where(F.col("event_name") == C.PURCHASE_EVENT)
     if value_positive:
         p = p.where(F.col("event_value_in_usd") > 0)
     per_day = p.groupBy("user_pseudo_id", "event_date_utc").agg(

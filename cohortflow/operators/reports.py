@@ -13,15 +13,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 from cohortflow.functions.numeric import agg_avg_dec4, avg_dec4, safe_ratio
 
-# fixed values of the dashboard
-DAY_AXIS = (0, 1, 3, 7, 14, 30)
-HEADER_RETENTION_DAYS = (1, 3, 7)
-HEADLINE_DAY = 7
-BASELINE_DAYS = 28
-NOISE_THRESHOLDS = {"arpu": 0.0005, "paying_share": 0.001, "retention": 0.005}
-COMPARISON_WEEKS = 5
+DAY_AXIS = C.DAY_AXIS
+HEADER_RETENTION_DAYS = C.HEADER_RETENTION_DAYS
+HEADLINE_DAY = C.HEADLINE_DAY
+BASELINE_DAYS = C.BASELINE_CALENDAR_DAYS
+NOISE_THRESHOLDS = C.NOISE_THRESHOLDS
+COMPARISON_WEEKS = C.COMPARISON_WEEKS
 
 
 def max_full_cohort(dim: DataFrame, fct: DataFrame, window: int = HEADLINE_DAY) -> Column:
@@ -148,8 +148,8 @@ def latest_n_cohorts(dim: DataFrame, fct: DataFrame, n: int = 5, window: int = H
                    .orderBy(F.col("cohort_date").desc()).limit(n))
 
 
-def top_n_plus_other(dim: DataFrame, col: str = "install_country", n: int = 5,
-                     other: str = "Other", out_col: str | None = None) -> DataFrame:
+def top_n_plus_other(dim: DataFrame, col: str = "install_country", n: int = C.TOP_N_COUNTRIES,
+                     other: str = C.OTHER_LABEL, out_col: str | None = None) -> DataFrame:
     """Replace ``col`` by itself for its n most common values, else ``other``.
 
     The ranking runs over the per-value counts (one row per distinct value);

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 
-def day_numbers(spark: SparkSession, max_day: int = 30) -> DataFrame:
+
+def day_numbers(spark: SparkSession, max_day: int = C.MAX_DAY_NUMBER) -> DataFrame:
     return spark.range(0, max_day + 1, numPartitions=1).select(F.col("id").cast("int").alias("day_number"))
 
 
-def day_number_array(max_day: int = 30) -> Column:
+def day_number_array(max_day: int = C.MAX_DAY_NUMBER) -> Column:
     """The spine as an array literal: densifying with ``explode`` is a
     Generate on each cohort row — no join, no cross product of tables."""
     return F.sequence(F.lit(0), F.lit(max_day))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 from cohortflow.functions.numeric import to_dec4
 from cohortflow.functions.params import param_int, param_string
 from cohortflow.sources.schema import EVENT_KEY, STAGING_COLUMN_NAMES
@@ -61,12 +62,12 @@ def typed_projection(deduped: DataFrame) -> DataFrame:
         F.col("event_previous_timestamp"),
         F.col("event_bundle_sequence_id"),
         F.col("event_server_timestamp_offset"),
-        param_int(bag, "engagement_time_msec").alias("engagement_time_msec"),
-        param_string(bag, "firebase_screen_class").alias("screen_class"),
-        param_int(bag, "previous_first_open_count").alias("previous_first_open_count"),
-        param_int(bag, "ga_session_id").alias("ga_session_id"),
+        param_int(bag, C.ENGAGEMENT_KEY).alias("engagement_time_msec"),
+        param_string(bag, C.SCREEN_CLASS_KEY).alias("screen_class"),
+        param_int(bag, C.PREVIOUS_FIRST_OPEN_KEY).alias("previous_first_open_count"),
+        param_int(bag, C.SESSION_ID_KEY).alias("ga_session_id"),
         F.col("device.category").alias("device_category"),
-        F.nullif(F.col("device.operating_system"), F.lit("NaN")).alias("device_os"),
+        F.nullif(F.col("device.operating_system"), F.lit(C.NAN_LITERAL)).alias("device_os"),
         F.col("geo.country").alias("country"),
         F.col("app_info.id").alias("app_id"),
         F.col("traffic_source.medium").alias("traffic_medium"),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
+
 INSTALL_COLUMNS = ("user_pseudo_id", "cohort_date", "install_platform", "install_country",
                    "install_traffic_medium", "install_app_id", "first_event_name",
                    "is_reinstall", "events_total")
@@ -42,7 +44,7 @@ def int_user_install(rollup: DataFrame) -> DataFrame:
     )
 
 
-def events_p99(install: DataFrame, p: float = 0.99) -> DataFrame:
+def events_p99(install: DataFrame, p: float = C.OUTLIER_PERCENTILE) -> DataFrame:
     """Exact interpolated percentile of events_total, as a one-row frame.
 
     Pre-count the histogram first: the exact ``percentile`` then buffers one
@@ -54,7 +56,7 @@ def events_p99(install: DataFrame, p: float = 0.99) -> DataFrame:
     return hist.agg(F.percentile(F.col("events_total"), p, F.col("_n")).alias("events_p99"))
 
 
-def dim_users(install: DataFrame, p: float = 0.99) -> DataFrame:
+def dim_users(install: DataFrame, p: float = C.OUTLIER_PERCENTILE) -> DataFrame:
     """User dimension with the strict ``events_total > p99`` outlier flag.
 
     The p99 is a scalar subquery (evaluated once, inlined as a value), not a

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow import constants as C
 from cohortflow.operators import daily, marts, users
 from cohortflow.session import materialize_bucketed
 
@@ -33,7 +34,7 @@ def refresh_rollup(stg_table: DataFrame, old_rollup: DataFrame, days: DataFrame)
     return kept.unionByName(fresh.select(*old_rollup.columns))
 
 
-def derived_tables(rollup: DataFrame, max_day: int = 30, trailing: int = 28) -> dict[str, DataFrame]:
+def derived_tables(rollup: DataFrame, max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS) -> dict[str, DataFrame]:
     install = users.int_user_install(rollup)
     dim = users.dim_users(install)
     fact = daily.fact_enriched(rollup, install)

@@ -25,14 +25,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortflow import constants as C
 from cohortflow.operators import daily, marts, spine, staging, users
 from cohortflow.session import materialize, materialize_bucketed
 from cohortflow.sources.adapter import adapt_events, adapt_orders
 
 
 class Pipeline:
-    def __init__(self, raw: DataFrame, max_day: int = 30, trailing: int = 28,
-                 persist: bool = False, p99: float = 0.99):
+    def __init__(self, raw: DataFrame, max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS,
+                 persist: bool = False, p99: float = C.OUTLIER_PERCENTILE):
         self.raw = raw
         self.spark: SparkSession = raw.sparkSession
         self.max_day = max_day
@@ -128,7 +129,7 @@ class Pipeline:
 
 
 def build(spark: SparkSession, raw: DataFrame | None = None, sf_dir: str | None = None,
-          max_day: int = 30, **kw) -> dict[str, DataFrame]:
+          max_day: int = C.MAX_DAY_NUMBER, **kw) -> dict[str, DataFrame]:
     """All pipeline tables as lazy DataFrames."""
     pipe = Pipeline(raw, max_day=max_day, **kw) if raw is not None else \
         Pipeline.from_events(spark, sf_dir, max_day=max_day, **kw)

@@ -11,11 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortflow import constants as C
 from cohortflow.plans import oracle
 from cohortflow.plans.pipeline import Pipeline
 
-MAX_DAY = 30
-TRAILING = 28
+MAX_DAY = C.MAX_DAY_NUMBER
+TRAILING = C.TRAILING_COHORTS
 
 _PIPELINES: dict[tuple, Pipeline] = {}
 

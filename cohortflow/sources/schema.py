@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from cohortflow.constants import PLATFORMS
+
 PARAM_VALUE = T.StructType([
     T.StructField("string_value", T.StringType()),
     T.StructField("int_value", T.LongType()),
@@ -96,5 +98,4 @@ STAGING_COLUMNS = (
 
 STAGING_COLUMN_NAMES = tuple(n for n, _ in STAGING_COLUMNS)
 
-# Source contract: accepted platforms (fixed values).
-ACCEPTED_PLATFORMS = ("ANDROID", "IOS")
+ACCEPTED_PLATFORMS = PLATFORMS
