@@ -78,3 +78,23 @@ def test_partition_pruning_on_written_layout(spark):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(activity_date" in plan
     assert q.count() == p.fct_user_daily.where(F.col("activity_date") == d("2024-01-10")).count()
+
+
+def test_build_publishes_all_tables_and_gates(spark):
+    from cohortflow.plans.build import QualityGateError, run_build
+    p = Pipeline.from_events(spark, SF)
+    raw_path = shared_scratch_path(spark, "test_raw")
+    p.raw.write.parquet(raw_path)
+    raw = L.scan_raw_events(spark, raw_path)
+    out = shared_scratch_path(spark, "test_build")
+    res = run_build(spark, raw, out)
+    assert res.count() == 71 and res.where("status = 'fail'").count() == 0
+    stg = spark.read.parquet(f"{out}/stg_events")
+    assert stg.count() == p.stg_events.count()
+    assert spark.read.parquet(f"{out}/mart_revenue_by_platform").count() == p.mart_revenue_by_platform.count()
+    bad = raw.withColumn("platform", F.lit("WEB"))
+    try:
+        run_build(spark, bad, shared_scratch_path(spark, "test_build_bad"))
+        raise AssertionError("gate did not stop the build")
+    except QualityGateError as e:
+        assert "accepted_values__source_events__platform" in str(e)
