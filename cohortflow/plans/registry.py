@@ -55,13 +55,18 @@ _CORE = {
     "int_user_install": "install",
     "int_user_daily_activity": "activity",
     "int_user_daily_revenue": "revenue",
-    "day_numbers": "spine",
     "dim_users": "dim",
     "fct_user_daily": "fct",
 }
 for _name, _cte in _CORE.items():
     register(_name, oracle.table_sql(_cte, max_day=MAX_DAY))(_table(_name))
 
+# The spine itself is a parameter-driven generator (``spine.day_numbers``); the
+# registered query reads it back from the densified mart, where every cohort
+# carries the full D0..Dmax spine.
+register("day_numbers", oracle.model_ctes(MAX_DAY) + "\nSELECT day_number FROM spine")(
+    lambda spark, sf_dir: pipeline(spark, sf_dir).mart_retention_overall.select("day_number").distinct())
+
 register("mart_retention_overall", oracle.retention_sql((), MAX_DAY, TRAILING))(
     _table("mart_retention_overall"))
 register("mart_retention_by_platform", oracle.retention_sql(("install_platform",), MAX_DAY, TRAILING))(

@@ -1,10 +1,12 @@
 """Adapter: driver tables -> raw event stream shaped like the source contract.
 
 The driver's ``events`` table has flat, duplicate-free rows whose users almost
-all start on the same day, which is useless for cohorts. The adapter keeps the
-rows deterministic but staggers installs, injects duplicates (some with a NULL
-bundle id so NULLS LAST matters), NULL-valued purchases, parameter bags (with
-empty bags), platforms, countries, traffic media and literal 'NaN' OS values.
+all start on the same day, which is useless for cohorts. The adapter keeps
+every row and stays deterministic: it staggers installs by shifting each
+user's timeline by ``user_id % STAGGER_DAYS`` days, and it injects duplicates
+(some with a NULL bundle id so NULLS LAST matters), NULL-valued purchases,
+parameter bags (with empty bags), platforms, countries, traffic media and
+literal 'NaN' OS values.
 
 The rules live here once, as constants; ``adapt_events`` renders them as a
 Spark plan and ``adapter_sql`` as DuckDB SQL for the oracle.
@@ -23,7 +25,7 @@ from cohortflow.sources.schema import PARAM_BAG, RAW_EVENTS, USER_PROPERTY_BAG
 
 # ---- fixed values of the mapping -------------------------------------------
 START_DATE = "2024-01-01"
-STAGGER_DAYS = 20            # kept rows: date(ts) >= START + user_id % STAGGER_DAYS
+STAGGER_DAYS = 20            # each user's timeline is shifted by user_id % STAGGER_DAYS days
 LOCAL_TZ_OFFSET_HOURS = 7    # event_date is the local date at UTC-7
 EVENT_NAME_MAP = {           # driver event_type -> source event_name
     "purchase": "in_app_purchase",
@@ -85,12 +87,11 @@ def adapt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     uid = F.col("user_id")
     eid = F.col("event_id")
-    kept = ev.where(F.col("ts").cast("date")
-                    >= F.date_add(F.lit(START_DATE).cast("date"), (uid % STAGGER_DAYS).cast("int")))
+    shifted = ev.withColumn("ts", F.expr(f"timestampadd(DAY, CAST(user_id % {STAGGER_DAYS} AS INT), ts)"))
 
     # duplicates injected by a generator, not a second scan + union
     copies = F.when(eid % DUPLICATE_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    base = kept.select("*", F.explode(copies).alias("_copy"), _k(F.col("props")).alias("_k"))
+    base = shifted.select("*", F.explode(copies).alias("_copy"), _k(F.col("props")).alias("_k"))
     base = base.join(geo, (uid % NATION_COUNT).cast("int") == F.col("_nk"), "left")
 
     mapped = F.lit(None).cast("string")
@@ -238,15 +239,17 @@ def adapter_sql() -> str:
         f"ELSE []::{_SQL_BAG_TYPE} END"
     )
     return f"""
+shifted_events AS (
+    SELECT * REPLACE (ts + to_days(CAST(user_id % {STAGGER_DAYS} AS INTEGER)) AS ts) FROM events
+),
 adapter_src AS (
     SELECT e.*, c.copy_no, json_extract_string(e.props, '$.k')::INTEGER AS k,
            {name_case} AS event_name,
            epoch_us(CAST(DATE '{START_DATE}' + CAST(e.user_id % {STAGGER_DAYS} AS INTEGER) AS TIMESTAMP))
                - (e.user_id % 3) * 86400000000 AS first_touch
-    FROM events e
+    FROM shifted_events e
     CROSS JOIN (SELECT 0 AS copy_no UNION ALL SELECT 1) c
-    WHERE CAST(e.ts AS DATE) >= DATE '{START_DATE}' + CAST(e.user_id % {STAGGER_DAYS} AS INTEGER)
-      AND (c.copy_no = 0 OR e.event_id % {DUPLICATE_EVERY} = 0)
+    WHERE c.copy_no = 0 OR e.event_id % {DUPLICATE_EVERY} = 0
 ),
 raw_events AS (
     SELECT
