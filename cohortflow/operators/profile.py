@@ -1,8 +1,8 @@
 """Source profiling: measurements of the raw event stream as Spark aggregates.
 
 Every profile is a (small) aggregate over the whole raw table. Exact
-percentiles pre-count a histogram of the measured value first, so the final
-``percentile`` buffers one entry per distinct value, not per row or user.
+percentiles use the distributed ``quantiles.exact_percentiles`` (histogram,
+order-preserving bins, bounded windows), never a single-task value buffer.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import constants as C
 from cohortflow.functions.params import param_int
+from cohortflow.operators.quantiles import exact_percentiles
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -20,12 +21,6 @@ def _utc_date(col: str = "event_timestamp") -> Column:
     return F.expr(f"CAST(timestampadd(MICROSECOND, {col}, {EPOCH_NTZ}) AS DATE)")
 
 
-def _exact_percentiles(values: DataFrame, col: str, ps: list[float]) -> DataFrame:
-    hist = values.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    return hist.agg(F.percentile(F.col(col).cast("double"), ps, F.col("_n")).alias("_p"),
-                    F.max(col).alias("_max"))
-
-
 def prof_volume(raw: DataFrame) -> DataFrame:
     return raw.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -49,9 +44,8 @@ def prof_platform_split(raw: DataFrame) -> DataFrame:
 
 def prof_events_per_user(raw: DataFrame) -> DataFrame:
     per_user = raw.groupBy("user_pseudo_id").agg(F.count(F.lit(1)).alias("n_events"))
-    p = _exact_percentiles(per_user, "n_events", [0.5, 0.9, 0.99])
-    return p.select(F.col("_p")[0].alias("p50"), F.col("_p")[1].alias("p90"), F.col("_p")[2].alias("p99"),
-                    F.col("_max").alias("max_events"))
+    p = exact_percentiles(per_user, "n_events", [0.5, 0.9, 0.99], ["p50", "p90", "p99"])
+    return p.select("p50", "p90", "p99", per_user.agg(F.max("n_events")).scalar().alias("max_events"))
 
 
 def prof_active_days(raw: DataFrame) -> DataFrame:
@@ -129,11 +123,11 @@ def prof_user_property_keys(raw: DataFrame) -> DataFrame:
 
 def prof_engagement_dist(raw: DataFrame) -> DataFrame:
     eng = raw.select(param_int("event_params", C.ENGAGEMENT_KEY).alias("ms")).where(F.col("ms").isNotNull())
-    p = _exact_percentiles(eng, "ms", [0.5, 0.99])
-    counts = eng.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ms") < 0).alias("n_negative"))
-    return counts.select("n", "n_negative", p.select(F.col("_p")[0]).scalar().alias("p50"),
-                         p.select(F.col("_p")[1]).scalar().alias("p99"),
-                         p.select("_max").scalar().alias("max_ms"))
+    p = exact_percentiles(eng, "ms", [0.5, 0.99], ["p50", "p99"])
+    counts = eng.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ms") < 0).alias("n_negative"),
+                     F.max("ms").alias("max_ms"))
+    return counts.select("n", "n_negative", p.select("p50").scalar().alias("p50"),
+                         p.select("p99").scalar().alias("p99"), "max_ms")
 
 
 def prof_duplicates(raw: DataFrame) -> DataFrame:

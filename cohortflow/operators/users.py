@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import constants as C
+from cohortflow.operators.quantiles import exact_percentiles
 
 INSTALL_COLUMNS = ("user_pseudo_id", "cohort_date", "install_platform", "install_country",
                    "install_traffic_medium", "install_app_id", "first_event_name",
@@ -47,13 +48,10 @@ def int_user_install(rollup: DataFrame) -> DataFrame:
 def events_p99(install: DataFrame, p: float = C.OUTLIER_PERCENTILE) -> DataFrame:
     """Exact interpolated percentile of events_total, as a one-row frame.
 
-    Pre-count the histogram first: the exact ``percentile`` then buffers one
-    entry per *distinct* events_total. Distinct values v each need a user with
-    v events, so their number is below sqrt(2 * total events) — bounded even
-    at 10^12 events (~1.4M entries), independent of the number of users.
+    Distributed (``quantiles.exact_percentiles``): histogram by value, then
+    order-preserving bins, so no task buffers all distinct values.
     """
-    hist = install.groupBy("events_total").agg(F.count(F.lit(1)).alias("_n"))
-    return hist.agg(F.percentile(F.col("events_total"), p, F.col("_n")).alias("events_p99"))
+    return exact_percentiles(install, "events_total", [p], ["events_p99"])
 
 
 def dim_users(install: DataFrame, p: float = C.OUTLIER_PERCENTILE) -> DataFrame:

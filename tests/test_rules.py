@@ -101,3 +101,23 @@ def test_marts_have_no_cartesian_products(spark):
     for m in (marts.retention_mart(dim, fact), marts.revenue_mart(dim, fact, ["install_platform"])):
         plan = m._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_distributed_percentile_matches_spark_percentile(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from cohortflow.operators.quantiles import exact_percentiles
+
+    ps = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.integers(min_value=-1000, max_value=10**6), min_size=1, max_size=300),
+           st.integers(min_value=1, max_value=32))
+    def check(values, bins):
+        df = spark.createDataFrame([(v,) for v in values], "x long")
+        got = list(exact_percentiles(df, "x", ps, bins=bins).collect()[0])
+        want = df.agg(F.percentile("x", ps)).collect()[0][0]
+        assert got == want
+
+    check()
