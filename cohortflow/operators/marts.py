@@ -132,3 +132,12 @@ def with_user_slice(dim: DataFrame, fact: DataFrame, slice_df: DataFrame, col: s
     dimension and the fact, for any builder above."""
     s = slice_df.select("user_pseudo_id", col)
     return dim.join(s, "user_pseudo_id", "left"), fact.join(s, "user_pseudo_id", "left")
+
+
+def with_observed(mart: DataFrame, fact: DataFrame) -> DataFrame:
+    """Optional right-censoring flag: a cell is observed when its calendar day
+    (cohort_date + day_number) is not after the last activity date in the
+    data. Censored cells keep their 0 values (and still feed the trailing
+    baselines, as in the reference); the flag lets readers mask them."""
+    last = fact.agg(F.max("activity_date")).scalar()
+    return mart.withColumn("is_observed", F.date_add(F.col("cohort_date"), F.col("day_number")) <= last)

@@ -137,3 +137,8 @@ for _kind, _parts in (("retention", oracle.retention_parts), ("revenue", oracle.
     _body, _final = _parts((_AB_COL,), MAX_DAY, TRAILING, null_label=_UNKNOWN, dim="dim_ab")
     register(f"mart_{_kind}_by_user_property", oracle.model_ctes(MAX_DAY) + _AB_CTE + _body + "\n" + _final)(
         (lambda k: lambda spark, d: _ab_mart(spark, d, k))(_kind))
+
+
+register("mart_retention_observed", oracle.retention_sql((), MAX_DAY, TRAILING).replace(
+    "\nFROM filled", ",\n       cohort_date + day_number <= (SELECT max(activity_date) FROM fct) AS is_observed\nFROM filled"))(
+    lambda spark, d: (lambda p: M.with_observed(p.mart_retention_overall, p.fct_user_daily))(pipeline(spark, d)))
