@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -322,7 +322,6 @@ def chk_d0_full_retention(spark, mart_retention):
 
 
 def chk_cum_revenue_monotonic(spark, mart_revenue, slice_cols: Sequence[str] = ()):
-    from pyspark.sql import Window
     w = Window.partitionBy("cohort_date", *slice_cols).orderBy("day_number")
     lagged = mart_revenue.select("cum_revenue", F.lag("cum_revenue").over(w).alias("prev"))
     return _row_check(spark, lagged.where(F.col("prev").isNotNull()), F.col("cum_revenue") < F.col("prev"))

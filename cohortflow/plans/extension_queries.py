@@ -87,7 +87,7 @@ eg AS (SELECT g.cohort_date, g.day_number, g.cohort_size,
        FROM eg_grid g LEFT JOIN eg_daily d ON d.cohort_date = g.cohort_date AND d.day_number = g.day_number)
 SELECT *, CAST(avg(engagement_sec_per_user) OVER (PARTITION BY day_number ORDER BY cohort_date
             ROWS BETWEEN {TRAILING} PRECEDING AND 1 PRECEDING) AS DECIMAL(18, 4)) AS engagement_sec_per_user_trailing_4w_avg
-FROM eg""".replace(sql_prefix() + ",", sql_prefix() + ",", 1).replace("\n,\neg_cohorts", ",\neg_cohorts"))(
+FROM eg""")(
     lambda spark, d: (lambda p: M.engagement_mart(p.dim_users, p.fact_enriched, (), MAX_DAY, TRAILING))(
         pipeline(spark, d)))
 
@@ -103,7 +103,7 @@ sizes AS (SELECT CAST(date_trunc('week', cohort_date) AS DATE) AS cohort_week, c
 ret AS (SELECT cohort_week, week_number, count(DISTINCT user_pseudo_id) AS retained FROM wk GROUP BY 1, 2)
 SELECT s.cohort_week, s.cohort_size, {_TRI_W.replace('retention_pct', 'CAST(r.retained AS DOUBLE) / s.cohort_size')}
 FROM sizes s LEFT JOIN ret r ON r.cohort_week = s.cohort_week
-GROUP BY s.cohort_week, s.cohort_size""".replace(sql_prefix() + ",\nwk", sql_prefix() + ",\nwk"))(
+GROUP BY s.cohort_week, s.cohort_size""")(
     lambda spark, d: M.weekly_triangle(pipeline(spark, d).dim_users, pipeline(spark, d).fact_enriched, 5))
 
 
