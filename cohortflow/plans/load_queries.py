@@ -146,7 +146,9 @@ def _stream_ingest(spark, d):
     p = pipeline(spark, d)
     src = shared_scratch_path(spark, "raw_landing")
     utc_day = F.expr("CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)")
-    p.raw.repartition(6, utc_day).write.mode("overwrite").parquet(src)
+    # range partitions on (day, ts): several landing files (several micro-batches)
+    # and a day holding a large share of the rows is split across them
+    p.raw.repartitionByRange(6, utc_day, F.col("event_timestamp")).write.mode("overwrite").parquet(src)
     return ingest_available(spark, src, shared_scratch_path(spark, "stg_stream"),
                             shared_scratch_path(spark, "stream_ckpt"), max_files_per_trigger=2)
 
