@@ -4,8 +4,8 @@
 buffer. Here the work is split instead:
 
 1. histogram by value (distributed ``groupBy``, map-side combined);
-2. order-preserving bins from approximate quantile boundaries (a bounded
-   sketch), so each bin holds about 1/bins of the distinct values;
+2. order-preserving bins from approximate quantile boundaries of the
+   distinct values (a bounded sketch), so each bin holds about 1/bins of them;
 3. per-bin row offsets from a window over at most ``bins`` rows, and ranks
    inside each bin from a window partitioned by bin;
 4. the two order statistics around ``(N - 1) * p`` are picked by rank and
@@ -32,7 +32,9 @@ def exact_percentiles(values: DataFrame, col: str, ps: Sequence[float], names: S
     v = values.select(F.col(col).cast("double").alias("_v"),
                       (F.col(freq) if freq else F.lit(1)).cast("bigint").alias("_w")).where(F.col("_v").isNotNull())
     hist = v.groupBy("_v").agg(F.sum("_w").alias("_n"))
-    bounds = v.agg(F.percentile_approx("_v", [i / bins for i in range(1, bins)], 10000).alias("_b"))
+    # boundaries over the *distinct* values: each bin gets about the same number
+    # of histogram rows, which is the work per bin (and ``values`` is read once)
+    bounds = hist.agg(F.percentile_approx("_v", [i / bins for i in range(1, bins)], 10000).alias("_b"))
     # boundaries and per-bin totals are scalar arrays of at most ``bins``
     # entries; no join is needed to attach them
     binned = hist.withColumn("_b", bounds.select("_b").scalar()).select(

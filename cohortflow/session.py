@@ -26,6 +26,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", os.environ.get("COHORTFLOW_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    event_log = os.environ.get("COHORTFLOW_EVENT_LOG_DIR")
+    if event_log:  # stage / task timings without the web UI
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
