@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortflow import constants as C
 from cohortflow.plans import oracle
 from cohortflow.plans.pipeline import Pipeline
+from cohortflow.session import shared_scratch_path
+from cohortflow.sources.adapter import adapt_events, adapt_orders
+from cohortflow.sources.loads import scan_raw_events
 
 MAX_DAY = C.MAX_DAY_NUMBER
 TRAILING = C.TRAILING_COHORTS
@@ -25,8 +28,12 @@ def pipeline(spark: SparkSession, sf_dir: str, source: str = "events") -> Pipeli
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), source)
     pipe = _PIPELINES.get(key)
     if pipe is None:
-        ctor = Pipeline.from_events if source == "events" else Pipeline.from_orders
-        pipe = ctor(spark, sf_dir, max_day=MAX_DAY, trailing=TRAILING, persist=True)
+        # The adapted stream is landed once as the raw parquet table and read
+        # back with the declared contract schema, as production reads its source.
+        adapt = adapt_events if source == "events" else adapt_orders
+        path = shared_scratch_path(spark, f"raw_{source}")
+        adapt(spark, sf_dir).write.mode("overwrite").parquet(path)
+        pipe = Pipeline(scan_raw_events(spark, path), max_day=MAX_DAY, trailing=TRAILING, persist=True)
         _PIPELINES[key] = pipe
     return pipe
 
