@@ -107,19 +107,25 @@ class Pipeline:
 
     @cached_property
     def mart_retention_overall(self) -> DataFrame:
-        return self.retention()
+        return self._published(self.retention(), "mart_retention_overall")
 
     @cached_property
     def mart_retention_by_platform(self) -> DataFrame:
-        return self.retention(["install_platform"])
+        return self._published(self.retention(["install_platform"]), "mart_retention_by_platform")
 
     @cached_property
     def mart_revenue_overall(self) -> DataFrame:
-        return self.revenue()
+        return self._published(self.revenue(), "mart_revenue_overall")
 
     @cached_property
     def mart_revenue_by_platform(self) -> DataFrame:
-        return self.revenue(["install_platform"])
+        return self._published(self.revenue(["install_platform"]), "mart_revenue_by_platform")
+
+    def _published(self, df: DataFrame, name: str) -> DataFrame:
+        """Marts are final tables (cohort x day x slice rows): written once so
+        every report and check reads the small table instead of rescanning
+        the user-day rollup."""
+        return materialize(df, name) if self.persist else df
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in (
