@@ -74,7 +74,10 @@ class Pipeline:
 
     @cached_property
     def dim_users(self) -> DataFrame:
-        return users.dim_users(self.int_user_install, self.p99)
+        dim = users.dim_users(self.int_user_install, self.p99)
+        # written once: the global p99 is evaluated a single time, and every
+        # consumer (grids, checks, reports) reads the bucketed dimension
+        return materialize_bucketed(dim, "dim_users", "user_pseudo_id") if self.persist else dim
 
     @cached_property
     def int_user_daily_activity(self) -> DataFrame:
