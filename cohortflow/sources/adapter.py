@@ -74,9 +74,17 @@ def _uprop(key: str, ts: Column, string_value=None, int_value=None) -> Column:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster's parallelism
+    (e.g. one small single-row-group file) before the row-wise mapping. The
+    check is planning-only; a large, well-split input is left untouched."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def adapt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver ``events`` (+ ``nation``/``region``) -> raw events (RAW_EVENTS)."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = _spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     # 25 nations x 5 regions: a fixed-size dimension, left to the planner's
@@ -176,7 +184,7 @@ def adapt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def adapt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second source: every order is one ``in_app_purchase`` event of its
     customer; platform = market segment. Long span -> full trailing windows."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = _spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment", "c_nationkey")
     o = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     ts_us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)")
