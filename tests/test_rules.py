@@ -121,3 +121,14 @@ def test_distributed_percentile_matches_spark_percentile(spark):
         assert got == want
 
     check()
+
+
+def test_adapter_keeps_every_driver_row(spark):
+    from cohortflow.sources.adapter import DUPLICATE_EVERY, adapt_events
+    sf = "/root/testdata/sf0.001"
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    n_events = events.count()
+    n_dups = events.where(F.col("event_id") % DUPLICATE_EVERY == 0).count()
+    raw = adapt_events(spark, sf)
+    assert raw.count() == n_events + n_dups
+    assert staging.stg_events(raw).count() == n_events
