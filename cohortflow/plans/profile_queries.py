@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cohortflow.operators import profile as P
+from cohortflow.operators import staging
 from cohortflow.plans import oracle
 from cohortflow.plans.registry import MAX_DAY, pipeline, register
 
@@ -128,3 +129,8 @@ register("prof_revenue_signals", _sql("""SELECT
        AND NOT EXISTS (SELECT 1 FROM raw_events p WHERE p.user_pseudo_id = r.user_pseudo_id
                          AND p.event_name = 'in_app_purchase' AND p.event_value_in_usd > 0)) AS n_ltv_without_purchase,
     (SELECT count(DISTINCT user_ltv_currency) FROM raw_events) AS n_ltv_currencies"""))(_raw(P.prof_revenue_signals))
+
+# agg_having: the duplicated event keys themselves (group by ... having count(*) > 1)
+register("duplicate_keys", _sql("""SELECT user_pseudo_id, event_timestamp, event_name, count(*) AS copies
+FROM raw_events GROUP BY user_pseudo_id, event_timestamp, event_name HAVING count(*) > 1"""))(
+    lambda spark, d: staging.duplicate_keys(pipeline(spark, d).raw))
