@@ -46,7 +46,7 @@ def _source_contract(spark, d):
     actual = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
     drift = sum(1 for n, t in declared.items() if actual.get(n) != t) + sum(1 for n in actual if n not in declared)
     checks = Q.run_checks(spark, {"source_events": raw}, _SOURCE_CHECKS)
-    schema_row = raw.agg(F.count(F.lit(1)).alias("_n")).select(
+    schema_row = spark.range(1).select(
         F.lit("schema__source_events").alias("check_id"), F.lit("source_events").alias("table_name"),
         F.lit("schema").alias("kind"), F.lit("error").alias("severity"),
         F.lit(drift).cast("bigint").alias("n_violations"),
