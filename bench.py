@@ -37,6 +37,8 @@ def main() -> None:
     queries = registry.QUERIES
     times: dict[str, float] = {}
 
+    sc = spark.sparkContext
+    sc.setJobDescription("bench:build_base_tables")
     t0 = time.time()
     for source in ("events", "orders"):
         p = registry.pipeline(spark, sf_dir, source)
@@ -44,6 +46,7 @@ def main() -> None:
     times["build_base_tables"] = round(time.time() - t0, 3)
 
     for name in HEADLINE:
+        sc.setJobDescription(f"bench:{name}")  # tags stages in the event log (tools/stages.py)
         t = time.time()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)

@@ -28,16 +28,23 @@ def main() -> None:
     log_dir = Path(sys.argv[1])
     top = int(sys.argv[2]) if len(sys.argv) > 2 else 15
     stages, by_name = [], defaultdict(lambda: [0, 0.0, 0])
+    stage_desc: dict[int, str] = {}
     for f in sorted(p for p in log_dir.rglob("*") if p.is_file() and not p.name.startswith(".")):
         for line in _lines(f):
             if not line.strip():
                 continue
             ev = json.loads(line)
+            if ev.get("Event") == "SparkListenerJobStart":
+                desc = (ev.get("Properties") or {}).get("spark.job.description")
+                for sid in ev.get("Stage IDs", []):
+                    if desc:
+                        stage_desc[sid] = desc
+                continue
             if ev.get("Event") != "SparkListenerStageCompleted":
                 continue
             info = ev["Stage Info"]
             dur = (info.get("Completion Time", 0) - info.get("Submission Time", 0)) / 1000.0
-            name = info.get("Stage Name", "?").split(" at ")[0]
+            name = stage_desc.get(info["Stage ID"]) or info.get("Stage Name", "?").split(" at ")[0]
             stages.append((dur, info["Stage ID"], name, info.get("Number of Tasks", 0)))
             agg = by_name[name]
             agg[0] += 1
