@@ -24,6 +24,8 @@ def pipeline_tables(spark, sf_dir):
     p = pipeline(spark, sf_dir)
     t = dict(p.tables())
     t["source_events"] = p.raw
+    # check the spine as published: the day numbers the densified mart carries
+    t["day_numbers"] = p.mart_retention_overall.select("day_number").distinct()
     return t
 
 

@@ -1,5 +1,5 @@
 """Design rules checked on the physical plan of every registered query:
-no cartesian / nested-loop joins, no Python UDF evaluation, and every
+every query scans tables, no cartesian / nested-loop joins, no Python UDF evaluation, and every
 single-partition exchange sits on a partial aggregate or a limit (so no
 unpartitioned window or global sort funnels rows into one task)."""
 
@@ -18,6 +18,8 @@ def test_plans_follow_the_scale_rules(spark):
     for name, query in E.queries().items():
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
         issues = [p for p in FORBIDDEN if p in plan]
+        if "FileScan" not in plan:          # every query reads the tables (or tables derived from them)
+            issues.append("reads no table")
         lines = plan.split("\n")
         for i, line in enumerate(lines):
             if "Exchange SinglePartition" in line:
