@@ -1,4 +1,4 @@
-"""Design rules checked on the physical plan of every registered query:
+"""Design rules checked on the physical plan of every query of the analytics registry:
 every query scans tables, no cartesian / nested-loop joins, no Python UDF evaluation, and every
 single-partition exchange sits on a partial aggregate or a limit (so no
 unpartitioned window or global sort funnels rows into one task)."""
@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-import __spark_entry__ as E
+from cohortflow.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -15,7 +15,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 
 def test_plans_follow_the_scale_rules(spark):
     bad = {}
-    for name, query in E.queries().items():
+    for name, query in QUERIES.items():
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
         issues = [p for p in FORBIDDEN if p in plan]
         if "FileScan" not in plan:          # every query reads the tables (or tables derived from them)
