@@ -12,8 +12,8 @@ from cohortflow.session import materialize
 #: The six ASCII separators that end a word; everything else belongs to one.
 SPACES = " \t\n\x0b\x0c\r"
 SPLIT = r"[\x20\x09-\x0D]+"
-#: Rows handed to one Arrow batch: bounds a task's memory when texts are long.
-ARROW_ROWS = 256
+#: Rows and bytes handed to one Arrow batch: bounds a task's memory when texts are long.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,9 +39,10 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm_{name}")
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound Arrow batches by rows, so that a batch of long texts fits a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches, so that a batch of long texts or whole files fits a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def schema(ddl: str) -> T.StructType:

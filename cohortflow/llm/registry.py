@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import host_rules, mixing, sharding
+from cohortflow.llm import chat, host_rules, mixing, sharding, simhash, warc
 from cohortflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op3_warc_dictionary": lambda spark, sf_dir: warc.query(spark, table(spark, sf_dir, "pages")),
     "op5_kd_sharding": lambda spark, sf_dir: sharding.query(table(spark, sf_dir, "documents")),
+    "op6_simhash": lambda spark, sf_dir: simhash.query(table(spark, sf_dir, "documents")),
     "op8_source_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
+    "op9_chat_parts": lambda spark, sf_dir: chat.query(spark, table(spark, sf_dir, "conversations")),
     "op10_host_rules": lambda spark, sf_dir: host_rules.query(table(spark, sf_dir, "documents")),
 }
 
 ORACLE: dict[str, str] = {
     "op8_source_mixing": mixing.SQL,
+    "op9_chat_parts": chat.SQL,
     "op10_host_rules": host_rules.SQL,
 }
