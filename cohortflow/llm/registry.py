@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import chat, host_rules, mixing, sharding, simhash, warc
+from cohortflow.llm import chat, host_rules, mixing, quality, sharding, simhash, toxicity, warc
 from cohortflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+
+def _labelled(query: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": _labelled(toxicity.query),
+    "op2_quality": _labelled(quality.query),
     "op3_warc_dictionary": lambda spark, sf_dir: warc.query(spark, table(spark, sf_dir, "pages")),
     "op5_kd_sharding": lambda spark, sf_dir: sharding.query(table(spark, sf_dir, "documents")),
     "op6_simhash": lambda spark, sf_dir: simhash.query(table(spark, sf_dir, "documents")),
