@@ -39,6 +39,18 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm_{name}")
 
 
+def packed(df: DataFrame, **keys: Column) -> DataFrame:
+    """The row as one struct ``_row`` beside the operator's own columns, so that no name can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+                     *[c.alias(name) for name, c in keys.items()])
+
+
+def unpacked(df: DataFrame, *added: str) -> DataFrame:
+    """The row's columns again, and the named new ones (an input column of such a name is replaced)."""
+    own = [f.name for f in df.schema["_row"].dataType.fields if f.name not in added]
+    return df.select(*[F.col(f"_row.`{c}`") for c in own], *added)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound Arrow batches, so that a batch of long texts or whole files fits a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land, small_batches
+from cohortflow.llm.common import land, packed, small_batches, unpacked
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Bits of the filter of item shingles (a broadcast of 2 MB, whatever the benchmark's size).
@@ -194,7 +194,8 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """The documents that contain no item; what is dropped is a thin written table."""
     bad = land(contained(docs, items, id_col, text_col).select(F.col("doc").alias("_doc"), F.col("th").alias("_th")).distinct(),
                "decon_dropped")
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_doc"]) & (F.xxhash64(docs[text_col]) == bad["_th"]), "left_anti")
+    rows = packed(docs, _id=F.col(id_col), _text_hash=F.xxhash64(F.col(text_col)))
+    return unpacked(rows.join(bad, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_th")), "left_anti"))
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ dropped positions.
 
 Defined cases: a null or empty page has no lines; pages whose url has no host are grouped as one
 host without name; a host of fewer than ``min_pages`` pages keeps all lines; repeated rows count
-as pages and are cleaned alike; an empty table gives an empty result; extra columns are kept.
+as pages and are cleaned alike; an empty table gives an empty result; extra columns are kept
+(those named like the added ones are replaced).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land
+from cohortflow.llm.common import land, packed, unpacked
 
 MAX_RATIO, MIN_PAGES = 0.3, 3
 
@@ -63,8 +64,8 @@ def boilerplate(pages: DataFrame, host: str, lines: str, max_ratio: float = MAX_
 def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, id_col: str = "page_id", max_ratio: float = MAX_RATIO,
                      min_pages: int = MIN_PAGES) -> DataFrame:
     """``pages`` with ``dedup_host``, ``dedup_text`` (kept lines), ``dedup_lines`` and ``dedup_dropped`` (counts)."""
-    split = pages.withColumn("dedup_host", host).withColumn("_lines", lines)
-    split = split.withColumn("_key", F.xxhash64(F.col(id_col).isNull(), F.col(id_col), "dedup_host", F.concat_ws("\n", "_lines")))
+    split = packed(pages, _id=F.col(id_col), dedup_host=host, _lines=lines)
+    split = split.withColumn("_key", F.xxhash64(F.col("_id").isNull(), "_id", "dedup_host", F.concat_ws("\n", "_lines")))
     thin = land(split.select("_key", "dedup_host", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_hashes")), "line_pages")
     hashed = thin.select("dedup_host", F.col("_hashes").alias("_lines"))
     drop = land(boilerplate(hashed, "dedup_host", "_lines", max_ratio, min_pages), "line_drop")
@@ -73,11 +74,11 @@ def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, id_col: str
           .groupBy(F.col("_key").alias("_page")).agg(F.collect_set("_pos").alias("_at")))
     joined = split.join(land(at, "line_positions"), F.col("_key") == F.col("_page"), "left")
     kept = F.filter("_lines", lambda x, i: ~F.coalesce(F.array_contains("_at", i), F.lit(False)))
-    return (joined.withColumn("_kept", kept)
-            .withColumn("dedup_text", F.concat_ws("\n", "_kept"))
-            .withColumn("dedup_lines", F.size("_lines").cast("long"))
-            .withColumn("dedup_dropped", (F.size("_lines") - F.size("_kept")).cast("long"))
-            .drop("_lines", "_kept", "_key", "_page", "_at"))
+    cleaned = (joined.withColumn("_kept", kept)
+               .withColumn("dedup_text", F.concat_ws("\n", "_kept"))
+               .withColumn("dedup_lines", F.size("_lines").cast("long"))
+               .withColumn("dedup_dropped", (F.size("_lines") - F.size("_kept")).cast("long")))
+    return unpacked(cleaned, "dedup_host", "dedup_text", "dedup_lines", "dedup_dropped")
 
 
 def query(pages: DataFrame) -> DataFrame:

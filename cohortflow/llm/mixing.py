@@ -9,7 +9,8 @@ fraction to the documents that come first in a seeded hash order.
 Defined cases: a null or blank text has size 0 and is taken 0 words; a null source is a
 source of its own, ordered last; a null ``doc_id`` hashes as the empty string; repeated
 rows share one hash position and are taken alike; an empty table gives an empty result;
-extra columns are kept and never read.
+extra columns are kept and never read (``mix`` replaces those
+named like the ones it adds).
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortflow.llm.common import land, word_count
+from cohortflow.llm.common import land, packed, unpacked, word_count
 
 #: Hash bins of a source: the fraction's cut is found in the sums of these bins first.
 BIN_BITS = 12
 HASH_HEX = 12  # 48 bits
+#: Columns that ``mix`` adds.
+MIX = ("mix_size", "mix_source_size", "mix_target", "mix_reps")
 
 
 def _position(id_col: Column, seed: int) -> Column:
@@ -90,30 +93,36 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total_share: f
                 .withColumn("cut", F.coalesce("cut", F.lit(-1))), "mix_plan")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5,
-        max_epochs: float = 2.0, seed: int = 42, id_col: str = "doc_id", source_col: str = "source",
-        text_col: str = "text") -> DataFrame:
-    """Every row of ``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_reps``.
+def _mixed(docs: DataFrame, weights: tuple[float, ...], total_share: float, max_epochs: float, seed: int, id_col: str,
+           source_col: str, text_col: str) -> DataFrame:
+    """Packed rows with the ``MIX`` columns.
 
     The plan has one row a source and is read from a written table, so the join is broadcast
     only when that table's size allows it; otherwise it is a sort-merge join whose hot source
     the adaptive skew join splits.
     """
     sources = plan(docs, weights, total_share, max_epochs, seed, id_col, source_col, text_col)
-    sources = sources.select(F.col("_source").alias("_mix_source"), F.col("source_size").alias("mix_source_size"),
-                             F.col("target").alias("mix_target"), F.col("whole").alias("_whole"), F.col("cut").alias("_cut"))
-    keyed = docs.withColumn("mix_size", word_count(F.col(text_col)))
-    taken = F.col("_whole") + (_position(F.col(id_col), seed) <= F.col("_cut")).cast("long")
-    return (keyed.join(sources, keyed[source_col].eqNullSafe(F.col("_mix_source")), "left")
-            .withColumn("mix_reps", F.when(F.col("mix_size") > 0, taken).otherwise(F.lit(0)).cast("long"))
-            .drop("_mix_source", "_whole", "_cut"))
-
-
-def repeat(mixed: DataFrame) -> DataFrame:
-    """The mixture itself: each row as often as the mix takes it, bookkeeping columns dropped."""
-    return (mixed.where(F.col("mix_reps") > 0)
-            .withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_reps"))))
-            .drop("_rep", "mix_size", "mix_source_size", "mix_target", "mix_reps"))
+    sources = sources.select("_source", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
+                             "whole", "cut")
+    rows = packed(docs, _of=F.col(source_col), mix_size=word_count(F.col(text_col)), _u=_position(F.col(id_col), seed))
+    taken = F.col("whole") + (F.col("_u") <= F.col("cut")).cast("long")
+    return rows.join(sources, F.col("_of").eqNullSafe(F.col("_source")), "left").withColumn(
+        "mix_reps", F.when(F.col("mix_size") > 0, taken).otherwise(F.lit(0)).cast("long"))
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5,
+        max_epochs: float = 2.0, seed: int = 42, id_col: str = "doc_id", source_col: str = "source",
+        text_col: str = "text") -> DataFrame:
+    """Every row of ``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_reps``."""
+    return unpacked(_mixed(docs, weights, total_share, max_epochs, seed, id_col, source_col, text_col), *MIX)
+
+
+def mixture(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5,
+            max_epochs: float = 2.0, seed: int = 42, id_col: str = "doc_id", source_col: str = "source",
+            text_col: str = "text") -> DataFrame:
+    """The mixture itself: each row, its columns unchanged, as often as the mix takes it."""
+    taken = _mixed(docs, weights, total_share, max_epochs, seed, id_col, source_col, text_col).where("mix_reps > 0")
+    return unpacked(taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_reps")))))
 
 
 def query(docs: DataFrame) -> DataFrame:

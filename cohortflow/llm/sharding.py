@@ -11,7 +11,8 @@ sees one row a node.
 
 Defined cases: a null text has 0 bytes and still its overhead; null metadata is a value of its
 own; null or repeated ids hash alike and keep their own slots; an empty table gives an empty
-result; extra columns are kept and never read.
+result; extra columns are kept and never read (``shard`` and
+``slot`` are replaced).
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortflow.llm.common import gapless, land, unsigned_hash
+from cohortflow.llm.common import gapless, land, packed, unpacked, unsigned_hash
 
 BIN_BITS = 12
 BINS = 1 << BIN_BITS
@@ -91,9 +92,9 @@ def _coordinates(df: DataFrame, places: list[DataFrame]) -> DataFrame:
 
 
 def keyed(docs: DataFrame, size: Column, id_col: str, lang_col: str, source_col: str) -> DataFrame:
-    df = docs.withColumn("_size", size)
-    for i, b in enumerate(_bins(lang_col, source_col, F.col("_size"))):
-        df = df.withColumn(f"_b{i}", b).withColumn(f"_t{i}", _spread(F.col(id_col), i))
+    df = packed(docs, _id=F.col(id_col), _lang=F.col(lang_col), _source=F.col(source_col), _size=size)
+    for i, b in enumerate(_bins("_lang", "_source", F.col("_size"))):
+        df = df.withColumn(f"_b{i}", b).withColumn(f"_t{i}", _spread(F.col("_id"), i))
     return df
 
 
@@ -161,9 +162,9 @@ def shard(docs: DataFrame, size: Column, shards: int = 40, id_col: str = "doc_id
     thin = land(df.select("_size", *[f"_{k}{i}" for i in dims for k in "bt"]), "kd_thin")
     tree = fit(thin, shards)
     placed = _coordinates(df, tree.places).withColumn("shard", _when(tree.leaves, lambda n: n.first).cast("int"))
-    placed = placed.drop(*[f"_{k}{i}" for i in dims for k in "btu"])
-    order = [F.col(id_col).asc_nulls_last(), F.col("_size")]
-    return gapless(placed, "shard", order, F.col(id_col), tree.rows // shards, "slot").drop("_size")
+    placed = placed.select("_row", "_id", "_size", "shard")
+    order = [F.col("_id").asc_nulls_last(), F.col("_size")]
+    return unpacked(gapless(placed, "shard", order, F.col("_id"), tree.rows // shards, "slot"), "shard", "slot")
 
 
 def query(docs: DataFrame) -> DataFrame:

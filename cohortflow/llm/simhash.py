@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.bitslice import groups
-from cohortflow.llm.common import land, small_batches
+from cohortflow.llm.common import land, packed, small_batches, unpacked
 from cohortflow.llm.components import components
 
 SEED = 42
@@ -159,11 +159,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.col("n").alias("n"))).alias("c")).select(
         F.col("c.id").alias("_chosen"), F.col("c.th").alias("_chosen_th"), F.col("c.n").alias("_copies"))
     chosen = land(chosen, "simhash_chosen")
-    kept = docs.join(chosen, docs[id_col].eqNullSafe(F.col("_chosen"))
-                     & (F.xxhash64(docs[text_col]) == F.col("_chosen_th")))
-    once = kept.where("_copies = 1").select(docs.columns)
-    copies = kept.where("_copies > 1").dropDuplicates(["_chosen", "_chosen_th"]).select(docs.columns)
-    return once.union(copies)
+    rows = packed(docs, _id=F.col(id_col), _th=F.xxhash64(F.col(text_col)))
+    kept = rows.join(chosen, F.col("_id").eqNullSafe(F.col("_chosen")) & (F.col("_th") == F.col("_chosen_th")))
+    copies = kept.where("_copies > 1").dropDuplicates(["_chosen", "_chosen_th"])
+    return unpacked(kept.where("_copies = 1").union(copies))
 
 
 def query(docs: DataFrame) -> DataFrame:

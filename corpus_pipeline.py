@@ -36,7 +36,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.repeat(mixing.mix(docs, weights=(5, 2, 1), total_share=1.5, max_epochs=2.0, seed=42))
+    return mixing.mixture(docs, weights=(5, 2, 1), total_share=1.5, max_epochs=2.0, seed=42)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
