@@ -41,11 +41,11 @@ def avg_dec4(x: Column, window: WindowSpec) -> Column:
     return to_dec4(F.when(n > 0, scaled_sum / n.cast("double") / F.lit(10000.0)))
 
 
-def agg_avg_dec4(x: Column) -> Column:
-    """Grouped average of a decimal(18,4) column, rounded to decimal(18,4)."""
+def agg_avg_exact(x: Column) -> Column:
+    """Grouped average of a decimal(18,4) column as a double: the exact scaled sum by the count."""
     scaled_sum = (F.sum(x) * F.lit(10000)).cast("bigint").cast("double")
     n = F.count(x)
-    return to_dec4(F.when(n > 0, scaled_sum / n.cast("double") / F.lit(10000.0)))
+    return F.when(n > 0, scaled_sum / n.cast("double") / F.lit(10000.0))
 
 
 def avg_double_dec4(x: Column, window: WindowSpec) -> Column:

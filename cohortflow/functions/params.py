@@ -24,10 +24,6 @@ def param_string(bag: Column | str, key: str) -> Column:
     return _first_entry(bag, key)["value"]["string_value"]
 
 
-def param_double(bag: Column | str, key: str) -> Column:
-    return _first_entry(bag, key)["value"]["double_value"]
-
-
 def param_number(bag: Column | str, key: str) -> Column:
     """A key whose value lands in the int slot for some rows and the float /
     double slots for others, folded to one DOUBLE."""

@@ -1,9 +1,10 @@
 """Report (dashboard) queries over the marts.
 
 Dashboards only ``SELECT … WHERE`` on marts; these functions are those
-selects. The default cohort is the latest one fully observed through the
-headline window (``cohort_date <= max(activity_date) - window``), evaluated as
-a scalar subquery, never collected to the driver.
+selects. The default cohort is the latest one whose whole D0..Dmax window lies
+in the data (``cohort_date <= max(activity_date) - max_day``); it is published
+as a one-row table beside the marts (``Pipeline.report_dates``) and read as a
+scalar subquery, never collected to the driver.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow import constants as C
-from cohortflow.functions.numeric import agg_avg_dec4, avg_dec4, safe_ratio
+from cohortflow.functions.numeric import agg_avg_exact, avg_dec4, safe_ratio
 
 DAY_AXIS = C.DAY_AXIS
 HEADER_RETENTION_DAYS = C.HEADER_RETENTION_DAYS
@@ -24,17 +25,9 @@ NOISE_THRESHOLDS = C.NOISE_THRESHOLDS
 COMPARISON_WEEKS = C.COMPARISON_WEEKS
 
 
-def max_full_cohort(dim: DataFrame, fct: DataFrame, window: int = HEADLINE_DAY) -> Column:
-    """Scalar: latest cohort with ``window`` days of follow-up in the data."""
-    last_activity = fct.agg(F.max("activity_date")).scalar()
-    return dim.where(F.col("cohort_date") <= F.date_sub(last_activity, window)).agg(
-        F.max("cohort_date")).scalar()
-
-
-def rpt_max_full_cohort(dim: DataFrame, fct: DataFrame, window: int = HEADLINE_DAY) -> DataFrame:
-    last = fct.agg(F.max("activity_date").alias("max_activity_date"))
-    return last.select(
-        max_full_cohort(dim, fct, window).alias("selected_cohort"), "max_activity_date")
+def max_full_cohort(report_dates: DataFrame) -> Column:
+    """Scalar: the default report cohort."""
+    return report_dates.select("selected_cohort").scalar()
 
 
 def rpt_header_retention(ret: DataFrame, cohort: Column) -> DataFrame:
@@ -53,10 +46,10 @@ def rpt_header_revenue(rev: DataFrame, cohort: Column) -> DataFrame:
 def calendar_baseline(rev: DataFrame, cohort: Column, col: str = "paying_share",
                       day: int = HEADLINE_DAY, days: int = BASELINE_DAYS) -> Column:
     """Average of ``col`` over cohorts in the ``days`` calendar days before
-    ``cohort`` (a calendar window, unlike the 28-row trailing column)."""
+    ``cohort`` (a calendar window, unlike the 28-row trailing column), unrounded."""
     return rev.where((F.col("day_number") == day) & (F.col("cohort_date") < cohort)
                      & (F.col("cohort_date") >= F.date_sub(cohort, days))).agg(
-        agg_avg_dec4(F.col(col))).scalar()
+        agg_avg_exact(F.col(col))).scalar()
 
 
 def rpt_header_pay_baseline(rev: DataFrame, cohort: Column) -> DataFrame:
@@ -110,9 +103,8 @@ def is_comparison_cohort(cohort: Column, weeks: int = COMPARISON_WEEKS) -> Colum
     return F.datediff(cohort, F.col("cohort_date")).isin(*[7 * k for k in range(weeks)])
 
 
-def rpt_cohort_series_weekly(dim: DataFrame, cohort: Column, weeks: int = COMPARISON_WEEKS) -> DataFrame:
-    cohorts = dim.groupBy("cohort_date").agg(F.count(F.lit(1)).alias("cohort_size"))
-    return cohorts.where(is_comparison_cohort(cohort, weeks))
+def rpt_cohort_series_weekly(ret: DataFrame, cohort: Column, weeks: int = COMPARISON_WEEKS) -> DataFrame:
+    return ret.where((F.col("day_number") == 0) & is_comparison_cohort(cohort, weeks)).select("cohort_date", "cohort_size")
 
 
 def rpt_cohort_curves(rev: DataFrame, cohort: Column, days: Sequence[int] = DAY_AXIS,
@@ -127,8 +119,15 @@ def week_start(c: Column) -> Column:
     return F.date_trunc("week", c).cast("date")
 
 
-def rpt_d7_weekly(ret: DataFrame, slice_cols: Sequence[str] = (), day: int = HEADLINE_DAY) -> DataFrame:
+def without_first_cohort(mart: DataFrame) -> DataFrame:
+    """Left out of averages over a period: the first cohort, whose users are all "new" by construction."""
+    return mart.where(F.col("cohort_date") > mart.agg(F.min("cohort_date")).scalar())
+
+
+def rpt_d7_weekly(ret: DataFrame, slice_cols: Sequence[str] = (), day: int = HEADLINE_DAY,
+                  left_censored: bool = True) -> DataFrame:
     """Cohort-size-weighted D7 retention per cohort week (ratio of sums)."""
+    ret = ret if left_censored else without_first_cohort(ret)
     return ret.where(F.col("day_number") == day).groupBy(
         week_start(F.col("cohort_date")).alias("week"), *slice_cols).agg(
         safe_ratio(F.sum("retained_users"), F.sum("cohort_size")).alias("ret"))
@@ -140,10 +139,17 @@ def rpt_platform_revenue_weighted(rev_by_platform: DataFrame, days: Sequence[int
         safe_ratio(F.sum("cum_paying_users"), F.sum("cohort_size")).alias("paying_share_w"))
 
 
-def latest_n_cohorts(dim: DataFrame, fct: DataFrame, n: int = 5, window: int = HEADLINE_DAY) -> DataFrame:
+def rpt_period_retention(ret: DataFrame, days: Sequence[int] = DAY_AXIS, left_censored: bool = False) -> DataFrame:
+    """Cohort-size-weighted retention of the whole period by day number, without the first cohort."""
+    ret = ret if left_censored else without_first_cohort(ret)
+    return ret.where(F.col("day_number").isin(*days)).groupBy("day_number").agg(
+        safe_ratio(F.sum("retained_users"), F.sum("cohort_size")).alias("ret"))
+
+
+def latest_n_cohorts(ret: DataFrame, report_dates: DataFrame, n: int = 5, window: int = HEADLINE_DAY) -> DataFrame:
     """Top-k report: the n latest cohorts with full ``window``-day follow-up."""
-    last_activity = fct.agg(F.max("activity_date")).scalar()
-    cohorts = dim.groupBy("cohort_date").agg(F.count(F.lit(1)).alias("cohort_size"))
+    last_activity = report_dates.select("max_activity_date").scalar()
+    cohorts = ret.where("day_number = 0").select("cohort_date", "cohort_size")
     return (cohorts.where(F.col("cohort_date") <= F.date_sub(last_activity, window))
                    .orderBy(F.col("cohort_date").desc()).limit(n))
 

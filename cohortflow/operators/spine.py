@@ -16,8 +16,3 @@ def day_number_array(max_day: int = C.MAX_DAY_NUMBER) -> Column:
     """The spine as an array literal: densifying with ``explode`` is a
     Generate on each cohort row — no join, no cross product of tables."""
     return F.sequence(F.lit(0), F.lit(max_day))
-
-
-def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
-    """1-based series 1..upper_bound."""
-    return spark.range(1, upper_bound + 1).select(F.col("id").alias("generated_number"))

@@ -31,21 +31,6 @@ def utc_date(ts_ntz):
     return ts_ntz.cast("date")
 
 
-def dedup_window():
-    return Window.partitionBy(*EVENT_KEY).orderBy(
-        F.col("event_bundle_sequence_id").asc_nulls_last(),
-        F.col("event_server_timestamp_offset").asc_nulls_last(),
-        F.col("event_value_in_usd").asc_nulls_last(),
-        F.col("event_date").asc_nulls_last(),
-    )
-
-
-def dedup_events(raw: DataFrame) -> DataFrame:
-    """Keep the winning copy per event key (row_number == 1)."""
-    return (raw.withColumn("_rn", F.row_number().over(dedup_window()))
-               .where(F.col("_rn") == 1).drop("_rn"))
-
-
 def typed_projection(deduped: DataFrame) -> DataFrame:
     """Deduplicated raw events -> the 21 staging columns, in contract order."""
     ts = ts_from_micros("event_timestamp")

@@ -6,14 +6,17 @@ directory and returns the table read back, so the check sees what landed.
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortflow.operators import quality as Q
 from cohortflow.plans import oracle
-from cohortflow.plans.registry import MAX_DAY, pipeline, register
+from cohortflow.plans.registry import MAX_DAY, pipeline, raw_path, register
 from cohortflow.session import shared_scratch_path
 from cohortflow.sources import loads as L
-from cohortflow.sources.schema import RAW_EVENTS, STAGING_COLUMNS
+from cohortflow.sources.schema import STAGING_COLUMNS
 
 
 def _sql(body: str) -> str:
@@ -25,10 +28,7 @@ _RAW_FLAT = ("user_pseudo_id", "event_timestamp", "event_name", "event_date", "p
 
 
 def _scan_raw(spark, d):
-    p = pipeline(spark, d)
-    path = shared_scratch_path(spark, "raw_events")
-    p.raw.write.mode("overwrite").parquet(path)
-    raw = L.scan_raw_events(spark, path)
+    raw = L.scan_raw_events(spark, raw_path(spark, d))
     return raw.select(*_RAW_FLAT, F.size("event_params").cast("bigint").alias("n_params"),
                       F.size("user_properties").cast("bigint").alias("n_user_properties"))
 
@@ -41,12 +41,12 @@ _SOURCE_CHECKS = [c for c in Q.pipeline_checks(MAX_DAY) if c.table == "source_ev
 
 
 def _source_contract(spark, d):
-    raw = pipeline(spark, d).raw
-    declared = {f.name: f.dataType.simpleString() for f in RAW_EVENTS.fields}
-    actual = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
-    drift = sum(1 for n, t in declared.items() if actual.get(n) != t) + sum(1 for n in actual if n not in declared)
+    """Declared checks of the source, and its columns as the files' footers have them."""
+    path = raw_path(spark, d)
+    drift = len(L.contract_drift(L.footer_schema(spark, path)))
+    raw = L.scan_raw_events(spark, path)
     checks = Q.run_checks(spark, {"source_events": raw}, _SOURCE_CHECKS)
-    schema_row = spark.range(1).select(
+    schema_row = raw.agg(F.count(F.lit(1))).select(
         F.lit("schema__source_events").alias("check_id"), F.lit("source_events").alias("table_name"),
         F.lit("schema").alias("kind"), F.lit("error").alias("severity"),
         F.lit(drift).cast("bigint").alias("n_violations"),
@@ -114,11 +114,19 @@ register("layout_partition_cluster", _sql("SELECT * FROM fct"))(
 
 
 def _backfill(spark, d):
+    """A fact table built while a fifth of the latest fortnight's users lacked their first two days (so
+    their cohorts came out later), then backfilled over that fortnight from the whole fact."""
     fct = pipeline(spark, d).fct_user_daily
     path = shared_scratch_path(spark, "fct_by_cohort")
-    L.write_table(fct, path, ["cohort_date"], ["user_pseudo_id"])
-    last = fct.agg(F.max("cohort_date")).scalar()
-    return L.backfill_range(path, fct, F.date_sub(last, 6), last)
+    last = fct.agg(F.max("cohort_date")).first()[0]
+    start = last - dt.timedelta(days=13)
+    late = (F.pmod(F.xxhash64("user_pseudo_id"), F.lit(5)) == 0) & (F.col("cohort_date") >= F.lit(start))
+    seen = F.min("activity_date").over(Window.partitionBy("user_pseudo_id"))
+    moved = (fct.where(late & (F.col("day_number") >= 2)).withColumn("cohort_date", seen)
+             .withColumn("day_number", F.datediff("activity_date", "cohort_date")))
+    L.write_table(fct.where(~late).unionByName(moved), path, ["cohort_date"], ["user_pseudo_id"])
+    L.backfill_range(path, fct, start, last)
+    return spark.read.parquet(path)
 
 
 register("backfill_range", _sql("SELECT * FROM fct"))(_backfill)
@@ -146,9 +154,9 @@ def _stream_ingest(spark, d):
     p = pipeline(spark, d)
     src = shared_scratch_path(spark, "raw_landing")
     utc_day = F.expr("CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)")
-    # range partitions on (day, ts): several landing files (several micro-batches)
-    # and a day holding a large share of the rows is split across them
-    p.raw.repartitionByRange(6, utc_day, F.col("event_timestamp")).write.mode("overwrite").parquet(src)
+    # range partitions on (day, ts): several landing files (several micro-batches), as many as the
+    # session shuffles into, and a day holding a large share of the rows is split across them
+    p.raw.repartitionByRange(utc_day, F.col("event_timestamp")).write.mode("overwrite").parquet(src)
     return ingest_available(spark, src, shared_scratch_path(spark, "stg_stream"),
                             shared_scratch_path(spark, "stream_ckpt"), max_files_per_trigger=2)
 
@@ -158,23 +166,20 @@ register("stream_ingest", _sql("SELECT * FROM stg"))(_stream_ingest)
 
 def _incremental_refresh(spark, d):
     """Initial load + rollup of the older days; a batch re-delivering three
-    loaded days and adding the rest is merged; only touched days' rollup rows
-    are recomputed; the by-platform revenue mart is derived from the result."""
-    from cohortflow.operators import daily, staging
+    loaded days and adding the rest is merged; only touched days' rollup
+    partitions are replaced; the by-platform revenue mart is derived from the result."""
+    from cohortflow.operators import staging
     from cohortflow.plans import incremental as I
-    from cohortflow.session import materialize_bucketed
     p = pipeline(spark, d)
     raw = p.raw
     utc_day = F.expr("CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)")
     cut = _cutoff(p.stg_events)
-    path = shared_scratch_path(spark, "stg_incremental")
-    base = L.load_by_day(raw.where(utc_day < cut), path)
-    rollup0 = materialize_bucketed(daily.user_day_rollup(base), "user_day_base", "user_pseudo_id")
+    path, rollup = (shared_scratch_path(spark, n) for n in ("stg_incremental", "rollup_incremental"))
+    I.write_rollup(L.load_by_day(raw.where(utc_day < cut), path), rollup)
     batch = raw.where(utc_day >= F.date_sub(cut, 3))
     stg_now = L.merge_increment(path, batch)
-    days = I.touched_days(staging.stg_events(batch))
-    rollup1 = I.persist_rollup(I.refresh_rollup(stg_now, rollup0, days))
-    return I.derived_tables(rollup1, MAX_DAY)["mart_revenue_by_platform"]
+    refreshed = I.refresh_rollup(stg_now, rollup, I.touched_days(staging.stg_events(batch)))
+    return I.derived_tables(refreshed, MAX_DAY)["mart_revenue_by_platform"]
 
 
 register("incremental_refresh", oracle.revenue_sql(("install_platform",), MAX_DAY, 28))(_incremental_refresh)

@@ -10,12 +10,14 @@ aggregation), (3) one exchange of user-day rows into user buckets. The install
 aggregate and the fact join then read bucketed files without any exchange.
 Marts work on cohort x day rows only.
 
-``persist=True`` writes staging (parquet) and the user-day rollup (bucketed
-by user) to the shared checkpoint folder (``spark.checkpoint.dir``) and
-re-reads them: lineage is cut there, an executor loss later re-reads files
-instead of re-running the dedup, every downstream table starts from a pruned
-file scan, and the bucketed rollup feeds the install aggregate and the fact
-join without any exchange.
+``persist=True`` writes staging (parquet) and the user-keyed tables (rollup,
+install, dimension and fact, bucketed by user) to the shared checkpoint folder
+(``spark.checkpoint.dir``) and re-reads them: lineage is cut there, an executor
+loss later re-reads files instead of re-running the dedup, every downstream
+table starts from a pruned file scan, and the bucketed rollup feeds the install
+aggregate and the fact join without any exchange. The fact is written once, as
+the reference's table is, and each mart and check scans it. ``close`` deletes
+the written tables.
 """
 
 from __future__ import annotations
@@ -24,13 +26,18 @@ from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortflow import constants as C
 from cohortflow.operators import daily, marts, spine, staging, users
-from cohortflow.session import materialize, materialize_bucketed
+from cohortflow.session import Scratch, path_bytes
 from cohortflow.sources.adapter import adapt_events, adapt_orders
 
 
+#: Staged bytes a bucket, and the buckets of a small table.
+BUCKET_BYTES, MIN_BUCKETS = 128 << 20, 8
+
+
 class Pipeline:
     def __init__(self, raw: DataFrame, max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS,
                  persist: bool = False, p99: float = C.OUTLIER_PERCENTILE):
@@ -40,6 +47,24 @@ class Pipeline:
         self.trailing = trailing
         self.persist = persist
         self.p99 = p99
+        self.scratch = Scratch(self.spark)
+
+    def close(self) -> None:
+        """Delete what ``persist`` has written; the pipeline's tables cannot be read afterwards."""
+        self.scratch.close()
+
+    @cached_property
+    def buckets(self) -> int:
+        """Buckets of the user-keyed tables, by the bytes of the written staging table.
+
+        All of them share one number, so that joins on the user stay bucket to bucket. A user-day
+        row folds at least one staged event, so a bucket holds ``BUCKET_BYTES`` at most on average.
+        """
+        self.stg_events  # noqa: B018 - written first
+        return max(MIN_BUCKETS, -(-path_bytes(self.spark, self.scratch.paths[0]) // BUCKET_BYTES))
+
+    def _bucketed(self, df: DataFrame, name: str) -> DataFrame:
+        return self.scratch.bucketed(df, name, "user_pseudo_id", self.buckets) if self.persist else df
 
     # -- constructors over the driver tables --------------------------------
     @classmethod
@@ -54,7 +79,7 @@ class Pipeline:
     @cached_property
     def stg_events(self) -> DataFrame:
         stg = staging.stg_events(self.raw)
-        return materialize(stg, "stg_events") if self.persist else stg
+        return self.scratch.table(stg, "stg_events") if self.persist else stg
 
     # -- user / user-day --------------------------------------------------------
     @cached_property
@@ -62,7 +87,7 @@ class Pipeline:
         r = daily.user_day_rollup(self.stg_events)
         # user-day rows: a hot user has one row per active day here, so the
         # bucketing exchange is skew-safe.
-        return materialize_bucketed(r, "user_day", "user_pseudo_id") if self.persist else r
+        return self._bucketed(r, "user_day")
 
     @cached_property
     def int_user_install(self) -> DataFrame:
@@ -70,14 +95,14 @@ class Pipeline:
         # user grain, bucketed like the rollup: the dimension, the p99 and the
         # fact join all read it without recomputing the first-event aggregate,
         # and the fact join stays a bucket-to-bucket merge join.
-        return materialize_bucketed(inst, "install", "user_pseudo_id") if self.persist else inst
+        return self._bucketed(inst, "install")
 
     @cached_property
     def dim_users(self) -> DataFrame:
         dim = users.dim_users(self.int_user_install, self.p99)
         # written once: the global p99 is evaluated a single time, and every
         # consumer (grids, checks, reports) reads the bucketed dimension
-        return materialize_bucketed(dim, "dim_users", "user_pseudo_id") if self.persist else dim
+        return self._bucketed(dim, "dim_users")
 
     @cached_property
     def int_user_daily_activity(self) -> DataFrame:
@@ -89,7 +114,7 @@ class Pipeline:
 
     @cached_property
     def fact_enriched(self) -> DataFrame:
-        return daily.fact_enriched(self.rollup, self.int_user_install)
+        return self._bucketed(daily.fact_enriched(self.rollup, self.int_user_install), "fct_enriched")
 
     @cached_property
     def fct_user_daily(self) -> DataFrame:
@@ -128,7 +153,17 @@ class Pipeline:
         """Marts are final tables (cohort x day x slice rows): written once so
         every report and check reads the small table instead of rescanning
         the user-day rollup."""
-        return materialize(df, name) if self.persist else df
+        return self.scratch.table(df, name) if self.persist else df
+
+    @cached_property
+    def report_dates(self) -> DataFrame:
+        """One row: the last activity date and the default report cohort, the latest one whose whole
+        D0..Dmax window lies in the data. Published beside the marts, so that a report reads no fact."""
+        last = self.rollup.agg(F.max("activity_date").alias("max_activity_date"))
+        cohorts = self.mart_retention_overall.where("day_number = 0").select("cohort_date")
+        full = cohorts.where(F.col("cohort_date") <= F.date_sub(last.scalar(), self.max_day))
+        row = last.select(full.agg(F.max("cohort_date")).scalar().alias("selected_cohort"), "max_activity_date")
+        return self._published(row, "report_dates")
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in (

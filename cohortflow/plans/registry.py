@@ -22,17 +22,25 @@ MAX_DAY = C.MAX_DAY_NUMBER
 TRAILING = C.TRAILING_COHORTS
 
 _PIPELINES: dict[tuple, Pipeline] = {}
+_RAW: dict[tuple, str] = {}
+
+
+def raw_path(spark: SparkSession, sf_dir: str, source: str = "events") -> str:
+    """The adapted stream, landed once as the raw parquet table."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), source)
+    if key not in _RAW:
+        path = shared_scratch_path(spark, f"raw_{source}")
+        (adapt_events if source == "events" else adapt_orders)(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _RAW[key] = path
+    return _RAW[key]
 
 
 def pipeline(spark: SparkSession, sf_dir: str, source: str = "events") -> Pipeline:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), source)
     pipe = _PIPELINES.get(key)
     if pipe is None:
-        # The adapted stream is landed once as the raw parquet table and read
-        # back with the declared contract schema, as production reads its source.
-        adapt = adapt_events if source == "events" else adapt_orders
-        path = shared_scratch_path(spark, f"raw_{source}")
-        adapt(spark, sf_dir).write.mode("overwrite").parquet(path)
+        # read back with the declared contract schema, as production reads its source
+        path = raw_path(spark, sf_dir, source)
         pipe = Pipeline(scan_raw_events(spark, path), max_day=MAX_DAY, trailing=TRAILING, persist=True)
         _PIPELINES[key] = pipe
     return pipe

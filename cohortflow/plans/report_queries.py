@@ -19,18 +19,18 @@ def _sql(body: str, source: str = "events") -> str:
     prefix = sql_prefix() if source == "events" else oracle.with_marts(MAX_DAY, TRAILING, source)
     return prefix + f""",
 sel AS (SELECT max(cohort_date) AS selected FROM dim
-        WHERE cohort_date <= (SELECT max(activity_date) FROM fct) - {W})
+        WHERE cohort_date <= (SELECT max(activity_date) FROM fct) - {MAX_DAY})
 {body}"""
 
 
 def _ctx(spark, sf_dir):
     p = pipeline(spark, sf_dir)
-    return p, R.max_full_cohort(p.dim_users, p.fct_user_daily)
+    return p, R.max_full_cohort(p.report_dates)
 
 
 register("rpt_max_full_cohort", _sql(
     f"SELECT {SEL} AS selected_cohort, max(activity_date) AS max_activity_date FROM fct"))(
-    lambda spark, d: (lambda p: R.rpt_max_full_cohort(p.dim_users, p.fct_user_daily))(pipeline(spark, d)))
+    lambda spark, d: pipeline(spark, d).report_dates)
 
 register("rpt_header_retention", _sql(
     f"""SELECT day_number, retention_pct, CAST(retention_pct_trailing_4w_avg AS DOUBLE) AS baseline
@@ -43,7 +43,7 @@ register("rpt_header_revenue", _sql(
 FROM mart_revenue_overall WHERE cohort_date = {SEL} AND day_number = {W}"""))(
     lambda spark, d: (lambda p, c: R.rpt_header_revenue(p.mart_revenue_overall, c))(*_ctx(spark, d)))
 
-_PAY_BASELINE = (f"(SELECT CAST(avg(paying_share) AS DECIMAL(18, 4)) FROM mart_revenue_overall "
+_PAY_BASELINE = (f"(SELECT CAST(avg(paying_share) AS DOUBLE) FROM mart_revenue_overall "
                  f"WHERE day_number = {W} AND cohort_date < {SEL} AND cohort_date >= {SEL} - {R.BASELINE_DAYS})")
 
 register("rpt_header_pay_baseline", _sql(f"SELECT {_PAY_BASELINE} AS paying_share_baseline"))(
@@ -93,7 +93,7 @@ _WEEKS = ", ".join(str(7 * k) for k in range(R.COMPARISON_WEEKS))
 register("rpt_cohort_series_weekly", _sql(
     f"""SELECT cohort_date, count(*) AS cohort_size FROM dim
 WHERE CAST({SEL} - cohort_date AS INTEGER) IN ({_WEEKS}) GROUP BY cohort_date"""))(
-    lambda spark, d: (lambda p, c: R.rpt_cohort_series_weekly(p.dim_users, c))(*_ctx(spark, d)))
+    lambda spark, d: (lambda p, c: R.rpt_cohort_series_weekly(p.mart_retention_overall, c))(*_ctx(spark, d)))
 
 register("rpt_cohort_curves", _sql(
     f"""SELECT cohort_date, day_number, CAST(cum_arpu AS DOUBLE) AS cum_arpu,
@@ -114,6 +114,18 @@ register("rpt_d7_weekly_by_platform", _sql(
 FROM mart_retention_by_platform WHERE day_number = {W} GROUP BY 1, 2"""))(
     lambda spark, d: R.rpt_d7_weekly(pipeline(spark, d).mart_retention_by_platform, ["install_platform"]))
 
+_FIRST = "(SELECT min(cohort_date) FROM dim)"
+register("rpt_d7_weekly_without_first_cohort", _sql(
+    f"""SELECT CAST(date_trunc('week', cohort_date) AS DATE) AS week,
+       CAST(sum(retained_users) AS DOUBLE) / nullif(CAST(sum(cohort_size) AS DOUBLE), 0) AS ret
+FROM mart_retention_overall WHERE day_number = {W} AND cohort_date <> {_FIRST} GROUP BY 1"""))(
+    lambda spark, d: R.rpt_d7_weekly(pipeline(spark, d).mart_retention_overall, left_censored=False))
+
+register("rpt_period_retention", _sql(
+    f"""SELECT day_number, CAST(sum(retained_users) AS DOUBLE) / nullif(CAST(sum(cohort_size) AS DOUBLE), 0) AS ret
+FROM mart_retention_overall WHERE day_number IN ({AXIS}) AND cohort_date <> {_FIRST} GROUP BY 1"""))(
+    lambda spark, d: R.rpt_period_retention(pipeline(spark, d).mart_retention_overall))
+
 register("rpt_platform_revenue_weighted", _sql(
     f"""SELECT install_platform, day_number,
        CAST(sum(cum_revenue) AS DOUBLE) / nullif(CAST(sum(cohort_size) AS DOUBLE), 0) AS cum_arpu_w,
@@ -125,7 +137,7 @@ register("latest_n_cohorts", _sql(
     f"""SELECT cohort_date, count(*) AS cohort_size FROM dim
 WHERE cohort_date <= (SELECT max(activity_date) FROM fct) - {W}
 GROUP BY cohort_date ORDER BY cohort_date DESC LIMIT 5"""))(
-    lambda spark, d: (lambda p: R.latest_n_cohorts(p.dim_users, p.fct_user_daily))(pipeline(spark, d)))
+    lambda spark, d: (lambda p: R.latest_n_cohorts(p.mart_retention_overall, p.report_dates))(pipeline(spark, d)))
 
 _TOP5 = """top5 AS (
     SELECT install_country FROM (SELECT install_country, count(*) AS n FROM dim

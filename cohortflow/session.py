@@ -59,6 +59,78 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on; a missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path`` (a listing, no job)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the finished folder ``staged`` in the place of ``path``.
+
+    The old folder is renamed first and deleted last, so a failure on the way leaves either the
+    old or the new table whole under one of the two names.
+    """
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    new, here, old = jvm_path(staged), jvm_path(path), jvm_path(f"{path.rstrip('/')}__replaced-{uuid.uuid4().hex[:8]}")
+    fs = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(here)
+    if had and not fs.rename(here, old):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, here):
+        if had:
+            fs.rename(old, here)
+        raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+class Scratch:
+    """Written intermediates of one run; ``close`` deletes them and their catalog entries."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.tables = spark, [], []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+        """Write ``df`` bucketed by ``key`` and read it back.
+
+        The re-read scan reports HashPartitioning(key), so every later aggregate or join on
+        ``key`` runs without another exchange (co-located buckets). The hash matches
+        ``repartition(n, key)``, so each task writes one file per bucket it owns.
+        """
+        path, table = shared_scratch_path(self.spark, name), f"cohortflow_{name}_{uuid.uuid4().hex[:12]}"
+        self.paths.append(path)
+        self.tables.append(table)
+        (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+           .option("path", path).format("parquet").saveAsTable(table))
+        return self.spark.table(table)
+
+    def close(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for path in self.paths:
+            remove_path(self.spark, path)
+        self.paths, self.tables = [], []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
 def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 
@@ -69,19 +141,3 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     path = shared_scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
-
-
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
-    """Write ``df`` bucketed by ``key`` into the shared folder and read it back.
-
-    The re-read scan reports HashPartitioning(key), so every later aggregate or
-    join on ``key`` runs without another exchange (co-located buckets). The
-    hash matches ``repartition(n, key)``, so each task writes one file per
-    bucket it owns.
-    """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"cohortflow_{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
-       .option("path", shared_scratch_path(spark, name)).format("parquet").saveAsTable(table))
-    return spark.table(table)

@@ -1,8 +1,10 @@
 """Load patterns: scans, full-refresh and partitioned writes, incremental merge,
 backfill, freshness and schema-drift checks. Parquet only.
 
-Partitioned writes use dynamic partition overwrite, so a job replaces exactly
-the partitions present in its output — re-running it is idempotent. Writes go
+A full refresh is written beside the table and swapped in, so a partition that
+vanished from the output vanishes from the table, and a failed job leaves the old
+table. A refresh of some partitions names them: those written are replaced, those
+named but empty are removed. Re-running either is idempotent. Writes go
 through a ``REBALANCE`` on the partition column: AQE splits an oversized day
 (skew) and coalesces tiny ones, so file sizes stay even without a driver loop
 over days.
@@ -10,37 +12,100 @@ over days.
 
 from __future__ import annotations
 
+import bisect
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow.operators import staging
+from cohortflow.session import Scratch, remove_path, swap_in
 from cohortflow.sources.schema import RAW_EVENTS, STAGING_COLUMNS
 
 
+class SchemaDriftError(RuntimeError):
+    pass
+
+
 def scan_raw_events(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan with the declared contract schema (no inference)."""
     return spark.read.schema(RAW_EVENTS).parquet(path)
 
 
+def contract_drift(actual: T.StructType, expected: T.StructType = RAW_EVENTS) -> list[tuple[str, str]]:
+    """Columns of a source that break its contract: (name, missing / unexpected / type_changed).
+
+    ``actual`` is the schema in the files' footers; a scan with the declared schema would turn a
+    missing column into NULLs and drop an extra one without a word.
+    """
+    have = {f.name: f.dataType.simpleString() for f in actual.fields}
+    want = {f.name: f.dataType.simpleString() for f in expected.fields}
+    out = [(n, "missing" if n not in have else "type_changed") for n, t in want.items() if have.get(n) != t]
+    return out + [(n, "unexpected") for n in have if n not in want]
+
+
+def footer_schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
+
+
+def require_contract(spark: SparkSession, path: str, expected: T.StructType = RAW_EVENTS) -> None:
+    """Stop a load whose source does not have exactly the contract's columns."""
+    drift = contract_drift(footer_schema(spark, path), expected)
+    if drift:
+        raise SchemaDriftError(f"{path}: " + ", ".join(f"{n} {what}" for n, what in drift))
+
+
 def load_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                cluster_by: Sequence[str] = (), mode: str = "overwrite") -> DataFrame:
-    """Write ``df`` (optionally partitioned / clustered) and return the table."""
-    out = df
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+def _writer(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]):
+    out = df.hint("rebalance", *partition_by) if partition_by else df
     if cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return out.write.partitionBy(*partition_by) if partition_by else out.write
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                cluster_by: Sequence[str] = (), mode: str = "overwrite") -> DataFrame:
+    """Full refresh (or append) of a table, optionally partitioned / clustered; returns the table."""
+    spark = df.sparkSession
+    if mode == "append":
+        _writer(df, partition_by, cluster_by).mode("append").parquet(path)
+    else:
+        staged = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex[:8]}"
+        _writer(df, partition_by, cluster_by).mode(mode).parquet(staged)
+        swap_in(spark, staged, path)
+    return spark.read.parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, part_col: str, parts: Sequence, cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Make the partitions ``parts`` of a table hold exactly the rows of ``df``.
+
+    ``df`` must not read from ``path``. A listed partition without rows is removed; others stay.
+    """
+    spark = df.sparkSession
+    _writer(df, [part_col], cluster_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    filled = {r[0] for r in df.select(part_col).distinct().collect()}
+    for part in parts:
+        if part not in filled and part is not None:
+            remove_path(spark, f"{path.rstrip('/')}/{part_col}={part}")
+    return spark.read.parquet(path)
+
+
+def in_parts(col: str, parts: Sequence) -> Column:
+    """A literal list of partition values: the planner prunes files by it, whatever the join strategy."""
+    some = [p for p in parts if p is not None]
+    cond = F.col(col).isin(some) if some else F.lit(False)
+    return cond | F.col(col).isNull() if len(some) < len(parts) else cond
+
+
+def distinct_days(df: DataFrame, col: str) -> list:
+    """Distinct days of a batch: one value a calendar day, however many rows."""
+    return sorted((r[0] for r in df.select(col).distinct().collect()), key=lambda d: (d is not None, d))
 
 
 def view_layer(df: DataFrame, name: str) -> DataFrame:
@@ -61,48 +126,78 @@ def load_by_day(raw: DataFrame, path: str, day_col: str = "event_date_utc") -> D
 def merge_increment(stg_path: str, new_raw: DataFrame, day_col: str = "event_date_utc") -> DataFrame:
     """Upsert a batch of raw events into the day-partitioned staging table.
 
-    The batch is staged, then unioned with the existing rows of the days it
-    touches only (partition pruning through a semi join on the touched days),
-    re-deduplicated on the event key with the staging tie-breaks, and written
-    back with dynamic partition overwrite. Late rows and re-delivered
-    duplicates both land correctly; applying the same batch twice equals once.
+    The batch is staged and written once. Its days go into the scan of the table as literals, so
+    only their partitions are read; the union is deduplicated on the event key with the staging
+    tie-breaks and replaces those partitions. Late rows and re-delivered duplicates both land
+    correctly; applying the same batch twice equals once. The scratch tables are deleted.
     """
     spark = new_raw.sparkSession
-    incoming = staging.stg_events(new_raw)
     existing = read_if_exists(spark, stg_path)
     if existing is None:
         return load_by_day(new_raw, stg_path, day_col)
-    touched = incoming.select(day_col).distinct()
-    kept = existing.join(touched, day_col, "left_semi")
     cols = [n for n, _ in STAGING_COLUMNS]
-    both = kept.select(*cols).unionByName(incoming.select(*cols))
-    merged = staging.dedup_staged(both)
-    # materialize before overwriting the partitions this plan reads from
-    from cohortflow.session import materialize
-    staged = materialize(merged, "merge_batch")
-    write_table(staged, stg_path, [day_col], ["user_pseudo_id"])
-    return spark.read.parquet(stg_path)
+    with Scratch(spark) as scratch:
+        incoming = scratch.table(staging.stg_events(new_raw).select(*cols), "merge_batch")
+        days = distinct_days(incoming, day_col)
+        kept = existing.where(in_parts(day_col, days)).select(*cols)
+        merged = scratch.table(staging.dedup_staged(kept.unionByName(incoming)), "merge_result")
+        return replace_partitions(merged, stg_path, day_col, days, ["user_pseudo_id"])
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
+    """The table, or None where the path does not exist; every other error is raised."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
-def backfill_range(table_path: str, rebuilt: DataFrame, start: Column, end: Column,
-                   part_col: str = "cohort_date") -> DataFrame:
-    """Rebuild the ``part_col`` partitions in [start, end] from ``rebuilt``.
-
-    Only those partitions are overwritten (dynamic mode); re-running the same
-    range is idempotent. Callers refreshing marts must also refresh the
-    trailing-window rows of the 28 cohorts after ``end``.
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _moved_cohorts(table: DataFrame, rebuilt: DataFrame, inside: Column, part_col: str, user_col: str) -> list:
+    """Cohorts outside the range that hold, in either version, a user who is inside it in the other."""
+    users = table.where(inside).select(user_col).union(rebuilt.where(inside).select(user_col)).distinct()
+    outside = [df.where(~inside).select(user_col, part_col).distinct().join(users, user_col, "left_semi").select(part_col)
+               for df in (table, rebuilt)]
+    return distinct_days(outside[0].union(outside[1]), part_col)
+
+
+def following(cohorts: Sequence, changed: Sequence, n: int) -> list:
+    """The next ``n`` cohorts after each changed one (their trailing windows look back at it)."""
+    ordered, hit = sorted(cohorts), set()
+    for c in changed:
+        at = bisect.bisect_right(ordered, c)
+        hit.update(ordered[at:at + n])
+    return sorted(hit)
+
+
+def backfill_range(table_path: str, rebuilt: DataFrame, start, end, part_col: str = "cohort_date",
+                   user_col: str | None = "user_pseudo_id", trailing: int = 0,
+                   also: Sequence = ()) -> list:
+    """Make the table equal ``rebuilt`` for the cohorts in [start, end]; returns the cohorts replaced.
+
+    A cohort of the range that has become empty is removed. Users who moved across the range's
+    border change other cohorts too: with ``user_col``, those are replaced as well. A table of
+    trailing averages (a mart) has no users: give it the fact's replaced cohorts in ``also`` and
+    the number of cohorts its window looks back in ``trailing``, and the cohorts that follow each
+    changed one are replaced too. Running it twice equals once.
     """
-    part = rebuilt.where(F.col(part_col).between(start, end))
-    write_table(part, table_path, [part_col], ["user_pseudo_id"])
-    return rebuilt.sparkSession.read.parquet(table_path)
+    spark = rebuilt.sparkSession
+    table = spark.read.parquet(table_path)
+    inside = F.col(part_col).between(F.lit(start), F.lit(end))
+    changed = set(also)
+    for df in (table, rebuilt):
+        changed.update(distinct_days(df.where(inside), part_col))
+    if user_col:
+        changed.update(_moved_cohorts(table, rebuilt, inside, part_col, user_col))
+    if trailing:
+        known = set(distinct_days(table, part_col)) | set(distinct_days(rebuilt, part_col))
+        changed.update(following(known, changed, trailing))
+    cohorts = sorted(changed)
+    with Scratch(spark) as scratch:
+        rows = scratch.table(rebuilt.where(in_parts(part_col, cohorts)), "backfill")
+        replace_partitions(rows, table_path, part_col, cohorts, [user_col] if user_col else [])
+    return cohorts
 
 
 def freshness(df: DataFrame, ts_col: str, as_of: Column, warn_after_hours: float = 24.0,
@@ -110,7 +205,7 @@ def freshness(df: DataFrame, ts_col: str, as_of: Column, warn_after_hours: float
     """Age of the newest row against ``as_of``: pass / warn / error."""
     newest = F.max(ts_col)
     age = F.timestamp_diff("MICROSECOND", newest, as_of).cast("double") / F.lit(3.6e9)
-    status = F.when(age > F.lit(error_after_hours or float("inf")), F.lit("error")) \
+    status = F.when(age > F.lit(float("inf") if error_after_hours is None else error_after_hours), F.lit("error")) \
               .when(age > F.lit(warn_after_hours), F.lit("warn")).otherwise(F.lit("pass"))
     return df.agg(F.max(ts_col).alias("max_loaded_at"), age.alias("age_hours"), status.alias("status"))
 

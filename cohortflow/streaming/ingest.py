@@ -5,32 +5,24 @@ which applies ``merge_increment`` — the batch dedup decides which copy of an
 event survives, across batches and against rows already staged. The stream's
 checkpoint gives exactly-once batch ids; the merge itself is idempotent, so a
 replayed batch after a failure leaves the table unchanged.
-
-``dropDuplicatesWithinWatermark`` could pre-filter re-deliveries, but it keeps
-the *first arrived* copy, not the lowest bundle id, so it is off by default.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cohortflow.sources.loads import merge_increment
-from cohortflow.sources.schema import EVENT_KEY, RAW_EVENTS
+from cohortflow.sources.loads import merge_increment, require_contract
+from cohortflow.sources.schema import RAW_EVENTS
 
 
-def raw_event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
-                     prefilter_watermark: str | None = None) -> DataFrame:
+def raw_event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the source's files; those there at the start must have the contract's columns."""
+    require_contract(spark, source_dir)
     reader = spark.readStream.schema(RAW_EVENTS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(source_dir)
-    if prefilter_watermark:
-        stream = (stream.withColumn("_ts", F.timestamp_micros("event_timestamp"))
-                        .withWatermark("_ts", prefilter_watermark)
-                        .dropDuplicatesWithinWatermark(list(EVENT_KEY)).drop("_ts"))
-    return stream
+    return reader.parquet(source_dir)
 
 
 def start_ingest(spark: SparkSession, source_dir: str, stg_path: str, checkpoint_location: str,

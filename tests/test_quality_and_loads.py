@@ -5,6 +5,7 @@ from __future__ import annotations
 from conftest import d
 from pyspark.sql import functions as F
 
+from cohortflow.operators import daily
 from cohortflow.operators import quality as Q
 from cohortflow.plans.pipeline import Pipeline
 from cohortflow.session import shared_scratch_path
@@ -49,23 +50,18 @@ def test_merge_increment_is_idempotent_and_complete(spark):
     assert twice.exceptAll(p.stg_events.select(*twice.columns)).count() == 0
 
 
-def test_backfill_rewrites_only_the_range(spark):
-    p = Pipeline.from_events(spark, SF)
-    fct = p.fct_user_daily
-    path = shared_scratch_path(spark, "test_backfill")
-    L.write_table(fct, path, ["cohort_date"])
-    out = L.backfill_range(path, fct, F.lit(d("2024-01-05")), F.lit(d("2024-01-08")))
-    assert out.count() == fct.count()
-
-
 def test_fact_join_reads_buckets_without_exchange(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = Pipeline.from_events(spark, SF, persist=True)
-        plan = p.fct_user_daily._jdf.queryExecution().executedPlan().toString()
+        plan = daily.fact_enriched(p.rollup, p.int_user_install)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan
         join_part = plan.split("SortMergeJoin", 1)[1]
         assert "Exchange" not in join_part, plan
+        scan = p.mart_retention_overall, p.retention()._jdf.queryExecution().executedPlan().toString()
+        assert scan[1].count("fct_enriched") == 1 and "user_day" not in scan[1].replace("fct_user_day", "")
+        p.close()
+        assert not [t for t in spark.catalog.listTables() if t.name in p.scratch.tables]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -87,7 +83,7 @@ def test_build_publishes_all_tables_and_gates(spark):
     p.raw.write.parquet(raw_path)
     raw = L.scan_raw_events(spark, raw_path)
     out = shared_scratch_path(spark, "test_build")
-    res = run_build(spark, raw, out)
+    res = run_build(spark, raw_path, out)
     assert res.count() == 71 and res.where("status = 'fail'").count() == 0
     stg = spark.read.parquet(f"{out}/stg_events")
     assert stg.count() == p.stg_events.count()

@@ -34,7 +34,7 @@ def test_dedup_lowest_bundle_nulls_last(spark):
 
 def test_dedup_plans_partial_top1_before_shuffle(spark):
     raw = _raw(spark, [dict(user_pseudo_id="u", event_timestamp=1, event_name="e")])
-    plan = staging.dedup_events(raw)._jdf.queryExecution().executedPlan().toString()
+    plan = staging.stg_events(raw)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
