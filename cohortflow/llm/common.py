@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from cohortflow.session import materialize
@@ -14,6 +17,9 @@ SPACES = " \t\n\x0b\x0c\r"
 SPLIT = r"[\x20\x09-\x0D]+"
 #: Rows and bytes handed to one Arrow batch: bounds a task's memory when texts are long.
 ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+#: Bits of a hash filter (a broadcast of 2 MB, however many hashes it holds), and the tasks that
+#: build one; each gives the driver one bit array.
+FILTER_BITS, FILTER_TASKS = 24, 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,10 +63,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 def gapless(df: DataFrame, group: str, order: list[Column], block_key: Column, rows: int,
             out: str, rows_per_block: int = 50_000) -> DataFrame:
     """Number the rows of each group from 0 without gaps, never a whole group in one task.
@@ -78,3 +80,27 @@ def gapless(df: DataFrame, group: str, order: list[Column], block_key: Column, r
     return (cut.withColumn("_rank", F.row_number().over(inside) - 1)
             .join(offsets, [group, "_block"])
             .withColumn(out, F.col("_rank") + F.col("_offset")).drop("_block", "_rank", "_offset"))
+
+
+def bit_filter(hashed: DataFrame, col: str) -> np.ndarray:
+    """Bit array over the top bits of 64-bit hashes: of fixed size, from a few tasks.
+
+    It lets every listed hash pass and others as often as their bits are taken; a full one only
+    stops sparing work.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, np.bool_)
+        for batch in batches:
+            bits[np.asarray(batch.column(0)).view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
+
+    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    for row in hashed.select(col).coalesce(FILTER_TASKS).mapInArrow(run, "bits binary").collect():
+        out |= np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes the filter lets through."""
+    top = hashes.astype(np.uint64, copy=False) >> np.uint64(64 - FILTER_BITS)
+    return (bits[top >> np.uint64(3)] >> (np.uint8(7) - (top & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)

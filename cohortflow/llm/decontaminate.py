@@ -32,13 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land, packed, small_batches, unpacked
+from cohortflow.llm.common import bit_filter, land, packed, passes, small_batches, unpacked
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Bits of the filter of item shingles (a broadcast of 2 MB, whatever the benchmark's size).
-FILTER_BITS = 24
-#: Tasks that build the filter; each gives the driver one bit array.
-FILTER_TASKS = 4
 
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -111,20 +107,6 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str, size: int, thres
     return thin.mapInArrow(run, f"item {kind}, item_th long, q long, words int, sketched boolean, must long, h long, shingle string")
 
 
-def bit_filter(hashed: DataFrame) -> np.ndarray:
-    """Bit array of the hashes' top bits: one array of fixed size from each of a few tasks."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << FILTER_BITS, np.bool_)
-        for batch in batches:
-            bits[np.asarray(batch.column(0)).view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
-
-    out = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for row in hashed.select("h").coalesce(FILTER_TASKS).mapInArrow(run, "bits binary").collect():
-        out |= np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
 def hits(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray, sizes: list[int], size: int) -> DataFrame:
     """(doc, th, n, h, shingle): a document's distinct shingles that pass the filter."""
     small_batches(docs.sparkSession)
@@ -133,7 +115,6 @@ def hits(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray, sizes: l
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filt = shared.value
         for batch in batches:
             at, n, found, text_of = [], [], [], []
             for row, text in enumerate(batch.column(2)):
@@ -142,9 +123,7 @@ def hits(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray, sizes: l
                 seen = set()
                 for k in sizes:
                     h = hashes(words, k)
-                    top = h >> np.uint64(64 - FILTER_BITS)
-                    passed = (filt[top >> np.uint64(3)] >> (np.uint8(7) - (top & np.uint64(7)).astype(np.uint8))) & 1
-                    for i in np.flatnonzero(passed).tolist():
+                    for i in np.flatnonzero(passes(shared.value, h)).tolist():
                         s = " ".join(words[i:i + k])
                         if s not in seen:
                             seen.add(s)
@@ -170,7 +149,7 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
     """
     table = land(item_shingles(items, item_col, item_text_col, size, threshold), "decon_items")
     sizes = sorted(r["words"] for r in table.select("words").distinct().collect())
-    found = land(hits(docs, id_col, text_col, bit_filter(table), sizes, size).distinct(), "decon_hits")
+    found = land(hits(docs, id_col, text_col, bit_filter(table, "h"), sizes, size).distinct(), "decon_hits")
     doc, item = ["doc", "th"], ["item", "item_th"]
     sketched = table.where("sketched").select(*item, "q", "words", "must", F.col("h").alias("_h"))
     # documents too short for the item's partition hold too few shingles, whichever they are

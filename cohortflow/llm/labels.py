@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow.llm.common import bit_filter, land, passes
+
 
 def fold(id_col: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
@@ -15,13 +18,21 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, in_trainin
                   text_col: str = "text") -> DataFrame:
     """(_id, _text, _y) of the labelled rows in the training folds; null labels are no labels.
 
-    Repeated label rows of an id are averaged and rounded (a tie counts as 1), so that a join
-    does not multiply texts.
+    Repeated label rows of an id are averaged and rounded (a tie counts as 1), so that the join
+    does not multiply texts. Labels have no size bound, so texts and labels are shuffled alike at
+    any size; a filter of fixed size over the labelled ids keeps other texts out of the shuffle.
     """
-    known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & in_training)
-             .groupBy(F.col(id_col).alias("_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("_y")))
+    spark = docs.sparkSession
+    known = land(labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & in_training)
+                 .groupBy(F.col(id_col).alias("_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("_y")), "labels_known")
+    bits = spark.sparkContext.broadcast(bit_filter(known.select(F.xxhash64("_id").alias("_h")), "_h"))
+
+    @F.pandas_udf("boolean")
+    def labelled(h: pd.Series) -> pd.Series:
+        return pd.Series(passes(bits.value, h.to_numpy().view(np.uint64)))
+
     texts = docs.where(in_training).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return texts.join(known, "_id")
+    return texts.where(labelled(F.xxhash64("_id"))).join(known.hint("merge"), "_id")
 
 
 def bounded_sample(rows: DataFrame, known: int, bound: int, salt: str) -> DataFrame:
