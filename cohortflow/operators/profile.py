@@ -1,18 +1,22 @@
 """Source profiling: measurements of the raw event stream as Spark aggregates.
 
-Every profile is a (small) aggregate over the whole raw table. Exact
+Every profile is a (small) aggregate over the whole raw table, which it reads once:
+totals and shares come from the rows already grouped (one a day count, event name,
+medium or bag key). Exact
 percentiles use the distributed ``quantiles.exact_percentiles`` (histogram,
 order-preserving bins, bounded windows), never a single-task value buffer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow import constants as C
 from cohortflow.functions.params import param_int
 from cohortflow.operators.quantiles import exact_percentiles
+from cohortflow.session import materialize
+from cohortflow.sources.schema import RAW_EVENTS
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -21,6 +25,11 @@ def _utc_date(col: str = "event_timestamp") -> Column:
     return F.expr(f"CAST(timestampadd(MICROSECOND, {col}, {EPOCH_NTZ}) AS DATE)")
 
 
+def _share(n: str) -> Column:
+    """Share of a grouped row's count in the sum over all groups (a handful of grouped rows)."""
+    return F.col(n).cast("double") / F.sum(n).over(Window.partitionBy()).cast("double")
+
+
 def prof_volume(raw: DataFrame) -> DataFrame:
     return raw.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -50,23 +59,20 @@ def prof_events_per_user(raw: DataFrame) -> DataFrame:
 
 def prof_active_days(raw: DataFrame) -> DataFrame:
     days = raw.groupBy("user_pseudo_id").agg(F.count_distinct(_utc_date()).alias("active_days"))
-    total = days.agg(F.count(F.lit(1))).scalar()
     return days.groupBy("active_days").agg(F.count(F.lit(1)).alias("n_users")).select(
-        "active_days", "n_users", (F.col("n_users").cast("double") / total.cast("double")).alias("share_users"))
+        "active_days", "n_users", _share("n_users").alias("share_users"))
+
+
+def _leaves(fields, prefix: str = "") -> list[str]:
+    out = []
+    for f in fields:
+        inner = getattr(f.dataType, "fields", None)
+        out += _leaves(inner, f"{prefix}{f.name}.") if inner else [prefix + f.name]
+    return out
 
 
-NULL_COVERAGE_COLUMNS = {  # label -> raw column path
-    "event_previous_timestamp": "event_previous_timestamp",
-    "event_value_in_usd": "event_value_in_usd",
-    "event_bundle_sequence_id": "event_bundle_sequence_id",
-    "event_server_timestamp_offset": "event_server_timestamp_offset",
-    "user_id": "user_id",
-    "user_first_touch_timestamp": "user_first_touch_timestamp",
-    "device_operating_system": "device.operating_system",
-    "geo_country": "geo.country",
-    "traffic_source_medium": "traffic_source.medium",
-    "traffic_source_name": "traffic_source.name",
-}
+#: Label -> path of every column of the source, structs by their fields.
+NULL_COVERAGE_COLUMNS = {path.replace(".", "_"): path for path in _leaves(RAW_EVENTS.fields)}
 
 
 def prof_null_coverage(raw: DataFrame) -> DataFrame:
@@ -90,42 +96,49 @@ def prof_prev_ts_anomaly(raw: DataFrame) -> DataFrame:
 
 
 def prof_event_vocabulary(raw: DataFrame) -> DataFrame:
-    total = raw.agg(F.count(F.lit(1))).scalar()
     return raw.groupBy("event_name").agg(
         F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_pseudo_id").alias("n_users"),
-    ).select("event_name", "n_events", "n_users",
-             (F.col("n_events").cast("double") / total.cast("double")).alias("share_events")
-             ).orderBy(F.col("n_events").desc(), F.col("event_name"))
+    ).select("event_name", "n_events", "n_users", _share("n_events").alias("share_events")).orderBy(F.col("n_events").desc(), F.col("event_name"))
+
+
+SLOTS = ("string", "int", "float", "double")
+
+
+def _slot_counts(value: str) -> list[Column]:
+    return [F.count(F.col(f"{value}.{s}_value")).alias(f"n_{s}") for s in SLOTS]
 
 
-def _bag_key_profile(raw: DataFrame, bag: str) -> DataFrame:
-    e = raw.select(F.explode(bag).alias("p")).select(F.col("p.key").alias("key"), F.col("p.value").alias("v"))
-    slots = ["string_value", "int_value", "float_value", "double_value"]
-    agg = e.groupBy("key").agg(F.count(F.lit(1)).alias("n"),
-                               *[F.count(F.col(f"v.{s}")).alias(f"n_{s.split('_')[0]}") for s in slots])
-    kinds = sum((F.col(f"n_{s.split('_')[0]}") > 0).cast("int") for s in slots)
-    return agg.select("*", (kinds > 1).alias("is_mixed"))
+def _with_mix(keys: DataFrame) -> DataFrame:
+    """Whether a key fills several value slots, and the share of its values outside the usual one."""
+    counts = [F.col(f"n_{s}") for s in SLOTS]
+    filled = sum(counts[1:], counts[0])
+    return keys.select("*", (sum((c > 0).cast("int") for c in counts) > 1).alias("is_mixed"),
+                       (F.lit(1.0) - F.greatest(*counts).cast("double") / F.nullif(filled, F.lit(0)).cast("double")).alias("share_mixed"))
 
 
 def prof_param_keys(raw: DataFrame) -> DataFrame:
-    """Per event-param key: appearances, which value slot is filled, mixed?"""
-    return _bag_key_profile(raw, "event_params")
+    """Per event-param key: appearances, which value slots are filled, how mixed."""
+    e = raw.select(F.explode("event_params").alias("p"))
+    return _with_mix(e.groupBy(F.col("p.key").alias("key")).agg(F.count(F.lit(1)).alias("n"), *_slot_counts("p.value")))
 
 
 def prof_user_property_keys(raw: DataFrame) -> DataFrame:
+    """Per user-property key: appearances, value slots, how mixed, distinct values, users, how often the set time is there."""
     e = raw.select("user_pseudo_id", F.explode("user_properties").alias("p"))
     value = F.coalesce(F.col("p.value.string_value"), F.col("p.value.int_value").cast("string"),
                        F.col("p.value.double_value").cast("string"), F.col("p.value.float_value").cast("string"))
-    return e.groupBy(F.col("p.key").alias("key")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct(value).alias("n_distinct_values"),
-        F.count_distinct("user_pseudo_id").alias("n_users"))
+    return _with_mix(e.groupBy(F.col("p.key").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), *_slot_counts("p.value"), F.count("p.value.set_timestamp_micros").alias("n_set_timestamp"),
+        F.count_distinct(value).alias("n_distinct_values"), F.count_distinct("user_pseudo_id").alias("n_users")))
 
 
 def prof_engagement_dist(raw: DataFrame) -> DataFrame:
+    """From one histogram by value, written once; the wide bag column is read a single time."""
     eng = raw.select(param_int("event_params", C.ENGAGEMENT_KEY).alias("ms")).where(F.col("ms").isNotNull())
-    p = exact_percentiles(eng, "ms", [0.5, 0.99], ["p50", "p99"])
-    counts = eng.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ms") < 0).alias("n_negative"),
-                     F.max("ms").alias("max_ms"))
+    hist = materialize(eng.groupBy("ms").agg(F.count(F.lit(1)).alias("n")), "engagement_histogram")
+    p = exact_percentiles(hist, "ms", [0.5, 0.99], ["p50", "p99"], freq="n")
+    counts = hist.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("ms") < 0, F.col("n"))), F.lit(0)).alias("n_negative"),
+                      F.max("ms").alias("max_ms"))
     return counts.select("n", "n_negative", p.select("p50").scalar().alias("p50"),
                          p.select("p99").scalar().alias("p99"), "max_ms")
 
@@ -137,23 +150,26 @@ def prof_duplicates(raw: DataFrame) -> DataFrame:
 
 
 def prof_identity_exclusivity(raw: DataFrame) -> DataFrame:
-    def max_fanout(a: Column, b: Column) -> Column:
-        return (raw.groupBy(a.alias("_a")).agg(F.count_distinct(b).alias("_k"))
-                   .agg(F.max("_k")).scalar())
-    multi = (raw.groupBy("user_pseudo_id").agg(F.count_distinct("platform").alias("_k"))
-                .agg(F.count_if(F.col("_k") > 1)).scalar())
-    return raw.sparkSession.range(1).select(
-        multi.alias("users_on_many_platforms"),
-        max_fanout(F.col("stream_id"), F.col("platform")).alias("max_platforms_per_stream"),
-        max_fanout(F.col("platform"), F.col("stream_id")).alias("max_streams_per_platform"),
-        max_fanout(F.col("app_info.id"), F.col("platform")).alias("max_platforms_per_app"),
-        max_fanout(F.col("platform"), F.col("app_info.id")).alias("max_apps_per_platform"))
+    """How many partners a value has at most, for five pairings, in one pass.
+
+    Raw rows collapse to (user, stream, app, platform) first; each of those gives a row a pairing,
+    and the distinct partners of a value are counted.
+    """
+    combos = raw.groupBy("user_pseudo_id", "stream_id", F.col("app_info.id").alias("app_id"), "platform").agg(F.count(F.lit(1)))
+    pairs = {"users": ("user_pseudo_id", "platform"), "max_platforms_per_stream": ("stream_id", "platform"),
+             "max_streams_per_platform": ("platform", "stream_id"), "max_platforms_per_app": ("app_id", "platform"),
+             "max_apps_per_platform": ("platform", "app_id")}
+    rows = combos.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(a).alias("a"), F.col(b).alias("b"))
+                                             for k, (a, b) in pairs.items()])).alias("p")).select("p.*").distinct()
+    fan = rows.groupBy("k", "a").agg(F.count("b").alias("n"))
+    return fan.agg(F.count_if((F.col("k") == "users") & (F.col("n") > 1)).alias("users_on_many_platforms"),
+                   *[F.max(F.when(F.col("k") == k, F.col("n"))).alias(k) for k in pairs if k != "users"])
 
 
 def prof_first_touch_mismatch(raw: DataFrame) -> DataFrame:
-    data_start = raw.agg(F.min("event_timestamp")).scalar()
-    users = raw.groupBy("user_pseudo_id").agg(F.min("user_first_touch_timestamp").alias("ft"),
-                                              F.min("event_timestamp").alias("fe"))
+    users = materialize(raw.groupBy("user_pseudo_id").agg(F.min("user_first_touch_timestamp").alias("ft"),
+                                                          F.min("event_timestamp").alias("fe")), "first_touch")
+    data_start = users.agg(F.min("fe")).scalar()
     cat = (F.when(F.col("ft").isNull(), F.lit("no_first_touch"))
             .when(F.col("ft") < data_start, F.lit("before_window"))
             .when(F.col("ft") > F.col("fe"), F.lit("after_first_event"))
@@ -178,22 +194,32 @@ def prof_literal_nan(raw: DataFrame) -> DataFrame:
 
 
 def prof_traffic_mix(raw: DataFrame) -> DataFrame:
-    total = raw.agg(F.count(F.lit(1))).scalar()
     return raw.groupBy(F.col("traffic_source.source").alias("source"),
                        F.col("traffic_source.medium").alias("medium")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_pseudo_id").alias("n_users")).select(
-        "source", "medium", "n_rows", "n_users",
-        (F.col("n_rows").cast("double") / total.cast("double")).alias("share_rows"))
+        "source", "medium", "n_rows", "n_users", _share("n_rows").alias("share_rows"))
 
 
 def prof_revenue_signals(raw: DataFrame) -> DataFrame:
-    """Purchase-event payers vs lifetime-value payers, and the gap between them."""
-    event_payers = (raw.where((F.col("event_name") == C.PURCHASE_EVENT) & (F.col("event_value_in_usd") > 0))
-                       .select("user_pseudo_id").distinct())
-    ltv_payers = raw.where(F.col("user_ltv.revenue") > 0).select("user_pseudo_id").distinct()
-    gap = ltv_payers.join(event_payers, "user_pseudo_id", "left_anti")
-    return raw.sparkSession.range(1).select(
-        event_payers.agg(F.count(F.lit(1))).scalar().alias("n_event_payers"),
-        ltv_payers.agg(F.count(F.lit(1))).scalar().alias("n_ltv_payers"),
-        gap.agg(F.count(F.lit(1))).scalar().alias("n_ltv_without_purchase"),
-        raw.agg(F.count_distinct("user_ltv.currency")).scalar().alias("n_ltv_currencies"))
+    """Purchase-event payers vs lifetime-value payers, and the gap between them, in one pass:
+    rows collapse to (user, currency), which count once as a user and once as a currency."""
+    paid = (F.col("event_name") == C.PURCHASE_EVENT) & (F.col("event_value_in_usd") > 0)
+    flags = raw.groupBy("user_pseudo_id", F.col("user_ltv.currency").alias("currency")).agg(
+        F.coalesce(F.bool_or(paid), F.lit(False)).alias("paid"),
+        F.coalesce(F.bool_or(F.col("user_ltv.revenue") > 0), F.lit(False)).alias("ltv"))
+    keyed = flags.select("paid", "ltv", F.explode(F.array(
+        F.struct(F.lit("user").alias("kind"), F.col("user_pseudo_id").alias("key")),
+        F.struct(F.lit("currency").alias("kind"), F.col("currency").alias("key")))).alias("k"))
+    by_key = keyed.where(F.col("k.key").isNotNull()).groupBy("k").agg(F.bool_or("paid").alias("paid"), F.bool_or("ltv").alias("ltv"))
+    user = F.col("k.kind") == "user"
+    return by_key.agg(F.count_if(user & F.col("paid")).alias("n_event_payers"), F.count_if(user & F.col("ltv")).alias("n_ltv_payers"),
+                      F.count_if(user & F.col("ltv") & ~F.col("paid")).alias("n_ltv_without_purchase"),
+                      F.count_if(~user).alias("n_ltv_currencies"))
+
+
+def prof_ltv_by_currency(raw: DataFrame) -> DataFrame:
+    """Lifetime value by currency: rows, users, users above zero, largest value."""
+    revenue = F.col("user_ltv.revenue")
+    return raw.where(F.col("user_ltv.currency").isNotNull()).groupBy(F.col("user_ltv.currency").alias("currency")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_pseudo_id").alias("n_users"),
+        F.count_distinct(F.when(revenue > 0, F.col("user_pseudo_id"))).alias("n_payers"), F.max(revenue).alias("max_revenue"))

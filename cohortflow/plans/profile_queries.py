@@ -40,18 +40,14 @@ register("prof_active_days", _sql("""SELECT active_days, count(*) AS n_users,
 FROM (SELECT user_pseudo_id, count(DISTINCT utc_date) AS active_days FROM raw_utc GROUP BY 1) GROUP BY 1"""))(
     _raw(P.prof_active_days))
 
-_NULL_COLS = {
-    "event_previous_timestamp": "event_previous_timestamp", "event_value_in_usd": "event_value_in_usd",
-    "event_bundle_sequence_id": "event_bundle_sequence_id",
-    "event_server_timestamp_offset": "event_server_timestamp_offset", "user_id": "user_id",
-    "user_first_touch_timestamp": "user_first_touch_timestamp",
-    "device_operating_system": "device_operating_system", "geo_country": "geo_country",
-    "traffic_source_medium": "traffic_source_medium", "traffic_source_name": "traffic_source_name",
-}
-assert list(_NULL_COLS) == list(P.NULL_COVERAGE_COLUMNS)
+_NULL_COLS = ("event_date event_timestamp event_name event_params event_previous_timestamp event_value_in_usd "
+              "event_bundle_sequence_id event_server_timestamp_offset user_id user_pseudo_id user_properties "
+              "user_first_touch_timestamp user_ltv_revenue user_ltv_currency device_category device_operating_system "
+              "device_language device_mobile_brand_name geo_country geo_continent geo_city app_info_id app_info_version "
+              "traffic_source_name traffic_source_medium traffic_source_source stream_id platform").split()
 register("prof_null_coverage", _sql("\nUNION ALL\n".join(
-    f"SELECT '{label}' AS column_name, CAST(count({col}) AS DOUBLE) / count(*) AS non_null_share FROM raw_events"
-    for label, col in _NULL_COLS.items())))(_raw(P.prof_null_coverage))
+    f"SELECT '{col}' AS column_name, CAST(count({col}) AS DOUBLE) / count(*) AS non_null_share FROM raw_events"
+    for col in _NULL_COLS)))(_raw(P.prof_null_coverage))
 
 register("prof_tz_skew", _sql("""SELECT count(*) AS n_rows, count(*) FILTER (WHERE event_date <> strftime(utc_date, '%Y%m%d')) AS n_skewed,
        avg(CAST(event_date <> strftime(utc_date, '%Y%m%d') AS DOUBLE)) AS share_skewed
@@ -69,11 +65,19 @@ FROM raw_events GROUP BY event_name ORDER BY n_events DESC, event_name"""))(_raw
 register("prof_param_keys", _sql("""SELECT key, count(*) AS n, count(v.string_value) AS n_string, count(v.int_value) AS n_int,
        count(v.float_value) AS n_float, count(v.double_value) AS n_double,
        (CAST(count(v.string_value) > 0 AS INTEGER) + CAST(count(v.int_value) > 0 AS INTEGER)
-        + CAST(count(v.float_value) > 0 AS INTEGER) + CAST(count(v.double_value) > 0 AS INTEGER)) > 1 AS is_mixed
+        + CAST(count(v.float_value) > 0 AS INTEGER) + CAST(count(v.double_value) > 0 AS INTEGER)) > 1 AS is_mixed,
+       1.0::DOUBLE - greatest(count(v.string_value), count(v.int_value), count(v.float_value), count(v.double_value))::DOUBLE
+         / nullif(count(v.string_value) + count(v.int_value) + count(v.float_value) + count(v.double_value), 0) AS share_mixed
 FROM (SELECT p.key AS key, p.value AS v FROM (SELECT unnest(event_params) AS p FROM raw_events))
 GROUP BY key"""))(_raw(P.prof_param_keys))
 
-register("prof_user_property_keys", _sql("""SELECT key, count(*) AS n,
+register("prof_user_property_keys", _sql("""SELECT key, count(*) AS n, count(v.string_value) AS n_string,
+       count(v.int_value) AS n_int, count(v.float_value) AS n_float, count(v.double_value) AS n_double,
+       count(v.set_timestamp_micros) AS n_set_timestamp,
+       (CAST(count(v.string_value) > 0 AS INTEGER) + CAST(count(v.int_value) > 0 AS INTEGER)
+        + CAST(count(v.float_value) > 0 AS INTEGER) + CAST(count(v.double_value) > 0 AS INTEGER)) > 1 AS is_mixed,
+       1.0::DOUBLE - greatest(count(v.string_value), count(v.int_value), count(v.float_value), count(v.double_value))::DOUBLE
+         / nullif(count(v.string_value) + count(v.int_value) + count(v.float_value) + count(v.double_value), 0) AS share_mixed,
        count(DISTINCT coalesce(v.string_value, CAST(v.int_value AS VARCHAR))) AS n_distinct_values,
        count(DISTINCT user_pseudo_id) AS n_users
 FROM (SELECT user_pseudo_id, p.key AS key, p.value AS v
@@ -130,6 +134,11 @@ register("prof_revenue_signals", _sql("""SELECT
                          AND p.event_name = 'in_app_purchase' AND p.event_value_in_usd > 0)) AS n_ltv_without_purchase,
     (SELECT count(DISTINCT user_ltv_currency) FROM raw_events) AS n_ltv_currencies"""))(_raw(P.prof_revenue_signals))
 
+register("prof_ltv_by_currency", _sql("""SELECT user_ltv_currency AS currency, count(*) AS n_rows,
+       count(DISTINCT user_pseudo_id) AS n_users,
+       count(DISTINCT CASE WHEN user_ltv_revenue > 0 THEN user_pseudo_id END) AS n_payers, max(user_ltv_revenue) AS max_revenue
+FROM raw_events WHERE user_ltv_currency IS NOT NULL GROUP BY 1"""))(_raw(P.prof_ltv_by_currency))
+
 # agg_having: the duplicated event keys themselves (group by ... having count(*) > 1)
 register("duplicate_keys", _sql("""SELECT user_pseudo_id, event_timestamp, event_name, count(*) AS copies
 FROM raw_events GROUP BY user_pseudo_id, event_timestamp, event_name HAVING count(*) > 1"""))(

@@ -279,7 +279,12 @@ raw_events AS (
         CASE WHEN n.user_id % 3 = 0 THEN 'tablet' ELSE 'mobile' END AS device_category,
         CASE WHEN n.user_id % {NAN_OS_EVERY} = 0 THEN 'NaN'
              WHEN n.user_id % 2 = 0 THEN 'ANDROID' ELSE 'IOS' END AS device_operating_system,
+        'en-us' AS device_language,
+        CAST(NULL AS VARCHAR) AS device_mobile_brand_name,
         na.n_name AS geo_country,
+        rg.r_name AS geo_continent,
+        CAST(NULL AS VARCHAR) AS geo_city,
+        '1.0.' || (n.k % 3) AS app_info_version,
         CASE WHEN n.user_id % 2 = 0 THEN '{PLATFORM_APP["ANDROID"]}' ELSE '{PLATFORM_APP["IOS"]}' END AS app_info_id,
         CASE WHEN n.user_id % 10 = 0 THEN NULL WHEN n.user_id % 10 IN (1, 2) THEN 'organic'
              ELSE '(none)' END AS traffic_source_medium,
@@ -300,6 +305,7 @@ raw_events AS (
         CASE WHEN n.user_id % 2 = 0 THEN '{PLATFORM_STREAM["ANDROID"]}' ELSE '{PLATFORM_STREAM["IOS"]}' END AS stream_id
     FROM adapter_src n
     LEFT JOIN nation na ON na.n_nationkey = CAST(n.user_id % {NATION_COUNT} AS INTEGER)
+    LEFT JOIN region rg ON rg.r_regionkey = na.n_regionkey
 )"""
 
 
