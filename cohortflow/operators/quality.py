@@ -157,6 +157,7 @@ def pipeline_checks(max_day: int = C.MAX_DAY_NUMBER) -> list[Check]:
     rel = lambda t, col, sev="error": Check(t, "relationships", col,
                                            {"to": "dim_users", "field": "user_pseudo_id"}, sev)
     checks: list[Check] = []
+    # fixed values: columns, expressions and severities as the models declare them
     # source contract
     checks += nn("source_events", "user_pseudo_id", "event_timestamp", "event_name", "platform")
     checks.append(Check("source_events", "accepted_values", "platform", {"values": list(C.PLATFORMS)}))
@@ -213,40 +214,6 @@ def pipeline_checks(max_day: int = C.MAX_DAY_NUMBER) -> list[Check]:
     return checks
 
 
-def checks_sql(checks: Sequence[Check]) -> str:
-    """The suite as one UNION ALL of SQL counts (oracle side)."""
-    arms = []
-    for c in checks:
-        t = c.table
-        if c.kind == "not_null":
-            cond = f"{c.column} IS NULL"
-            q = f"SELECT count(*) FILTER (WHERE {cond}) FROM {t}"
-        elif c.kind == "accepted_values":
-            vals = ", ".join(f"'{v}'" for v in c.args["values"])
-            q = f"SELECT count(*) FILTER (WHERE NOT ({c.column} IN ({vals}))) FROM {t}"
-        elif c.kind == "accepted_range":
-            q = (f"SELECT count(*) FILTER (WHERE NOT ({c.column} >= {c.args['min_value']} "
-                 f"AND {c.column} <= {c.args['max_value']})) FROM {t}")
-        elif c.kind == "expression_is_true":
-            q = f"SELECT count(*) FILTER (WHERE NOT ({_expression(c.args['expr'], c.column)})) FROM {t}"
-        elif c.kind == "unique":
-            q = (f"SELECT count(*) FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL "
-                 f"GROUP BY {c.column} HAVING count(*) > 1)")
-        elif c.kind == "unique_combination":
-            cols = ", ".join(c.args["columns"])
-            q = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1)"
-        elif c.kind == "relationships":
-            q = (f"SELECT count(*) FROM {t} ch LEFT JOIN {c.args['to']} p ON ch.{c.column} = p.{c.args['field']} "
-                 f"WHERE ch.{c.column} IS NOT NULL AND p.{c.args['field']} IS NULL")
-        else:
-            raise ValueError(c.kind)
-        status = (f"CASE WHEN n = 0 THEN 'pass' WHEN '{c.severity}' = 'warn' THEN 'warn' ELSE 'fail' END")
-        arms.append(f"SELECT '{c.check_id}' AS check_id, '{c.table}' AS table_name, '{c.kind}' AS kind, "
-                    f"'{c.severity}' AS severity, CAST(n AS BIGINT) AS n_violations, {status} AS status "
-                    f"FROM ({q}) AS sub(n)")
-    return "\nUNION ALL\n".join(arms)
-
-
 # ---- singular checks: one row (n_violations, lhs, rhs); 0 violations = pass ----
 
 def _one_row(spark: SparkSession, n, lhs, rhs) -> DataFrame:
@@ -346,3 +313,18 @@ def dq_drift_metrics(stg: DataFrame, install: DataFrame, rollup_days: DataFrame)
     reinstall = install.agg(F.avg(F.col("is_reinstall").cast("double"))).scalar()
     return ev.select(one_day.alias("one_day_user_share"), "none_medium_share", "null_os_share",
                      reinstall.alias("reinstall_share"))
+
+
+def dq_drift_status(metrics: DataFrame, baseline: DataFrame, tolerance: float = 0.05) -> DataFrame:
+    """The watchers' row against a stored one of an earlier run: a row a metric, ``pass`` / ``warn``.
+
+    A watcher never fails a build. A metric that either side lacks is ``no baseline``.
+    """
+    names = metrics.columns
+    now = metrics.unpivot([], names, "metric", "value")
+    then = baseline.select(*[F.col(c).cast("double") for c in names if c in baseline.columns]).unpivot(
+        [], [c for c in names if c in baseline.columns], "metric", "baseline")
+    delta = F.col("value") - F.col("baseline")
+    status = (F.when(delta.isNull(), F.lit("no baseline")).when(F.abs(delta) > F.lit(tolerance), F.lit("warn"))
+               .otherwise(F.lit("pass")))
+    return now.join(then, "metric", "left").select("metric", "value", "baseline", delta.alias("delta"), status.alias("status"))

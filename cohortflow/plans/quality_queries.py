@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators import quality as Q
 from cohortflow.plans import oracle
+from cohortflow.plans.quality_sql import suite_sql
 from cohortflow.plans.registry import MAX_DAY, TRAILING, pipeline, register
+from cohortflow.session import shared_scratch_path
+from cohortflow.sources.loads import write_table
 
 TABLE_ALIASES = {
     "source_events": "raw_events", "stg_events": "stg", "int_user_install": "install",
@@ -31,13 +34,13 @@ def pipeline_tables(spark, sf_dir):
 
 
 CHECKS = Q.pipeline_checks(MAX_DAY)
-register("dq_suite", sql_prefix() + Q.checks_sql(CHECKS))(
+register("dq_suite", sql_prefix() + suite_sql())(
     lambda spark, sf_dir: Q.run_checks(spark, pipeline_tables(spark, sf_dir), CHECKS))
 
 for _kind in ("not_null", "unique", "unique_combination", "accepted_values", "accepted_range",
               "relationships", "expression_is_true"):
     _subset = [c for c in CHECKS if c.kind == _kind]
-    register(f"dq_{_kind}", sql_prefix() + Q.checks_sql(_subset))(
+    register(f"dq_{_kind}", sql_prefix() + suite_sql(lambda kind, table, k=_kind: kind == k))(
         (lambda sub: lambda spark, sf_dir: Q.run_checks(spark, pipeline_tables(spark, sf_dir), sub))(_subset))
 
 
@@ -116,12 +119,41 @@ FROM revenue r LEFT JOIN activity a
     lambda spark, d: (lambda p: Q.chk_revenue_days_are_activity_days(
         spark, p.int_user_daily_revenue, p.int_user_daily_activity))(pipeline(spark, d)))
 
-register("dq_drift_metrics", sql_prefix() + """SELECT
-    (SELECT avg(CAST(d = 1 AS DOUBLE)) FROM (SELECT user_pseudo_id, count(*) AS d FROM activity GROUP BY 1) u)
-        AS one_day_user_share,
+def _drift_sql(before: str = "") -> str:
+    where = lambda col: f" WHERE {col} < {before}" if before else ""
+    return f"""SELECT
+    (SELECT avg(CAST(d = 1 AS DOUBLE)) FROM (SELECT user_pseudo_id, count(*) AS d FROM activity{where("activity_date")}
+                                             GROUP BY 1) u) AS one_day_user_share,
     avg(CAST(coalesce(traffic_medium = '(none)', false) AS DOUBLE)) AS none_medium_share,
     avg(CAST(device_os IS NULL AS DOUBLE)) AS null_os_share,
-    (SELECT avg(CAST(is_reinstall AS DOUBLE)) FROM install) AS reinstall_share
-FROM stg""")(
-    lambda spark, d: (lambda p: Q.dq_drift_metrics(p.stg_events, p.int_user_install,
-                                                   p.int_user_daily_activity))(pipeline(spark, d)))
+    (SELECT avg(CAST(is_reinstall AS DOUBLE)) FROM install{where("cohort_date")}) AS reinstall_share
+FROM stg{where("event_date_utc")}"""
+
+
+def _drift(p, before=None):
+    at = lambda df, col: df if before is None else df.where(F.col(col) < before)
+    return Q.dq_drift_metrics(at(p.stg_events, "event_date_utc"), at(p.int_user_install, "cohort_date"),
+                              at(p.int_user_daily_activity, "activity_date"))
+
+
+register("dq_drift_metrics", sql_prefix() + _drift_sql())(lambda spark, d: _drift(pipeline(spark, d)))
+
+_HALF = "(SELECT max(event_date_utc) - 14 FROM stg)"
+
+
+def _drift_watch(spark, d):
+    """The baseline is stored as of a fortnight before the end, then all the data is held against it."""
+    p = pipeline(spark, d)
+    half = F.date_sub(p.stg_events.agg(F.max("event_date_utc")).scalar(), 14)
+    path = shared_scratch_path(spark, "drift_baseline")
+    write_table(_drift(p, half), path)
+    return Q.dq_drift_status(_drift(p), spark.read.parquet(path), 0.05)
+
+
+register("dq_drift_watch", sql_prefix() + f""", now AS ({_drift_sql()}),
+past AS ({_drift_sql(_HALF)}),
+n AS (UNPIVOT now ON one_day_user_share, none_medium_share, null_os_share, reinstall_share INTO NAME metric VALUE value),
+b AS (UNPIVOT past ON one_day_user_share, none_medium_share, null_os_share, reinstall_share INTO NAME metric VALUE baseline)
+SELECT metric, value, baseline, value - baseline AS delta,
+       CASE WHEN value - baseline IS NULL THEN 'no baseline' WHEN abs(value - baseline) > 0.05 THEN 'warn' ELSE 'pass' END AS status
+FROM n LEFT JOIN b USING (metric)""")(_drift_watch)
