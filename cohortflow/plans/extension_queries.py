@@ -139,6 +139,8 @@ for _kind, _parts in (("retention", oracle.retention_parts), ("revenue", oracle.
         (lambda k: lambda spark, d: _ab_mart(spark, d, k))(_kind))
 
 
-register("mart_retention_observed", oracle.retention_sql((), MAX_DAY, TRAILING).replace(
-    "\nFROM filled", ",\n       cohort_date + day_number <= (SELECT max(activity_date) FROM fct) AS is_observed\nFROM filled"))(
+_RET_BODY, _RET = oracle.retention_parts((), MAX_DAY, TRAILING)
+register("mart_retention_observed", oracle.model_ctes(MAX_DAY) + _RET_BODY + f""",
+ret AS ({_RET})
+SELECT *, cohort_date + day_number <= (SELECT max(activity_date) FROM fct) AS is_observed FROM ret""")(
     lambda spark, d: (lambda p: M.with_observed(p.mart_retention_overall, p.fct_user_daily))(pipeline(spark, d)))
