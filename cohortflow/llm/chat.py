@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land, small_batches
+from cohortflow.llm.common import land, python_tasks
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Role under the loss mask.
@@ -121,7 +121,7 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
 
     Row by row, without a shuffle. ``loss`` covers an assistant turn's content.
     """
-    small_batches(turns.sparkSession)
+    python_tasks(turns.sparkSession)
     thin = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"),
                         F.col(parts_col).cast(PART).alias("parts"))
 

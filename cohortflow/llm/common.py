@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+import cohortflow
 from cohortflow.session import materialize
 
 #: The six ASCII separators that end a word; everything else belongs to one.
@@ -57,10 +61,23 @@ def unpacked(df: DataFrame, *added: str) -> DataFrame:
     return df.select(*[F.col(f"_row.`{c}`") for c in own], *added)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches, so that a batch of long texts or whole files fits a Python worker."""
+_SHIPPED: set[str] = set()
+
+
+def python_tasks(spark: SparkSession) -> None:
+    """Prepare the session for Python tasks: bounded Arrow batches, so that a batch of long texts or
+    whole files fits a worker, and this package on the workers' path, wherever they run."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(cohortflow.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="cohortflow-")) / "cohortflow.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive.resolve()))  # Spark copies it to every executor
+        _SHIPPED.add(context.applicationId)
 
 
 def gapless(df: DataFrame, group: str, order: list[Column], block_key: Column, rows: int,
@@ -88,6 +105,8 @@ def bit_filter(hashed: DataFrame, col: str) -> np.ndarray:
     It lets every listed hash pass and others as often as their bits are taken; a full one only
     stops sparing work.
     """
+    python_tasks(hashed.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, np.bool_)
         for batch in batches:

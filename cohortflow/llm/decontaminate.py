@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import bit_filter, land, packed, passes, small_batches, unpacked
+from cohortflow.llm.common import bit_filter, land, packed, passes, python_tasks, unpacked
 
 SHINGLE, THRESHOLD = 5, 0.8
 
@@ -81,7 +81,7 @@ def sketch_size(q: int, threshold: float) -> int:
 def item_shingles(items: DataFrame, id_col: str, text_col: str, size: int, threshold: float) -> DataFrame:
     """A row a shingle: item, text hash, its number of shingles, words a shingle, whether it is in the sketch,
     and how many sketch hits a containing document must have."""
-    small_batches(items.sparkSession)
+    python_tasks(items.sparkSession)
     thin = items.select(F.col(id_col).alias("item"), F.xxhash64(F.col(text_col)).alias("item_th"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text")).dropDuplicates(["item", "item_th"])
 
@@ -109,7 +109,7 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str, size: int, thres
 
 def hits(docs: DataFrame, id_col: str, text_col: str, bits: np.ndarray, sizes: list[int], size: int) -> DataFrame:
     """(doc, th, n, h, shingle): a document's distinct shingles that pass the filter."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     thin = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.col(text_col)).alias("th"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -41,19 +41,29 @@ def bounded_sample(rows: DataFrame, known: int, bound: int, salt: str) -> DataFr
     return rows.where(F.pmod(F.xxhash64("_id", F.lit(salt)), F.lit(1 << 30)) < share)
 
 
-def logistic_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float]:
-    """Slope and offset of P(y | x) by Newton steps; targets keep off 0 and 1, so that it exists."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """Coefficients of P(y | x) by Newton steps, the offset last; ``x`` is (rows, features).
+
+    Targets keep off 0 and 1, so that the fit exists for separable rows. No feature may count
+    against the label: one whose coefficient is negative is left out and the rest fitted anew.
+    """
     weight = np.ones(len(x)) if weight is None else weight
     good, bad = weight[y].sum(), weight[~y].sum()
     goal = np.where(y, (good + 1) / (good + 2), 1 / (bad + 2))
-    a, b = 1.0, 0.0
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        d, q = weight * (p - goal), np.maximum(weight * p * (1 - p), 1e-6)
-        g = np.array([d @ x + 1e-3 * (a - 1), d.sum()])
-        h = np.array([[q @ x ** 2 + 1e-3, q @ x], [q @ x, q.sum() + 1e-3]])
-        step = np.linalg.solve(h, g)
-        a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -1, 1)
-        if abs(step).max() < 1e-6:
-            break
-    return (float(a), float(b)) if a > 0 else (1.0, 0.0)
+    used = list(range(x.shape[1]))
+    while True:
+        z = np.column_stack([x[:, used], np.ones(len(x))])
+        b = np.append(np.ones(len(used)), 0.0)
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
+            q = np.maximum(weight * p * (1 - p), 1e-6)
+            step = np.linalg.solve((z.T * q) @ z + 1e-3 * np.eye(len(b)), z.T @ (weight * (p - goal)) + 1e-3 * b)
+            b -= np.clip(step, -1, 1)
+            if abs(step).max() < 1e-6:
+                break
+        worst = int(np.argmin(b[:-1])) if used else 0
+        if not used or b[worst] >= 0:
+            out = np.zeros(x.shape[1] + 1)
+            out[used], out[-1] = b[:-1], b[-1]
+            return out
+        used.pop(worst)

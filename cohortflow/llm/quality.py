@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land, small_batches
-from cohortflow.llm.labels import bounded_sample, fold, logistic_curve, training_rows
+from cohortflow.llm.common import land, python_tasks
+from cohortflow.llm.labels import bounded_sample, fold, logistic, training_rows
 
 BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
@@ -174,7 +174,7 @@ class Model:
 
 def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit to (_id, _text, _y) rows. The driver sees tables of 2^17 rows at most, never texts."""
-    small_batches(rows.sparkSession)
+    python_tasks(rows.sparkSession)
     counts = land(class_counts(rows), "quality_counts")
     table = counts.toPandas()
     table["bucket"] = table["bucket"].astype(int)
@@ -205,7 +205,7 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         # between the plain Naive Bayes direction and the support vectors'
         w[:-1] = BETA * w[:-1] + (1 - BETA) * np.abs(w[:-1]).mean()
         model = Model(ratio, w, (1.0, 0.0))
-        a, b = logistic_curve(np.array([model.margin(r) for r in held]), signs > 0)
+        a, b = logistic(np.array([[model.margin(r)] for r in held]), signs > 0)
         some = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([some, [-1, -2]]).astype(np.int64)),
                                           pa.array(np.concatenate([w[some], [a, b]]))], ["bucket", "weight"])
@@ -228,7 +228,7 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
 def scorer(docs: DataFrame, model: Model):
     """A column function text -> score."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two arrays of fixed size
 
     @F.pandas_udf("double")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.bitslice import groups
-from cohortflow.llm.common import land, packed, small_batches, unpacked
+from cohortflow.llm.common import land, packed, python_tasks, unpacked
 from cohortflow.llm.components import components
 
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(_id, _th, fp): fp is the fingerprint as a signed long, _th a hash of the whole text."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     thin = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text"))
 

@@ -6,8 +6,8 @@
 3. The restored words and their prefixes of 4 to 7 letters are counted by label over all
    labelled training documents. Those that are toxic almost surely are kept; over a bounded
    sample, a greedy cover adds likely ones that explain toxic documents not explained yet.
-4. A text's evidence is the sum of the log-odds of the kept words it contains; a logistic curve
-   over the sample turns it into a score.
+4. A text's evidence is the log-odds of the kept words it contains, the surest one apart; a
+   logistic curve over the sample turns it into a score.
 
 Defined cases: a null or empty text has no words and scores the curve without evidence; without
 toxic labels every text scores the smoothed rate of toxic ones; repeated rows score alike; words of any length are read whole; an empty table gives an empty result; extra columns
@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land, small_batches
+from cohortflow.llm.common import land, python_tasks
 from cohortflow.llm.deobfuscate import ORDER, SIZE, Restorer, count_grams, language_model
-from cohortflow.llm.labels import bounded_sample, fold, logistic_curve, training_rows
+from cohortflow.llm.labels import bounded_sample, fold, logistic, training_rows
 
 #: Prefix lengths that stand for a word family.
 PREFIXES = (4, 5, 6, 7)
@@ -164,19 +164,25 @@ def cover(docs: list[tuple[int, list[str]]], weight: tuple[float, float]) -> dic
                         side[f].discard(i)
 
 
-def evidence(groups: set[str], kept: dict[str, float]) -> float:
-    """Sum over words of the largest log-odds among their kept features."""
-    total = 0.0
+def evidence(groups: set[str], kept: dict[str, float]) -> tuple[float, float]:
+    """The largest log-odds among a text's words, and the logarithm of one plus the others' sum.
+
+    A word counts with the surest of its kept features. The largest stands apart, so that one sure
+    word is enough and many doubtful ones in a long text are not.
+    """
+    odds = []
     for group in {" ".join(f for f in g.split(" ") if f in kept) for g in groups} - {""}:
         rate = max(kept[f] for f in group.split(" "))
-        total += max(0.0, math.log(rate / (1 - rate)))
-    return total
+        odds.append(max(0.0, math.log(rate / (1 - rate))))
+    top = max(odds, default=0.0)
+    return top, math.log1p(sum(odds) - top)
 
 
 class Model:
-    """Prices of the restoration, kept features with their rates, and the curve over the evidence."""
+    """Prices of the restoration, kept features with their rates, and the curve over the evidence
+    (a coefficient each, the offset last)."""
 
-    def __init__(self, prices: np.ndarray, kept: dict[str, float], curve: tuple[float, float]):
+    def __init__(self, prices: np.ndarray, kept: dict[str, float], curve: tuple[float, float, float]):
         self.prices, self.kept, self.curve, self._reader = prices, kept, curve, None
 
     def __getstate__(self):
@@ -185,14 +191,15 @@ class Model:
     def score(self, text: str) -> float:
         if self._reader is None:
             self._reader = Reader(self.prices, self.kept)
-        a, b = self.curve
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, a * evidence(self._reader.read(text), self.kept) + b))))
+        top, rest = evidence(self._reader.read(text), self.kept)
+        a, b, c = self.curve
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, a * top + b * rest + c))))
 
 
 def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
     """Fit to all texts of ``docs`` (characters) and the labelled (_id, _text, _y) ``rows``."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_tasks(spark)
     prices = language_model(gram_counts(docs, text_col))
     counts = land(label_counts(rows, prices), "toxic_counts")
     totals = counts.where("feature = ''").first()
@@ -204,7 +211,7 @@ def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
               .orderBy(F.desc(F.col("toxic") * F.col("toxic") / n), "feature").limit(MAX_CANDIDATES))
     candidates = {r["feature"]: (r["toxic"], r["toxic"] + r["clean"]) for r in ranked.collect()}
     if not candidates:
-        return Model(prices, {}, (1.0, min(-0.1, math.log(base / (1 - base)))))
+        return Model(prices, {}, (1.0, 0.0, min(-0.1, math.log(base / (1 - base)))))
     shared = spark.sparkContext.broadcast((prices, set(candidates)))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,16 +231,16 @@ def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
     unread = [(y, [f for g in found for f in g.split(" ")]) for y, found in some]
     rates = sure | cover([x for x in unread if sure.keys().isdisjoint(x[1])], (share[0], share[1]))
     # the curve: documents with evidence one by one, those without as two weights
-    seen = np.array([evidence(set(found), rates) for _, found in some] + [0.0, 0.0])
+    seen = np.array([evidence(set(found), rates) for _, found in some] + [(0.0, 0.0)] * 2)
     is_toxic = np.array([y == 1 for y, _ in some] + [False, True])
     n_none = {r["_y"]: r["count"] for r in sample.where(F.size("found") == 0).groupBy("_y").count().collect()}
     weight = np.array([share[y] for y, _ in some] + [n_none.get(y, 0) * share[y] + 1e-6 for y in (0, 1)])
-    return Model(prices, rates, logistic_curve(seen, is_toxic, weight))
+    return Model(prices, rates, tuple(logistic(seen, is_toxic, weight).tolist()))
 
 
 def scorer(docs: DataFrame, model: Model):
     """A column function text -> score."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 27^4 prices and MAX_CANDIDATES words at most
 
     @F.pandas_udf("double")

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land, small_batches
+from cohortflow.llm.common import land, python_tasks
 from cohortflow.session import shared_scratch_path
 
 #: Skippable frames (Zstandard format): the dictionary's, and the one that takes a line feed.
@@ -94,7 +94,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     in the join on the digest, whose hot digest the adaptive skew join splits.
     """
     spark = pages.sparkSession
-    small_batches(spark)
+    python_tasks(spark)
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(url_col), F.lit("")).alias("_url"),
                         F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("_payload"))
     dictionary = train(rows, "_payload", dict_bytes)
@@ -155,7 +155,7 @@ READ = "page_id long, payload_bytes long, payload_digest string, record_type str
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row a record, read from the archives; a response's digest and length are those of its body."""
-    small_batches(spark)
+    python_tasks(spark)
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import deobfuscate as D
 from cohortflow.llm import quality, toxicity
-from cohortflow.llm.labels import logistic_curve
+from cohortflow.llm.labels import logistic
 from tests.llm.helpers import documents, empty, prose, rows
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -118,7 +118,8 @@ def test_awkward_rows_are_scored(spark, query):
 def test_toxicity_of_held_out_and_disguised_documents(spark):
     docs, labels = corpus()
     extra = [(1000 + i, f"{prose(i, 40)} {d} {prose(i + 50, 40)}", "en", "x") for i, d in enumerate(DISGUISED)]
-    long = [(1100, prose(77, 15_000) + " idiot, " + prose(78, 3000), "en", "x"), (1101, prose(77, 15_000), "en", "x")]
+    one = [(1200 + i, f"{prose(i, 30)} {w} {prose(i + 9, 30)}", "en", "x") for i, w in enumerate(BAD)]
+    long = [*one, (1100, prose(77, 15_000) + " idiot, " + prose(78, 3000), "en", "x"), (1101, prose(77, 15_000), "en", "x")]
     out = {r["doc_id"]: r for r in toxicity.query(documents(spark, data=[*docs, *extra, *long]), labels_of(spark, labels)).collect()}
     assert all(r["held_out"] == held(i, 5, 0) for i, r in out.items())
     known = {i: t for i, _, t in labels}
@@ -126,6 +127,7 @@ def test_toxicity_of_held_out_and_disguised_documents(spark):
         tested = [r["predicted"] == y for i, r in out.items() if r["held_out"] and known.get(i) == y]
         assert sum(tested) >= 0.97 * len(tested)
     assert [d for i, d in enumerate(DISGUISED) if not out[1000 + i]["predicted"]] == []
+    assert [w for i, w in enumerate(BAD) if not out[1200 + i]["predicted"]] == []    # a single word is enough
     assert out[1100]["predicted"] == 1 and out[1101]["predicted"] == 0
 
 
@@ -174,6 +176,6 @@ def test_search_equals_listing_all_paths(restorer):
 
 
 def test_curve_orders_scores():
-    x = np.array([0.0, 1, 2, 3, 4, 5])
-    a, b = logistic_curve(x, np.array([False, False, True, False, True, True]))
-    assert a > 0 and 1 / (1 + np.exp(-(a * 5 + b))) > 0.5 > 1 / (1 + np.exp(-b))
+    x = np.array([[0.0, 5], [1, 4], [2, 5], [3, 1], [4, 1], [5, 0]])
+    a, b, c = logistic(x, np.array([False, False, True, False, True, True]))
+    assert a > 0 and b == 0 and 1 / (1 + np.exp(-(a * 5 + c))) > 0.5 > 1 / (1 + np.exp(-c))
