@@ -1,8 +1,9 @@
-"""Benchmark: build the persisted base tables, then run the headline queries.
+"""Benchmark: build the persisted tables step by step, then run the headline queries.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
-Every query is executed in full through the ``noop`` sink (no collect).
-Prints ONE JSON line.
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_SMALL_DIR (default:
+the tables at a tenth of the scale beside it, where they exist). The small scale runs first; it
+warms the JVM up and gives each query's growth. Every query is executed in full through the
+``noop`` sink (no collect). Prints ONE JSON line; ``value`` is the total at BENCH_SF_DIR.
 """
 
 from __future__ import annotations
@@ -27,33 +28,49 @@ HEADLINE = [
 ]
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", "8")
+#: Tables in build order; each is written once, so its time is its own.
+STEPS = ["stg_events", "rollup", "int_user_install", "dim_users", "fact_enriched", "mart_retention_overall",
+         "mart_retention_by_platform", "mart_revenue_overall", "mart_revenue_by_platform", "report_dates"]
+
+
+def run(spark, sf_dir: str) -> tuple[dict[str, float], dict[str, float]]:
+    """Seconds of the build steps and of the queries at one scale."""
     from cohortflow.plans import registry
-    from cohortflow.session import local_session
 
-    spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app_name="cohortflow-bench")
-    queries = registry.QUERIES
-    times: dict[str, float] = {}
+    sc, build, times = spark.sparkContext, {}, {}
+
+    def timed(into: dict[str, float], name: str, what) -> None:
+        sc.setJobDescription(f"bench:{name}")  # tags stages in the event log (tools/stages.py)
+        t = time.time()
+        what()
+        into[name] = round(time.time() - t, 3)
 
-    sc = spark.sparkContext
-    sc.setJobDescription("bench:build_base_tables")
-    t0 = time.time()
     for source in ("events", "orders"):
+        timed(build, f"{source}.raw", lambda: registry.raw_path(spark, sf_dir, source))
         p = registry.pipeline(spark, sf_dir, source)
-        p.stg_events, p.rollup  # noqa: B018 — materializes staging + bucketed rollup
-    times["build_base_tables"] = round(time.time() - t0, 3)
-
+        for step in STEPS if source == "events" else STEPS[:5]:
+            timed(build, f"{source}.{step}", lambda: getattr(p, step))
     for name in HEADLINE:
-        sc.setJobDescription(f"bench:{name}")  # tags stages in the event log (tools/stages.py)
-        t = time.time()
-        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
+        timed(times, name, lambda: registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
+    return build, times
 
-    total = round(sum(times.values()), 3)
-    m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_total_sec", "value": total, "unit": "sec", "queries": times,
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+    cpus = os.environ.get("BENCH_CPUS", "8")
+    from cohortflow.session import local_session
+
+    spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app_name="cohortflow-bench")
+    m = re.search(r"sf([0-9.]+)$", sf_dir)
+    tenth = f"{sf_dir[:m.start()]}sf{float(m.group(1)) / 10:g}" if m else ""
+    small_dir = os.environ.get("BENCH_SMALL_DIR", tenth)
+    small = run(spark, small_dir) if small_dir and os.path.isdir(small_dir) else ({}, {})
+    build, times = run(spark, sf_dir)
+    total = lambda b, q: round(sum(b.values()) + sum(q.values()), 3)
+    queries = {"build_base_tables": round(sum(build.values()), 3), **times}
+    print(json.dumps({"metric": "headline_total_sec", "value": total(build, times), "unit": "sec", "queries": queries,
+                      "build": build, "small": {"dir": small_dir, "value": total(*small), "build": small[0], "queries": small[1]},
+                      "growth": {n: round(times[n] / max(t, 1e-3), 2) for n, t in small[1].items()},
                       "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}))
 
 

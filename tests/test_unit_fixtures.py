@@ -1,4 +1,7 @@
-"""The reference's 12 unit fixtures, re-expressed against our builders."""
+"""The 12 documented unit fixtures against our builders.
+
+Fixed values: the input rows and the expected rows of each fixture must equal the documented ones.
+"""
 
 from __future__ import annotations
 
