@@ -47,14 +47,17 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def train(pages: DataFrame, payload_col: str, dict_bytes: int = DICT_BYTES, rows: int = SAMPLE_ROWS) -> bytes:
-    """Train on the heads of ``rows`` payloads taken in hash order: at most rows x 8 KB on the driver.
+def train(pages: DataFrame, id_col: str, payload_col: str, dict_bytes: int = DICT_BYTES, rows: int = SAMPLE_ROWS) -> bytes:
+    """Train on the heads of about ``rows`` payloads drawn by hash: some rows x 8 KB on the driver, at any size.
 
     Small tables cannot fill a trained dictionary; their sample itself is the (raw) content.
     """
+    full = pages.where(F.octet_length(payload_col) > 0)
+    draw = F.pmod(F.xxhash64(id_col, payload_col), F.lit(1 << 30))
+    share = min(1 << 30, (rows << 30) // max(1, full.count()))
     head = F.substring(F.col(payload_col), 1, SAMPLE_BYTES).alias("head")
-    sample = [bytes(r[0]) for r in pages.where(F.octet_length(payload_col) > 0).select(head, F.xxhash64(payload_col).alias("_h"))
-              .orderBy("_h").limit(rows).collect()]
+    drawn = full.where(draw < max(1, share)).select(draw.alias("_draw"), head).collect()
+    sample = [bytes(r["head"]) for r in sorted(drawn, key=lambda r: (r["_draw"], bytes(r["head"])))]
     try:
         return zstandard.train_dictionary(dict_bytes, sample).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -97,7 +100,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     python_tasks(spark)
     rows = pages.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(url_col), F.lit("")).alias("_url"),
                         F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("_payload"))
-    dictionary = train(rows, "_payload", dict_bytes)
+    dictionary = train(rows, "_id", "_payload", dict_bytes)
     rows = rows.withColumn("_sha", F.sha1("_payload"))
     first = (rows.where(F.octet_length("_payload") >= min_dedup_bytes).groupBy("_sha")
              .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
