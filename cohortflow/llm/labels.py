@@ -53,13 +53,22 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) ->
     used = list(range(x.shape[1]))
     while True:
         z = np.column_stack([x[:, used], np.ones(len(x))])
-        b = np.append(np.ones(len(used)), 0.0)
+        ridge = 1e-3
+
+        def loss(b: np.ndarray) -> float:
+            m = z @ b
+            return float(weight @ (np.logaddexp(0, m) - goal * m) + ridge / 2 * b @ b)
+
+        b = np.zeros(z.shape[1])
         for _ in range(100):
             p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-            q = np.maximum(weight * p * (1 - p), 1e-6)
-            step = np.linalg.solve((z.T * q) @ z + 1e-3 * np.eye(len(b)), z.T @ (weight * (p - goal)) + 1e-3 * b)
-            b -= np.clip(step, -1, 1)
-            if abs(step).max() < 1e-6:
+            q = np.maximum(weight * p * (1 - p), 1e-9)
+            step = np.linalg.solve((z.T * q) @ z + ridge * np.eye(len(b)), z.T @ (weight * (p - goal)) + ridge * b)
+            size, here = 1.0, loss(b)
+            while size > 1e-6 and loss(b - size * step) > here:
+                size /= 2
+            b = b - size * step
+            if abs(size * step).max() < 1e-6:
                 break
         worst = int(np.argmin(b[:-1])) if used else 0
         if not used or b[worst] >= 0:

@@ -176,6 +176,13 @@ def test_search_equals_listing_all_paths(restorer):
 
 
 def test_curve_orders_scores():
-    x = np.array([[0.0, 5], [1, 4], [2, 5], [3, 1], [4, 1], [5, 0]])
-    a, b, c = logistic(x, np.array([False, False, True, False, True, True]))
-    assert a > 0 and b == 0 and 1 / (1 + np.exp(-(a * 5 + c))) > 0.5 > 1 / (1 + np.exp(-c))
+    r = np.random.default_rng(5)
+    x = r.uniform(0, 5, (400, 2))
+    y = x[:, 0] > 2.5
+    a, _, c = logistic(x, y)
+    assert a > 0 and np.mean((a * x[:, 0] + c > 0) == y) > 0.95
+    a, b, _ = logistic(x, x[:, 0] - x[:, 1] > 0)         # what counts against the label is left out
+    assert a > 0 and b == 0
+    far = np.array([[0.0], [0.1], [9.0], [9.1]])         # separable rows have a fit too
+    a, c = logistic(far, far[:, 0] > 5)
+    assert 1 / (1 + np.exp(-(9 * a + c))) > 0.7 and 1 / (1 + np.exp(-c)) < 0.3
