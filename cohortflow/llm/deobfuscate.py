@@ -113,7 +113,6 @@ def viterbi(word: str, prices: np.ndarray) -> str:
 #: Single letters (or their imitations) with one or two signs or spaces between them.
 SPACED = re.compile(r"(?<![^\s.,;:!?\"'()-])[^\W_](?:[ ._*\-~·/][^\W_@$!|+]|[ ._*\-~·/][@$!|+0-9]){2,}(?![^\W_])")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_PLAIN = re.compile(r"[^\W\d_]+")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -134,7 +133,9 @@ class Restorer:
     def word(self, raw: str) -> tuple[str, ...]:
         """The restored words in one whitespace-separated piece of a lower-case text."""
         core = raw.strip(_EDGE)
-        if _PLAIN.fullmatch(core) and not _TRIPLE.search(core):
+        if core.isalpha() and not _TRIPLE.search(core):
+            if len(core) == len(raw):
+                return _with_base(core)
             # signs at an edge are disguise only where they imitate a letter and stand alone
             at = raw.find(core)
             signs = [s for s in (raw[:at][-1:], raw[at + len(core):][:1]) if s in IMITATES]
@@ -143,7 +144,7 @@ class Restorer:
             return (core, *self.span(raw.strip(".,;:?\"'")))
         if not _LETTER.search(core):
             return ()
-        if _PLAIN.fullmatch(core.replace("'", "").replace("-", "")) and not _TRIPLE.search(core):
+        if core.replace("'", "").replace("-", "").isalpha() and not _TRIPLE.search(core):
             return (core, *core.replace("'", "-").split("-"))
         return tuple(p for p in re.split(r"[^\w]+", core) if p) + self.span(core)
 

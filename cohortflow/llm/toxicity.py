@@ -60,8 +60,11 @@ class Reader:
     def _of(self, words) -> tuple[str, ...]:
         if self.wanted is None:
             return tuple({f for w in words for f in features(w)})
-        groups = {" ".join(f for f in features(w) if f in self.wanted) for w in words}
-        return tuple(groups - {""})
+        wanted = self.wanted  # most words have no wanted feature
+        words = [w for w in words if w in wanted or any(len(w) > k and w[:k] + "*" in wanted for k in PREFIXES)]
+        if not words:
+            return ()
+        return tuple({" ".join(f for f in features(w) if f in wanted) for w in words})
 
     def read(self, text: str) -> set[str]:
         text, found, memo = text.lower(), set(), self.memo
@@ -71,7 +74,8 @@ class Reader:
                 if len(memo) >= MEMO:
                     memo.clear()
                 got = memo[raw] = self._of(self.restore.word(raw))
-            found.update(got)
+            if got:
+                found.update(got)
         found.update(self._of(self.restore.spaced(text)))
         return found
 
