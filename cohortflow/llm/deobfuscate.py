@@ -28,8 +28,8 @@ IMITATES = {
 #: one, a dropped separator, a letter-like character kept as a break.
 IMITATED, REPEATED, DOUBLED, DROPPED, BREAK = 1.0, 1.0, 3.0, 0.8, 6.0
 SEPARATORS = " .-_*·~'/\\,:;"
-#: Paths kept at a time, and the longest disguise searched.
-BEAM, LONGEST = 64, 64
+#: Longer spans are read but not remembered.
+REMEMBERED = 64
 
 
 def _fold(char: str) -> int:
@@ -88,15 +88,20 @@ def _choices(char: str, length: int, inside: bool) -> list[tuple[str, float]]:
     return out
 
 
-def viterbi(word: str, prices: np.ndarray) -> str:
-    """The cheapest reading of a disguised span, words separated by spaces."""
+def search(word: str, prices: np.ndarray) -> tuple[float, str]:
+    """The cheapest reading of a disguised span of any length, words separated by spaces, and its price.
+
+    One exact pass: a state is the last three letters (27^3 at most) and no state is left out. Paths
+    are back-pointers, so that those with one past share it.
+    """
     runs = _runs(word)
-    best = {0: (0.0, "")}  # by the last three letter codes
+    best: dict[int, tuple] = {0: (0.0, None)}  # by the last three letter codes: price, (letters, those before)
     plane = SIZE ** (ORDER - 1)
     for i, (char, length) in enumerate(runs):
-        step: dict[int, tuple[float, str]] = {}
+        step: dict[int, tuple] = {}
+        choices = _choices(char, length, 0 < i < len(runs) - 1)
         for state, (price, said) in best.items():
-            for letters, channel in _choices(char, length, 0 < i < len(runs) - 1):
+            for letters, channel in choices:
                 s, p = state, price + channel
                 for x in letters:
                     code = LETTERS.find(x) + 1
@@ -104,10 +109,19 @@ def viterbi(word: str, prices: np.ndarray) -> str:
                         p += float(prices[s * SIZE + code])
                     s = (s * SIZE + code) % plane if code else 0
                 if s not in step or p < step[s][0]:
-                    step[s] = (p, said + letters)
-        best = dict(sorted(step.items(), key=lambda x: x[1][0])[:BEAM]) if len(step) > BEAM else step
+                    step[s] = (p, (letters, said) if letters else said)
+        best = step
     ends = {s: p + (float(prices[s * SIZE]) if s % SIZE else 0.0) for s, (p, _) in best.items()}
-    return best[min(ends, key=ends.get)][1]
+    last = min(ends, key=ends.get)
+    said, out = best[last][1], []
+    while said:
+        out.append(said[0])
+        said = said[1]
+    return ends[last], "".join(reversed(out))
+
+
+def viterbi(word: str, prices: np.ndarray) -> str:
+    return search(word, prices)[1]
 
 
 #: Single letters (or their imitations) with one or two signs or spaces between them.
@@ -151,11 +165,11 @@ class Restorer:
     def span(self, raw: str) -> tuple[str, ...]:
         found = self.memo.get(raw)
         if found is None:
-            if len(self.memo) >= self.bound:
-                self.memo.clear()
-            # a long span is read in pieces that a break may end; nothing is left out
-            pieces = [raw[i:i + LONGEST] for i in range(0, len(raw), LONGEST)]
-            found = self.memo[raw] = tuple(w for p in pieces for w in viterbi(p, self.prices).split())
+            found = tuple(viterbi(raw, self.prices).split())
+            if len(raw) <= REMEMBERED:
+                if len(self.memo) >= self.bound:
+                    self.memo.clear()
+                self.memo[raw] = found
         return found
 
     def spaced(self, text: str) -> list[str]:

@@ -175,6 +175,37 @@ def test_search_equals_listing_all_paths(restorer):
         assert min(sum(c for _, c in w) + price(got) for w in again if "".join(x for x, _ in w) == got) <= best + 1e-4
 
 
+def test_long_spans_are_read_in_one_pass(restorer):
+    """Words that cross any fixed cut stay whole, and several wild signs keep every path."""
+    words = ["the", "idiot", "and", "the", "moron", "are", "worthless", "scum"] * 30
+    spaced = " ".join(" ".join(w) for w in words)
+    read = restorer.spaced(spaced)
+    assert read.count("idiot") == read.count("moron") == read.count("worthless") == 30
+    dotted = ".".join("worthless" * 20)
+    assert restorer.word(dotted)[-20:] == ("worthless",) * 20
+
+
+def test_no_path_is_pruned(restorer):
+    """The optimum of a lattice with more states than any beam, by a plain pass over all of them."""
+    word, plane = "w*r*h*l*s*", D.SIZE ** (D.ORDER - 1)
+    runs = D._runs(word)
+    dense = np.full(plane, np.inf)
+    dense[0] = 0.0
+    for i, (char, length) in enumerate(runs):
+        step = np.full(plane, np.inf)
+        for state in np.flatnonzero(np.isfinite(dense)):
+            for letters, channel in D._choices(char, length, 0 < i < len(runs) - 1):
+                s, p = int(state), dense[state] + channel
+                for x in letters:
+                    c = D.LETTERS.find(x) + 1
+                    p += float(restorer.prices[s * D.SIZE + c]) if c or s % D.SIZE else 0.0
+                    s = (s * D.SIZE + c) % plane if c else 0
+                step[s] = min(step[s], p)
+        dense = step
+    best = min(p + (float(restorer.prices[s * D.SIZE]) if s % D.SIZE else 0.0) for s, p in enumerate(dense) if np.isfinite(p))
+    assert abs(D.search(word, restorer.prices)[0] - best) < 1e-3
+
+
 def test_curve_orders_scores():
     r = np.random.default_rng(5)
     x = r.uniform(0, 5, (400, 2))
