@@ -21,7 +21,7 @@ ORDER = 4
 
 # Characters and the letters they imitate.
 IMITATES = {
-    "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
+    "0": "o", "1": "il", "2": "zr", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "{": "c", "*": "aeiou", "€": "e", "£": "l",
 }
 #: Prices in nats: an imitated letter, a run of three or more cut to one or two, a double cut to
@@ -80,7 +80,7 @@ def _choices(char: str, length: int, inside: bool) -> list[tuple[str, float]]:
     if own:
         letter = LETTERS[own - 1]
         return [(letter * k, _cut(length, k)) for k in (1, 2) if k <= length]
-    out = [(" ", BREAK if char.isalnum() else 0.0)]
+    out = [(" ", BREAK if char.isalnum() or char in IMITATES else 0.0)]
     if inside and (char in SEPARATORS or not char.isalnum()):
         out.append(("", DROPPED))
     for letter in IMITATES.get(char, ""):
@@ -127,7 +127,9 @@ def viterbi(word: str, prices: np.ndarray) -> str:
 #: Single letters (or their imitations) with one or two signs or spaces between them.
 SPACED = re.compile(r"(?<![^\s.,;:!?\"'()-])[^\W_](?:[ ._*\-~·/][^\W_@$!|+]|[ ._*\-~·/][@$!|+0-9]){2,}(?![^\W_])")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+#: Signs that can only be a break at an edge: without them the lattice says the same.
+_BREAKS = "".join(c for c in _EDGE if c not in IMITATES)
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -146,21 +148,15 @@ class Restorer:
 
     def word(self, raw: str) -> tuple[str, ...]:
         """The restored words in one whitespace-separated piece of a lower-case text."""
-        core = raw.strip(_EDGE)
-        if core.isalpha() and not _TRIPLE.search(core):
-            if len(core) == len(raw):
-                return _with_base(core)
-            # signs at an edge are disguise only where they imitate a letter and stand alone
-            at = raw.find(core)
-            signs = [s for s in (raw[:at][-1:], raw[at + len(core):][:1]) if s in IMITATES]
-            if not signs or _TRIPLE_SIGN.search(raw) or raw[at + len(core):][:1] == "!" and not raw[:at]:
-                return _with_base(core)
-            return (core, *self.span(raw.strip(".,;:?\"'")))
-        if not _LETTER.search(core):
-            return ()
-        if core.replace("'", "").replace("-", "").isalpha() and not _TRIPLE.search(core):
-            return (core, *core.replace("'", "-").split("-"))
-        return tuple(p for p in re.split(r"[^\w]+", core) if p) + self.span(core)
+        core = raw.strip(_BREAKS)
+        if core.isalpha() and not _DOUBLE.search(core):
+            return _with_base(core)  # the lattice has this one path
+        plain, whole = [], core.strip(_EDGE)
+        if _LETTER.search(core):
+            plain = [p for p in re.split(r"[^\w]+", core) if p]
+            if len(plain) > 1 and whole.replace("'", "").replace("-", "").isalpha():
+                plain.append(whole)
+        return (*plain, *self.span(core), *(self.span(whole) if whole != core else ()))
 
     def span(self, raw: str) -> tuple[str, ...]:
         found = self.memo.get(raw)
@@ -175,6 +171,3 @@ class Restorer:
     def spaced(self, text: str) -> list[str]:
         """Words restored from letters that are set apart."""
         return [w for m in SPACED.finditer(text) for w in self.span(m[0]) if len(w) > 2]
-
-
-_TRIPLE_SIGN = re.compile(r"([^\w\s])\1\1")

@@ -206,6 +206,24 @@ def test_no_path_is_pruned(restorer):
     assert abs(D.search(word, restorer.prices)[0] - best) < 1e-3
 
 
+@pytest.fixture(scope="module")
+def rude():
+    counts = np.zeros(D.SIZE ** D.ORDER, np.int64)
+    for i in range(300):
+        D.count_grams(prose(i, 100) + " a stupid ass and an asshole, an idiot and a loser", counts)
+    return D.Restorer(D.language_model(counts))
+
+
+def test_every_token_has_a_lattice(rude):
+    """Doubled letters, words of imitations only, imitating signs at an edge; the plain reading stays."""
+    for disguised, word in (("stuupid", "stupid"), ("iddiott", "idiot"), ("455", "ass"), ("@$$", "ass"), ("10532", "loser"),
+                            ("$tup1d", "stupid"), ("@55hole", "asshole"), ("!d10t", "idiot"), ("(!d!ot)", "idiot"), ("455.", "ass")):
+        assert word in rude.word(disguised), (disguised, rude.word(disguised))
+    for plain in ("stuupid", "iddiott", "asshole"):
+        assert rude.word(plain)[0] == plain
+    assert rude.word("idiot!")[0] == "idiot" and rude.word("!!!") == ()
+
+
 def test_curve_orders_scores():
     r = np.random.default_rng(5)
     x = r.uniform(0, 5, (400, 2))
