@@ -88,18 +88,19 @@ def _choices(char: str, length: int, inside: bool) -> list[tuple[str, float]]:
     return out
 
 
-def search(word: str, prices: np.ndarray) -> tuple[float, str]:
-    """The cheapest reading of a disguised span of any length, words separated by spaces, and its price.
+PLANE = SIZE ** (ORDER - 1)
+
+
+def _walk(text: str, prices: np.ndarray, best: dict[int, tuple], first: bool = True, last: bool = True) -> dict[int, tuple]:
+    """The cheapest paths through a text's lattice, by the last three letter codes: price, (letters, those before).
 
-    One exact pass: a state is the last three letters (27^3 at most) and no state is left out. Paths
-    are back-pointers, so that those with one past share it.
+    Exact: 27^3 states at most, and none is left out. Paths are back-pointers, so that those with
+    one past share it.
     """
-    runs = _runs(word)
-    best: dict[int, tuple] = {0: (0.0, None)}  # by the last three letter codes: price, (letters, those before)
-    plane = SIZE ** (ORDER - 1)
+    runs = _runs(text)
     for i, (char, length) in enumerate(runs):
         step: dict[int, tuple] = {}
-        choices = _choices(char, length, 0 < i < len(runs) - 1)
+        choices = _choices(char, length, not (first and i == 0 or last and i == len(runs) - 1))
         for state, (price, said) in best.items():
             for letters, channel in choices:
                 s, p = state, price + channel
@@ -107,28 +108,45 @@ def search(word: str, prices: np.ndarray) -> tuple[float, str]:
                     code = LETTERS.find(x) + 1
                     if code or s % SIZE:  # a break after a break costs nothing
                         p += float(prices[s * SIZE + code])
-                    s = (s * SIZE + code) % plane if code else 0
+                    s = (s * SIZE + code) % PLANE if code else 0
                 if s not in step or p < step[s][0]:
                     step[s] = (p, (letters, said) if letters else said)
         best = step
-    ends = {s: p + (float(prices[s * SIZE]) if s % SIZE else 0.0) for s, (p, _) in best.items()}
-    last = min(ends, key=ends.get)
-    said, out = best[last][1], []
-    while said:
-        out.append(said[0])
-        said = said[1]
-    return ends[last], "".join(reversed(out))
+    return best
+
+
+def _said(link: tuple | None) -> str:
+    out = []
+    while link:
+        out.append(link[0])
+        link = link[1]
+    return "".join(reversed(out))
+
+
+def _cheapest(best: dict[int, tuple], prices: np.ndarray) -> tuple[float, str]:
+    price, link = min(((p + (float(prices[s * SIZE]) if s % SIZE else 0.0), said) for s, (p, said) in best.items()), key=lambda x: x[0])
+    return price, _said(link)
+
+
+def search(word: str, prices: np.ndarray) -> tuple[float, str]:
+    """The cheapest reading of a disguised span of any length, words separated by spaces, and its price."""
+    return _cheapest(_walk(word, prices, {0: (0.0, None)}), prices)
 
 
 def viterbi(word: str, prices: np.ndarray) -> str:
     return search(word, prices)[1]
 
 
-#: Single letters (or their imitations) with one or two signs or spaces between them.
-SPACED = re.compile(r"(?<![^\s.,;:!?\"'()-])[^\W_](?:[ ._*\-~·/][^\W_@$!|+]|[ ._*\-~·/][@$!|+0-9]){2,}(?![^\W_])")
+#: Letters, digits and imitating signs in a chunk of a word that is set apart, and what may part them within a piece.
+CHUNK = 4
+_CHUNK = re.compile(rf"(?:[^\W_]|[{re.escape(''.join(c for c in IMITATES if not c.isalnum()))}]){{1,{CHUNK}}}")
+_PARTS = re.compile(r"[._\-~·/\\,:;'\"?)\]}>]+")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 #: Signs that can only be a break at an edge: without them the lattice says the same.
 _BREAKS = "".join(c for c in _EDGE if c not in IMITATES)
+#: A piece without letters, digits or imitations only parts chunks.
+_LONG = re.compile(rf"[^\W_]|[{re.escape(''.join(c for c in IMITATES if not c.isalnum()))}]")
+_SURE = re.compile("[a-z]+")
 _DOUBLE = re.compile(r"([^\W\d_])\1")
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -145,6 +163,8 @@ class Restorer:
 
     def __init__(self, prices: np.ndarray, memo: int = 1 << 18):
         self.prices, self.memo, self.bound = prices, {}, memo
+        self._parts, self._steps, self._joined, self._apart, self._sure = {}, {}, {}, {}, {}
+        self._price = prices.tolist()
 
     def word(self, raw: str) -> tuple[str, ...]:
         """The restored words in one whitespace-separated piece of a lower-case text."""
@@ -168,6 +188,149 @@ class Restorer:
                 self.memo[raw] = found
         return found
 
-    def spaced(self, text: str) -> list[str]:
-        """Words restored from letters that are set apart."""
-        return [w for m in SPACED.finditer(text) for w in self.span(m[0]) if len(w) > 2]
+    def _chunks(self, piece: str) -> tuple[str, ...]:
+        """The chunks of a whitespace-separated piece; () if it has none or a longer one."""
+        found = self._parts.get(piece)
+        if found is None:
+            parts = [p for p in _PARTS.split(piece) if p]
+            found = tuple(parts) if all(map(_CHUNK.fullmatch, parts)) else ()
+            if len(piece) <= REMEMBERED:
+                if len(self._parts) >= self.bound:
+                    self._parts.clear()
+                self._parts[piece] = found
+        return found
+
+    def _step(self, state: int, chunk: str, first: bool, last: bool) -> list[tuple[int, float, str]]:
+        """Where a chunk leads from a state: the state after it, the price, the letters."""
+        key = (state, chunk, first, last)
+        found = self._steps.get(key)
+        if found is None:
+            if len(self._steps) >= self.bound:
+                self._steps.clear()
+            if self._plain(chunk):
+                found = [(*self._read(state, chunk), chunk)]
+            else:
+                ends = _walk(chunk, self.prices, {state: (0.0, None)}, first, last)
+                found = [(s, p, _said(link)) for s, (p, link) in ends.items()]
+            self._steps[key] = found
+        return found
+
+    def _read(self, state: int, letters: str) -> tuple[int, float]:
+        price, p = self._price, 0.0
+        for x in letters:
+            at = state * SIZE + ord(x) - 96
+            p += price[at]
+            state = at % PLANE
+        return state, p
+
+    def _plain(self, chunk: str) -> bool:
+        """Whether a chunk's lattice has one path."""
+        found = self._sure.get(chunk)
+        if found is None:
+            if len(self._sure) >= self.bound:
+                self._sure.clear()
+            found = self._sure[chunk] = bool(_SURE.fullmatch(chunk)) and not _DOUBLE.search(chunk)
+        return found
+
+    def apart(self, before: str, a: str, b: str, after: str) -> bool:
+        """Whether the gap of chunks ``a`` and ``b`` is a break on every cheapest path.
+
+        ``before`` and ``after`` are the chunks around them ("" at an end). All are plain letters, so
+        the states in which a path may reach the gap are known. With and without the break a path
+        says the same letters, and three letters later it is in the same state: if the break is no
+        dearer by then for each state and each way on, it is right. Where more would have to be
+        known, the answer is no and the search decides.
+        """
+        key = (before[-2:] if len(a) < 3 else "", a[-3:], b, after[:2] if len(b) < 3 else "")
+        found = self._apart.get(key)
+        if found is None:
+            if len(self._apart) >= self.bound:
+                self._apart.clear()
+            found = self._apart[key] = self._is_apart(*key)
+        return found
+
+    def _is_apart(self, before: str, a: str, b: str, on: str) -> bool:
+        if len(a) == 1 and len(before) == 1 or len(b) < 3 and on and not on.isalpha():
+            return False
+        price = self._price
+        tails = {(before + a)[-k:] for k in range(len(a), min(3, len(before + a)) + 1)}
+        if len(b) >= 3:
+            ways = [""]
+        elif len(b) == 2 or not on:
+            ways = [" ", on[:1]] if on else [" "]
+        elif len(on) == 2:
+            ways = [" ", on]
+        else:
+            return False
+
+        def cost(state: int, way: str) -> float:
+            state, p = self._read(state, b[:3])
+            if way == " ":
+                return p + price[state * SIZE]
+            return p + self._read(state, way)[1]
+
+        for tail in tails:
+            state = self._read(0, tail)[0]
+            if any(price[state * SIZE] + cost(0, way) > DROPPED + cost(state, way) for way in ways):
+                return False
+        return True
+
+    def joined(self, chunks: tuple[str, ...]) -> tuple[str, ...]:
+        """The words of chunks set apart, where each gap is a break or dropped: one exact pass."""
+        found = self._joined.get(chunks)
+        if found is not None:
+            return found
+        prices, end = self._price, len(chunks) - 1
+        best: dict[int, tuple] = {0: (0.0, None)}
+        for i, chunk in enumerate(chunks):
+            step: dict[int, tuple] = {}
+            for state, (price, said) in best.items():
+                gaps = [(state, price + DROPPED, said), (0, price + prices[state * SIZE], (" ", said))] if state else [(0, price, said)]
+                for s, p, link in gaps:
+                    plain = chunk.isalpha()
+                    for t, q, letters in self._step(s, chunk, i == 0 and not plain, i == end and not plain):
+                        if t not in step or p + q < step[t][0]:
+                            step[t] = (p + q, (letters, link))
+            best = step
+        found = tuple(w for w in _cheapest(best, prices)[1].split() if len(w) > 2 and w not in chunks)
+        if len(chunks) <= REMEMBERED // CHUNK:
+            if len(self._joined) >= self.bound:
+                self._joined.clear()
+            self._joined[chunks] = found
+        return found
+
+    def spaced(self, text: str, pieces: list[str] | None = None) -> list[str]:
+        """Words restored from letters or chunks that are set apart by any spaces and signs."""
+        out, run = [], []
+        parts = self._parts
+        for piece in [*(text.split() if pieces is None else pieces), ""]:
+            chunks = parts.get(piece)
+            if chunks is None:
+                chunks = self._chunks(piece)
+            if chunks:
+                run += chunks
+            elif run and (not piece or _LONG.search(piece)):
+                if len(run) > 1:
+                    self._read_run(run, out)
+                run = []
+        return out
+
+    def _read_run(self, run: list[str], out: list[str]) -> None:
+        """Read a run of chunks, cut where its neighbours alone decide for a break."""
+        start, sure, joined = 0, [self._plain(c) for c in run], self._joined
+        for i in range(1, len(run) + 1):
+            if i < len(run):
+                if not (sure[i - 1] and sure[i]):
+                    continue
+                before = run[i - 2] if i - 2 >= start else ""
+                after = run[i + 1] if i + 1 < len(run) else ""
+                if (len(run[i - 1]) < 3 and before and not sure[i - 2] or len(run[i]) < 3 and after and not sure[i + 1]
+                        or not self.apart(before, run[i - 1], run[i], after)):
+                    continue
+            if i - start > 1:
+                chunks = tuple(run[start:i])
+                found = joined.get(chunks)
+                out += self.joined(chunks) if found is None else found
+            start = i
+        if len(run) > 1 and len(run[-1]) > 1 and run[-1][-1] == "!":  # more often a mark than a letter
+            out += self.joined((*run[:-1], run[-1].rstrip("!") or "!"))

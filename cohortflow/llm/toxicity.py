@@ -68,7 +68,8 @@ class Reader:
 
     def read(self, text: str) -> set[str]:
         text, found, memo = text.lower(), set(), self.memo
-        for raw in set(text.split()):
+        pieces = text.split()
+        for raw in set(pieces):
             got = memo.get(raw)
             if got is None:
                 if len(memo) >= MEMO:
@@ -76,7 +77,7 @@ class Reader:
                 got = memo[raw] = self._of(self.restore.word(raw))
             if got:
                 found.update(got)
-        found.update(self._of(self.restore.spaced(text)))
+        found.update(self._of(self.restore.spaced(text, pieces)))
         return found
 
 

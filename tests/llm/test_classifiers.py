@@ -224,6 +224,21 @@ def test_every_token_has_a_lattice(rude):
     assert rude.word("idiot!")[0] == "idiot" and rude.word("!!!") == ()
 
 
+def test_letters_and_chunks_set_apart_are_joined(rude):
+    """Any spaces and signs between letters, an imitating sign first, chunks; plain words stay apart."""
+    for apart in ("s t u p i d", "s  t  u  p  i  d", "s . t . u . p . i . d", "s\tt\tu\tp\ti\td", "s t u\np i d", "s\u00a0t\u00a0u p i d",
+                  "$ t u p i d", "$ t u p ! d", "stu pid", "st up id", "s tu pid", "s t u p i d!", "s - t, u / p - i: d"):
+        assert "stupid" in rude.spaced(f"bado {apart} nesuko"), (apart, rude.spaced(f"bado {apart} nesuko"))
+    assert rude.spaced("bado id iot nesuko") == ["idiot"] and rude.spaced("bado ass hole, nesuko") == ["asshole"]
+    assert rude.spaced("an and an and a ass") == [] and rude.spaced("") == []
+    r = random.Random(4)
+    for _ in range(300):  # cut where neighbours decide, or read whole: the same words
+        chunks = ["".join(r.choice("adeinorstu") for _ in range(r.randint(1, 4))) for _ in range(r.randint(2, 8))]
+        whole = [w for w in D.viterbi(" ".join(chunks), rude.prices).split() if len(w) > 2 and w not in chunks]
+        assert [w for w in rude.spaced(" ".join(chunks)) if w not in chunks] == whole
+    assert rude.joined(tuple("stupid")) == tuple(D.viterbi("s t u p i d", rude.prices).split())
+
+
 def test_curve_orders_scores():
     r = np.random.default_rng(5)
     x = r.uniform(0, 5, (400, 2))
