@@ -4,10 +4,11 @@
 2. Disguised words and spans (imitated letters, letters set apart, repeats) are restored by
    Viterbi search over their lattices; see ``deobfuscate``.
 3. The restored words and their prefixes of 4 to 7 letters are counted by label over all
-   labelled training documents. Those that are toxic almost surely are kept; over a bounded
-   sample, a greedy cover adds likely ones that explain toxic documents not explained yet.
+   labelled training documents. All that are toxic almost surely are kept, in a table; over a
+   bounded sample, a greedy cover adds likely ones that explain toxic documents not explained yet.
 4. A text's evidence is the log-odds of the kept words it contains, the surest one apart; a
-   logistic curve over the sample turns it into a score.
+   logistic curve over the sample turns it into a score. Texts give the words that pass a filter
+   of fixed size; a join with the table finds the kept ones.
 
 Defined cases: a null or empty text has no words and scores the curve without evidence; without
 toxic labels every text scores the smoothed rate of toxic ones; repeated rows score alike; words of any length are read whole; an empty table gives an empty result; extra columns
@@ -17,23 +18,24 @@ are never read.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import land, python_tasks
+from cohortflow.llm.common import FILTER_BITS, bit_filter, land, python_tasks
 from cohortflow.llm.deobfuscate import ORDER, SIZE, Restorer, count_grams, language_model
 from cohortflow.llm.labels import bounded_sample, fold, logistic, training_rows
 
 #: Prefix lengths that stand for a word family.
 PREFIXES = (4, 5, 6, 7)
-#: Bounds of the fit: candidate words, and sampled documents of the cover (about, each label).
-MAX_CANDIDATES, COVER_ROWS = 20_000, 20_000
+#: Bound of the fit: sampled documents of the cover (about, each label).
+COVER_ROWS = 20_000
 #: A candidate occurs in this many toxic documents; widths of the rate's lower bound for words
 #: kept at once and for words of the cover.
 MIN_TOXIC, Z_SURE, Z_COVER = 2, 3.0, 1.64
@@ -47,6 +49,18 @@ def features(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in PREFIXES if len(word) > k)]
 
 
+class Sieve:
+    """Lets every feature of a table pass, and others as often as their bits are taken."""
+
+    def __init__(self, table: DataFrame):
+        hashed = table.select(F.shiftleft(F.crc32(F.col("feature").cast("binary")), 32).alias("_h"))
+        self.bits = bit_filter(hashed, "_h").tobytes()
+
+    def __contains__(self, feature: str) -> bool:
+        at = zlib.crc32(feature.encode()) >> 32 - FILTER_BITS
+        return self.bits[at >> 3] >> 7 - (at & 7) & 1 == 1
+
+
 class Reader:
     """Restored features of texts, remembered by word up to a bound.
 
@@ -183,22 +197,36 @@ def evidence(groups: set[str], kept: dict[str, float]) -> tuple[float, float]:
     return top, math.log1p(sum(odds) - top)
 
 
-class Model:
-    """Prices of the restoration, kept features with their rates, and the curve over the evidence
-    (a coefficient each, the offset last)."""
+class Model(NamedTuple):
+    """Prices of the restoration, the landed table (feature, rate) of kept ones, and the curve over
+    the evidence (a coefficient each, the offset last)."""
+
+    prices: np.ndarray
+    kept: DataFrame | None
+    curve: tuple[float, float, float]
 
-    def __init__(self, prices: np.ndarray, kept: dict[str, float], curve: tuple[float, float, float]):
-        self.prices, self.kept, self.curve, self._reader = prices, kept, curve, None
 
-    def __getstate__(self):
-        return self.__dict__ | {"_reader": None}
+def wilson(z: float) -> Column:
+    """Whether the full counts pass ``gain`` at a width ``z``."""
+    t, n = F.col("toxic").cast("double"), F.col("n").cast("double")
+    p = t / n
+    low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return (low > 0.5) & (t - CLEAN * (n - t) > 0)
+
+
+def hits(texts: DataFrame, text_col: str, prices: np.ndarray, table: DataFrame) -> DataFrame:
+    """The other columns and ``found``: for each restored word its features that pass the table's filter, in one string."""
+    shared = texts.sparkSession.sparkContext.broadcast((prices, Sieve(table)))  # 27^4 prices, 2 MB of bits
+    others = [c for c in texts.columns if c != text_col]
+    kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in others)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(*shared.value)
+        for batch in batches:
+            found = [sorted(reader.read(t.as_py() or "")) for t in batch.column(len(others))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.string()))], [*others, "found"])
 
-    def score(self, text: str) -> float:
-        if self._reader is None:
-            self._reader = Reader(self.prices, self.kept)
-        top, rest = evidence(self._reader.read(text), self.kept)
-        a, b, c = self.curve
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, a * top + b * rest + c))))
+    return texts.select(*others, text_col).mapInArrow(run, f"{kinds}, found array<string>")
 
 
 def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
@@ -211,48 +239,53 @@ def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
     toxic, clean = (totals["toxic"], totals["clean"]) if totals else (0, 0)
     known = toxic + clean
     base = (toxic + 0.5) / (known + 10)
-    n = F.col("toxic") + F.col("clean")
-    ranked = (counts.where((F.col("feature") != "") & (F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") > 0.5 * n))
-              .orderBy(F.desc(F.col("toxic") * F.col("toxic") / n), "feature").limit(MAX_CANDIDATES))
-    candidates = {r["feature"]: (r["toxic"], r["toxic"] + r["clean"]) for r in ranked.collect()}
-    if not candidates:
-        return Model(prices, {}, (1.0, 0.0, min(-0.1, math.log(base / (1 - base)))))
-    shared = spark.sparkContext.broadcast((prices, set(candidates)))
-
-    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(*shared.value)
-        for batch in batches:
-            found = [sorted(reader.read(t.as_py())) for t in batch.column(1)]  # by word
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.string()))],
-                                             ["_id", "_y", "found"])
-
+    candidates = land(counts.withColumn("n", F.col("toxic") + F.col("clean"))
+                      .where((F.col("feature") != "") & (F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") > 0.5 * F.col("n")))
+                      .select("feature", ((F.col("toxic") + 0.1) / (F.col("n") + 1)).alias("rate"), wilson(Z_SURE).alias("sure")),
+                      "toxic_candidates")
+    if candidates.isEmpty():
+        return Model(prices, None, (1.0, 0.0, min(-0.1, math.log(base / (1 - base)))))
     drawn = bounded_sample(rows.where("_y = 1"), toxic, COVER_ROWS, "cover").union(
         bounded_sample(rows.where("_y = 0"), clean, COVER_ROWS, "cover"))
-    kind = drawn.schema["_id"].dataType.simpleString()
-    sample = land(drawn.select("_id", "_text", "_y").mapInArrow(hits, f"_id {kind}, _y int, found array<string>"), "toxic_cover")
-    some = [(r["_y"], r["found"]) for r in sample.where(F.size("found") > 0).orderBy("_id", "found").collect()]
+    sample = land(hits(drawn.select("_id", "_y", "_text"), "_text", prices, candidates), "toxic_cover")
+    # the candidates that the sampled documents hold; what only passed the filter goes
+    held = (sample.select(F.explode("found").alias("g")).distinct().select(F.explode(F.split("g", " ")).alias("feature")).distinct()
+            .join(candidates, "feature").collect())
+    rate, sure = {r["feature"]: r["rate"] for r in held}, {r["feature"] for r in held if r["sure"]}
+    some = [(r["_y"], sorted({" ".join(f for f in g.split(" ") if f in rate) for g in r["found"]} - {""}))
+            for r in sample.where(F.size("found") > 0).orderBy("_id", "found").collect()]
+    some = [x for x in some if x[1]]
     share = [max(1.0, known_y / COVER_ROWS) for known_y in (clean, toxic)]
-    sure = {f: (t + 0.1) / (n + 1) for f, (t, n) in candidates.items() if gain(t, n, Z_SURE) > 0}
     unread = [(y, [f for g in found for f in g.split(" ")]) for y, found in some]
-    rates = sure | cover([x for x in unread if sure.keys().isdisjoint(x[1])], (share[0], share[1]))
+    added = cover([x for x in unread if sure.isdisjoint(x[1])], (share[0], share[1]))  # none of them is sure
+    rates = {f: rate[f] for f in sure} | added
     # the curve: documents with evidence one by one, those without as two weights
     seen = np.array([evidence(set(found), rates) for _, found in some] + [(0.0, 0.0)] * 2)
     is_toxic = np.array([y == 1 for y, _ in some] + [False, True])
-    n_none = {r["_y"]: r["count"] for r in sample.where(F.size("found") == 0).groupBy("_y").count().collect()}
-    weight = np.array([share[y] for y, _ in some] + [n_none.get(y, 0) * share[y] + 1e-6 for y in (0, 1)])
-    return Model(prices, rates, tuple(logistic(seen, is_toxic, weight).tolist()))
-
-
-def scorer(docs: DataFrame, model: Model):
-    """A column function text -> score."""
-    python_tasks(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 27^4 prices and MAX_CANDIDATES words at most
-
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.score(t or "") for t in text], dtype="float64")
-
-    return lambda text: score(F.coalesce(text, F.lit("")))
+    n_all = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
+    n_some = Counter(y for y, _ in some)
+    weight = np.array([share[y] for y, _ in some] + [(n_all.get(y, 0) - n_some[y]) * share[y] + 1e-6 for y in (0, 1)])
+    cover_rows = spark.createDataFrame([*added.items()], "feature string, rate double")  # bounded by the sample
+    kept = land(candidates.where("sure").select("feature", "rate").union(cover_rows), "toxic_kept")
+    return Model(prices, kept, tuple(logistic(seen, is_toxic, weight).tolist()))
+
+
+def scored(texts: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """The other columns and ``score``; ``evidence`` by a join of the words with the kept table, of any size."""
+    a, b, c = model.curve
+    if model.kept is None:
+        return texts.drop(text_col).withColumn("score", F.lit(1 / (1 + math.exp(-c))))
+    read = land(hits(texts, text_col, model.prices, model.kept).withColumn("_at", F.monotonically_increasing_id()), "toxic_hits")
+    words = read.select("_at", F.explode("found").alias("_word"))
+    odds = (words.select("_at", "_word", F.explode(F.split("_word", " ")).alias("feature")).join(model.kept, "feature")
+            .groupBy("_at", "_word").agg(F.array_sort(F.collect_set("feature")).alias("_group"), F.max("rate").alias("rate"))
+            .groupBy("_at", "_group").agg(F.max("rate").alias("rate"))
+            .select("_at", F.greatest(F.lit(0.0), F.log(F.col("rate") / (1 - F.col("rate")))).alias("_odds"))
+            .groupBy("_at").agg(F.max("_odds").alias("_top"), F.array_sort(F.collect_list("_odds")).alias("_all")))
+    rest = F.aggregate("_all", F.lit(0.0), lambda x, y: x + y) - F.col("_top")  # in order, so that equal texts score alike
+    top, others = F.coalesce("_top", F.lit(0.0)), F.coalesce(F.log1p(F.greatest(rest, F.lit(0.0))), F.lit(0.0))
+    at = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), a * top + b * others + c))
+    return read.join(odds, "_at", "left").withColumn("score", 1 / (1 + F.exp(-at))).drop("_at", "found", "_top", "_all")
 
 
 HELD_OUT = (5, 0)
@@ -262,6 +295,5 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract of op1 over all documents."""
     held_out = fold(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1]
     rows = land(training_rows(docs, labels, "toxic", ~held_out), "toxic_training")
-    score = scorer(docs, fit(docs, rows))
-    return (docs.select("doc_id", held_out.alias("held_out"), score(F.col("text")).alias("score"))
-            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+    texts = docs.select("doc_id", held_out.alias("held_out"), F.col("text").alias("_text"))
+    return scored(texts, fit(docs, rows), "_text").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -239,6 +239,29 @@ def test_letters_and_chunks_set_apart_are_joined(rude):
     assert rude.joined(tuple("stupid")) == tuple(D.viterbi("s t u p i d", rude.prices).split())
 
 
+def test_rare_words_are_kept_however_many_there_are(spark):
+    """Words that pass the bound by their own counts stay, behind thousands of more frequent families."""
+    r = random.Random(8)
+    names = list(dict.fromkeys("".join(r.choice("bcdfgklmnprstvz") + r.choice("aeiou") for _ in range(5)) for _ in range(9000)))
+    often, rare = names[:6000], names[6000:6020]
+    docs, labels = [], []
+    for i in range(120):  # each frequent word in 20 toxic documents, each rare one in 12
+        words = often[i % 6 * 1000:i % 6 * 1000 + 1000] + ([] if i % 10 else rare)
+        docs.append((i, " ".join(words), "en", "x"))
+        labels.append((i, 1, 1))
+    docs += [(1000 + i, prose(i, 30), "en", "x") for i in range(300)]
+    labels += [(1000 + i, 1, 0) for i in range(300)]
+    docs += [(2000 + i, f"{prose(i, 20)} {w} {prose(i + 7, 20)}", "en", "x") for i, w in enumerate(rare)]
+    data = documents(spark, clash=False, data=docs)
+    rows_ = data.join(spark.createDataFrame(labels, LABELS), "doc_id").selectExpr("doc_id AS _id", "text AS _text", "toxic AS _y")
+    model = toxicity.fit(data, rows_)
+    kept = {x["feature"] for x in model.kept.collect()}
+    assert set(rare) <= kept and set(often) <= kept and len(kept) > 20_000
+    out = toxicity.scored(data.where("doc_id >= 1000").select("doc_id", F.col("text").alias("_text")), model, "_text").collect()
+    clean, toxic = ([x["score"] for x in out if (x["doc_id"] >= 2000) == y] for y in (False, True))
+    assert len(toxic) == 20 and max(clean) < min(toxic), (max(clean), min(toxic))
+
+
 def test_curve_orders_scores():
     r = np.random.default_rng(5)
     x = r.uniform(0, 5, (400, 2))
