@@ -9,7 +9,7 @@ order-preserving bins, bounded windows), never a single-task value buffer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import constants as C
@@ -25,9 +25,12 @@ def _utc_date(col: str = "event_timestamp") -> Column:
     return F.expr(f"CAST(timestampadd(MICROSECOND, {col}, {EPOCH_NTZ}) AS DATE)")
 
 
-def _share(n: str) -> Column:
-    """Share of a grouped row's count in the sum over all groups (a handful of grouped rows)."""
-    return F.col(n).cast("double") / F.sum(n).over(Window.partitionBy()).cast("double")
+def _with_share(grouped: DataFrame, n: str, share: str, name: str) -> DataFrame:
+    """Share of a grouped row's count in the sum over all groups: the groups land, their total is a
+    scalar subquery of partial sums."""
+    landed = materialize(grouped, name)
+    total = landed.agg(F.sum(n).cast("double").alias("n")).scalar()
+    return landed.withColumn(share, F.col(n).cast("double") / total)
 
 
 def prof_volume(raw: DataFrame) -> DataFrame:
@@ -59,8 +62,8 @@ def prof_events_per_user(raw: DataFrame) -> DataFrame:
 
 def prof_active_days(raw: DataFrame) -> DataFrame:
     days = raw.groupBy("user_pseudo_id").agg(F.count_distinct(_utc_date()).alias("active_days"))
-    return days.groupBy("active_days").agg(F.count(F.lit(1)).alias("n_users")).select(
-        "active_days", "n_users", _share("n_users").alias("share_users"))
+    return _with_share(days.groupBy("active_days").agg(F.count(F.lit(1)).alias("n_users")),
+                       "n_users", "share_users", "active_days")
 
 
 def _leaves(fields, prefix: str = "") -> list[str]:
@@ -96,9 +99,9 @@ def prof_prev_ts_anomaly(raw: DataFrame) -> DataFrame:
 
 
 def prof_event_vocabulary(raw: DataFrame) -> DataFrame:
-    return raw.groupBy("event_name").agg(
-        F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_pseudo_id").alias("n_users"),
-    ).select("event_name", "n_events", "n_users", _share("n_events").alias("share_events")).orderBy(F.col("n_events").desc(), F.col("event_name"))
+    grouped = raw.groupBy("event_name").agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_pseudo_id").alias("n_users"))
+    return _with_share(grouped, "n_events", "share_events", "event_vocabulary").orderBy(F.col("n_events").desc(), F.col("event_name"))
 
 
 SLOTS = ("string", "int", "float", "double")
@@ -194,10 +197,10 @@ def prof_literal_nan(raw: DataFrame) -> DataFrame:
 
 
 def prof_traffic_mix(raw: DataFrame) -> DataFrame:
-    return raw.groupBy(F.col("traffic_source.source").alias("source"),
-                       F.col("traffic_source.medium").alias("medium")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_pseudo_id").alias("n_users")).select(
-        "source", "medium", "n_rows", "n_users", _share("n_rows").alias("share_rows"))
+    grouped = raw.groupBy(F.col("traffic_source.source").alias("source"),
+                          F.col("traffic_source.medium").alias("medium")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_pseudo_id").alias("n_users"))
+    return _with_share(grouped, "n_rows", "share_rows", "traffic_mix")
 
 
 def prof_revenue_signals(raw: DataFrame) -> DataFrame:
