@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortflow.llm import chat, decontaminate, host_rules, line_dedup, mixing, quality, sharding, simhash, toxicity, warc
+from cohortflow.llm import (chat, decontaminate, fim, host_rules, line_dedup, mixing, quality, resampling, sharding, simhash, toxicity,
+                            url_filter, warc)
 from cohortflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,10 @@ QUERIES: dict[str, Query] = {
     "op8_source_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
     "op9_chat_parts": lambda spark, sf_dir: chat.query(spark, table(spark, sf_dir, "conversations")),
     "op10_host_rules": lambda spark, sf_dir: host_rules.query(table(spark, sf_dir, "documents")),
+    "op11_link_graph": lambda spark, sf_dir: url_filter.query(table(spark, sf_dir, "pages")),
+    "op12_fill_in_middle": lambda spark, sf_dir: fim.query(table(spark, sf_dir, "documents")),
+    "op13_importance_resampling": lambda spark, sf_dir: resampling.query(table(spark, sf_dir, "documents"),
+                                                                         table(spark, sf_dir, "benchmark")),
 }
 
 ORACLE: dict[str, str] = {
@@ -37,4 +42,6 @@ ORACLE: dict[str, str] = {
     "op8_source_mixing": mixing.SQL,
     "op9_chat_parts": chat.SQL,
     "op10_host_rules": host_rules.SQL,
+    "op11_link_graph": url_filter.SQL,
+    "op12_fill_in_middle": fim.SQL,
 }
