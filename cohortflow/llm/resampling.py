@@ -37,7 +37,7 @@ MIN_WORDS, DRAW_PERCENT = 20, 25
 PIECE = 1 << 16
 #: Words whose CRC a task keeps; when full it starts anew.
 MEMO = 1 << 18
-_BORDER = re.compile(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
+_BORDER = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")  # in a text not yet lowered
 _INDEX_BITS = 33  # of monotonically_increasing_id: the row inside its partition
 
 

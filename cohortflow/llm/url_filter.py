@@ -24,7 +24,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortflow.llm.common import land, packed, unpacked
 
