@@ -37,24 +37,36 @@ def _normalize_slices(df: DataFrame, slice_cols: Sequence[str], null_label: str
 def cohort_grid(dim: DataFrame, slice_cols: Sequence[str] = (), max_day: int = C.MAX_DAY_NUMBER,
                 null_label: str | None = None) -> DataFrame:
     """(cohort_date, *slices, day_number, cohort_size) for every day 0..max_day."""
-    users = _normalize_slices(dim.select("cohort_date", *slice_cols), slice_cols, null_label)
-    cohorts = users.groupBy("cohort_date", *slice_cols).agg(F.count(F.lit(1)).alias("cohort_size"))
-    return cohorts.select("cohort_date", *slice_cols,
-                          F.explode(day_number_array(max_day)).alias("day_number"), "cohort_size")
+    return _dense(cohort_sizes(dim, slice_cols, null_label), slice_cols, max_day)
+
+
+def _dense(sizes: DataFrame, slice_cols: Sequence[str], max_day: int) -> DataFrame:
+    return sizes.select("cohort_date", *slice_cols, F.explode(day_number_array(max_day)).alias("day_number"), "cohort_size")
 
 
 def _in_window(fact: DataFrame, max_day: int) -> DataFrame:
     return fact.where(F.col("day_number").between(0, max_day))
 
 
+def cohort_sizes(dim: DataFrame, slice_cols: Sequence[str] = (), null_label: str | None = None) -> DataFrame:
+    users = _normalize_slices(dim.select("cohort_date", *slice_cols), slice_cols, null_label)
+    return users.groupBy("cohort_date", *slice_cols).agg(F.count(F.lit(1)).alias("cohort_size"))
+
+
 def retention_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] = (),
                    max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS, null_label: str | None = None) -> DataFrame:
-    slice_cols = list(slice_cols)
     keys = ["cohort_date", *slice_cols, "day_number"]
-    grid = cohort_grid(dim, slice_cols, max_day, null_label)
     f = _normalize_slices(_in_window(fact, max_day).select(*keys), slice_cols, null_label)
     retained = f.groupBy(*keys).agg(F.count(F.lit(1)).alias("retained_users"))
-    joined = grid.join(retained, keys, "left").select(
+    return retention_metrics(cohort_sizes(dim, slice_cols, null_label), retained, slice_cols, max_day, trailing)
+
+
+def retention_metrics(sizes: DataFrame, cells: DataFrame, slice_cols: Sequence[str] = (),
+                      max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS) -> DataFrame:
+    """The mart from cohort sizes and the non-empty (cohort, slice, day) cells' ``retained_users``."""
+    slice_cols = list(slice_cols)
+    keys = ["cohort_date", *slice_cols, "day_number"]
+    joined = _dense(sizes, slice_cols, max_day).join(cells, keys, "left").select(
         *keys, "cohort_size",
         F.coalesce(F.col("retained_users"), F.lit(0)).alias("retained_users"),
     ).withColumn("retention_pct", ratio(F.col("retained_users"), F.col("cohort_size")))
@@ -66,16 +78,22 @@ def retention_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] =
 
 def revenue_mart(dim: DataFrame, fact: DataFrame, slice_cols: Sequence[str] = (),
                  max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS, null_label: str | None = None) -> DataFrame:
-    slice_cols = list(slice_cols)
     keys = ["cohort_date", *slice_cols, "day_number"]
-    grid = cohort_grid(dim, slice_cols, max_day, null_label)
     f = _normalize_slices(_in_window(fact, max_day).select(*keys, "gross_revenue", "paying_flag"),
                           slice_cols, null_label)
     daily = f.groupBy(*keys).agg(
         F.sum("gross_revenue").cast(DEC4).alias("gross_revenue"),
         F.count_if(F.col("paying_flag")).alias("paying_users"),
     )
-    joined = grid.join(daily, keys, "left").select(
+    return revenue_metrics(cohort_sizes(dim, slice_cols, null_label), daily, slice_cols, max_day, trailing)
+
+
+def revenue_metrics(sizes: DataFrame, cells: DataFrame, slice_cols: Sequence[str] = (),
+                    max_day: int = C.MAX_DAY_NUMBER, trailing: int = C.TRAILING_COHORTS) -> DataFrame:
+    """The mart from cohort sizes and the cells' ``gross_revenue`` and ``paying_users``."""
+    slice_cols = list(slice_cols)
+    keys = ["cohort_date", *slice_cols, "day_number"]
+    joined = _dense(sizes, slice_cols, max_day).join(cells, keys, "left").select(
         *keys, "cohort_size",
         F.coalesce(F.col("gross_revenue"), F.lit(0)).cast(DEC4).alias("gross_revenue"),
         F.coalesce(F.col("paying_users"), F.lit(0)).alias("paying_users"),

@@ -1,9 +1,9 @@
 """stg_events: deduplicate, type and flatten the raw event stream.
 
 Dedup keeps one row per (user_pseudo_id, event_timestamp, event_name): the
-lowest bundle sequence id, then the lowest server offset, NULLs last, then a
-deterministic tie-break on the remaining payload (source duplicates are
-bit-identical, so any survivor is equal). ``row_number() == 1`` plans as a
+lowest bundle sequence id, then the lowest server offset, NULLs last, then the
+smallest of the remaining columns in turn, so that copies which differ anywhere
+give one answer in any order. ``row_number() == 1`` plans as a
 WindowGroupLimit with a *partial* limit before the shuffle, so even a group
 holding a large share of the rows is cut to one row per map task before it
 moves.
@@ -19,6 +19,11 @@ from cohortflow.functions.numeric import to_dec4
 from cohortflow.functions.params import param_int, param_string
 from cohortflow.sources.schema import EVENT_KEY, STAGING_COLUMN_NAMES
 
+#: Which copy of an event stays: the two sequence numbers, then every other staging column, so that the
+#: answer depends on the copies alone and never on the order they arrive in.
+_FIRST = ("event_bundle_sequence_id", "event_server_timestamp_offset", "event_value_in_usd", "event_date")
+DEDUP_ORDER = (*_FIRST, *(c for c in STAGING_COLUMN_NAMES if c not in (*_FIRST, *EVENT_KEY, "event_ts_utc", "event_date_utc")))
+
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -76,12 +81,7 @@ def stg_events(raw: DataFrame) -> DataFrame:
 
 def dedup_staged(stg: DataFrame) -> DataFrame:
     """Re-apply the staging dedup to already typed rows (incremental merges)."""
-    w = Window.partitionBy(*EVENT_KEY).orderBy(
-        F.col("event_bundle_sequence_id").asc_nulls_last(),
-        F.col("event_server_timestamp_offset").asc_nulls_last(),
-        F.col("event_value_in_usd").asc_nulls_last(),
-        F.col("event_date").asc_nulls_last(),
-    )
+    w = Window.partitionBy(*EVENT_KEY).orderBy(*[F.col(c).asc_nulls_last() for c in DEDUP_ORDER])
     return stg.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
