@@ -2,7 +2,8 @@
 
 An untrained ``tokenizers`` pre-tokenizer (a Regex Split) cuts the ASCII-lowered text into words with
 offsets. Windows over neighbouring offset pairs are the features: one word, or several joined by one
-space. A feature's CRC-32 picks its bucket, without the feature being put together as a string.
+space. A feature's CRC-32 picks its bucket; it is computed from the words' CRCs and the lengths between
+their offsets, so no feature is put together as a string.
 Histograms of all documents and of all target texts give each bucket a gain, the log ratio of their
 smoothed frequencies; a document's weight is the mean gain of its features. A Gumbel number from the
 document's id makes the highest scores a weighted draw without replacement.
@@ -59,36 +60,77 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def word_spans(split, text: str) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
-    """(lowered UTF-8 bytes, byte offsets of the words) of each piece of a text."""
+class _WordCrc(dict):
+    """CRC-32 of words, each computed when first met; starts anew when full."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        crc = self[word] = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+        return crc
+
+
+class _Append:
+    """CRC-32 of joined strings from the CRCs of their parts.
+
+    Appending n bytes maps the CRC so far by a linear map, whatever the bytes, and adds their own CRC.
+    The maps are tables of four bytes' images: one for each n below 64, then one for each power of two.
+    """
+
+    small = 64
+
+    def __init__(self) -> None:
+        zero = zlib.crc32(b"\0")
+        one = np.array([[zlib.crc32(b"\0", b << 8 * j) ^ zero for b in range(256)] for j in range(4)], np.uint32)
+        self.by_length = np.empty((self.small, 4, 256), np.uint32)
+        self.by_length[0] = [[b << 8 * j for b in range(256)] for j in range(4)]
+        for n in range(1, self.small):
+            self.by_length[n] = self._map(one, self.by_length[n - 1])
+        power = self._map(one, self.by_length[self.small - 1])
+        self.powers = [power]
+        for _ in range(25):  # words of up to 2 GB
+            power = self._map(power, power)
+            self.powers.append(power)
+
+    @staticmethod
+    def _map(table: np.ndarray, crc: np.ndarray) -> np.ndarray:
+        return table[0, crc & 255] ^ table[1, crc >> 8 & 255] ^ table[2, crc >> 16 & 255] ^ table[3, crc >> 24]
+
+    def __call__(self, left: np.ndarray, right: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """CRCs of left + right, where right has ``length`` bytes."""
+        low, t = length % self.small, self.by_length
+        out = t[low, 0, left & 255] ^ t[low, 1, left >> 8 & 255] ^ t[low, 2, left >> 16 & 255] ^ t[low, 3, left >> 24]
+        for i in np.flatnonzero(length >= self.small).tolist():
+            one = out[i:i + 1]
+            for k, power in enumerate(self.powers):
+                if int(length[i]) // self.small >> k & 1:
+                    one = self._map(power, one)
+            out[i] = one[0]
+        return out ^ right
+
+
+def word_offsets(split, text: str) -> Iterator[tuple[str, tuple[int, int], None]]:
+    """(word, byte offsets in its piece, no tokens) of the ASCII-lowered text, in order."""
+    from tokenizers import PreTokenizedString
+
     for piece in pieces(text):
-        data = piece.encode("utf-8", "surrogatepass").lower()  # bytes: A-Z only
-        lowered = data.decode("utf-8", "surrogatepass")
-        spans = [span for _, span in split.pre_tokenize_str(lowered)]
-        if len(data) != len(lowered) and spans:
-            raw = np.frombuffer(data, np.uint8)
-            byte = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(data))
-            spans = list(map(tuple, byte[np.asarray(spans)].tolist()))
-        yield data, spans
+        lowered = PreTokenizedString(piece.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))  # bytes: A-Z only
+        split.pre_tokenize(lowered)
+        yield from lowered.get_splits(offset_referential="original", offset_type="byte")
 
 
-def feature_hashes(split, text: str, longest: int, memo: dict[bytes, int]) -> tuple[int, list[int]]:
+def feature_hashes(split, text: str, longest: int, memo: _WordCrc, append: _Append) -> tuple[int, np.ndarray]:
     """Number of words, and the CRC-32 of every run of 1 to ``longest`` words."""
-    crc, n, out = zlib.crc32, 0, []
-    open_runs: list[int] = []  # CRCs of the runs that end at the last word, each with a space after it
-    for data, spans in word_spans(split, text):
-        n += len(spans)
-        for start, end in spans:
-            word = data[start:end]
-            own = memo.get(word)
-            if own is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                own = memo[word] = crc(word)
-            runs = [own, *[crc(word, r) for r in open_runs]]
-            out += runs
-            open_runs = [crc(b" ", r) for r in runs[:longest - 1]]
-    return n, out
+    found = list(word_offsets(split, text))
+    n = len(found)
+    own = np.fromiter(map(memo.__getitem__, (w for w, _, _ in found)), np.uint32, n)
+    length = np.fromiter((span[1] - span[0] for _, span, _ in found), np.int64, n)
+    runs, out = own, [own]
+    space, one = np.uint32(zlib.crc32(b" ")), np.ones(n, np.int64)
+    for k in range(1, min(longest, n)):  # runs of k + 1 words from those of k that end a word earlier
+        runs = append(append(runs[:-1], space, one[:len(runs) - 1]), own[k:], length[k:])
+        out.append(runs)
+    return n, np.concatenate(out)
 
 
 def _bucket_type(buckets: int) -> type:
@@ -104,14 +146,14 @@ def features(docs: DataFrame, text_col: str, buckets: int = BUCKETS, longest: in
     thin = docs.select(row.alias("_row"), F.col(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, memo, kind = splitter(), {}, _bucket_type(buckets)
+        split, memo, append, kind = splitter(), _WordCrc(), _Append(), _bucket_type(buckets)
         for batch in batches:
             n_words, n_features, packed = [], [], []
             for text in batch.column(1):
-                n, hashes = feature_hashes(split, text.as_py() or "", longest, memo)
+                n, hashes = feature_hashes(split, text.as_py() or "", longest, memo, append)
                 n_words.append(n)
                 n_features.append(len(hashes))
-                packed.append((np.asarray(hashes, np.uint32) % np.uint32(buckets)).astype(kind).tobytes())
+                packed.append((hashes % np.uint32(buckets)).astype(kind).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_features, pa.int64()), pa.array(packed, pa.binary())],
                 ["_row", "n_words", "n_features", "_buckets"])

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -48,6 +49,7 @@ def brute(docs: list[tuple], target: list[str], buckets=10_000) -> list[tuple]:
     return sorted(rows_out, key=repr)
 
 
+APPEND = resampling._Append()
 HARD = [(300, "É é ß 日本 x1-y2 Aa\x00B", None, None), (301, "K ſ İ " * 30, None, None), (302, "1 " * 50, None, None), (303, "-- ..", None, None),
         (304, "x" * 200_000 + " tail " + "y" * 70_000, None, None), (305, prose(9, 60_000).upper(), None, None)]
 DATA = [*rows(), *HARD, *((400 + i, prose(i % 7, 30), "en", "a") for i in range(60)), *[(500, prose(3, 40), "en", "a")] * 80]
@@ -92,7 +94,15 @@ def test_windows_over_offsets_are_the_runs_of_words(text, longest, piece):
     want = [zlib.crc32(" ".join(words[i:i + k]).encode()) for k in range(1, longest + 1) for i in range(len(words) - k + 1)]
     old, resampling.PIECE = resampling.PIECE, piece
     try:
-        n, got = resampling.feature_hashes(resampling.splitter(), text, longest, {})
+        n, got = resampling.feature_hashes(resampling.splitter(), text, longest, resampling._WordCrc(), APPEND)
     finally:
         resampling.PIECE = old
-    assert n == len(words) and sorted(got) == sorted(want)
+    assert n == len(words) and sorted(got.tolist()) == sorted(want)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(max_size=300), st.binary(max_size=300), st.integers(0, 3))
+def test_crc_of_joined_strings(left, right, zeros):
+    right += b"\0" * (zeros * 40_000)
+    got = APPEND(np.array([zlib.crc32(left)], np.uint32), np.array([zlib.crc32(right)], np.uint32), np.array([len(right)]))
+    assert int(got[0]) == zlib.crc32(left + right)
