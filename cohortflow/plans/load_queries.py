@@ -165,22 +165,32 @@ def _stream_ingest(spark, d):
 register("stream_ingest", _sql("SELECT * FROM stg"))(_stream_ingest)
 
 
-def _incremental_refresh(spark, d):
-    """Initial load + rollup of the older days; a batch re-delivering three
-    loaded days and adding the rest is merged; only touched days' rollup
-    partitions are replaced; the by-platform revenue mart is derived from the result."""
-    from cohortflow.operators import staging
-    from cohortflow.plans import incremental as I
-    p = pipeline(spark, d)
-    raw = p.raw
-    utc_day = F.expr("CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)")
-    cut = _cutoff(p.stg_events)
-    path, rollup = (shared_scratch_path(spark, n) for n in ("stg_incremental", "rollup_incremental"))
-    I.write_rollup(L.load_by_day(raw.where(utc_day < cut), path), rollup)
-    batch = raw.where(utc_day >= F.date_sub(cut, 3))
-    stg_now = L.merge_increment(path, batch)
-    refreshed = I.refresh_rollup(stg_now, rollup, I.touched_days(staging.stg_events(batch)))
-    return I.derived_tables(refreshed, MAX_DAY)["mart_revenue_by_platform"]
-
-
-register("incremental_refresh", oracle.revenue_sql(("install_platform",), MAX_DAY, 28))(_incremental_refresh)
+_WAREHOUSES: dict[tuple[str, str], object] = {}
+
+
+def refreshed_warehouse(spark, d):
+    """A warehouse after an initial load of the older days and a batch that re-delivers three loaded days,
+    brings late events of a tenth of the users (which move cohorts) and adds the rest. Once a session and folder."""
+    from cohortflow.plans.warehouse import Warehouse
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _WAREHOUSES:
+        p = pipeline(spark, d)
+        raw = p.raw
+        utc_day = F.expr("CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)")
+        cut = _cutoff(p.stg_events)
+        late = (F.pmod(F.xxhash64("user_pseudo_id"), F.lit(10)) == 0) & (utc_day < F.date_sub(cut, 7))
+        warehouse = Warehouse(spark, shared_scratch_path(spark, "warehouse"), max_day=MAX_DAY, trailing=28)
+        warehouse.apply(raw.where((utc_day < cut) & ~late))
+        warehouse.apply(raw.where(late | (utc_day >= F.date_sub(cut, 3))))
+        _WAREHOUSES[key] = warehouse
+    return _WAREHOUSES[key]
+
+
+def _refreshed(table: str):
+    return lambda spark, d: refreshed_warehouse(spark, d).table(table)
+
+
+register("incremental_refresh", oracle.revenue_sql(("install_platform",), MAX_DAY, 28))(_refreshed("mart_revenue_by_platform"))
+register("incremental_retention", oracle.retention_sql((), MAX_DAY, 28))(_refreshed("mart_retention_overall"))
+register("incremental_fct_user_daily", _sql("SELECT * FROM fct"))(_refreshed("fct_user_daily"))
+register("incremental_dim_users", _sql("SELECT * FROM dim"))(_refreshed("dim_users"))

@@ -61,7 +61,7 @@ class Pipeline:
         row folds at least one staged event, so a bucket holds ``BUCKET_BYTES`` at most on average.
         """
         self.stg_events  # noqa: B018 - written first
-        return max(MIN_BUCKETS, -(-path_bytes(self.spark, self.scratch.paths[0]) // BUCKET_BYTES))
+        return max(MIN_BUCKETS, -(-path_bytes(self.spark, self.scratch.path_of["stg_events"]) // BUCKET_BYTES))
 
     def _bucketed(self, df: DataFrame, name: str) -> DataFrame:
         return self.scratch.bucketed(df, name, "user_pseudo_id", self.buckets) if self.persist else df

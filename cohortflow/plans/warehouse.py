@@ -24,6 +24,7 @@ or bucket). Every join is on the user or the event key; a user has one row a day
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -37,7 +38,7 @@ from cohortflow.operators.quantiles import exact_percentiles
 from cohortflow.session import Scratch, path_bytes
 from cohortflow.sources.loads import distinct_days, in_parts
 from cohortflow.sources.schema import STAGING_COLUMNS
-from cohortflow.sources.snapshots import Snapshot, SnapshotStore
+from cohortflow.sources.snapshots import Refresh, Snapshot, SnapshotStore
 
 USER, STG_DAY, DAY, COHORT, BUCKET = "user_pseudo_id", "event_date_utc", "activity_date", "cohort_date", "user_bucket"
 #: Staged bytes of the first batch a user bucket, and the least number of buckets.
@@ -45,6 +46,8 @@ BUCKET_BYTES, MIN_BUCKETS = 128 << 20, 8
 INSTALL_ATTRIBUTES = (COHORT, "install_platform", "install_country", "install_traffic_medium", "install_app_id",
                       "first_event_name", "is_reinstall")
 CELL_MEASURES = ("retained_users", "gross_revenue", "paying_users")
+#: Writes that do not need each other are submitted side by side, so that small ones share the cluster.
+WRITERS = 6
 
 
 def _values(df: DataFrame, col: str) -> list:
@@ -92,10 +95,10 @@ class Warehouse:
     # -- the refresh ------------------------------------------------------------------
     def apply(self, raw_batch: DataFrame) -> dict:
         """Merge a batch of raw events. Returns the partitions read and written, by table."""
-        with Scratch(self.spark) as scratch:
-            return self._apply(raw_batch, scratch)
+        with Scratch(self.spark) as scratch, ThreadPoolExecutor(WRITERS) as pool:
+            return self._apply(raw_batch, scratch, pool)
 
-    def _apply(self, raw_batch: DataFrame, scratch: Scratch) -> dict:
+    def _apply(self, raw_batch: DataFrame, scratch: Scratch, pool: ThreadPoolExecutor) -> dict:
         new = self.store.refresh()
         old = new.base
         settings = {"max_day": self.max_day, "trailing": self.trailing, "slice_cols": self.slice_cols, "p": self.p}
@@ -105,32 +108,26 @@ class Warehouse:
         # staging: only the batch's days
         cols = [n for n, _ in STAGING_COLUMNS]
         incoming = scratch.table(staging.stg_events(raw_batch).select(*cols), "batch")
-        batch_bytes = path_bytes(self.spark, scratch.paths[-1])
+        batch_bytes = path_bytes(self.spark, scratch.path_of["batch"])
         days = _values(incoming, STG_DAY)
         if not days:
             return {"read": {}, "written": {}}
         staged = scratch.table(staging.dedup_staged(old.read("stg_events", incoming.schema, days).unionByName(incoming)), "staged")
-        new.replace("stg_events", staged, STG_DAY, days, [USER])
-        buckets = old.meta.get("user_buckets") or self.user_buckets or max(MIN_BUCKETS, -(-batch_bytes // BUCKET_BYTES))
-
-        # user-day rows that differ
         rollup = scratch.table(daily.user_day_rollup(staged), "user_day")
-        new.replace("user_day", rollup, DAY, days, [USER])
+        writes = [pool.submit(new.replace, "stg_events", staged, STG_DAY, days, [USER]),
+                  pool.submit(new.replace, "user_day", rollup, DAY, days, [USER])]
+
+        # user-day rows that differ, and what depends on them
         changes = scratch.table(self._changes(old.read("user_day", rollup.schema, days), rollup), "changes")
-        if changes.isEmpty():
-            new.publish()
-            return {"read": dict(old.opened), "written": dict(new.written)}
-
-        moved = scratch.table(self._user_changes(old, changes, rollup.schema, buckets), "user_changes")
-        p99 = self._users(old, new, moved, scratch)
-        deltas = scratch.table(self._fact_deltas(old, changes, moved, rollup.schema), "fact_deltas")
-        fact_days = _values(deltas, DAY)
-        keys = [USER, DAY]
-        kept = old.read("fct_user_daily", deltas.drop("sign").schema, fact_days).join(
-            deltas.where("sign < 0").select(*keys), keys, "left_anti")
-        new.replace("fct_user_daily", kept.unionByName(deltas.where("sign > 0").drop("sign")), DAY, fact_days, [USER])
-        self._marts(old, new, deltas, moved, scratch)
-        new.meta |= {**settings, "user_buckets": buckets, "events_p99": p99}
+        if not changes.isEmpty():
+            buckets = old.meta.get("user_buckets") or self.user_buckets or max(MIN_BUCKETS, -(-batch_bytes // BUCKET_BYTES))
+            moved = scratch.table(self._user_changes(old, changes, rollup.schema, buckets), "user_changes")
+            cut = pool.submit(self._users, old, new, moved, scratch)
+            deltas = scratch.table(self._fact_deltas(old, changes, moved, rollup.schema), "fact_deltas")
+            writes += [pool.submit(self._fact, old, new, deltas), *self._marts(old, new, deltas, moved, scratch, pool)]
+            new.meta |= {**settings, "user_buckets": buckets, "events_p99": cut.result()}
+        for write in writes:
+            write.result()
         new.publish()
         return {"read": dict(old.opened), "written": dict(new.written)}
 
@@ -185,7 +182,7 @@ class Warehouse:
         now = F.when(F.col(COHORT).isNotNull(), F.struct(*install.fieldNames()))
         return both.select(USER, BUCKET, "was", now.alias("is"))
 
-    def _users(self, old: Snapshot, new, moved: DataFrame, scratch: Scratch) -> float | None:
+    def _users(self, old: Snapshot, new: Refresh, moved: DataFrame, scratch: Scratch) -> float | None:
         """Histogram, p99 and user table; returns the p99."""
         values = T.StructType([T.StructField("events_total", T.LongType()), T.StructField("n_users", T.LongType())])
         side = lambda name, sign: moved.where(F.col(name).isNotNull()).select(
@@ -222,7 +219,14 @@ class Warehouse:
         after = daily.fact_enriched(side(changes, "is").unionByName(rest), install("is"))
         return before.withColumn("sign", F.lit(-1)).unionByName(after.withColumn("sign", F.lit(1)))
 
-    def _marts(self, old: Snapshot, new, deltas: DataFrame, moved: DataFrame, scratch: Scratch) -> None:
+    @staticmethod
+    def _fact(old: Snapshot, new: Refresh, deltas: DataFrame) -> None:
+        days, keys = _values(deltas, DAY), [USER, DAY]
+        kept = old.read("fct_user_daily", deltas.drop("sign").schema, days).join(
+            deltas.where("sign < 0").select(*keys), keys, "left_anti")
+        new.replace("fct_user_daily", kept.unionByName(deltas.where("sign > 0").drop("sign")), DAY, days, [USER])
+
+    def _marts(self, old: Snapshot, new: Refresh, deltas: DataFrame, moved: DataFrame, scratch: Scratch, pool: ThreadPoolExecutor) -> list:
         grain = [COHORT, *self.slice_cols]
         sign = F.col("sign")
         by_cell = deltas.where(F.col("day_number").between(0, self.max_day)).groupBy(*grain, "day_number").agg(
@@ -237,23 +241,27 @@ class Warehouse:
         cells = scratch.table(
             old.read("cohort_cells", by_cell.schema, changed).unionByName(by_cell).groupBy(*grain, "day_number")
             .agg(*[F.sum(m).cast(by_cell.schema[m].dataType).alias(m) for m in CELL_MEASURES]).where("retained_users <> 0"), "cells")
-        new.replace("cohort_cells", cells, COHORT, changed, [*self.slice_cols, "day_number"])
+        writes = [pool.submit(new.replace, "cohort_cells", cells, COHORT, changed, [*self.slice_cols, "day_number"])]
         # one row a cohort and slice, written whole
-        sizes = scratch.table(old.read("cohort_sizes", by_size.schema).unionByName(by_size).groupBy(*grain)
+        sizes_before = old.read("cohort_sizes", by_size.schema)
+        sizes = scratch.table(sizes_before.unionByName(by_size).groupBy(*grain)
                               .agg(F.sum("cohort_size").alias("cohort_size")).where("cohort_size <> 0"), "sizes")
-        new.replace("cohort_sizes", sizes)
+        writes.append(pool.submit(new.replace, "cohort_sizes", sizes))
         hit = by_cell.select(*grain).union(by_size.select(*grain)).distinct()
-        for name, (family, slices) in self.mart_names().items():
-            targets, inputs = self._cohorts(old.read("cohort_sizes", by_size.schema), sizes, hit, slices)
+        sums = [F.sum(m).cast(by_cell.schema[m].dataType).alias(m) for m in CELL_MEASURES]
+        for slices in ([], self.slice_cols) if self.slice_cols else ([],):
+            targets, inputs = self._cohorts(sizes_before, sizes, hit, slices)
             own = [COHORT, *slices]
             size = sizes.where(in_parts(COHORT, inputs)).groupBy(*own).agg(F.sum("cohort_size").alias("cohort_size"))
-            cell = cells.where(in_parts(COHORT, inputs)).unionByName(
-                old.read("cohort_cells", by_cell.schema, [c for c in inputs if c not in set(changed)]))
-            cell = cell.groupBy(*own, "day_number").agg(*[F.sum(m).cast(by_cell.schema[m].dataType).alias(m) for m in CELL_MEASURES])
-            build = marts.retention_metrics if family == "retention" else marts.revenue_metrics
-            mart = build(size, cell.select(*own, "day_number", *(CELL_MEASURES[:1] if family == "retention" else CELL_MEASURES[1:])),
-                         slices, self.max_day, self.trailing)
-            new.replace(name, mart.where(in_parts(COHORT, targets)), COHORT, targets, [*slices, "day_number"])
+            rest = old.read("cohort_cells", by_cell.schema, [c for c in inputs if c not in set(changed)])
+            cell = cells.where(in_parts(COHORT, inputs)).unionByName(rest).groupBy(*own, "day_number").agg(*sums)
+            for name, (family, by) in self.mart_names().items():
+                if by == slices:
+                    mart = (marts.retention_metrics(size, cell.select(*own, "day_number", "retained_users"), slices, self.max_day, self.trailing)
+                            if family == "retention" else
+                            marts.revenue_metrics(size, cell.drop("retained_users"), slices, self.max_day, self.trailing))
+                    writes.append(pool.submit(new.replace, name, mart.where(in_parts(COHORT, targets)), COHORT, targets, [*slices, "day_number"]))
+        return writes
 
     def _cohorts(self, before: DataFrame, after: DataFrame, hit: DataFrame, slices: Sequence[str]) -> tuple[list, list]:
         """Cohorts whose mart rows change, and those that their rows are computed from.

@@ -96,12 +96,14 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths, self.tables = spark, [], []
+        self.path_of: dict[str, str] = {}  # the last path written under a name
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = shared_scratch_path(self.spark, name)
         self.paths.append(path)
+        self.path_of[name] = path
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)  # no job to read footers
 
     def bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
         """Write ``df`` bucketed by ``key`` and read it back.
