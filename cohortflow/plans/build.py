@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow import constants as C
 from cohortflow.operators import quality as Q
+from cohortflow.operators import spine
 from cohortflow.plans.pipeline import Pipeline
 from cohortflow.sources import loads as L
 
@@ -59,7 +60,7 @@ def run_build(spark: SparkSession, raw: DataFrame | str, out_dir: str, max_day:
     try:
         results = _gate(spark, {"source_events": raw}, [c for c in checks if c.table == "source_events"])
         results += _gate(spark, {"stg_events": pipe.stg_events}, [c for c in checks if c.table == "stg_events"])
-        tables = pipe.tables()
+        tables = pipe.tables() | {"day_numbers": spine.published(pipe.mart_retention_overall, max_day)}
         results += _gate(spark, tables, [c for c in checks if c.table not in ("source_events", "stg_events")])
         for name, df in tables.items():
             part, cluster = LAYOUT.get(name, ([], []))

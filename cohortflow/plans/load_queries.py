@@ -18,6 +18,7 @@ from cohortflow.plans.registry import MAX_DAY, pipeline, raw_path, register
 from cohortflow.session import shared_scratch_path
 from cohortflow.sources import loads as L
 from cohortflow.sources.schema import STAGING_COLUMNS
+from cohortflow.sources.snapshots import SnapshotStore
 
 
 def _sql(body: str) -> str:
@@ -86,8 +87,10 @@ def _append_days(spark, d):
     stg = pipeline(spark, d).stg_events
     path = shared_scratch_path(spark, "stg_append")
     cut = _cutoff(stg)
-    L.write_table(stg.where(F.col("event_date_utc") < cut), path, ["event_date_utc"])
-    return L.write_table(stg.where(F.col("event_date_utc") >= cut), path, ["event_date_utc"], mode="append")
+    L.append_batch(stg.where(F.col("event_date_utc") < cut), path, "history", ["event_date_utc"])
+    new_days = stg.where(F.col("event_date_utc") >= cut)
+    L.append_batch(new_days, path, "week-1", ["event_date_utc"])
+    return L.append_batch(new_days, path, "week-1", ["event_date_utc"]).drop(L.BATCH)  # delivered twice
 
 
 register("append_days", _sql("SELECT * FROM stg"))(_append_days)
@@ -100,11 +103,11 @@ def _merge_increment(spark, d):
     raw = p.raw
     utc_day = F.expr("CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)")
     cut = _cutoff(p.stg_events)
-    path = shared_scratch_path(spark, "stg_merge")
-    L.load_by_day(raw.where(utc_day < cut), path)
+    table = L.StoredTable(SnapshotStore(spark, shared_scratch_path(spark, "stg_merge")), "stg_events")
+    L.merge_increment(table, raw.where(utc_day < cut))
     batch = raw.where(utc_day >= F.date_sub(cut, 3))
-    L.merge_increment(path, batch)
-    return L.merge_increment(path, batch)
+    L.merge_increment(table, batch)
+    return L.merge_increment(table, batch)
 
 
 register("merge_increment", _sql("SELECT * FROM stg"))(_merge_increment)
@@ -118,16 +121,16 @@ def _backfill(spark, d):
     """A fact table built while a fifth of the latest fortnight's users lacked their first two days (so
     their cohorts came out later), then backfilled over that fortnight from the whole fact."""
     fct = pipeline(spark, d).fct_user_daily
-    path = shared_scratch_path(spark, "fct_by_cohort")
+    table = L.StoredTable(SnapshotStore(spark, shared_scratch_path(spark, "fct_by_cohort")), "fct_user_daily")
     last = fct.agg(F.max("cohort_date")).first()[0]
     start = last - dt.timedelta(days=13)
     late = (F.pmod(F.xxhash64("user_pseudo_id"), F.lit(5)) == 0) & (F.col("cohort_date") >= F.lit(start))
     seen = F.min("activity_date").over(Window.partitionBy("user_pseudo_id"))
     moved = (fct.where(late & (F.col("day_number") >= 2)).withColumn("cohort_date", seen)
              .withColumn("day_number", F.datediff("activity_date", "cohort_date")))
-    L.write_table(fct.where(~late).unionByName(moved), path, ["cohort_date"], ["user_pseudo_id"])
-    L.backfill_range(path, fct, start, last)
-    return spark.read.parquet(path)
+    table.replace(fct.where(~late).unionByName(moved), "cohort_date", None, ["user_pseudo_id"])
+    L.backfill_range(table, fct, start, last)
+    return table.read("cohort_date")
 
 
 register("backfill_range", _sql("SELECT * FROM fct"))(_backfill)

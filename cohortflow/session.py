@@ -65,6 +65,28 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def rename_new(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename to a name that is not taken; False, and nothing done, if it is."""
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    conf = spark._jsc.hadoopConfiguration()
+    fs = source.getFileSystem(conf)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(fs.makeQualified(source), fs.makeQualified(target), options)
+    except Exception:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path`` (a listing, no job)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,6 +13,7 @@ over days.
 from __future__ import annotations
 
 import bisect
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -22,8 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.operators import staging
-from cohortflow.session import Scratch, remove_path, swap_in
+from cohortflow.session import Scratch, path_exists, remove_path, rename_new, swap_in
 from cohortflow.sources.schema import RAW_EVENTS, STAGING_COLUMNS
+from cohortflow.sources.snapshots import SnapshotStore
+
+
+#: Column of appended rows that names their batch.
+BATCH = "batch_id"
 
 
 class SchemaDriftError(RuntimeError):
@@ -96,6 +102,63 @@ def replace_partitions(df: DataFrame, path: str, part_col: str, parts: Sequence,
     return spark.read.parquet(path)
 
 
+class PathTable:
+    """A partitioned table in a plain folder. A refresh replaces one partition after the other."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self, part_col: str, parts: Sequence | None = None) -> DataFrame | None:
+        df = read_if_exists(self.spark, self.path)
+        return df if df is None or parts is None else df.where(in_parts(part_col, parts))
+
+    def replace(self, df: DataFrame, part_col: str, parts: Sequence, cluster_by: Sequence[str] = ()) -> DataFrame:
+        return replace_partitions(df, self.path, part_col, parts, cluster_by)
+
+
+class StoredTable:
+    """A table of a ``SnapshotStore``: a refresh of many partitions is one switch, so readers and crashes see
+    all of the old ones or all of the new ones."""
+
+    def __init__(self, store: SnapshotStore, name: str):
+        self.spark, self.store, self.name = store.spark, store, name
+
+    def read(self, part_col: str, parts: Sequence | None = None) -> DataFrame | None:
+        now = self.store.current()
+        return now.read(self.name, parts=parts) if self.name in now.tables else None
+
+    def replace(self, df: DataFrame, part_col: str, parts: Sequence | None, cluster_by: Sequence[str] = ()) -> DataFrame:
+        refresh = self.store.refresh()
+        refresh.replace(self.name, df, part_col, parts, cluster_by)
+        return refresh.publish().read(self.name)
+
+
+Target = str | PathTable | StoredTable
+
+
+def as_table(spark: SparkSession, target: Target) -> PathTable | StoredTable:
+    return PathTable(spark, target) if isinstance(target, str) else target
+
+
+def append_batch(df: DataFrame, path: str, batch_id: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Append a batch once: its rows carry ``batch_id``, and a batch whose id is there already is left as it is.
+
+    The batch is written into a hidden folder and renamed to ``batch_id=<id>`` when it is whole, so a failed
+    append leaves nothing to read, and its retry, or a second delivery, adds nothing twice. Returns the table.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9.-][A-Za-z0-9._-]*", batch_id):
+        raise ValueError(f"batch id {batch_id!r}: letters, digits, '.', '_' and '-' only")
+    spark, base = df.sparkSession, path.rstrip("/")
+    done = f"{base}/{BATCH}={batch_id}"
+    if not path_exists(spark, done):
+        staged = f"{base}/_appending-{uuid.uuid4().hex[:8]}"
+        _writer(df, partition_by, cluster_by).mode("overwrite").parquet(staged)
+        if not rename_new(spark, staged, done):  # another writer of the same batch was first
+            remove_path(spark, staged)
+    schema = T.StructType([*df.schema.fields, T.StructField(BATCH, T.StringType())])
+    return spark.read.schema(schema).option("basePath", base).parquet(base)
+
+
 def in_parts(col: str, parts: Sequence) -> Column:
     """A literal list of partition values: the planner prunes files by it, whatever the join strategy."""
     some = [p for p in parts if p is not None]
@@ -123,25 +186,26 @@ def load_by_day(raw: DataFrame, path: str, day_col: str = "event_date_utc") -> D
     return write_table(staging.stg_events(raw), path, [day_col], ["user_pseudo_id"])
 
 
-def merge_increment(stg_path: str, new_raw: DataFrame, day_col: str = "event_date_utc") -> DataFrame:
-    """Upsert a batch of raw events into the day-partitioned staging table.
+def merge_increment(target: Target, new_raw: DataFrame, day_col: str = "event_date_utc") -> DataFrame:
+    """Upsert a batch of raw events into the day-partitioned staging table (a path or a stored table).
 
-    The batch is staged and written once. Its days go into the scan of the table as literals, so
-    only their partitions are read; the union is deduplicated on the event key with the staging
-    tie-breaks and replaces those partitions. Late rows and re-delivered duplicates both land
-    correctly; applying the same batch twice equals once. The scratch tables are deleted.
+    The batch is staged and written once. Only its days' partitions of the table are read (literals in the
+    scan, or folders named by the pointer); the union is deduplicated on the event key with the staging
+    tie-breaks and replaces those partitions, in one switch for a stored table. Late rows and re-delivered
+    duplicates both land correctly; applying the same batch twice equals once. The scratch tables are deleted.
     """
     spark = new_raw.sparkSession
-    existing = read_if_exists(spark, stg_path)
-    if existing is None:
-        return load_by_day(new_raw, stg_path, day_col)
+    table = as_table(spark, target)
+    if isinstance(table, PathTable) and table.read(day_col) is None:
+        return load_by_day(new_raw, table.path, day_col)
     cols = [n for n, _ in STAGING_COLUMNS]
     with Scratch(spark) as scratch:
         incoming = scratch.table(staging.stg_events(new_raw).select(*cols), "merge_batch")
         days = distinct_days(incoming, day_col)
-        kept = existing.where(in_parts(day_col, days)).select(*cols)
-        merged = scratch.table(staging.dedup_staged(kept.unionByName(incoming)), "merge_result")
-        return replace_partitions(merged, stg_path, day_col, days, ["user_pseudo_id"])
+        kept = table.read(day_col, days)
+        both = incoming if kept is None else kept.select(*cols).unionByName(incoming)
+        merged = scratch.table(staging.dedup_staged(both), "merge_result")
+        return table.replace(merged, day_col, days, ["user_pseudo_id"])
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -171,7 +235,7 @@ def following(cohorts: Sequence, changed: Sequence, n: int) -> list:
     return sorted(hit)
 
 
-def backfill_range(table_path: str, rebuilt: DataFrame, start, end, part_col: str = "cohort_date",
+def backfill_range(target: Target, rebuilt: DataFrame, start, end, part_col: str = "cohort_date",
                    user_col: str | None = "user_pseudo_id", trailing: int = 0,
                    also: Sequence = ()) -> list:
     """Make the table equal ``rebuilt`` for the cohorts in [start, end]; returns the cohorts replaced.
@@ -180,10 +244,11 @@ def backfill_range(table_path: str, rebuilt: DataFrame, start, end, part_col: st
     border change other cohorts too: with ``user_col``, those are replaced as well. A table of
     trailing averages (a mart) has no users: give it the fact's replaced cohorts in ``also`` and
     the number of cohorts its window looks back in ``trailing``, and the cohorts that follow each
-    changed one are replaced too. Running it twice equals once.
+    changed one are replaced too. Running it twice equals once; a stored table changes in one switch.
     """
     spark = rebuilt.sparkSession
-    table = spark.read.parquet(table_path)
+    stored = as_table(spark, target)
+    table = stored.read(part_col)
     inside = F.col(part_col).between(F.lit(start), F.lit(end))
     changed = set(also)
     for df in (table, rebuilt):
@@ -196,7 +261,7 @@ def backfill_range(table_path: str, rebuilt: DataFrame, start, end, part_col: st
     cohorts = sorted(changed)
     with Scratch(spark) as scratch:
         rows = scratch.table(rebuilt.where(in_parts(part_col, cohorts)), "backfill")
-        replace_partitions(rows, table_path, part_col, cohorts, [user_col] if user_col else [])
+        stored.replace(rows, part_col, cohorts, [user_col] if user_col else [])
     return cohorts
 
 

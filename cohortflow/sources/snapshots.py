@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortflow.session import remove_path
+from cohortflow.session import remove_path, rename_new
 
 POINTERS = "_snapshots"
 GENERATION = "_generation"
@@ -97,7 +97,7 @@ class SnapshotStore:
 
     def _switch(self, version: int, content: dict) -> None:
         """Write the pointer under a hidden name, then rename it; an existing version is never replaced."""
-        fs, jvm = self._fs(), self.spark._jvm
+        fs = self._fs()
         folder = f"{self.root}/{POINTERS}"
         draft, final = self._path(f"{folder}/_draft-{uuid.uuid4().hex}.json"), self._path(f"{folder}/{version:08d}.json")
         out = fs.create(draft, False)
@@ -105,16 +105,9 @@ class SnapshotStore:
             out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
         finally:
             out.close()
-        mode = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        mode[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE  # fails if the version exists
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        try:
-            context.rename(fs.makeQualified(draft), fs.makeQualified(final), mode)
-        except Exception as e:
+        if not rename_new(self.spark, draft.toString(), final.toString()):
             fs.delete(draft, False)
-            if fs.exists(final):
-                raise ConcurrentRefreshError(f"version {version} of {self.root} was published by another writer") from e
-            raise
+            raise ConcurrentRefreshError(f"version {version} of {self.root} was published by another writer")
 
     # -- writing --------------------------------------------------------------------
     def refresh(self) -> "Refresh":

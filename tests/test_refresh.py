@@ -19,6 +19,7 @@ from cohortflow.plans.pipeline import Pipeline
 from cohortflow.session import ensure_checkpoint_dir, shared_scratch_path
 from cohortflow.sources import loads as L
 from cohortflow.sources.schema import RAW_EVENTS
+from cohortflow.sources.snapshots import SnapshotStore
 from cohortflow.streaming.ingest import raw_event_stream
 
 SF = "/root/testdata/sf0.001"
@@ -189,3 +190,48 @@ def test_zero_hours_is_a_limit(spark):
     as_of = F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")
     assert L.freshness(df, "ts", as_of, 0.0, 0.0).collect()[0].status == "error"
     assert L.freshness(df, "ts", as_of, 24.0, None).collect()[0].status == "pass"
+
+
+def test_an_append_retried_or_delivered_twice_adds_once(spark):
+    path = shared_scratch_path(spark, "appended")
+    one, two = fact(spark, OLD[:3]), fact(spark, OLD[3:])
+    bad = one.withColumn("day_number", F.expr("raise_error('broken')").cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        L.append_batch(bad, path, "b1", ["cohort_date"])
+    assert L.read_if_exists(spark, f"{path}/batch_id=b1") is None
+    L.append_batch(one, path, "b1", ["cohort_date"])
+    before = files(path)
+    L.append_batch(two, path, "b1", ["cohort_date"])                     # the id is taken: refused
+    assert files(path) == before and as_set(spark.read.parquet(path)) == as_set(one)
+    out = L.append_batch(two, path, "b2", ["cohort_date"])
+    assert as_set(out) == as_set(fact(spark, OLD)) and out.count() == len(OLD)
+    assert {r[0] for r in out.where("cohort_date = DATE'2024-01-09'").select("batch_id").collect()} == {"b2"}
+    with pytest.raises(ValueError):
+        L.append_batch(two, path, "../x")
+
+
+def test_a_stored_table_changes_all_its_partitions_in_one_switch(spark, monkeypatch):
+    table = L.StoredTable(SnapshotStore(spark, shared_scratch_path(spark, "stored")), "fact")
+    table.replace(fact(spark, OLD), "cohort_date", None, ["user_pseudo_id"])
+    new = [(u, c, n + 5) for u, c, n in OLD if c != "2024-01-06"]
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(SnapshotStore, "_switch", killed)
+    with pytest.raises(KeyboardInterrupt):
+        L.backfill_range(table, fact(spark, new), d("2024-01-05"), d("2024-01-09"))
+    assert as_set(table.read("cohort_date")) == as_set(fact(spark, OLD))
+    monkeypatch.undo()
+    for _ in range(2):
+        L.backfill_range(table, fact(spark, new), d("2024-01-05"), d("2024-01-09"))
+        want = {r for r in new if r[1] >= "2024-01-05" and r[1] <= "2024-01-09"} | {r for r in OLD if r[1] in ("2024-01-02", "2024-01-12")}
+        assert as_set(table.read("cohort_date")) == as_set(fact(spark, sorted(want)))
+
+
+def test_a_merge_into_a_stored_table_equals_a_merge_into_a_folder(spark, raw):
+    table = L.StoredTable(SnapshotStore(spark, shared_scratch_path(spark, "stored_stg")), "stg_events")
+    L.merge_increment(table, raw.where(F.expr(DAY) < d("2024-01-10")))
+    opened = len(table.store.current().parts("stg_events"))
+    out = L.merge_increment(table, raw.where(F.expr(DAY) >= d("2024-01-08")))
+    assert opened == 9 and out.count() == staging.stg_events(raw).count()

@@ -32,6 +32,17 @@ def test_dedup_lowest_bundle_nulls_last(spark):
     assert got == {"u": "b", "v": "e"}
 
 
+def test_dedup_does_not_depend_on_the_order_of_copies(spark):
+    """Copies with equal sequence numbers that differ in one column only, in both orders."""
+    base = dict(user_pseudo_id="u", event_timestamp=1, event_name="e", event_bundle_sequence_id=3, event_server_timestamp_offset=1)
+    for column, values in {"platform": ["IOS", "ANDROID", None], "event_previous_timestamp": [7, None, 3],
+                           "geo": [{"country": "B"}, {"country": "A"}, None], "event_params": [[], None, [
+                               {"key": "ga_session_id", "value": {"int_value": 4}}]]}.items():
+        rows = [dict(base, **{column: v}) for v in values]
+        got = {str(staging.stg_events(_raw(spark, order).coalesce(1)).collect()) for order in (rows, rows[::-1], rows[1:] + rows[:1])}
+        assert len(got) == 1, column
+
+
 def test_dedup_plans_partial_top1_before_shuffle(spark):
     raw = _raw(spark, [dict(user_pseudo_id="u", event_timestamp=1, event_name="e")])
     plan = staging.stg_events(raw)._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,7 @@ from conftest import d, dec, make_stg
 from pyspark.sql import functions as F
 
 from cohortflow.operators import quality as Q
+from cohortflow.operators.spine import published
 from cohortflow.plans.pipeline import Pipeline
 from cohortflow.plans.quality_sql import suite_sql
 
@@ -67,6 +68,22 @@ def test_spine_check_can_fail(spark):
     assert got == {"not_null": 1, "unique": 1, "accepted_range": 1}
 
 
+@pytest.mark.parametrize("spoil, kind, n", [
+    (lambda m: m, None, 0),
+    (lambda m: m.where("NOT (cohort_date = DATE'2024-01-02' AND day_number = 3)"), "not_null", 1),       # a later cohort lacks a day
+    (lambda m: m.where("day_number <> 3"), "not_null", 1),                                                # all lack it
+    (lambda m: m.unionByName(m.where("cohort_date = DATE'2024-01-02' AND day_number = 2")), "unique", 1),  # one has it twice
+    (lambda m: m.unionByName(m.where("cohort_date = DATE'2024-01-02' AND day_number = 2").withColumn("day_number", F.lit(5))),
+     "accepted_range", 1),
+])
+def test_spine_checks_see_every_cohort(spark, spoil, kind, n):
+    mart = spark.sql("SELECT DATE'2024-01-01' + c AS cohort_date, d AS day_number FROM "
+                     "(SELECT explode(sequence(0, 2)) AS c) LATERAL VIEW explode(sequence(0, 4)) AS d")
+    checks = [c for c in Q.pipeline_checks(4) if c.table == "day_numbers"]
+    got = {r.kind: r.n_violations for r in Q.run_checks(spark, {"day_numbers": published(spoil(mart), 4)}, checks).collect()}
+    assert got == {"not_null": 0, "unique": 0, "accepted_range": 0} | ({kind: n} if kind else {})
+
+
 def test_sql_names_the_same_checks():
     names = {(c.check_id, c.severity) for c in Q.pipeline_checks(30)}
     assert len(names) == 71
