@@ -4,7 +4,8 @@ Generic checks (7 kinds) return the violating rows — empty means pass — and
 ``run_checks`` evaluates a whole suite into one row per check. Row-level kinds
 (not_null, accepted_values, accepted_range, expression_is_true) of the same
 table are folded into ONE aggregation pass (``count_if`` per check, then an
-unpivot), so a suite of 35 not-null checks costs one scan, not 35. Uniqueness
+unpivot), so a suite of 35 not-null checks costs one scan, not 35; counted while
+the table is written (``row_metrics``), they cost none. Uniqueness
 is a ``groupBy`` with map-side partial counts; relationships a ``left_anti``.
 
 Expressions are SQL text with the NULL rule of the reference's generic test:
@@ -124,15 +125,30 @@ def _result(c: Check, n: Column) -> Column:
                     n.cast("bigint").alias("n_violations"))
 
 
-def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def row_metrics(checks: Sequence[Check], table: str, only: Column | None = None) -> dict[str, Column]:
+    """Counts of the row-level checks of ``table``, by check id, to be taken while its rows (or those
+    ``only`` holds for) are written."""
+    return {c.check_id: F.count_if(c.violation_condition() if only is None else only & c.violation_condition())
+            for c in checks if c.table == table and c.kind in ROW_LEVEL}
+
+
+def run_checks(spark: SparkSession, tables: Mapping[str, DataFrame], checks: Sequence[Check],
+               counted: Mapping[str, int] | None = None) -> DataFrame:
     """One row per check: check_id, table_name, kind, severity, n_violations, status.
 
     Check metadata rides along as literals, so the suite is one union of
-    per-table aggregates with no joins and no driver-built tables.
+    per-table aggregates with no joins and no driver-built tables. ``counted`` holds
+    counts of row-level checks taken while the tables were written; those add no scan.
     """
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
+    known = [c for c in checks if c.check_id in (counted or {})]
+    if known:
+        rows = F.array(*[_result(c, F.lit(counted[c.check_id])) for c in known])
+        parts.append(spark.range(1).select(F.explode(rows).alias("r")))
     for c in checks:
+        if c in known:
+            continue
         if c.kind in ROW_LEVEL:
             by_table.setdefault(c.table, []).append(c)
         else:

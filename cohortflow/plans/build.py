@@ -38,9 +38,9 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def _gate(spark: SparkSession, tables: dict[str, DataFrame], checks: list[Q.Check]) -> list:
+def _gate(spark: SparkSession, tables: dict[str, DataFrame], checks: list[Q.Check], counted: dict[str, int] | None = None) -> list:
     """Run the checks once; their rows (one a check, 71 in all) serve the gate and the summary."""
-    rows = Q.run_checks(spark, tables, checks).collect()
+    rows = Q.run_checks(spark, tables, checks, counted).collect()
     failed = [r for r in rows if r.status == "fail"]
     if failed:
         raise QualityGateError("; ".join(f"{r.check_id}={r.n_violations}" for r in failed))
@@ -61,7 +61,7 @@ def run_build(spark: SparkSession, raw: DataFrame | str, out_dir: str, max_day:
         results = _gate(spark, {"source_events": raw}, [c for c in checks if c.table == "source_events"])
         results += _gate(spark, {"stg_events": pipe.stg_events}, [c for c in checks if c.table == "stg_events"])
         tables = pipe.tables() | {"day_numbers": spine.published(pipe.mart_retention_overall, max_day)}
-        results += _gate(spark, tables, [c for c in checks if c.table not in ("source_events", "stg_events")])
+        results += _gate(spark, tables, [c for c in checks if c.table not in ("source_events", "stg_events")], pipe.counted)
         for name, df in tables.items():
             part, cluster = LAYOUT.get(name, ([], []))
             L.write_table(df, f"{out_dir.rstrip('/')}/{name}", part, cluster)

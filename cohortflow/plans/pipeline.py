@@ -10,14 +10,14 @@ aggregation), (3) one exchange of user-day rows into user buckets. The install
 aggregate and the fact join then read bucketed files without any exchange.
 Marts work on cohort x day rows only.
 
-``persist=True`` writes staging (parquet) and the user-keyed tables (rollup,
+``persist=True`` writes staging (bucketed by event key) and the user-keyed tables (rollup,
 install, dimension and fact, bucketed by user) to the shared checkpoint folder
 (``spark.checkpoint.dir``) and re-reads them: lineage is cut there, an executor
 loss later re-reads files instead of re-running the dedup, every downstream
 table starts from a pruned file scan, and the bucketed rollup feeds the install
 aggregate and the fact join without any exchange. The fact is written once, as
-the reference's table is, and each mart and check scans it. ``close`` deletes
-the written tables.
+the reference's table is, and each mart and check scans it. The row-level
+quality checks are counted by these writes. ``close`` deletes the written tables.
 """
 
 from __future__ import annotations
@@ -25,13 +25,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import constants as C
-from cohortflow.operators import daily, marts, spine, staging, users
+from cohortflow.operators import daily, marts, quality, spine, staging, users
 from cohortflow.session import Scratch, path_bytes
 from cohortflow.sources.adapter import adapt_events, adapt_orders
+from cohortflow.sources.schema import EVENT_KEY
 
 
 #: Staged bytes a bucket, and the buckets of a small table.
@@ -48,6 +49,7 @@ class Pipeline:
         self.persist = persist
         self.p99 = p99
         self.scratch = Scratch(self.spark)
+        self._metrics: dict[str, dict[str, int]] = {}  # row-level checks counted by the writes
 
     def close(self) -> None:
         """Delete what ``persist`` has written; the pipeline's tables cannot be read afterwards."""
@@ -63,8 +65,23 @@ class Pipeline:
         self.stg_events  # noqa: B018 - written first
         return max(MIN_BUCKETS, -(-path_bytes(self.spark, self.scratch.path_of["stg_events"]) // BUCKET_BYTES))
 
-    def _bucketed(self, df: DataFrame, name: str) -> DataFrame:
-        return self.scratch.bucketed(df, name, "user_pseudo_id", self.buckets) if self.persist else df
+    def _bucketed(self, df: DataFrame, name: str, *tables: tuple[str, Column | None]) -> DataFrame:
+        if not self.persist:
+            return df
+        return self.scratch.bucketed(df, name, "user_pseudo_id", self.buckets, self._watch(name, *tables))
+
+    def _watch(self, name: str, *tables: tuple[str, Column | None]) -> dict:
+        """Counts to take while ``name`` is written: the row-level checks of the tables that are its rows, or some of them."""
+        checks = quality.pipeline_checks(self.max_day)
+        self._metrics[name] = {k: v for table, only in tables for k, v in quality.row_metrics(checks, table, only).items()}
+        return self._metrics[name]
+
+    @property
+    def counted(self) -> dict[str, int]:
+        """Violations of row-level checks by check id, as counted while the tables were written."""
+        if self.persist:
+            self.tables()
+        return {check: n for found in self._metrics.values() for check, n in found.items()}
 
     # -- constructors over the driver tables --------------------------------
     @classmethod
@@ -79,7 +96,10 @@ class Pipeline:
     @cached_property
     def stg_events(self) -> DataFrame:
         stg = staging.stg_events(self.raw)
-        return self.scratch.table(stg, "stg_events") if self.persist else stg
+        # the dedup's own exchange is on the event key: its partitions become the buckets, so a check or
+        # aggregate on that key reads them without shuffling the events again
+        return self.scratch.bucketed(stg, "stg_events", EVENT_KEY, None, self._watch("stg_events", ("stg_events", None))) \
+            if self.persist else stg
 
     # -- user / user-day --------------------------------------------------------
     @cached_property
@@ -87,7 +107,7 @@ class Pipeline:
         r = daily.user_day_rollup(self.stg_events)
         # user-day rows: a hot user has one row per active day here, so the
         # bucketing exchange is skew-safe.
-        return self._bucketed(r, "user_day")
+        return self._bucketed(r, "user_day", ("int_user_daily_activity", None), ("int_user_daily_revenue", F.col("n_purchases") > 0))
 
     @cached_property
     def int_user_install(self) -> DataFrame:
@@ -95,14 +115,14 @@ class Pipeline:
         # user grain, bucketed like the rollup: the dimension, the p99 and the
         # fact join all read it without recomputing the first-event aggregate,
         # and the fact join stays a bucket-to-bucket merge join.
-        return self._bucketed(inst, "install")
+        return self._bucketed(inst, "install", ("int_user_install", None))
 
     @cached_property
     def dim_users(self) -> DataFrame:
         dim = users.dim_users(self.int_user_install, self.p99)
         # written once: the global p99 is evaluated a single time, and every
         # consumer (grids, checks, reports) reads the bucketed dimension
-        return self._bucketed(dim, "dim_users")
+        return self._bucketed(dim, "dim_users", ("dim_users", None))
 
     @cached_property
     def int_user_daily_activity(self) -> DataFrame:
@@ -114,7 +134,7 @@ class Pipeline:
 
     @cached_property
     def fact_enriched(self) -> DataFrame:
-        return self._bucketed(daily.fact_enriched(self.rollup, self.int_user_install), "fct_enriched")
+        return self._bucketed(daily.fact_enriched(self.rollup, self.int_user_install), "fct_enriched", ("fct_user_daily", None))
 
     @cached_property
     def fct_user_daily(self) -> DataFrame:
@@ -153,7 +173,7 @@ class Pipeline:
         """Marts are final tables (cohort x day x slice rows): written once so
         every report and check reads the small table instead of rescanning
         the user-day rollup."""
-        return self.scratch.table(df, name) if self.persist else df
+        return self.scratch.table(df, name, self._watch(name, (name, None))) if self.persist else df
 
     @cached_property
     def report_dates(self) -> DataFrame:

@@ -35,7 +35,7 @@ def pipeline_tables(spark, sf_dir):
 
 CHECKS = Q.pipeline_checks(MAX_DAY)
 register("dq_suite", sql_prefix() + suite_sql())(
-    lambda spark, sf_dir: Q.run_checks(spark, pipeline_tables(spark, sf_dir), CHECKS))
+    lambda spark, sf_dir: Q.run_checks(spark, pipeline_tables(spark, sf_dir), CHECKS, pipeline(spark, sf_dir).counted))
 
 for _kind in ("not_null", "unique", "unique_combination", "accepted_values", "accepted_range",
               "relationships", "expression_is_true"):

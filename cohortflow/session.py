@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 DEFAULT_CHECKPOINT_DIR = "/tmp/cohortflow-checkpoints"
 
@@ -113,32 +114,61 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
         fs.delete(old, True)
 
 
+def _observed(df: DataFrame, metrics: dict[str, Column] | None) -> tuple[DataFrame, Observation | None]:
+    if not metrics:
+        return df, None
+    observation = Observation()
+    return df.observe(observation, *[c.alias(f"m{i}") for i, c in enumerate(metrics.values())]), observation
+
+
+def _collect(observation: Observation | None, metrics: dict | None) -> None:
+    """Put the counted values in the place of their expressions."""
+    if observation is not None:
+        found = observation.get
+        for i, name in enumerate(list(metrics)):
+            metrics[name] = found[f"m{i}"]
+
+
 class Scratch:
-    """Written intermediates of one run; ``close`` deletes them and their catalog entries."""
+    """Written intermediates of one run; ``close`` deletes them and their catalog entries.
+
+    ``metrics`` are counted while a table is written (``DataFrame.observe``): no scan of their own.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths, self.tables = spark, [], []
         self.path_of: dict[str, str] = {}  # the last path written under a name
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = shared_scratch_path(self.spark, name)
+    def _path(self, name: str) -> str:
+        path = self.path_of[name] = shared_scratch_path(self.spark, name)
         self.paths.append(path)
-        self.path_of[name] = path
-        df.write.mode("overwrite").parquet(path)
+        return path
+
+    def table(self, df: DataFrame, name: str, metrics: dict[str, Column] | None = None) -> DataFrame:
+        path = self._path(name)
+        watched, observation = _observed(df, metrics)
+        watched.write.mode("overwrite").parquet(path)
+        _collect(observation, metrics)
         return self.spark.read.schema(df.schema).parquet(path)  # no job to read footers
 
-    def bucketed(self, df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    def bucketed(self, df: DataFrame, name: str, key: str | Sequence[str], buckets: int | None = None,
+                 metrics: dict[str, Column] | None = None) -> DataFrame:
         """Write ``df`` bucketed by ``key`` and read it back.
 
         The re-read scan reports HashPartitioning(key), so every later aggregate or join on
         ``key`` runs without another exchange (co-located buckets). The hash matches
-        ``repartition(n, key)``, so each task writes one file per bucket it owns.
+        ``repartition(n, key)``, so each task writes one file per bucket it owns. Without
+        ``buckets``, ``df`` must come out of an exchange on ``key``: that exchange's partitions
+        are the buckets, and nothing is shuffled for them.
         """
-        path, table = shared_scratch_path(self.spark, name), f"cohortflow_{name}_{uuid.uuid4().hex[:12]}"
-        self.paths.append(path)
+        path, table = self._path(name), f"cohortflow_{name}_{uuid.uuid4().hex[:12]}"
         self.tables.append(table)
-        (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-           .option("path", path).format("parquet").saveAsTable(table))
+        keys = [key] if isinstance(key, str) else list(key)
+        spread = df.repartition(buckets, *keys) if buckets else df
+        watched, observation = _observed(spread, metrics)
+        writer = watched.write.mode("overwrite").bucketBy(buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+        (writer.sortBy(*keys) if buckets else writer).option("path", path).format("parquet").saveAsTable(table)
+        _collect(observation, metrics)
         return self.spark.table(table)
 
     def close(self) -> None:

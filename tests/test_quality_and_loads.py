@@ -94,3 +94,30 @@ def test_build_publishes_all_tables_and_gates(spark):
         raise AssertionError("gate did not stop the build")
     except QualityGateError as e:
         assert "accepted_values__source_events__platform" in str(e)
+
+
+def test_row_checks_are_counted_while_tables_are_written(spark):
+    """The counts equal a scan's, also where there are violations, and the suite's plan scans less."""
+    p = Pipeline.from_events(spark, SF)
+    spoilt = p.raw.withColumn("platform", F.when(F.pmod(F.xxhash64("user_pseudo_id"), F.lit(7)) == 0, F.lit(None)).otherwise(F.col("platform")))
+    pipe = Pipeline(spoilt, persist=True)
+    checks = [c for c in Q.pipeline_checks() if c.kind in Q.ROW_LEVEL and c.table not in ("source_events", "day_numbers")]
+    tables, counted = pipe.tables(), pipe.counted
+    assert set(counted) == {c.check_id for c in checks}
+    scanned = {r.check_id: r.n_violations for r in Q.run_checks(spark, tables, checks).collect()}
+    assert counted == scanned and scanned["not_null__stg_events__platform"] > 0 and scanned["not_null__dim_users__install_platform"] > 0
+    plan = lambda known: Q.run_checks(spark, tables, checks, known)._jdf.queryExecution().executedPlan().toString()
+    assert plan(None).count("FileScan") >= 9 and plan(counted).count("FileScan") == 0
+    pipe.close()
+
+
+def test_event_key_check_reads_buckets_without_exchange(spark):
+    """Staging is bucketed by the dedup's own exchange: neither the write nor the check shuffles all events once more."""
+    pipe = Pipeline(Pipeline.from_events(spark, SF).raw, persist=True)
+    key = ["user_pseudo_id", "event_timestamp", "event_name"]
+    plan = Q.dq_unique_combination(pipe.stg_events, key)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert Q.dq_unique_combination(pipe.stg_events, key).count() == 0
+    twice = pipe.stg_events.unionByName(pipe.stg_events.limit(3))
+    assert Q.dq_unique_combination(twice, key).count() == 3
+    pipe.close()
