@@ -83,7 +83,8 @@ def drop_boilerplate(pages: DataFrame, host: Column, lines: Column, id_col: str
 
 def query(pages: DataFrame) -> DataFrame:
     """op7 over all pages: what is left of each page's lines."""
-    out = drop_boilerplate(pages.select("page_id", "url", "html"), host_of(F.col("url")), html_lines(F.col("html")))
+    parsed = land(pages.select("page_id", host_of(F.col("url")).alias("host"), html_lines(F.col("html")).alias("lines")), "line_parsed")
+    out = drop_boilerplate(parsed, F.col("host"), F.col("lines"))  # html is parsed once, its lines are read twice
     return out.select("page_id", F.col("dedup_host").alias("host"), F.col("dedup_lines").alias("n_lines"),
                       F.col("dedup_dropped").alias("n_dropped"), F.col("dedup_text").alias("text"))
 
