@@ -33,14 +33,17 @@ def _with_share(grouped: DataFrame, n: str, share: str, name: str) -> DataFrame:
     return landed.withColumn(share, F.col(n).cast("double") / total)
 
 
-def prof_volume(raw: DataFrame) -> DataFrame:
-    return raw.agg(
+def prof_volume(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """``users``: the counts of ``distinct.DistinctUsers`` for question ``all``; without them users are counted here.
+    So for the other profiles that count users by a key."""
+    found = raw.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("user_pseudo_id").alias("n_users"),
+        *([] if users is not None else [F.count_distinct("user_pseudo_id").alias("n_users")]),
         F.count_distinct("user_id").alias("n_user_ids"),
         F.min("event_date").alias("min_event_date"), F.max("event_date").alias("max_event_date"),
         F.min("event_timestamp").alias("min_event_timestamp"), F.max("event_timestamp").alias("max_event_timestamp"),
     )
+    return found if users is None else found.withColumn("n_users", F.coalesce(users.select("n_users").scalar(), F.lit(0)))
 
 
 def prof_daily_cap(raw: DataFrame) -> DataFrame:
@@ -49,7 +52,9 @@ def prof_daily_cap(raw: DataFrame) -> DataFrame:
     return per_day.select("event_date", "n_rows", spread.alias("is_constant"))
 
 
-def prof_platform_split(raw: DataFrame) -> DataFrame:
+def prof_platform_split(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    if users is not None:
+        return users.select(F.col("k1").alias("platform"), "n_rows", "n_users")
     return raw.groupBy("platform").agg(F.count(F.lit(1)).alias("n_rows"),
                                        F.count_distinct("user_pseudo_id").alias("n_users"))
 
@@ -98,9 +103,10 @@ def prof_prev_ts_anomaly(raw: DataFrame) -> DataFrame:
         F.count_if(F.col("event_previous_timestamp") >= F.col("event_timestamp")).alias("n_prev_ge_current"))
 
 
-def prof_event_vocabulary(raw: DataFrame) -> DataFrame:
+def prof_event_vocabulary(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
     grouped = raw.groupBy("event_name").agg(
-        F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_pseudo_id").alias("n_users"))
+        F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_pseudo_id").alias("n_users")) if users is None else \
+        users.select(F.col("k1").alias("event_name"), F.col("n_rows").alias("n_events"), "n_users")
     return _with_share(grouped, "n_events", "share_events", "event_vocabulary").orderBy(F.col("n_events").desc(), F.col("event_name"))
 
 
@@ -196,10 +202,11 @@ def prof_literal_nan(raw: DataFrame) -> DataFrame:
                    F.count(F.lit(1)).alias("n_rows"))
 
 
-def prof_traffic_mix(raw: DataFrame) -> DataFrame:
+def prof_traffic_mix(raw: DataFrame, users: DataFrame | None = None) -> DataFrame:
     grouped = raw.groupBy(F.col("traffic_source.source").alias("source"),
                           F.col("traffic_source.medium").alias("medium")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_pseudo_id").alias("n_users"))
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_pseudo_id").alias("n_users")) if users is None else \
+        users.select(F.col("k1").alias("source"), F.col("k2").alias("medium"), "n_rows", "n_users")
     return _with_share(grouped, "n_rows", "share_rows", "traffic_mix")
 
 

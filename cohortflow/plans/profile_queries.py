@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortflow.operators import profile as P
 from cohortflow.operators import staging
+from cohortflow.operators.distinct import DistinctUsers
 from cohortflow.plans import oracle
 from cohortflow.plans.registry import MAX_DAY, pipeline, register
+from cohortflow.session import shared_scratch_path
+from cohortflow.sources.snapshots import SnapshotStore
+
+UTC_DAY = "CAST(timestampadd(MICROSECOND, event_timestamp, TIMESTAMP_NTZ'1970-01-01 00:00:00') AS DATE)"
 
 
 def _sql(body: str) -> str:
@@ -19,17 +26,37 @@ def _raw(fn):
     return lambda spark, d: fn(pipeline(spark, d).raw)
 
 
+_DISTINCT: dict[tuple[str, str], DistinctUsers] = {}
+
+
+def distinct_users(spark, d) -> DistinctUsers:
+    """Bitmaps of the raw events: the older days first, then the newer ones and one day again. Once a session and folder."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _DISTINCT:
+        raw, day = pipeline(spark, d).raw, F.expr(UTC_DAY)
+        found = DistinctUsers(SnapshotStore(spark, shared_scratch_path(spark, "distinct_users")), day)
+        cut = F.date_sub(raw.agg(F.max(day)).scalar(), 7)
+        found.update(raw.where(day < cut))
+        found.update(raw.where(day >= F.date_sub(cut, 1)))
+        _DISTINCT[key] = found
+    return _DISTINCT[key]
+
+
+def _by_bitmaps(fn, question: str):
+    return lambda spark, d: fn(pipeline(spark, d).raw, distinct_users(spark, d).counts(question))
+
+
 register("prof_volume", _sql("""SELECT count(*) AS n_rows, count(DISTINCT user_pseudo_id) AS n_users,
        count(DISTINCT user_id) AS n_user_ids, min(event_date) AS min_event_date, max(event_date) AS max_event_date,
        min(event_timestamp) AS min_event_timestamp, max(event_timestamp) AS max_event_timestamp
-FROM raw_events"""))(_raw(P.prof_volume))
+FROM raw_events"""))(_by_bitmaps(P.prof_volume, "all"))
 
 register("prof_daily_cap", _sql("""SELECT event_date, n_rows,
        (SELECT min(n_rows) = max(n_rows) FROM (SELECT count(*) AS n_rows FROM raw_events GROUP BY event_date)) AS is_constant
 FROM (SELECT event_date, count(*) AS n_rows FROM raw_events GROUP BY event_date)"""))(_raw(P.prof_daily_cap))
 
 register("prof_platform_split", _sql("""SELECT platform, count(*) AS n_rows, count(DISTINCT user_pseudo_id) AS n_users
-FROM raw_events GROUP BY platform"""))(_raw(P.prof_platform_split))
+FROM raw_events GROUP BY platform"""))(_by_bitmaps(P.prof_platform_split, "platform"))
 
 register("prof_events_per_user", _sql("""SELECT quantile_cont(n_events, 0.5) AS p50, quantile_cont(n_events, 0.9) AS p90,
        quantile_cont(n_events, 0.99) AS p99, max(n_events) AS max_events
@@ -60,7 +87,7 @@ FROM raw_events"""))(_raw(P.prof_prev_ts_anomaly))
 
 register("prof_event_vocabulary", _sql("""SELECT event_name, count(*) AS n_events, count(DISTINCT user_pseudo_id) AS n_users,
        CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM raw_events) AS share_events
-FROM raw_events GROUP BY event_name ORDER BY n_events DESC, event_name"""))(_raw(P.prof_event_vocabulary))
+FROM raw_events GROUP BY event_name ORDER BY n_events DESC, event_name"""))(_by_bitmaps(P.prof_event_vocabulary, "event"))
 
 register("prof_param_keys", _sql("""SELECT key, count(*) AS n, count(v.string_value) AS n_string, count(v.int_value) AS n_int,
        count(v.float_value) AS n_float, count(v.double_value) AS n_double,
@@ -123,7 +150,7 @@ FROM raw_events"""))(_raw(P.prof_literal_nan))
 register("prof_traffic_mix", _sql("""SELECT traffic_source_source AS source, traffic_source_medium AS medium, count(*) AS n_rows,
        count(DISTINCT user_pseudo_id) AS n_users,
        CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM raw_events) AS share_rows
-FROM raw_events GROUP BY 1, 2"""))(_raw(P.prof_traffic_mix))
+FROM raw_events GROUP BY 1, 2"""))(_by_bitmaps(P.prof_traffic_mix, "traffic"))
 
 register("prof_revenue_signals", _sql("""SELECT
     (SELECT count(DISTINCT user_pseudo_id) FROM raw_events
