@@ -8,16 +8,18 @@ a document that fails the base rule is rejected whatever its host.
 
 Defined cases: a null or blank text has no words and fails the base rule; a null host is a
 host of its own; repeated rows are measured and counted each; an empty table gives an empty
-result; extra columns are kept and never read. Repeated windows are found by 64-bit hashes of
+result; extra columns are kept and never read (those named like the added ones are replaced). Repeated windows are found by 64-bit hashes of
 their three words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.common import SPACES, land, words
+from cohortflow.llm.common import SPACES, land, unpacked, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -89,33 +91,40 @@ def host_verdicts(measured: DataFrame, host_col: str, max_rate: float = MAX_HOST
     return hosts.withColumn("host_bad", bad)
 
 
-def apply_rules(docs: DataFrame, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Measures, base rule and final verdict by document.
+#: Columns that ``apply_rules`` adds.
+RULES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "host_bad", "kept")
+
+
+def apply_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", columns: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` with the measures, the base rule, the host's verdict and the final one (``RULES``).
 
-    The text is read once: its measures are written as a thin table that the host aggregate and
-    the join back read. A verdict is one row a host; the join is broadcast only if the size of
-    that written table allows it, else the adaptive skew join splits a hot host.
+    The text is read once: its measures are written beside the document's ``columns`` (all by default;
+    a few keep what is written thin), and the host aggregate and the join back read that table. A verdict
+    is one row a host; the join is broadcast only if the size of that written table allows it, else the
+    adaptive skew join splits a hot host.
     """
-    thin = measure(docs.select(F.col(id_col).alias("_id"), F.col(host_col).alias("_host_of"), F.col(text_col).alias("_text")),
-                   ["_id", "_host_of"], "_text")
+    kept = docs.columns if columns is None else list(columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
+    thin = measure(docs.select(row, F.col(host_col).alias("_host_of"), F.col(text_col).alias("_text")), ["_row", "_host_of"], "_text")
     thin = land(thin.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                                 | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))), "rule_measures")
     verdicts = land(host_verdicts(thin, "_host_of").select("_host", "host_bad"), "rule_verdicts")
-    return (thin.join(verdicts, F.col("_host_of").eqNullSafe(F.col("_host")), "left")
-            .withColumn("kept", ~F.col("base_failed") & ~F.col("host_bad"))
-            .withColumnRenamed("_id", id_col).drop("_host", "_host_of"))
+    judged = (thin.join(verdicts, F.col("_host_of").eqNullSafe(F.col("_host")), "left")
+              .withColumn("kept", ~F.col("base_failed") & ~F.col("host_bad")))
+    return unpacked(judged, *RULES)
 
 
 def query(docs: DataFrame) -> DataFrame:
     """Contract of op10 over all documents."""
-    return apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                    "base_failed", "kept", "host_bad")
+    return apply_rules(docs, columns=["doc_id"]).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                                        "base_failed", "kept", "host_bad")
 
 
 SQL = r"""
 WITH w AS (
   SELECT doc_id, source, coalesce(text, '') AS t,
-         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws,
          row_number() OVER () AS rid
   FROM documents),
 win AS (
@@ -126,7 +135,8 @@ cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i
 ln AS (
   SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup
   FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM w)
-  WHERE regexp_matches(l, '[^ 	-]') GROUP BY rid),
+  WHERE regexp_matches(l, '[^ 	-
+]') GROUP BY rid),
 m AS (
   SELECT w.doc_id, w.source, len(ws)::BIGINT AS n_words,
          coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,

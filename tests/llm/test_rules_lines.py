@@ -49,6 +49,15 @@ def test_rules_of_awkward_rows(spark):
     assert host_rules.query(empty(spark)).collect() == []
 
 
+def test_documents_keep_their_columns(spark):
+    docs = documents(spark).selectExpr("*", "1 as kept", "2 as _host_of", "3 as _h")
+    out = host_rules.apply_rules(docs)
+    assert out.columns == [c for c in docs.columns if c not in host_rules.RULES] + list(host_rules.RULES)
+    got = out.collect()
+    assert sorted(repr((r["doc_id"], r["text"])) for r in got) == sorted(repr(r[:2]) for r in rows())
+    assert all(r["_host_of"] == 2 and r["_h"] == 3 and r["kept"] in (True, False) for r in got)
+
+
 def test_rules_match_sql(spark):
     assert matches_sql(spark, "op10_host_rules")
 
