@@ -77,7 +77,8 @@ def test_pipeline_of_nothing(spark, tmp_path):
 def test_ten_operators_are_registered():
     names = E.queries()
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
-    assert set(registry.ORACLE) == {"op4_decontamination", "op7_line_dedup", "op8_source_mixing", "op9_chat_parts", "op10_host_rules"}
+    assert set(registry.ORACLE) == {"op4_decontamination", "op7_line_dedup", "op8_source_mixing", "op9_chat_parts", "op10_host_rules",
+                                    "op11_link_graph", "op12_fill_in_middle"}
 
 
 def test_entry_works_without_the_subpackage(monkeypatch):
