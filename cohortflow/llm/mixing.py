@@ -7,8 +7,8 @@ then gives ``epochs = target / size`` repetitions: the whole part to each docume
 fraction to the documents that come first in a seeded hash order.
 
 Defined cases: a null or blank text has size 0 and is taken 0 words; a null source is a
-source of its own, ordered last; a null ``doc_id`` hashes as the empty string; repeated
-rows share one hash position and are taken alike; an empty table gives an empty result;
+source of its own, ordered last; a null ``doc_id`` hashes as the empty string, and documents
+that share an id have positions by their texts; rows equal in both are taken alike; an empty table gives an empty result;
 extra columns are kept and never read (``mix`` replaces those
 named like the ones it adds).
 """
@@ -28,10 +28,11 @@ HASH_HEX = 12  # 48 bits
 MIX = ("mix_size", "mix_source_size", "mix_target", "mix_reps")
 
 
-def _position(id_col: Column, seed: int) -> Column:
-    """Seeded position of a document, 48 bits (md5, so that SQL can repeat it)."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_HEX), 16, 10).cast("long")
+def _position(id_col: Column, text: Column, seed: int) -> Column:
+    """Seeded position of a document, 48 bits (md5, so that SQL can repeat it); of one id, each text has its own."""
+    text_hash = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    key = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("")), F.lit(":"), text_hash)
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, HASH_HEX), 16, 10).cast("long")
 
 
 def water_fill(sizes: DataFrame, weights: tuple[float, ...], total_share: float, max_epochs: float) -> DataFrame:
@@ -63,7 +64,7 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total_share: f
          text_col: str = "text") -> DataFrame:
     """One row a source: size, target, whole repetitions and the hash cut of the fraction."""
     thin = land(docs.select(F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"),
-                            _position(F.col(id_col), seed).alias("_u")), "mix_positions")
+                            _position(F.col(id_col), F.col(text_col), seed).alias("_u")), "mix_positions")
     bin_of = F.shiftright(F.col("_u"), 4 * HASH_HEX - BIN_BITS)
     bins = land(thin.groupBy("_source", bin_of.alias("_bin")).agg(F.sum("_size").alias("_words")), "mix_bins")
     sizes = bins.groupBy("_source").agg(F.sum("_words").alias("source_size"))
@@ -104,7 +105,7 @@ def _mixed(docs: DataFrame, weights: tuple[float, ...], total_share: float, max_
     sources = plan(docs, weights, total_share, max_epochs, seed, id_col, source_col, text_col)
     sources = sources.select("_source", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
                              "whole", "cut")
-    rows = packed(docs, _of=F.col(source_col), mix_size=word_count(F.col(text_col)), _u=_position(F.col(id_col), seed))
+    rows = packed(docs, _of=F.col(source_col), mix_size=word_count(F.col(text_col)), _u=_position(F.col(id_col), F.col(text_col), seed))
     taken = F.col("whole") + (F.col("_u") <= F.col("cut")).cast("long")
     return rows.join(sources, F.col("_of").eqNullSafe(F.col("_source")), "left").withColumn(
         "mix_reps", F.when(F.col("mix_size") > 0, taken).otherwise(F.lit(0)).cast("long"))
@@ -135,7 +136,7 @@ def query(docs: DataFrame) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT AS u
+         ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 12))::BIGINT AS u
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) AS k FROM s),

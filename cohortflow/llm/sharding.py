@@ -3,14 +3,15 @@
 The metadata dimensions are the language, the source and the length. Each value falls into
 one of 4,096 bins (names by hash, lengths by logarithm). A document's coordinate in a
 dimension is its place in the running byte sum over that dimension's bins, spread inside the
-bin by a hash of its id, so even one value that holds a third of all bytes can be cut.
+bin by a hash of its id and text, so even one value that holds a third of all bytes can be cut.
 A node that must hold k shards is cut in its widest dimension (the spread of its bins against
 the whole table's) at the weighted median, or at the k/2 : k share where k is odd, until every
 leaf has the target bytes. Each level is two aggregates over a thin written table; the driver
 sees one row a node.
 
 Defined cases: a null text has 0 bytes and still its overhead; null metadata is a value of its
-own; null or repeated ids hash alike and keep their own slots; an empty table gives an empty
+own; documents that share an id, or have none, are told apart by their texts, rows equal in both
+lie together and keep their own slots; an empty table gives an empty
 result; extra columns are kept and never read (``shard`` and
 ``slot`` are replaced).
 """
@@ -62,9 +63,9 @@ def _bins(lang: str, source: str, size: Column) -> list[Column]:
             F.least(F.lit(BINS - 1), F.floor(F.log2(size + 1) * 96)).cast("long")]
 
 
-def _spread(id_col: Column, dim: int) -> Column:
+def _spread(dim: int) -> Column:
     """Where in its bin a document lies: 24 hash bits as a share of 1."""
-    return unsigned_hash(id_col, F.lit(f"dim{dim}"), bits=24) / F.lit(float(1 << 24))
+    return unsigned_hash(F.col("_id"), F.col("_text_hash"), F.lit(f"dim{dim}"), bits=24) / F.lit(float(1 << 24))
 
 
 def _when(nodes: list[Node], value) -> Column:
@@ -91,10 +92,10 @@ def _coordinates(df: DataFrame, places: list[DataFrame]) -> DataFrame:
     return df
 
 
-def keyed(docs: DataFrame, size: Column, id_col: str, lang_col: str, source_col: str) -> DataFrame:
-    df = packed(docs, _id=F.col(id_col), _lang=F.col(lang_col), _source=F.col(source_col), _size=size)
+def keyed(docs: DataFrame, size: Column, text_hash: Column, id_col: str, lang_col: str, source_col: str) -> DataFrame:
+    df = packed(docs, _id=F.col(id_col), _text_hash=text_hash, _lang=F.col(lang_col), _source=F.col(source_col), _size=size)
     for i, b in enumerate(_bins("_lang", "_source", F.col("_size"))):
-        df = df.withColumn(f"_b{i}", b).withColumn(f"_t{i}", _spread(F.col("_id"), i))
+        df = df.withColumn(f"_b{i}", b).withColumn(f"_t{i}", _spread(i))
     return df
 
 
@@ -152,25 +153,27 @@ def fit(thin: DataFrame, shards: int) -> Tree:
 
 
 def shard(docs: DataFrame, size: Column, shards: int = 40, id_col: str = "doc_id",
-          lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+          lang_col: str = "lang", source_col: str = "source", text_hash: Column | None = None) -> DataFrame:
     """Every row of ``docs`` with its ``shard`` and its gapless ``slot`` in the shard.
 
-    ``size`` is the weight to balance. The rows move once, into blocks of their shards.
+    ``size`` is the weight to balance; ``text_hash`` (of column ``text``, if not given) tells documents of
+    one id apart. The rows move once, into blocks of their shards.
     """
     dims = range(len(DIMS))
-    df = keyed(docs, size, id_col, lang_col, source_col)
+    df = keyed(docs, size, F.xxhash64("text") if text_hash is None else text_hash, id_col, lang_col, source_col)
     thin = land(df.select("_size", *[f"_{k}{i}" for i in dims for k in "bt"]), "kd_thin")
     tree = fit(thin, shards)
     placed = _coordinates(df, tree.places).withColumn("shard", _when(tree.leaves, lambda n: n.first).cast("int"))
-    placed = placed.select("_row", "_id", "_size", "shard")
-    order = [F.col("_id").asc_nulls_last(), F.col("_size")]
-    return unpacked(gapless(placed, "shard", order, F.col("_id"), tree.rows // shards, "slot"), "shard", "slot")
+    placed = placed.select("_row", "_id", "_text_hash", "_size", "shard")
+    order = [F.col("_id").asc_nulls_last(), F.col("_size"), F.col("_text_hash")]
+    block = F.xxhash64("_id", "_text_hash")
+    return unpacked(gapless(placed, "shard", order, block, tree.rows // shards, "slot"), "shard", "slot")
 
 
 def query(docs: DataFrame) -> DataFrame:
     """Shard, slot and size of each document under the law of equal bytes (contract of op5)."""
     slim = land(docs.select("doc_id", "lang", "source", byte_size(F.col("text"), 16).alias("size"),
                             F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")), "kd_documents")
-    return shard(slim, F.col("size")).select(
+    return shard(slim, F.col("size"), text_hash=F.col("text_crc32")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -107,3 +107,51 @@ def test_shards_of_awkward_rows(spark):
     assert sharding.query(empty(spark)).collect() == []
     one = documents(spark, data=[(1, None, None, None)])
     assert [(r["size"], r["slot"], r["text_crc32"]) for r in sharding.query(one).collect()] == [(16, 0, 0)]
+
+
+def test_documents_without_ids_or_with_one_id_keep_the_laws(spark):
+    """A source of null ids, and one that shares an id: targets are met, shards are near equal."""
+    null = [(None, prose(i, 10), "en", "null") for i in range(300)]
+    same = [(7, prose(1000 + i, 10), "en", "same") for i in range(300)]
+    rest = [(i + 100, prose(2000 + i, 10), "de", "rest") for i in range(600)]
+    docs = documents(spark, data=[*null, *same, *rest])
+    taken, target = Counter(), {}
+    for r in mixing.mix(docs).collect():
+        taken[r["source"]] += r["mix_reps"] * r["mix_size"]
+        target[r["source"]] = r["mix_target"]
+    assert all(abs(taken[s] - t) <= 5 for s, t in target.items())   # half a document
+    size = Counter()
+    for r in sharding.query(documents(spark, data=[(None, prose(i, 10), "en", "a") for i in range(4000)])).collect():
+        size[r["shard"]] += r["size"]
+    assert len(size) == 40 and max(size.values()) < 1.1 * min(size.values())
+
+
+def test_cuts_follow_a_plain_tree(spark):
+    """The tree's cuts against a plain recursion over the documents' own coordinates."""
+    data = [(i, prose(i, 3 + i * 13 % 60), ("en", "de", "fr")[i % 3], f"s{i % 5}") for i in range(300)]
+    docs = documents(spark, clash=False, data=data)
+    thin = sharding.land(sharding.keyed(docs, sharding.byte_size(F.col("text"), 16), F.xxhash64("text"), "doc_id", "lang", "source")
+                         .select("_size", *[f"_{k}{i}" for i in range(3) for k in "bt"]), "test_thin")
+    tree = sharding.fit(thin, 8)
+    points = [(r["_size"], *[(r[f"_b{i}"], r[f"_u{i}"]) for i in range(3)]) for r in sharding._coordinates(thin, tree.places).collect()]
+    total = sum(p[0] for p in points)
+    spans = [max(p[1 + i][0] for p in points) - min(p[1 + i][0] for p in points) or 1 for i in range(3)]
+    cell = -(-total // sharding.CELLS)
+
+    def split(inside, first, shards):
+        if shards == 1:
+            return {first: sorted(p[0] for p in inside)}
+        width = [(max(p[1 + i][0] for p in inside) - min(p[1 + i][0] for p in inside)) / spans[i] for i in range(3)]
+        d = max(range(3), key=lambda i: (width[i], i))
+        want, run, best = sum(p[0] for p in inside) * (shards // 2) / shards, 0, None
+        for c in sorted({p[1 + d][1] // cell for p in inside}):
+            run += sum(p[0] for p in inside if p[1 + d][1] // cell == c)
+            best = min(best, (abs(run - want), c)) if best else (abs(run - want), c)
+        cut = (best[1] + 1) * cell
+        return split([p for p in inside if p[1 + d][1] < cut], first, shards // 2) | split(
+            [p for p in inside if p[1 + d][1] >= cut], first + shards // 2, shards - shards // 2)
+
+    got = defaultdict(list)
+    for r in sharding.shard(docs, sharding.byte_size(F.col("text"), 16), 8).select("shard", "text").collect():
+        got[r["shard"]].append(len(r["text"].encode()) + 16)
+    assert {k: sorted(v) for k, v in got.items()} == split(points, 0, 8)
