@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.operators import staging
-from cohortflow.session import Scratch, path_exists, remove_path, rename_new, swap_in
+from cohortflow.session import Scratch, clustered, path_exists, remove_path, rename_new, swap_in
 from cohortflow.sources.schema import RAW_EVENTS, STAGING_COLUMNS
 from cohortflow.sources.snapshots import SnapshotStore
 
@@ -72,7 +72,8 @@ def _writer(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str
     out = df.hint("rebalance", *partition_by) if partition_by else df
     if cluster_by:
         out = out.sortWithinPartitions(*partition_by, *cluster_by)
-    return out.write.partitionBy(*partition_by) if partition_by else out.write
+    writer = out.write.partitionBy(*partition_by) if partition_by else out.write
+    return clustered(writer, cluster_by[0]) if cluster_by else writer
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortflow.session import remove_path, rename_new
+from cohortflow.session import clustered, remove_path, rename_new
 
 POINTERS = "_snapshots"
 GENERATION = "_generation"
@@ -158,6 +158,7 @@ class Refresh:
         if sort_by:
             out = out.sortWithinPartitions(*[c for c in (part_col,) if c], *sort_by)
         writer = out.write.partitionBy(part_col) if part_col else out.write
+        writer = clustered(writer, sort_by[0]) if sort_by else writer
         writer.mode("overwrite").parquet(path)
         entry = self.tables.setdefault(table, {"parts": {}, "part_col": part_col})
         entry["schema"] = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]).jsonValue()

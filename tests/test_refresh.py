@@ -16,7 +16,7 @@ from cohortflow.operators import staging
 from cohortflow.plans import incremental as I
 from cohortflow.plans.build import run_build
 from cohortflow.plans.pipeline import Pipeline
-from cohortflow.session import ensure_checkpoint_dir, shared_scratch_path
+from cohortflow.session import PAGE_ROWS, ensure_checkpoint_dir, shared_scratch_path
 from cohortflow.sources import loads as L
 from cohortflow.sources.schema import RAW_EVENTS
 from cohortflow.sources.snapshots import SnapshotStore
@@ -235,3 +235,23 @@ def test_a_merge_into_a_stored_table_equals_a_merge_into_a_folder(spark, raw):
     opened = len(table.store.current().parts("stg_events"))
     out = L.merge_increment(table, raw.where(F.expr(DAY) >= d("2024-01-08")))
     assert opened == 9 and out.count() == staging.stg_events(raw).count()
+
+
+def scanned_rows(df) -> int:
+    """Rows that the file scans of a collected query gave on, after skipped row groups and pages."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if "Adaptive" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_look_up_by_the_cluster_column_skips_row_groups_and_pages(spark):
+    users = spark.range(200_000).selectExpr("concat('u', lpad(id * 7, 9, '0')) AS user_pseudo_id", "DATE'2024-01-01' + CAST(id % 2 AS INT) AS day", "id AS x")
+    path = shared_scratch_path(spark, "clustered")
+    table = L.write_table(users.repartition(3), path, ["day"], ["user_pseudo_id"])
+    one = table.where("user_pseudo_id = 'u000700000'")          # id 100,000
+    assert [r.x for r in one.select("x").collect()] == [100_000]
+    assert scanned_rows(one.select("x")) <= 2 * PAGE_ROWS < 0.06 * 200_000
+    absent = table.where("user_pseudo_id = 'u000700001'")       # inside every file's range, in none of them: bloom filter
+    assert scanned_rows(absent.select("x")) == 0
