@@ -35,7 +35,7 @@ STEPS = ["stg_events", "rollup", "int_user_install", "dim_users", "fact_enriched
 
 def run(spark, sf_dir: str) -> tuple[dict[str, float], dict[str, float]]:
     """Seconds of the build steps and of the queries at one scale."""
-    from cohortflow.plans import registry
+    from cohortflow.plans import profile_queries, registry
 
     sc, build, times = spark.sparkContext, {}, {}
 
@@ -50,11 +50,33 @@ def run(spark, sf_dir: str) -> tuple[dict[str, float], dict[str, float]]:
         p = registry.pipeline(spark, sf_dir, source)
         for step in STEPS if source == "events" else STEPS[:5]:
             timed(build, f"{source}.{step}", lambda: getattr(p, step))
+    timed(build, "events.distinct_users", lambda: profile_queries.distinct_users(spark, sf_dir))
     for name in HEADLINE:
         timed(times, name, lambda: registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
     return build, times
 
 
+def refresh(spark, sf_dir: str) -> dict:
+    """Seconds of a warehouse's first batch (all but the last day) and of the last day's batch, and the share of
+    the partitions that the latter reads."""
+    from pyspark.sql import functions as F
+
+    from cohortflow.plans import registry
+    from cohortflow.plans.warehouse import Warehouse
+    from cohortflow.session import shared_scratch_path
+    from cohortflow.sources.loads import scan_raw_events
+
+    raw, day = scan_raw_events(spark, registry.raw_path(spark, sf_dir)), F.expr("event_timestamp div 86400000000")
+    last = raw.agg(F.max(day)).first()[0]
+    w, out = Warehouse(spark, shared_scratch_path(spark, "bench_warehouse")), {}
+    for name, rows in (("first_batch", raw.where(day < last)), ("last_day", raw.where(day == last))):
+        t = time.time()
+        done = w.apply(rows)
+        out[name] = round(time.time() - t, 3)
+    now = w.store.current()
+    return out | {"read_share": {k: round(done["read"].get(k, 0) / max(1, len(now.parts(k))), 2) for k in ("stg_events", "user_day", "users", "fct_user_daily")}}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -70,6 +92,7 @@ def main() -> None:
     queries = {"build_base_tables": round(sum(build.values()), 3), **times}
     print(json.dumps({"metric": "headline_total_sec", "value": total(build, times), "unit": "sec", "queries": queries,
                       "build": build, "small": {"dir": small_dir, "value": total(*small), "build": small[0], "queries": small[1]},
+                      "refresh": refresh(spark, sf_dir),
                       "growth": {n: round(times[n] / max(t, 1e-3), 2) for n, t in small[1].items()},
                       "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}))
 

@@ -344,3 +344,18 @@ def dq_drift_status(metrics: DataFrame, baseline: DataFrame, tolerance: float =
     status = (F.when(delta.isNull(), F.lit("no baseline")).when(F.abs(delta) > F.lit(tolerance), F.lit("warn"))
                .otherwise(F.lit("pass")))
     return now.join(then, "metric", "left").select("metric", "value", "baseline", delta.alias("delta"), status.alias("status"))
+
+
+def dq_drift_trend(history: DataFrame, run_col: str, window: int = 5, tolerance: float = 0.05) -> DataFrame:
+    """Every stored run of the watchers against the mean of the ``window`` runs before it.
+
+    One row a run and metric; a run without an earlier value is ``no history``. A watcher never fails a build.
+    """
+    names = [c for c in history.columns if c != run_col]
+    values = history.select(F.col(run_col).alias("run"), *[F.col(c).cast("double") for c in names]).unpivot(["run"], names, "metric", "value")
+    before = Window.partitionBy("metric").orderBy("run").rowsBetween(-window, -1)
+    delta = F.col("value") - F.col("baseline")
+    status = (F.when(delta.isNull(), F.lit("no history")).when(F.abs(delta) > F.lit(tolerance), F.lit("warn"))
+               .otherwise(F.lit("pass")))
+    return (values.withColumn("baseline", F.avg("value").over(before)).withColumn("n_runs", F.count("value").over(before))
+            .select("run", "metric", "value", "baseline", "n_runs", delta.alias("delta"), status.alias("status")))

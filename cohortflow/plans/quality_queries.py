@@ -10,7 +10,7 @@ from cohortflow.plans import oracle
 from cohortflow.plans.quality_sql import suite_sql
 from cohortflow.plans.registry import MAX_DAY, TRAILING, pipeline, register
 from cohortflow.session import shared_scratch_path
-from cohortflow.sources.loads import write_table
+from cohortflow.sources.loads import BATCH, append_batch, write_table
 
 TABLE_ALIASES = {
     "source_events": "raw_events", "stg_events": "stg", "int_user_install": "install",
@@ -157,3 +157,27 @@ b AS (UNPIVOT past ON one_day_user_share, none_medium_share, null_os_share, rein
 SELECT metric, value, baseline, value - baseline AS delta,
        CASE WHEN value - baseline IS NULL THEN 'no baseline' WHEN abs(value - baseline) > 0.05 THEN 'warn' ELSE 'pass' END AS status
 FROM n LEFT JOIN b USING (metric)""")(_drift_watch)
+
+#: Days before the last one as of which the watchers ran; each run is stored under its id.
+_RUNS = {f"run-{i}": back for i, back in enumerate((12, 9, 6, 3, 0))}
+
+
+def _drift_trend(spark, d):
+    """Five stored runs, one of them retried, each against the mean of the three before it."""
+    p = pipeline(spark, d)
+    path = shared_scratch_path(spark, "drift_history")
+    for run, back in [*_RUNS.items(), ("run-4", 0)]:
+        before = F.date_sub(p.stg_events.agg(F.max("event_date_utc")).scalar(), back - 1)
+        history = append_batch(_drift(p, before), path, run)
+    return Q.dq_drift_trend(history, BATCH, 3, 0.05)
+
+
+_RUN_ROWS = "\nUNION ALL ".join(f"SELECT '{run}' AS run, r.* FROM ({_drift_sql(f'(SELECT max(event_date_utc) - {back - 1} FROM stg)')}) r"
+                                for run, back in _RUNS.items())
+register("dq_drift_trend", sql_prefix() + f""", runs AS ({_RUN_ROWS}),
+v AS (UNPIVOT runs ON one_day_user_share, none_medium_share, null_os_share, reinstall_share INTO NAME metric VALUE value),
+t AS (SELECT *, avg(value) OVER w AS baseline, count(value) OVER w AS n_runs FROM v
+      WINDOW w AS (PARTITION BY metric ORDER BY run ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))
+SELECT *, value - baseline AS delta,
+       CASE WHEN value - baseline IS NULL THEN 'no history' WHEN abs(value - baseline) > 0.05 THEN 'warn' ELSE 'pass' END AS status
+FROM t""")(_drift_trend)

@@ -21,6 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from cohortflow.plans.warehouse import Warehouse
 from cohortflow.sources.loads import (SchemaDriftError, Target, as_table, contract_drift, footer_schema, merge_increment,
                                       require_contract, write_table)
 from cohortflow.sources.schema import RAW_EVENTS
@@ -56,10 +57,13 @@ def gate_files(spark: SparkSession, files: list[str]) -> tuple[list[str], list[t
     return [f for f, bad in zip(files, found) if not bad], [row for bad in found for row in bad]
 
 
-def start_ingest(spark: SparkSession, source_dir: str, target: Target, checkpoint_location: str,
+def start_ingest(spark: SparkSession, source_dir: str, target: Target | Warehouse, checkpoint_location: str,
                  max_files_per_trigger: int | None = None, available_now: bool = True,
                  processing_time: str | None = None, quarantine_path: str | None = None) -> StreamingQuery:
-    """Start the ingest; ``available_now`` drains what is there and stops."""
+    """Start the ingest; ``available_now`` drains what is there and stops.
+
+    Into a folder or a stored table the staging rows are merged; a ``Warehouse`` takes the batch through all its tables.
+    """
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         files = sorted(_path(spark, r[0]) for r in batch.select(FILE).distinct().collect())
         good, bad = gate_files(spark, files)
@@ -68,7 +72,8 @@ def start_ingest(spark: SparkSession, source_dir: str, target: Target, checkpoin
         if bad:  # a replayed epoch writes the same folder again
             write_table(spark.createDataFrame([(*row, epoch_id) for row in bad], QUARANTINE), f"{quarantine_path}/epoch={epoch_id}")
         if good:
-            merge_increment(target, spark.read.schema(RAW_EVENTS).parquet(*good))
+            fresh = spark.read.schema(RAW_EVENTS).parquet(*good)
+            target.apply(fresh) if isinstance(target, Warehouse) else merge_increment(target, fresh)
 
     stream = raw_event_stream(spark, source_dir, max_files_per_trigger, check_start=quarantine_path is None)
     # the stream itself carries file names only: no column of a file is read before its footer is
@@ -79,8 +84,8 @@ def start_ingest(spark: SparkSession, source_dir: str, target: Target, checkpoin
     return writer.start()
 
 
-def ingest_available(spark: SparkSession, source_dir: str, target: Target, checkpoint_location: str,
+def ingest_available(spark: SparkSession, source_dir: str, target: Target | Warehouse, checkpoint_location: str,
                      max_files_per_trigger: int | None = None, quarantine_path: str | None = None) -> DataFrame:
     q = start_ingest(spark, source_dir, target, checkpoint_location, max_files_per_trigger, quarantine_path=quarantine_path)
     q.awaitTermination()
-    return as_table(spark, target).read("event_date_utc")
+    return target.table("stg_events") if isinstance(target, Warehouse) else as_table(spark, target).read("event_date_utc")

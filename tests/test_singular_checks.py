@@ -96,3 +96,13 @@ def test_drift_is_held_against_a_stored_row(spark):
     then = spark.createDataFrame([(0.52, 0.5, 0.1)], "a double, b double, c double")
     got = {r.metric: r.status for r in Q.dq_drift_status(now, then, 0.05).collect()}
     assert got == {"a": "pass", "b": "warn", "c": "no baseline", "e": "no baseline"}
+
+
+def test_drift_trend_looks_at_the_runs_before(spark):
+    rows = [(f"r{i}", v, 0.5) for i, v in enumerate((0.1, 0.3, 0.2, 0.9))] + [("r4", None, 0.5)]
+    history = spark.createDataFrame(rows, "run_id string, a double, b double")
+    got = {(r.run, r.metric): (r.n_runs, None if r.baseline is None else round(r.baseline, 9), r.status)
+           for r in Q.dq_drift_trend(history, "run_id", 2, 0.05).collect()}
+    assert [got[f"r{i}", "a"] for i in range(5)] == [(0, None, "no history"), (1, 0.1, "warn"), (2, 0.2, "pass"), (2, 0.25, "warn"),
+                                                     (2, 0.55, "no history")]
+    assert {got[f"r{i}", "b"][2] for i in range(1, 5)} == {"pass"}

@@ -8,6 +8,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from cohortflow.plans.pipeline import Pipeline
+from cohortflow.plans.warehouse import Warehouse
 from cohortflow.session import shared_scratch_path
 from cohortflow.streaming import ingest
 from cohortflow.streaming.ingest import ingest_available
@@ -66,3 +67,16 @@ def test_without_a_quarantine_a_drifted_file_stops_the_stream(spark, monkeypatch
     with pytest.raises(StreamingQueryException, match="surprise"):
         ingest.start_ingest(spark, landing, stg, ckpt).awaitTermination()
     assert spark.read.parquet(stg).count() == n
+
+
+def test_a_stream_keeps_a_warehouse(spark):
+    p = Pipeline.from_events(spark, SF, max_day=6, trailing=3, persist=True)
+    landing, ckpt = (shared_scratch_path(spark, n) for n in ("wh_landing", "wh_ckpt"))
+    p.raw.repartition(2, "user_pseudo_id").write.mode("append").parquet(landing)
+    w = Warehouse(spark, shared_scratch_path(spark, "wh_stream"), max_day=6, trailing=3, user_buckets=4)
+    assert ingest.ingest_available(spark, landing, w, ckpt, max_files_per_trigger=1).count() == p.stg_events.count()
+    assert w.store.current().version == 2                       # two micro-batches
+    for name in ("dim_users", "mart_revenue_overall"):
+        a, b = w.table(name), getattr(p, name)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    p.close()
