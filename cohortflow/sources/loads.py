@@ -17,7 +17,6 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -211,12 +210,7 @@ def merge_increment(target: Target, new_raw: DataFrame, day_col: str = "event_da
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None where the path does not exist; every other error is raised."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def _moved_cohorts(table: DataFrame, rebuilt: DataFrame, inside: Column, part_col: str, user_col: str) -> list:
