@@ -17,6 +17,9 @@ that change set through every derived table as differences:
 All tables are published in one step (``sources.snapshots``): a failure leaves the state before. The
 first batch is a full build by the same path, and applying a batch twice equals once.
 
+Events without a timestamp have no day: they are staged and counted, but a user who has no other events is
+not in the user table (the source checks stop such a batch before it gets here).
+
 Sizes: a batch's days, the changed buckets and cohorts are short lists on the driver (one value a day
 or bucket). Every join is on the user or the event key; a user has one row a day at most by then.
 """
