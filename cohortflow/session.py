@@ -122,7 +122,9 @@ def clustered(writer: DataFrameWriter, column: str) -> DataFrameWriter:
     """Parquet options for files sorted by ``column``, so that their own statistics skip most of them: row groups
     and pages by smallest and largest value, and by a bloom filter those whose range holds a value that is not there."""
     return (writer.option("parquet.block.size", str(GROUP_BYTES)).option("parquet.page.row.count.limit", str(PAGE_ROWS))
-            .option(f"parquet.bloom.filter.enabled#{column}", "true"))
+            .option(f"parquet.bloom.filter.enabled#{column}", "true")
+            # as large as the values need: sizes from 1 MB down to 2 KB are tried
+            .option("parquet.bloom.filter.adaptive.enabled", "true").option(f"parquet.bloom.filter.candidates.number#{column}", "10"))
 
 
 def _observed(df: DataFrame, metrics: dict[str, Column] | None) -> tuple[DataFrame, Observation | None]:

@@ -255,3 +255,5 @@ def test_a_look_up_by_the_cluster_column_skips_row_groups_and_pages(spark):
     assert scanned_rows(one.select("x")) <= 2 * PAGE_ROWS < 0.06 * 200_000
     absent = table.where("user_pseudo_id = 'u000700001'")       # inside every file's range, in none of them: bloom filter
     assert scanned_rows(absent.select("x")) == 0
+    few = L.write_table(users.where("id < 100").coalesce(1), shared_scratch_path(spark, "few"), ["day"], ["user_pseudo_id"])
+    assert max(Path(f.removeprefix("file:")).stat().st_size for f in few.inputFiles()) < 20_000  # the filter fits the values
