@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 
@@ -91,25 +92,36 @@ def _choices(char: str, length: int, inside: bool) -> list[tuple[str, float]]:
 PLANE = SIZE ** (ORDER - 1)
 
 
-def _walk(text: str, prices: np.ndarray, best: dict[int, tuple], first: bool = True, last: bool = True) -> dict[int, tuple]:
+@lru_cache(1 << 14)
+def _coded(char: str, length: int, inside: bool) -> tuple[tuple[str, tuple[int, ...], float], ...]:
+    """The choices with their letter codes; a run of three or more is like one of three."""
+    return tuple((said, tuple(LETTERS.find(x) + 1 for x in said), channel) for said, channel in _choices(char, length, inside))
+
+
+def _walk(text: str, prices, best: dict[int, tuple], first: bool = True, last: bool = True) -> dict[int, tuple]:
     """The cheapest paths through a text's lattice, by the last three letter codes: price, (letters, those before).
 
     Exact: 27^3 states at most, and none is left out. Paths are back-pointers, so that those with
-    one past share it.
+    one past share it. ``prices`` is indexed only; a list is fastest.
     """
     runs = _runs(text)
     for i, (char, length) in enumerate(runs):
         step: dict[int, tuple] = {}
-        choices = _choices(char, length, not (first and i == 0 or last and i == len(runs) - 1))
+        choices = _coded(char, min(length, 3), not (first and i == 0 or last and i == len(runs) - 1))
         for state, (price, said) in best.items():
-            for letters, channel in choices:
+            for letters, coded, channel in choices:
                 s, p = state, price + channel
-                for x in letters:
-                    code = LETTERS.find(x) + 1
-                    if code or s % SIZE:  # a break after a break costs nothing
-                        p += float(prices[s * SIZE + code])
-                    s = (s * SIZE + code) % PLANE if code else 0
-                if s not in step or p < step[s][0]:
+                for code in coded:
+                    at = s * SIZE + code
+                    if code:
+                        p += prices[at]
+                        s = at % PLANE
+                    else:
+                        if s % SIZE:  # a break after a break costs nothing
+                            p += prices[at]
+                        s = 0
+                known = step.get(s)
+                if known is None or p < known[0]:
                     step[s] = (p, (letters, said) if letters else said)
         best = step
     return best
@@ -123,23 +135,22 @@ def _said(link: tuple | None) -> str:
     return "".join(reversed(out))
 
 
-def _cheapest(best: dict[int, tuple], prices: np.ndarray) -> tuple[float, str]:
+def _cheapest(best: dict[int, tuple], prices) -> tuple[float, str]:
     price, link = min(((p + (float(prices[s * SIZE]) if s % SIZE else 0.0), said) for s, (p, said) in best.items()), key=lambda x: x[0])
     return price, _said(link)
 
 
-def search(word: str, prices: np.ndarray) -> tuple[float, str]:
+def search(word: str, prices) -> tuple[float, str]:
     """The cheapest reading of a disguised span of any length, words separated by spaces, and its price."""
     return _cheapest(_walk(word, prices, {0: (0.0, None)}), prices)
 
 
-def viterbi(word: str, prices: np.ndarray) -> str:
+def viterbi(word: str, prices) -> str:
     return search(word, prices)[1]
 
 
-#: Letters, digits and imitating signs in a chunk of a word that is set apart, and what may part them within a piece.
-CHUNK = 4
-_CHUNK = re.compile(rf"(?:[^\W_]|[{re.escape(''.join(c for c in IMITATES if not c.isalnum()))}]){{1,{CHUNK}}}")
+#: Letters, digits and imitating signs: a chunk, maybe of a word that is set apart; and what may part chunks within a piece.
+_CHUNK = re.compile(rf"(?:[^\W_]|[{re.escape(''.join(c for c in IMITATES if not c.isalnum()))}])+")
 _PARTS = re.compile(r"[._\-~·/\\,:;'\"?)\]}>]+")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 #: Signs that can only be a break at an edge: without them the lattice says the same.
@@ -149,6 +160,49 @@ _LONG = re.compile(rf"[^\W_]|[{re.escape(''.join(c for c in IMITATES if not c.is
 _SURE = re.compile("[a-z]+")
 _DOUBLE = re.compile(r"([^\W\d_])\1")
 _LETTER = re.compile(r"[^\W\d_]")
+#: Characters after the last letters that are read in one way, and end states, that a chunk's bounds hold.
+_REST, _ENDS = 8, 16
+_STOP = 1 << 60
+#: Words of one or two letters in a row whose gaps are decided at once; longer rows are searched.
+_SHORTS = 4
+_FOLD = {chr(b): LETTERS[CODES[b] - 1] for b in range(256) if CODES[b]}
+
+
+def _base(letters: str) -> str:
+    """Letters without accents; "" if some character is no such letter."""
+    if letters.isascii():
+        return letters if _SURE.fullmatch(letters) else ""
+    return "".join(_FOLD.get(x, " ") for x in letters) if all(x in _FOLD for x in letters) else ""
+
+
+def _code(letters: str) -> int:
+    out = 0
+    for x in letters:
+        out = out * SIZE + ord(x) - 96
+    return out
+
+
+def _single(letters: str) -> int:
+    """The code of three letters that are read in one way, else 0."""
+    base = _base(letters)
+    if len(base) != 3 or letters[0] == letters[1] or letters[1] == letters[2]:
+        return 0
+    return _code(base)
+
+
+class _Bounded(dict):
+    """Remembers a function's results up to a bound; long keys are not remembered."""
+
+    def __init__(self, make, bound: int):
+        self.make, self.bound = make, bound
+
+    def __missing__(self, key):
+        out = self.make(key)
+        if len(key) <= REMEMBERED:
+            if len(self) >= self.bound:
+                self.clear()
+            self[key] = out
+        return out
 
 
 def _with_base(word: str) -> tuple[str, ...]:
@@ -163,8 +217,13 @@ class Restorer:
 
     def __init__(self, prices: np.ndarray, memo: int = 1 << 18):
         self.prices, self.memo, self.bound = prices, {}, memo
-        self._parts, self._steps, self._joined, self._apart, self._sure = {}, {}, {}, {}, {}
+        self._steps, self._joined, self._apart, self._sure = {}, {}, {}, {}
+        self._parts, self._ends = _Bounded(self._chunks, memo), _Bounded(self._bounds, memo)
+        self._doubled = _Bounded(lambda chunk: bool(_base(chunk)) and not self._plain(chunk), memo)
         self._price = prices.tolist()
+        self._flat = prices.astype(np.float64).ravel()
+        self._sets: dict[tuple[int, str], int] = {}  # states and prices at the ends of chunks that have several
+        self._tails, self._costs = np.zeros((0, _ENDS), np.int64), np.zeros((0, _ENDS))
 
     def word(self, raw: str) -> tuple[str, ...]:
         """The restored words in one whitespace-separated piece of a lower-case text."""
@@ -181,7 +240,7 @@ class Restorer:
     def span(self, raw: str) -> tuple[str, ...]:
         found = self.memo.get(raw)
         if found is None:
-            found = tuple(viterbi(raw, self.prices).split())
+            found = tuple(viterbi(raw, self._price).split())
             if len(raw) <= REMEMBERED:
                 if len(self.memo) >= self.bound:
                     self.memo.clear()
@@ -189,16 +248,106 @@ class Restorer:
         return found
 
     def _chunks(self, piece: str) -> tuple[str, ...]:
-        """The chunks of a whitespace-separated piece; () if it has none or a longer one."""
-        found = self._parts.get(piece)
-        if found is None:
-            parts = [p for p in _PARTS.split(piece) if p]
-            found = tuple(parts) if all(map(_CHUNK.fullmatch, parts)) else ()
-            if len(piece) <= REMEMBERED:
-                if len(self._parts) >= self.bound:
-                    self._parts.clear()
-                self._parts[piece] = found
-        return found
+        """The chunks of a whitespace-separated piece: () if it only parts others, ("",) if it ends a run of them."""
+        parts = [p for p in _PARTS.split(piece) if p]
+        if all(map(_CHUNK.fullmatch, parts)):
+            return tuple(parts)
+        return ("",) if _LONG.search(piece) else ()
+
+    def _bounds(self, chunk: str) -> int:
+        """The first three letters a chunk says, and what it may end in, packed; 0 for what is not known.
+
+        Bits 0 to 15: the code of the first three letters, where all paths have them; PLANE and up,
+        that of a whole word of one or two letters. Bits 16 and up: the code of the last three, or
+        PLANE and up, the number of a set of end states. _STOP ends a run of chunks.
+        """
+        if not chunk:
+            return _STOP
+        if len(chunk) < 3:
+            return PLANE + _code(_base(chunk)) if self._plain(chunk) else 0
+        head, n = _single(chunk[:3]), len(chunk)
+        for i in range(n, max(2, n - _REST), -1):
+            known = _single(chunk[i - 3:i]) if i == n or chunk[i] != chunk[i - 1] else 0
+            if known:
+                return head | (known if i == n else self._set(known, chunk[i:])) << 16
+        return head
+
+    def _set(self, state: int, rest: str) -> int:
+        """The number of the set of end states of ``rest`` after a state, plus PLANE; 0 if they are too many."""
+        at = self._sets.get((state, rest))
+        if at is None:
+            ends = [(s, p) for s, (p, _) in _walk(rest, self._price, {state: (0.0, None)}, False, False).items()]
+            if len(ends) > _ENDS:
+                return 0
+            at = self._sets[state, rest] = len(self._sets)
+            if at >= len(self._tails):
+                more = max(256, at)
+                self._tails = np.concatenate([self._tails, np.zeros((more, _ENDS), np.int64)])
+                self._costs = np.concatenate([self._costs, np.full((more, _ENDS), np.inf)])
+            self._tails[at, :len(ends)], self._costs[at, :len(ends)] = zip(*ends)
+        return PLANE + at
+
+    def _say(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The price of saying the (up to three) letters of a code after a state, and the state then."""
+        cost = np.zeros(np.broadcast(state, word).shape)
+        for power in (SIZE * SIZE, SIZE, 1):
+            letter = word // power % SIZE
+            at = state * SIZE + letter
+            said = letter > 0
+            cost += np.where(said, self._flat[at], 0.0)
+            state = np.where(said, at % PLANE, state)
+        return cost, state
+
+    def _gap(self, state: np.ndarray, word: np.ndarray) -> tuple[tuple, tuple]:
+        """Price and state after a word's letters, with a break before them and without (nothing is dropped after a break)."""
+        apart, there = self._say(np.zeros_like(state), word)
+        together, here = self._say(state, word)
+        broken = state == 0
+        return ((apart + np.where(broken, 0.0, self._flat[state * SIZE]), there),
+                (np.where(broken, np.inf, together + DROPPED), here))
+
+    def _gaps(self, flat: list[str]) -> np.ndarray:
+        """For each gap between neighbouring chunks: 1 a break, 2 none, 0 to be searched.
+
+        Three letters after a gap a path is in the same state with a break and without. So the letters
+        around a gap, or around a short word between two gaps, decide alone for every cheapest path.
+        """
+        ends = self._ends
+        if len(self._sets) > self.bound >> 2:
+            self._sets.clear()
+            ends.clear()
+        packed = np.array([ends[c] for c in flat], np.int64)
+        stop = packed == _STOP
+        packed[stop] = 0
+        tail, head = packed >> 16, packed & 0xFFFF
+        short, known = head >= PLANE, (head > 0) & (head < PLANE)
+        one = (tail > 0) & (tail < PLANE)
+        out = np.zeros(len(flat) - 1, np.int8)
+        at = np.flatnonzero(one[:-1] & known[1:])
+        (apart, _), (together, _) = self._gap(tail[at], head[at + 1])
+        out[at] = np.where(apart <= together, 1, 2)
+        at = np.flatnonzero((tail[:-1] >= PLANE) & known[1:])
+        if len(at):
+            sets = tail[at] - PLANE
+            (apart, _), (together, _) = self._gap(self._tails[sets], head[at + 1][:, None])
+            cost = self._costs[sets]
+            out[at] = np.where((apart + cost).min(axis=1) <= (together + cost).min(axis=1), 1, 2)
+        for k in range(1, min(_SHORTS, len(flat) - 2) + 1):  # k short words: all ways through the gaps around them
+            fits = one[:-k - 1] & known[k + 1:]
+            for i in range(1, k + 1):
+                fits &= short[i:len(short) - k - 1 + i]
+            at = np.flatnonzero(fits)
+            if not len(at):
+                continue
+            ways = [(0.0, tail[at])]
+            for i in range(1, k + 2):
+                word = head[at + i] - (PLANE if i <= k else 0)
+                ways = [(p + q, there) for p, state in ways for q, there in self._gap(state, word)]
+            best = np.stack([p for p, _ in ways]).argmin(axis=0)
+            for i in range(k + 1):
+                out[at + i] = (best >> k - i & 1) + 1
+        out[stop[:-1] | stop[1:]] = 1
+        return out
 
     def _step(self, state: int, chunk: str, first: bool, last: bool) -> list[tuple[int, float, str]]:
         """Where a chunk leads from a state: the state after it, the price, the letters."""
@@ -208,9 +357,10 @@ class Restorer:
             if len(self._steps) >= self.bound:
                 self._steps.clear()
             if self._plain(chunk):
-                found = [(*self._read(state, chunk), chunk)]
+                base = _base(chunk)
+                found = [(*self._read(state, base), base)]
             else:
-                ends = _walk(chunk, self.prices, {state: (0.0, None)}, first, last)
+                ends = _walk(chunk, self._price, {state: (0.0, None)}, first, last)
                 found = [(s, p, _said(link)) for s, (p, link) in ends.items()]
             self._steps[key] = found
         return found
@@ -229,7 +379,7 @@ class Restorer:
         if found is None:
             if len(self._sure) >= self.bound:
                 self._sure.clear()
-            found = self._sure[chunk] = bool(_SURE.fullmatch(chunk)) and not _DOUBLE.search(chunk)
+            found = self._sure[chunk] = bool(_base(chunk)) and not _DOUBLE.search(chunk)
         return found
 
     def apart(self, before: str, a: str, b: str, after: str) -> bool:
@@ -241,7 +391,7 @@ class Restorer:
         dearer by then for each state and each way on, it is right. Where more would have to be
         known, the answer is no and the search decides.
         """
-        key = (before[-2:] if len(a) < 3 else "", a[-3:], b, after[:2] if len(b) < 3 else "")
+        key = (before[-2:] if len(a) < 3 else "", a[-3:], b[:3], after[:2] if len(b) < 3 else "")
         found = self._apart.get(key)
         if found is None:
             if len(self._apart) >= self.bound:
@@ -293,44 +443,77 @@ class Restorer:
                             step[t] = (p + q, (letters, link))
             best = step
         found = tuple(w for w in _cheapest(best, prices)[1].split() if len(w) > 2 and w not in chunks)
-        if len(chunks) <= REMEMBERED // CHUNK:
+        if sum(map(len, chunks)) <= REMEMBERED:
             if len(self._joined) >= self.bound:
                 self._joined.clear()
             self._joined[chunks] = found
         return found
 
     def spaced(self, text: str, pieces: list[str] | None = None) -> list[str]:
-        """Words restored from letters or chunks that are set apart by any spaces and signs."""
-        out, run = [], []
-        parts = self._parts
-        for piece in [*(text.split() if pieces is None else pieces), ""]:
-            chunks = parts.get(piece)
-            if chunks is None:
-                chunks = self._chunks(piece)
-            if chunks:
-                run += chunks
-            elif run and (not piece or _LONG.search(piece)):
-                if len(run) > 1:
-                    self._read_run(run, out)
-                run = []
-        return out
+        """Words restored from letters or chunks of any length that are set apart by any spaces and signs.
+
+        The gaps whose neighbours alone decide are found at once; what lies between breaks is read as
+        one word, or searched where a gap is still open.
+        """
+        return self.set_apart([text.split() if pieces is None else pieces])[0]
+
+    def set_apart(self, texts: list[list[str]]) -> list[list[str]]:
+        """``spaced`` for many texts, each given as its whitespace-separated pieces."""
+        flat, ends, parts = [], [], self._parts
+        for pieces in texts:
+            for piece in pieces:
+                flat += parts[piece]
+            flat.append("")
+            ends.append(len(flat))
+        found: list[list[str]] = [[] for _ in texts]
+        if len(flat) < 2:
+            return found
+        gaps = self._gaps(flat)
+        cut = np.flatnonzero(gaps == 1)
+        starts, lasts = np.append(0, cut + 1), np.append(cut, len(flat) - 1)
+        to_search = np.append(0, np.cumsum(gaps == 0))
+        doubled = np.array([self._doubled[c] for c in flat])
+        some = np.flatnonzero((lasts > starts) | doubled[starts])
+        owner = np.searchsorted(np.array(ends), starts[some], "right").tolist()
+        unsure = (to_search[lasts[some]] > to_search[starts[some]]).tolist()
+        for text, search_it, start, last in zip(owner, unsure, starts[some].tolist(), lasts[some].tolist()):
+            run = flat[start:last + 1]
+            if start == last:
+                found[text] += self._alone(run[0])
+            elif search_it:
+                self._read_run(run, found[text])
+            elif all(map(self._plain, run)):  # the lattice has this one path
+                found[text].append("".join(map(_base, run)))
+            else:
+                found[text] += self.joined(tuple(run))
+        return found
+
+    def _alone(self, chunk: str) -> list[str]:
+        """What a chunk between two breaks says, if that is not the chunk itself."""
+        return [w for w in self.span(chunk) if len(w) > 2 and w != chunk]
 
     def _read_run(self, run: list[str], out: list[str]) -> None:
-        """Read a run of chunks, cut where its neighbours alone decide for a break."""
-        start, sure, joined = 0, [self._plain(c) for c in run], self._joined
-        for i in range(1, len(run) + 1):
-            if i < len(run):
-                if not (sure[i - 1] and sure[i]):
+        """Read a run of chunks, cut where short neighbours decide for a break."""
+        start, joined, n = 0, self._joined, len(run)
+        ends, sure = [self._ends[c] for c in run], [self._plain(c) for c in run]
+        # the last, and the first, three letters of chunks that say them in one way (all letters of a short one); else ""
+        last = [_base(c[-3:]) if p or 0 < e >> 16 < PLANE else "" for c, e, p in zip(run, ends, sure)]
+        ahead = [_base(c[:3]) if p or e & 0xFFFF else "" for c, e, p in zip(run, ends, sure)]
+        for i in range(1, n + 1):
+            if i < n:
+                a, b = last[i - 1], ahead[i]
+                if not (a and b):
                     continue
-                before = run[i - 2] if i - 2 >= start else ""
-                after = run[i + 1] if i + 1 < len(run) else ""
-                if (len(run[i - 1]) < 3 and before and not sure[i - 2] or len(run[i]) < 3 and after and not sure[i + 1]
-                        or not self.apart(before, run[i - 1], run[i], after)):
+                more, on = len(a) < 3 and i - 2 >= start, len(b) < 3 and i + 1 < n
+                if (more and not last[i - 2] or on and not ahead[i + 1]
+                        or not self.apart(last[i - 2] if more else "", a, b, ahead[i + 1] if on else "")):
                     continue
             if i - start > 1:
                 chunks = tuple(run[start:i])
                 found = joined.get(chunks)
                 out += self.joined(chunks) if found is None else found
+            elif self._doubled[run[start]]:
+                out += self._alone(run[start])
             start = i
-        if len(run) > 1 and len(run[-1]) > 1 and run[-1][-1] == "!":  # more often a mark than a letter
+        if n > 1 and len(run[-1]) > 1 and run[-1][-1] == "!":  # more often a mark than a letter
             out += self.joined((*run[:-1], run[-1].rstrip("!") or "!"))

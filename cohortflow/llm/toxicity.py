@@ -2,7 +2,8 @@
 
 1. A character 4-gram model is counted over the words of all documents.
 2. Disguised words and spans (imitated letters, letters set apart, repeats) are restored by
-   Viterbi search over their lattices; see ``deobfuscate``.
+   Viterbi search over their lattices; see ``deobfuscate``. Every text is restored once: its
+   distinct restored words are landed, and counts, cover and scores read those.
 3. The restored words and their prefixes of 4 to 7 letters are counted by label over all
    labelled training documents. All that are toxic almost surely are kept, in a table; over a
    bounded sample, a greedy cover adds likely ones that explain toxic documents not explained yet.
@@ -62,46 +63,67 @@ class Sieve:
 
 
 class Reader:
-    """Restored features of texts, remembered by word up to a bound.
+    """Features of restored texts, remembered by word up to a bound.
 
     Without ``wanted`` a text gives its distinct features; with it, for each restored word that
     has wanted features, those in one string.
     """
 
-    def __init__(self, prices: np.ndarray, wanted=None):
-        self.restore, self.wanted, self.memo = Restorer(prices), wanted, {}
+    def __init__(self, wanted=None):
+        self.wanted, self.memo = wanted, {}
 
-    def _of(self, words) -> tuple[str, ...]:
+    def _of(self, word: str) -> tuple[str, ...]:
         if self.wanted is None:
-            return tuple({f for w in words for f in features(w)})
-        wanted = self.wanted  # most words have no wanted feature
-        words = [w for w in words if w in wanted or any(len(w) > k and w[:k] + "*" in wanted for k in PREFIXES)]
-        if not words:
-            return ()
-        return tuple({" ".join(f for f in features(w) if f in wanted) for w in words})
-
-    def read(self, text: str) -> set[str]:
-        text, found, memo = text.lower(), set(), self.memo
-        pieces = text.split()
-        for raw in set(pieces):
-            got = memo.get(raw)
+            return tuple(features(word))
+        some = " ".join(f for f in features(word) if f in self.wanted)
+        return (some,) if some else ()
+
+    def read(self, restored: str) -> set[str]:
+        found, memo = set(), self.memo
+        for word in restored.split():
+            got = memo.get(word)
             if got is None:
                 if len(memo) >= MEMO:
                     memo.clear()
-                got = memo[raw] = self._of(self.restore.word(raw))
+                got = memo[word] = self._of(word)
             if got:
                 found.update(got)
-        found.update(self._of(self.restore.spaced(text, pieces)))
         return found
 
 
+def restored(texts: DataFrame, text_col: str, prices: np.ndarray) -> DataFrame:
+    """The texts replaced by their distinct restored words, in order and parted by spaces."""
+    python_tasks(texts.sparkSession)
+    shared = texts.sparkSession.sparkContext.broadcast(prices)  # 27^4 numbers
+    others = [c for c in texts.columns if c != text_col]
+    kinds = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in others)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restore, memo = Restorer(shared.value), {}
+        for batch in batches:
+            pieces = [(t.as_py() or "").lower().split() for t in batch.column(len(others))]
+            out = []
+            for some, joined in zip(pieces, restore.set_apart(pieces)):
+                found = set(joined)
+                for raw in set(some):
+                    got = memo.get(raw)
+                    if got is None:
+                        if len(memo) >= MEMO:
+                            memo.clear()
+                        got = memo[raw] = restore.word(raw)
+                    found.update(got)
+                out.append(" ".join(sorted(found)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.string())], [*others, text_col])
+
+    return texts.select(*others, text_col).mapInArrow(run, f"{kinds}`{text_col}` string")
+
+
 def gram_counts(docs: DataFrame, text_col: str) -> np.ndarray:
     """Character 4-grams of all documents, summed in tasks, then by gram: 27^4 numbers at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SIZE ** ORDER, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                count_grams(text.as_py(), counts)
+            count_grams(" ".join(batch.column(0).to_pylist()), counts)
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["gram", "n"])
 
@@ -112,17 +134,15 @@ def gram_counts(docs: DataFrame, text_col: str) -> np.ndarray:
     return out
 
 
-def label_counts(rows: DataFrame, prices: np.ndarray) -> DataFrame:
-    """(feature, toxic, clean): training documents of each label that contain the feature; "" counts documents."""
-    shared = rows.sparkSession.sparkContext.broadcast(prices)
-
+def label_counts(rows: DataFrame) -> DataFrame:
+    """(feature, toxic, clean): restored training documents of each label that contain the feature; "" counts documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
             keys = list({**counts[0], **counts[1]})
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([counts[1][k] for k in keys], pa.int64()),
                                                pa.array([counts[0][k] for k in keys], pa.int64())], ["feature", "toxic", "clean"])
 
-        reader, counts = Reader(shared.value), (Counter(), Counter())
+        reader, counts = Reader(), (Counter(), Counter())
         for batch in batches:
             for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
                 counts[y].update(reader.read(text.as_py()))
@@ -214,14 +234,14 @@ def wilson(z: float) -> Column:
     return (low > 0.5) & (t - CLEAN * (n - t) > 0)
 
 
-def hits(texts: DataFrame, text_col: str, prices: np.ndarray, table: DataFrame) -> DataFrame:
-    """The other columns and ``found``: for each restored word its features that pass the table's filter, in one string."""
-    shared = texts.sparkSession.sparkContext.broadcast((prices, Sieve(table)))  # 27^4 prices, 2 MB of bits
+def hits(texts: DataFrame, text_col: str, table: DataFrame) -> DataFrame:
+    """The other columns and ``found`` of restored texts: for each word its features that pass the table's filter, in one string."""
+    shared = texts.sparkSession.sparkContext.broadcast(Sieve(table))  # 2 MB of bits
     others = [c for c in texts.columns if c != text_col]
     kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(*shared.value)
+        reader = Reader(shared.value)
         for batch in batches:
             found = [sorted(reader.read(t.as_py() or "")) for t in batch.column(len(others))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.string()))], [*others, "found"])
@@ -229,12 +249,22 @@ def hits(texts: DataFrame, text_col: str, prices: np.ndarray, table: DataFrame)
     return texts.select(*others, text_col).mapInArrow(run, f"{kinds}, found array<string>")
 
 
+def character_prices(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Prices of the character model of all texts."""
+    python_tasks(docs.sparkSession)
+    return language_model(gram_counts(docs, text_col))
+
+
 def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
     """Fit to all texts of ``docs`` (characters) and the labelled (_id, _text, _y) ``rows``."""
-    spark = docs.sparkSession
-    python_tasks(spark)
-    prices = language_model(gram_counts(docs, text_col))
-    counts = land(label_counts(rows, prices), "toxic_counts")
+    prices = character_prices(docs, text_col)
+    return fit_restored(land(restored(rows.select("_id", "_y", "_text"), "_text", prices), "toxic_rows"), prices)
+
+
+def fit_restored(rows: DataFrame, prices: np.ndarray) -> Model:
+    """Fit to labelled rows whose ``_text`` is restored."""
+    spark = rows.sparkSession
+    counts = land(label_counts(rows), "toxic_counts")
     totals = counts.where("feature = ''").first()
     toxic, clean = (totals["toxic"], totals["clean"]) if totals else (0, 0)
     known = toxic + clean
@@ -247,7 +277,7 @@ def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
         return Model(prices, None, (1.0, 0.0, min(-0.1, math.log(base / (1 - base)))))
     drawn = bounded_sample(rows.where("_y = 1"), toxic, COVER_ROWS, "cover").union(
         bounded_sample(rows.where("_y = 0"), clean, COVER_ROWS, "cover"))
-    sample = land(hits(drawn.select("_id", "_y", "_text"), "_text", prices, candidates), "toxic_cover")
+    sample = land(hits(drawn.select("_id", "_y", "_text"), "_text", candidates), "toxic_cover")
     # the candidates that the sampled documents hold; what only passed the filter goes
     held = (sample.select(F.explode("found").alias("g")).distinct().select(F.explode(F.split("g", " ")).alias("feature")).distinct()
             .join(candidates, "feature").collect())
@@ -271,11 +301,16 @@ def fit(docs: DataFrame, rows: DataFrame, text_col: str = "text") -> Model:
 
 
 def scored(texts: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """The other columns and ``score``; ``evidence`` by a join of the words with the kept table, of any size."""
+    """The other columns and ``score``."""
+    return scored_restored(restored(texts, text_col, model.prices), model, text_col)
+
+
+def scored_restored(texts: DataFrame, model: Model, text_col: str) -> DataFrame:
+    """``scored`` for restored texts; ``evidence`` by a join of the words with the kept table, of any size."""
     a, b, c = model.curve
     if model.kept is None:
         return texts.drop(text_col).withColumn("score", F.lit(1 / (1 + math.exp(-c))))
-    read = land(hits(texts, text_col, model.prices, model.kept).withColumn("_at", F.monotonically_increasing_id()), "toxic_hits")
+    read = land(hits(texts, text_col, model.kept).withColumn("_at", F.monotonically_increasing_id()), "toxic_hits")
     words = read.select("_at", F.explode("found").alias("_word"))
     odds = (words.select("_at", "_word", F.explode(F.split("_word", " ")).alias("feature")).join(model.kept, "feature")
             .groupBy("_at", "_word").agg(F.array_sort(F.collect_set("feature")).alias("_group"), F.max("rate").alias("rate"))
@@ -294,6 +329,9 @@ HELD_OUT = (5, 0)
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract of op1 over all documents."""
     held_out = fold(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1]
-    rows = land(training_rows(docs, labels, "toxic", ~held_out), "toxic_training")
+    prices = character_prices(docs)
     texts = docs.select("doc_id", held_out.alias("held_out"), F.col("text").alias("_text"))
-    return scored(texts, fit(docs, rows), "_text").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    texts = land(restored(texts, "_text", prices), "toxic_restored")
+    rows = land(training_rows(texts, labels, "toxic", fold(F.col("doc_id"), HELD_OUT[0]) != HELD_OUT[1], text_col="_text"),
+                "toxic_training")
+    return scored_restored(texts, fit_restored(rows, prices), "_text").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -273,3 +273,29 @@ def test_curve_orders_scores():
     far = np.array([[0.0], [0.1], [9.0], [9.1]])         # separable rows have a fit too
     a, c = logistic(far, far[:, 0] > 5)
     assert 1 / (1 + np.exp(-(9 * a + c))) > 0.7 and 1 / (1 + np.exp(-c)) < 0.3
+
+
+def test_chunks_of_any_length_are_joined():
+    """A word cut anywhere between its letters is restored, in the midst of text and beside short words."""
+    counts = np.zeros(D.SIZE ** D.ORDER, np.int64)
+    bad = ("stupid", "pathetic", "worthless", "disgusting")
+    for i in range(200):
+        D.count_grams(prose(i, 100) + " you are a " + " and ".join(bad), counts)
+    restorer = D.Restorer(D.language_model(counts))
+    for apart in ("pathe tic", "pat hetic", "stupi d", "s tupid", "wor thless", "disgu sting", "dis gusting", "d i s g u s t i n g"):
+        word = apart.replace(" ", "")
+        for around in (apart, f"bado {apart} nesuko", f"you are a {apart}, and a {apart}!"):
+            assert word in restorer.spaced(around), (around, restorer.spaced(around))
+    assert restorer.spaced("you are a bado nesuko and a talmer") == []
+
+
+def test_gaps_decided_at_once_equal_the_search(rude):
+    """Chunks of all lengths, doubles, accents and imitations: the words of one search over the whole text."""
+    r = random.Random(6)
+    for _ in range(400):
+        chunks = ["".join(r.choice("aeinorstlé") for _ in range(r.randint(1, 7))) for _ in range(r.randint(2, 9))]
+        same = {*chunks, *map(D._base, chunks)}
+        whole = [w for w in D.viterbi(" ".join(chunks), rude.prices).split() if len(w) > 2]
+        assert [w for w in rude.spaced(" ".join(chunks)) if w not in same] == [w for w in whole if w not in same], chunks
+    pieces = [["s", "tupid"], [], ["ass"], ["hole"], ["wor", "(", "thy"]]
+    assert rude.set_apart(pieces) == [rude.spaced(" ".join(p), p) for p in pieces] and rude.set_apart([]) == []
