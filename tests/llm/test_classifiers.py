@@ -153,7 +153,7 @@ def test_clean_words_stay(restorer):
 
 
 def test_search_equals_listing_all_paths(restorer):
-    """Viterbi with the beam against every path of small lattices."""
+    """Viterbi against every path of small lattices."""
     from itertools import product
 
     def price(said):
