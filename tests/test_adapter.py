@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from cohortflow.session import compiled_methods
 from cohortflow.sources.adapter import adapt_events, adapt_orders
 
 SF = "/root/testdata/sf0.001"
@@ -23,3 +24,12 @@ def test_one_row_group_of_many_splits_is_mapped_by_many_tasks(spark, adapt):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert max(rows) < sum(rows) / 2
+
+
+def test_landing_splits_the_mapping_into_compiled_methods(spark):
+    """One generated method of more than 8,000 bytes would be interpreted; the session's limit is as it was afterwards."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with compiled_methods(spark):
+        assert int(spark.conf.get(name)) <= 8000
+    assert spark.conf.get(name) == before
