@@ -10,10 +10,14 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import unicodedata
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Letters 1..26; 0 is everything else and ends a word.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -90,6 +94,9 @@ def _choices(char: str, length: int, inside: bool) -> list[tuple[str, float]]:
 
 
 PLANE = SIZE ** (ORDER - 1)
+#: Choices of a character at most; spans searched at once, and rows that this may hold; what a letter code says (the last, -1: nothing).
+_WIDEST, _SPANS, _MOST = 12, 1 << 13, 1 << 21
+_SAYS = np.frombuffer((" " + LETTERS + "\0").encode(), np.uint8)
 
 
 @lru_cache(1 << 14)
@@ -149,6 +156,121 @@ def viterbi(word: str, prices) -> str:
     return search(word, prices)[1]
 
 
+class Lattices:
+    """Searches many spans at once, one character of each at a time; the results are those of ``search``.
+
+    A path is a row (span, state, price) and a step is a few array operations over all of them; of the
+    paths of one span in one state the cheapest stays. Where the rows become too many, the spans are halved.
+    """
+
+    def __init__(self, prices: np.ndarray):
+        self.flat = prices.astype(np.float64).ravel()
+        self.flat[0] = 0.0  # a break after a break costs nothing
+        self.ids = np.zeros(sys.maxunicode + 1, np.int32)  # of the characters seen, from 1
+        self.seen = 1
+        # of each character, as a run of one to three, at an edge or inside: choices and their codes (-1: none)
+        self.n, self.price = np.zeros(6, np.int64), np.zeros((6, _WIDEST))
+        self.one, self.two = np.zeros((6, _WIDEST), np.int8), np.zeros((6, _WIDEST), np.int8)
+
+    def _add(self, chars: list[str]) -> None:
+        rows = [_coded(c, length, inside) for c in chars for length in (1, 2, 3) for inside in (False, True)]
+        price = np.zeros((len(rows), _WIDEST))
+        one, two = np.full((len(rows), _WIDEST), -1, np.int8), np.full((len(rows), _WIDEST), -1, np.int8)
+        for i, row in enumerate(rows):
+            for k, (_, said, channel) in enumerate(row):
+                price[i, k] = channel
+                one[i, k], two[i, k] = (*said, -1, -1)[:2]
+        self.n = np.append(self.n, [len(row) for row in rows])
+        self.price, self.one, self.two = np.vstack([self.price, price]), np.vstack([self.one, one]), np.vstack([self.two, two])
+
+    def search(self, spans: list[str]) -> list[str]:
+        """The cheapest reading of each span."""
+        points = np.frombuffer("".join(spans).encode("utf-32-le", "surrogatepass"), np.uint32)
+        ids = self.ids[points]
+        if not ids.all():
+            new = np.unique(points[ids == 0])
+            self.ids[new] = np.arange(self.seen, self.seen + len(new))
+            self.seen += len(new)
+            self._add([chr(x) for x in new.tolist()])
+            ids = self.ids[points]
+        ends = np.cumsum(np.fromiter(map(len, spans), np.int64, len(spans)))
+        begins = np.append(0, ends)[:-1]
+        head = np.ones(len(points), bool)
+        head[1:] = ids[1:] != ids[:-1]
+        head[begins[begins < ends]] = True
+        at = np.flatnonzero(head)
+        last = np.searchsorted(at, ends)
+        first = np.append(0, last)[:-1]
+        inside = np.ones(len(at), np.int64)
+        inside[first[first < last]] = inside[last[first < last] - 1] = 0
+        ops = ids[at] * 6 + (np.minimum(np.diff(np.append(at, len(points))), 3) - 1) * 2 + inside
+        said = np.zeros((len(ops), 2), np.uint8)
+        order = np.argsort(first - last, kind="stable")[:np.count_nonzero(last - first)]
+        for k in range(0, len(order), _SPANS):
+            self._pass(ops, first, last - first, order[k:k + _SPANS], said)
+        text = np.zeros(2 * len(ops) + len(spans), np.uint8)  # a line a span
+        lines = np.arange(len(spans))
+        to = 2 * np.arange(len(ops)) + np.repeat(lines, last - first)
+        text[to], text[to + 1], text[2 * last + lines] = said[:, 0], said[:, 1], 10
+        return text.tobytes().translate(None, b"\0").decode("ascii").split("\n")[:-1]
+
+    def _pass(self, ops: np.ndarray, first: np.ndarray, runs: np.ndarray, order: np.ndarray, said: np.ndarray) -> None:
+        """Write what the spans of ``order``, the longest first, say for each run."""
+        begin, lengths, flat = first[order], runs[order], self.flat
+        steps = int(lengths[0])
+        live = np.searchsorted(-lengths, -np.arange(1, steps + 2), "right")  # spans that have a step
+        item, state, price = np.arange(len(order)), np.zeros(len(order), np.int64), np.zeros(len(order))
+        back, end, held = [], np.zeros(len(order), np.int64), 0
+        for t in range(steps):
+            op = ops[begin[item] + t]
+            n = self.n[op]
+            total = int(n.sum())
+            held += total
+            if held > _MOST and len(order) > 1:
+                half = len(order) // 2
+                self._pass(ops, first, runs, order[:half], said)
+                self._pass(ops, first, runs, order[half:], said)
+                return
+            rows, k = np.arange(len(n)), 0
+            if total > len(n):
+                rows = np.repeat(rows, n)
+                k = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
+                op, item, state, price = op[rows], item[rows], state[rows], price[rows]
+            one, two = self.one[op, k], self.two[op, k]
+            at = np.where(one >= 0, state * SIZE + one, 0)
+            price = price + self.price[op, k] + flat[at]  # nothing said: flat[0], no price
+            state = np.where(one > 0, at % PLANE, np.where(one == 0, 0, state))
+            more = np.flatnonzero(two > 0)
+            at = state[more] * SIZE + two[more]
+            price[more] += flat[at]
+            state[more] = at % PLANE
+            if len(item) > live[t]:
+                key = item * PLANE + state
+                by = np.argsort(key, kind="stable")
+                fresh = np.append(True, np.diff(key[by]) > 0)
+                if not fresh.all():
+                    least = np.minimum.reduceat(price[by], np.flatnonzero(fresh))
+                    group = np.cumsum(fresh) - 1
+                    best = np.flatnonzero(price[by] == least[group])
+                    by = by[best[np.append(True, np.diff(group[best]) > 0)]]
+                    item, state, price, rows, one, two = item[by], state[by], price[by], rows[by], one[by], two[by]
+            back.append((rows.astype(np.int32), one, two))
+            cut = int(np.searchsorted(item, live[t + 1]))
+            if cut < len(item):  # spans that end here
+                by = np.lexsort((price[cut:] + flat[state[cut:] * SIZE], item[cut:]))
+                ended = item[cut:][by]
+                best = np.append(True, np.diff(ended) > 0)
+                end[ended[best]] = cut + by[best]
+                item, state, price = item[:cut], state[:cut], price[:cut]
+        at = np.zeros(len(order), np.int64)
+        for t in range(steps - 1, -1, -1):
+            rows, one, two = back.pop()
+            at[live[t + 1]:live[t]] = end[live[t + 1]:live[t]]
+            here, to = at[:live[t]], begin[:live[t]] + t
+            said[to, 0], said[to, 1] = _SAYS[one[here]], _SAYS[two[here]]
+            at[:live[t]] = rows[here]
+
+
 #: Letters, digits and imitating signs: a chunk, maybe of a word that is set apart; and what may part chunks within a piece.
 _CHUNK = re.compile(rf"(?:[^\W_]|[{re.escape(''.join(c for c in IMITATES if not c.isalnum()))}])+")
 _PARTS = re.compile(r"[._\-~·/\\,:;'\"?)\]}>]+")
@@ -157,22 +279,31 @@ _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _BREAKS = "".join(c for c in _EDGE if c not in IMITATES)
 #: A piece without letters, digits or imitations only parts chunks.
 _LONG = re.compile(rf"[^\W_]|[{re.escape(''.join(c for c in IMITATES if not c.isalnum()))}]")
+#: Signs around a piece that are such a break and part chunks.
+_OUTER = "".join(c for c in _BREAKS if _PARTS.fullmatch(c))
 _SURE = re.compile("[a-z]+")
 _DOUBLE = re.compile(r"([^\W\d_])\1")
 _LETTER = re.compile(r"[^\W\d_]")
+_NO_WORD = re.compile(r"[^\w]+")
+#: Three letters that are read in one way, also beside what is around them.
+_SAME = re.compile(r"(?<=(.))(?!\1)([a-z])(?!\2)([a-z])(?!\3)([a-z])(?!\4)", re.S)
+#: Parts of spans up to this are searched many at once, longer ones one by one.
+_LONGEST = 256
 #: Characters after the last letters that are read in one way, and end states, that a chunk's bounds hold.
 _REST, _ENDS = 8, 16
 _STOP = 1 << 60
 #: Words of one or two letters in a row whose gaps are decided at once; longer rows are searched.
 _SHORTS = 4
-_FOLD = {chr(b): LETTERS[CODES[b] - 1] for b in range(256) if CODES[b]}
+_LATIN = np.append(np.frombuffer(CODES, np.uint8), np.uint8(0))
+_FOLD = {b: LETTERS[CODES[b] - 1] for b in range(256) if CODES[b]}
 
 
 def _base(letters: str) -> str:
     """Letters without accents; "" if some character is no such letter."""
     if letters.isascii():
         return letters if _SURE.fullmatch(letters) else ""
-    return "".join(_FOLD.get(x, " ") for x in letters) if all(x in _FOLD for x in letters) else ""
+    base = letters.translate(_FOLD)
+    return base if _SURE.fullmatch(base) else ""
 
 
 def _code(letters: str) -> int:
@@ -190,21 +321,6 @@ def _single(letters: str) -> int:
     return _code(base)
 
 
-class _Bounded(dict):
-    """Remembers a function's results up to a bound; long keys are not remembered."""
-
-    def __init__(self, make, bound: int):
-        self.make, self.bound = make, bound
-
-    def __missing__(self, key):
-        out = self.make(key)
-        if len(key) <= REMEMBERED:
-            if len(self) >= self.bound:
-                self.clear()
-            self[key] = out
-        return out
-
-
 def _with_base(word: str) -> tuple[str, ...]:
     """The word and, where it has accents, its base letters."""
     if word.isascii():
@@ -212,62 +328,193 @@ def _with_base(word: str) -> tuple[str, ...]:
     return (word, "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c)))
 
 
+def _letters(names: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Which names are letters that are read in one way; of these the base letters, and the bounds as ``Restorer._bounds`` has them."""
+    points = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = _LATIN[np.minimum(points, 256)]
+    sizes = np.fromiter(map(len, names), np.int64, len(names))
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    odd = codes == 0
+    odd[1:] |= points[1:] == points[:-1]
+    odd[begins[(begins < ends) & (codes[np.minimum(begins, len(codes) - 1)] > 0)]] = False  # the same as in the name before
+    odd = np.append(0, np.cumsum(odd))
+    plain = (odd[ends] == odd[begins]) & (sizes > 0)
+    text = np.full(len(codes) + len(names), 10, np.uint8)
+    text[np.arange(len(codes)) + np.repeat(np.arange(len(names)), sizes)] = codes + 96
+    bases = text.tobytes().decode("ascii").split("\n")[:-1]
+    some, packed = np.flatnonzero(plain), np.zeros(len(names), np.int64)
+    a, b, n, wide = begins[some], ends[some], sizes[some], codes.astype(np.int64)
+    head = np.zeros(len(some), np.int64)
+    for k in range(3):
+        head = np.where(n > k, head * SIZE + wide[np.minimum(a + k, b - 1)], head)
+    tail = (wide[b - 3] * SIZE + wide[b - 2]) * SIZE + wide[b - 1]  # of three and more
+    packed[some] = np.where(n < 3, PLANE + head, head | tail << 16)
+    return plain, bases, packed
+
+
+class Numbers:
+    """Numbers names from 0 in the order in which they come."""
+
+    def __init__(self, names: list[str] | None = None):
+        self.names = names or []
+        self.number = {name: i for i, name in enumerate(self.names)}
+
+    def of(self, names: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The names' numbers, and those of the names that are new."""
+        number, known = self.number, len(self.names)
+        give = number.setdefault
+        out = np.array([give(name, len(number)) for name in names], np.int64)
+        new = list(islice(number, known, None))
+        self.names += new
+        return out, new
+
+
+class Lists:
+    """Lists of numbers, one behind the other in one array."""
+
+    def __init__(self, lists: list[list[int]] | None = None):
+        self.flat, self.ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        if lists:
+            self.add(np.array([x for some in lists for x in some], np.int64), list(map(len, lists)))
+
+    def add(self, flat: np.ndarray, lengths: list[int]) -> None:
+        self.flat = np.append(self.flat, flat)
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(lengths, dtype=np.int64))
+
+    def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers in the chosen lists, and for each the place in ``which`` of its list."""
+        begin = self.ends[which]
+        n = self.ends[which + 1] - begin
+        at = np.repeat(np.arange(len(which)), n)
+        return self.flat[np.arange(len(at)) - (np.cumsum(n) - n - begin)[at]], at
+
+
+def _distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order, and the place of each number among them (numbers are small: an array by number)."""
+    there = np.zeros(int(numbers.max(initial=-1)) + 1, bool)
+    there[numbers] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[numbers]
+
+
+def pairs(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of numbers, in order; the second ones are below ``n``."""
+    both = np.sort(a * n + b)
+    return np.divmod(both[np.append(True, both[1:] != both[:-1])] if len(both) else both, max(1, n))
+
+
+def _cuts(span: str) -> list[str]:
+    """Pieces of a span, each but the first beginning with the three letters with which that before it ends."""
+    out, start = [], 0
+    for m in _SAME.finditer(span):
+        if m.end() - start > REMEMBERED >> 1:
+            out.append(span[start:m.end()])
+            start = m.start()
+    return [*out, span[start:]]
+
+
 class Restorer:
-    """Reads words and spans; what it has read is remembered up to a bound."""
+    """Reads words and spans; what it has read is remembered up to a bound.
+
+    Pieces and chunks have numbers, and arrays hold what is known of each, so that the texts of a
+    batch are read by array operations; only new pieces, chunks and runs of chunks cost Python.
+    """
 
     def __init__(self, prices: np.ndarray, memo: int = 1 << 18):
-        self.prices, self.memo, self.bound = prices, {}, memo
-        self._steps, self._joined, self._apart, self._sure = {}, {}, {}, {}
-        self._parts, self._ends = _Bounded(self._chunks, memo), _Bounded(self._bounds, memo)
-        self._doubled = _Bounded(lambda chunk: bool(_base(chunk)) and not self._plain(chunk), memo)
+        self.prices, self.bound = prices, memo
         self._price = prices.tolist()
         self._flat = prices.astype(np.float64).ravel()
+        self._lattices = Lattices(prices)
+        self.memo: dict[str, tuple[str, ...]] = {}  # span -> words
+        self._heads: dict[str, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Begin anew with the numbers of pieces, chunks and words."""
+        self._words = Numbers()
+        self._chunk, self._bases, self._packed, self._plain = Numbers([""]), [""], np.array([_STOP]), np.ones(1, bool)
+        self._alone = Lists([[]])  # what a chunk between two breaks says, if that is not the chunk itself
+        self._pieces, self._parts, self._says = Numbers(), Lists(), Lists()  # a piece's chunks, and its restored words
+        self._runs, self._found = Numbers(), Lists()  # runs of chunks, and their words
         self._sets: dict[tuple[int, str], int] = {}  # states and prices at the ends of chunks that have several
         self._tails, self._costs = np.zeros((0, _ENDS), np.int64), np.zeros((0, _ENDS))
 
     def word(self, raw: str) -> tuple[str, ...]:
         """The restored words in one whitespace-separated piece of a lower-case text."""
-        core = raw.strip(_BREAKS)
-        if core.isalpha() and not _DOUBLE.search(core):
-            return _with_base(core)  # the lattice has this one path
-        plain, whole = [], core.strip(_EDGE)
-        if _LETTER.search(core):
-            plain = [p for p in re.split(r"[^\w]+", core) if p]
-            if len(plain) > 1 and whole.replace("'", "").replace("-", "").isalpha():
-                plain.append(whole)
-        return (*plain, *self.span(core), *(self.span(whole) if whole != core else ()))
-
-    def span(self, raw: str) -> tuple[str, ...]:
-        found = self.memo.get(raw)
-        if found is None:
-            found = tuple(viterbi(raw, self._price).split())
-            if len(raw) <= REMEMBERED:
-                if len(self.memo) >= self.bound:
-                    self.memo.clear()
-                self.memo[raw] = found
-        return found
+        return self.words([raw])[0]
+
+    def words(self, raws: list[str]) -> list[tuple[str, ...]]:
+        """``word`` of each."""
+        out, spans = [], []
+        for raw in raws:
+            core = raw.strip(_BREAKS)
+            if core.isalpha() and not _DOUBLE.search(core):
+                out.append(_with_base(core))  # the lattice has this one path
+                continue
+            plain, whole = [], core.strip(_EDGE)
+            if _LETTER.search(core):
+                plain = [p for p in _NO_WORD.split(core) if p]
+                if len(plain) > 1 and whole.replace("'", "").replace("-", "").isalpha():
+                    plain.append(whole)
+            spans.append((len(out), core))
+            if whole != core:
+                spans.append((len(out), whole))
+            out.append(tuple(plain))
+        for (i, _), said in zip(spans, self.spans([span for _, span in spans])):
+            out[i] += said
+        return out
+
+    def spans(self, raws: list[str]) -> list[tuple[str, ...]]:
+        """The words of the cheapest reading of each disguised span."""
+        memo = self.memo
+        if len(memo) > self.bound:
+            memo.clear()
+        new = list({raw for raw in raws if raw not in memo})
+        read = dict(zip(new, map(tuple, map(str.split, self._readings(new)))))
+        out = [read[raw] if raw in read else memo[raw] for raw in raws]
+        memo.update((raw, said) for raw, said in read.items() if len(raw) <= REMEMBERED)
+        return out
 
-    def _chunks(self, piece: str) -> tuple[str, ...]:
+    def _readings(self, spans: list[str]) -> list[str]:
+        """The cheapest reading of each span; a long one is cut where all paths say the same three letters."""
+        cuts = {span: _cuts(span) for span in spans if len(span) > REMEMBERED}
+        parts = [part for cut in cuts.values() for part in cut]
+        out = self._lattices.search([x if len(x) <= _LONGEST else "" for x in (*parts, *("" if span in cuts else span for span in spans))])
+        read = iter([viterbi(x, self._price) if len(x) > _LONGEST else said for x, said in zip(parts, out)])
+        out = out[len(parts):]
+        long = {span: "".join(next(read)[3 if k else 0:] for k in range(len(cut))) for span, cut in cuts.items()}
+        return [long[span] if span in long else said for span, said in zip(spans, out)] if long else out
+
+    @staticmethod
+    def _chunks(piece: str) -> tuple[str, ...]:
         """The chunks of a whitespace-separated piece: () if it only parts others, ("",) if it ends a run of them."""
         parts = [p for p in _PARTS.split(piece) if p]
         if all(map(_CHUNK.fullmatch, parts)):
             return tuple(parts)
         return ("",) if _LONG.search(piece) else ()
 
+    def _single(self, letters: str) -> int:
+        """The code of three letters that are read in one way, else 0."""
+        code = self._heads.get(letters)
+        if code is None:
+            if len(self._heads) >= self.bound:
+                self._heads.clear()
+            code = self._heads[letters] = _single(letters)
+        return code
+
     def _bounds(self, chunk: str) -> int:
         """The first three letters a chunk says, and what it may end in, packed; 0 for what is not known.
 
         Bits 0 to 15: the code of the first three letters, where all paths have them; PLANE and up,
         that of a whole word of one or two letters. Bits 16 and up: the code of the last three, or
-        PLANE and up, the number of a set of end states. _STOP ends a run of chunks.
+        PLANE and up, the number of a set of end states. _STOP ("") ends a run of chunks.
         """
-        if not chunk:
-            return _STOP
-        if len(chunk) < 3:
-            return PLANE + _code(_base(chunk)) if self._plain(chunk) else 0
-        head, n = _single(chunk[:3]), len(chunk)
+        n = len(chunk)
+        if n < 3:
+            return PLANE + _code(_base(chunk)) if _base(chunk) and not _DOUBLE.search(chunk) else 0
+        head = self._single(chunk[:3])
         for i in range(n, max(2, n - _REST), -1):
-            known = _single(chunk[i - 3:i]) if i == n or chunk[i] != chunk[i - 1] else 0
+            known = self._single(chunk[i - 3:i]) if i == n or chunk[i] != chunk[i - 1] else 0
             if known:
                 return head | (known if i == n else self._set(known, chunk[i:])) << 16
         return head
@@ -306,18 +553,14 @@ class Restorer:
         return ((apart + np.where(broken, 0.0, self._flat[state * SIZE]), there),
                 (np.where(broken, np.inf, together + DROPPED), here))
 
-    def _gaps(self, flat: list[str]) -> np.ndarray:
+    def _gaps(self, flat: np.ndarray) -> np.ndarray:
         """For each gap between neighbouring chunks: 1 a break, 2 none, 0 to be searched.
 
         Three letters after a gap a path is in the same state with a break and without. So the letters
         around a gap, or around a short word between two gaps, decide alone for every cheapest path.
         """
-        ends = self._ends
-        if len(self._sets) > self.bound >> 2:
-            self._sets.clear()
-            ends.clear()
-        packed = np.array([ends[c] for c in flat], np.int64)
-        stop = packed == _STOP
+        packed = self._packed[flat]
+        stop = flat == 0
         packed[stop] = 0
         tail, head = packed >> 16, packed & 0xFFFF
         short, known = head >= PLANE, (head > 0) & (head < PLANE)
@@ -349,171 +592,141 @@ class Restorer:
         out[stop[:-1] | stop[1:]] = 1
         return out
 
-    def _step(self, state: int, chunk: str, first: bool, last: bool) -> list[tuple[int, float, str]]:
-        """Where a chunk leads from a state: the state after it, the price, the letters."""
-        key = (state, chunk, first, last)
-        found = self._steps.get(key)
-        if found is None:
-            if len(self._steps) >= self.bound:
-                self._steps.clear()
-            if self._plain(chunk):
-                base = _base(chunk)
-                found = [(*self._read(state, base), base)]
-            else:
-                ends = _walk(chunk, self._price, {state: (0.0, None)}, first, last)
-                found = [(s, p, _said(link)) for s, (p, link) in ends.items()]
-            self._steps[key] = found
-        return found
+    def _number(self, chunks: list[str]) -> np.ndarray:
+        """The numbers of chunks; what is known of new ones is found first."""
+        out, new = self._chunk.of(chunks)
+        if new:
+            plain, bases, packed = _letters(new)
+            others = np.flatnonzero(~plain).tolist()
+            for i in others:
+                bases[i] = _base(new[i])
+                packed[i] = self._bounds(new[i])
+            self._bases += bases
+            self._plain, self._packed = np.append(self._plain, plain), np.append(self._packed, packed)
+            alone: list = [()] * len(new)
+            doubled = [i for i in others if bases[i]]
+            for i, said in zip(doubled, self.spans([new[i] for i in doubled])):
+                alone[i] = [w for w in said if len(w) > 2 and w != new[i]]
+            self._alone.add(*self._flat_words(alone))
+        return out
 
-    def _read(self, state: int, letters: str) -> tuple[int, float]:
-        price, p = self._price, 0.0
-        for x in letters:
-            at = state * SIZE + ord(x) - 96
-            p += price[at]
-            state = at % PLANE
-        return state, p
-
-    def _plain(self, chunk: str) -> bool:
-        """Whether a chunk's lattice has one path."""
-        found = self._sure.get(chunk)
-        if found is None:
-            if len(self._sure) >= self.bound:
-                self._sure.clear()
-            found = self._sure[chunk] = bool(_base(chunk)) and not _DOUBLE.search(chunk)
-        return found
+    def _flat_words(self, lists: list) -> tuple[np.ndarray, list[int]]:
+        """The words' numbers, one list after the other, and the lists' lengths."""
+        return self._words.of([w for some in lists for w in some])[0], list(map(len, lists))
+
+    def _learn(self, pieces: list[str], words: bool) -> np.ndarray:
+        """The numbers of pieces; their chunks and, if asked for, their restored words are found first."""
+        out, new = self._pieces.of(pieces)
+        if new:
+            cores = [piece.strip(_OUTER) for piece in new]
+            plain, bases, _ = _letters(cores)
+            others = np.flatnonzero(~plain).tolist()
+            parts: list = [(core,) for core in cores]
+            says: list = [(core,) if core == base else (core, base) for core, base in zip(cores, bases)] if words else [()] * len(new)
+            for i in others:
+                parts[i] = self._chunks(new[i])
+            if words:
+                for i, said in zip(others, self.words([new[i] for i in others])):
+                    says[i] = said
+            self._parts.add(self._number([c for some in parts for c in some]), list(map(len, parts)))
+            self._says.add(*self._flat_words(says))
+        return out
 
-    def apart(self, before: str, a: str, b: str, after: str) -> bool:
-        """Whether the gap of chunks ``a`` and ``b`` is a break on every cheapest path.
+    def _set_apart(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places in a row of chunks at which words are found, and the words' numbers, in order.
 
-        ``before`` and ``after`` are the chunks around them ("" at an end). All are plain letters, so
-        the states in which a path may reach the gap are known. With and without the break a path
-        says the same letters, and three letters later it is in the same state: if the break is no
-        dearer by then for each state and each way on, it is right. Where more would have to be
-        known, the answer is no and the search decides.
+        The gaps whose neighbours alone decide are found at once; what lies between breaks is read as
+        one word, or searched where a gap is still open or a letter may be read in several ways.
         """
-        key = (before[-2:] if len(a) < 3 else "", a[-3:], b[:3], after[:2] if len(b) < 3 else "")
-        found = self._apart.get(key)
-        if found is None:
-            if len(self._apart) >= self.bound:
-                self._apart.clear()
-            found = self._apart[key] = self._is_apart(*key)
-        return found
+        if len(flat) < 2:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        gaps = self._gaps(flat)
+        cut = np.flatnonzero(gaps == 1)
+        starts, lasts = np.append(0, cut + 1), np.append(cut, len(flat) - 1)
+        single = starts[starts == lasts]
+        runs = np.flatnonzero(lasts > starts)
+        a, b = starts[runs], lasts[runs] + 1
+        unsure = np.append(0, np.cumsum(gaps == 0))
+        unsure = unsure[b - 1] > unsure[a]
+        odd = np.append(0, np.cumsum(~self._plain[flat]))
+        sure = ~unsure & (odd[b] == odd[a])  # the lattice has this one path
+        plain = self._joins(self._bases, flat, a[sure], b[sure], "")
+        words, numbers = self._words.of(plain.dictionary.to_pylist())[0], np.asarray(plain.indices)
+        read = self._joins(self._chunk.names, flat, a[~sure], b[~sure], " ")
+        runs, which = read.dictionary.to_pylist(), np.asarray(read.indices)
+        known = self._known_runs(runs)
+        found, at = self._found.gather(known[which])
+        marked = np.array([run[-1] == "!" and run[-2] != " " for run in runs], bool)  # more often a mark than a letter
+        again = np.flatnonzero(marked[which] & unsure[~sure])
+        short = [run.rstrip("!") for run in runs]
+        known = self._known_runs([run + "!" if run[-1:] == " " else run for run in short])
+        other, to = self._found.gather(known[which[again]])
+        alone, by = self._alone.gather(flat[single])
+        places = np.concatenate([a[sure], a[~sure][at], a[~sure][again][to], single[by]])
+        order = np.argsort(places, kind="stable")
+        return places[order], np.concatenate([words[numbers], found, other, alone])[order]
+
+    @staticmethod
+    def _joins(names: list[str], flat: np.ndarray, a: np.ndarray, b: np.ndarray, by: str) -> pa.DictionaryArray:
+        """The names in each stretch, joined."""
+        at = np.repeat(b - np.cumsum(b - a), b - a) + np.arange(int((b - a).sum()))
+        some, which = _distinct(flat[at])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(b - a)).astype(np.int32)),
+                                         pa.array([names[i] for i in some.tolist()], pa.string()).take(pa.array(which)))
+        return pc.binary_join(lists, by).dictionary_encode()
+
+    def _known_runs(self, runs: list[str]) -> np.ndarray:
+        """The numbers of runs of chunks; their words of three letters and more that are no chunks are found first."""
+        out, new = self._runs.of(runs)
+        if new:
+            found = []
+            for run, said in zip(new, self._readings(new)):
+                chunks = run.split(" ")
+                found.append([w for w in said.split() if len(w) > 2 and w not in chunks] if said != run else ())
+            self._found.add(*self._flat_words(found))
+        return out
 
-    def _is_apart(self, before: str, a: str, b: str, on: str) -> bool:
-        if len(a) == 1 and len(before) == 1 or len(b) < 3 and on and not on.isalpha():
-            return False
-        price = self._price
-        tails = {(before + a)[-k:] for k in range(len(a), min(3, len(before + a)) + 1)}
-        if len(b) >= 3:
-            ways = [""]
-        elif len(b) == 2 or not on:
-            ways = [" ", on[:1]] if on else [" "]
-        elif len(on) == 2:
-            ways = [" ", on]
-        else:
-            return False
-
-        def cost(state: int, way: str) -> float:
-            state, p = self._read(state, b[:3])
-            if way == " ":
-                return p + price[state * SIZE]
-            return p + self._read(state, way)[1]
-
-        for tail in tails:
-            state = self._read(0, tail)[0]
-            if any(price[state * SIZE] + cost(0, way) > DROPPED + cost(state, way) for way in ways):
-                return False
-        return True
+    def _chunk_row(self, pieces: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chunks of texts, one after the other with a stop behind each, and where each text ends.
+
+        ``ends`` are the texts' ends in ``pieces``.
+        """
+        chunks, at = self._parts.gather(pieces)
+        behind = np.searchsorted(at, ends)
+        return np.insert(chunks, behind, 0), behind + 1 + np.arange(len(ends))
 
     def joined(self, chunks: tuple[str, ...]) -> tuple[str, ...]:
         """The words of chunks set apart, where each gap is a break or dropped: one exact pass."""
-        found = self._joined.get(chunks)
-        if found is not None:
-            return found
-        prices, end = self._price, len(chunks) - 1
-        best: dict[int, tuple] = {0: (0.0, None)}
-        for i, chunk in enumerate(chunks):
-            step: dict[int, tuple] = {}
-            for state, (price, said) in best.items():
-                gaps = [(state, price + DROPPED, said), (0, price + prices[state * SIZE], (" ", said))] if state else [(0, price, said)]
-                for s, p, link in gaps:
-                    plain = chunk.isalpha()
-                    for t, q, letters in self._step(s, chunk, i == 0 and not plain, i == end and not plain):
-                        if t not in step or p + q < step[t][0]:
-                            step[t] = (p + q, (letters, link))
-            best = step
-        found = tuple(w for w in _cheapest(best, prices)[1].split() if len(w) > 2 and w not in chunks)
-        if sum(map(len, chunks)) <= REMEMBERED:
-            if len(self._joined) >= self.bound:
-                self._joined.clear()
-            self._joined[chunks] = found
-        return found
+        return tuple(w for w in self.spans([" ".join(chunks)])[0] if len(w) > 2 and w not in chunks)
 
     def spaced(self, text: str, pieces: list[str] | None = None) -> list[str]:
-        """Words restored from letters or chunks of any length that are set apart by any spaces and signs.
-
-        The gaps whose neighbours alone decide are found at once; what lies between breaks is read as
-        one word, or searched where a gap is still open.
-        """
+        """Words restored from letters or chunks of any length that are set apart by any spaces and signs."""
         return self.set_apart([text.split() if pieces is None else pieces])[0]
 
     def set_apart(self, texts: list[list[str]]) -> list[list[str]]:
         """``spaced`` for many texts, each given as its whitespace-separated pieces."""
-        flat, ends, parts = [], [], self._parts
-        for pieces in texts:
-            for piece in pieces:
-                flat += parts[piece]
-            flat.append("")
-            ends.append(len(flat))
+        self._forget()
         found: list[list[str]] = [[] for _ in texts]
-        if len(flat) < 2:
-            return found
-        gaps = self._gaps(flat)
-        cut = np.flatnonzero(gaps == 1)
-        starts, lasts = np.append(0, cut + 1), np.append(cut, len(flat) - 1)
-        to_search = np.append(0, np.cumsum(gaps == 0))
-        doubled = np.array([self._doubled[c] for c in flat])
-        some = np.flatnonzero((lasts > starts) | doubled[starts])
-        owner = np.searchsorted(np.array(ends), starts[some], "right").tolist()
-        unsure = (to_search[lasts[some]] > to_search[starts[some]]).tolist()
-        for text, search_it, start, last in zip(owner, unsure, starts[some].tolist(), lasts[some].tolist()):
-            run = flat[start:last + 1]
-            if start == last:
-                found[text] += self._alone(run[0])
-            elif search_it:
-                self._read_run(run, found[text])
-            elif all(map(self._plain, run)):  # the lattice has this one path
-                found[text].append("".join(map(_base, run)))
-            else:
-                found[text] += self.joined(tuple(run))
+        flat, ends = self._chunk_row(self._learn([p for pieces in texts for p in pieces], False), np.cumsum(list(map(len, texts)), dtype=np.int64))
+        places, words = self._set_apart(flat)
+        for text, word in zip(np.searchsorted(ends, places, "right").tolist(), words.tolist()):
+            found[text].append(self._words.names[word])
         return found
 
-    def _alone(self, chunk: str) -> list[str]:
-        """What a chunk between two breaks says, if that is not the chunk itself."""
-        return [w for w in self.span(chunk) if len(w) > 2 and w != chunk]
-
-    def _read_run(self, run: list[str], out: list[str]) -> None:
-        """Read a run of chunks, cut where short neighbours decide for a break."""
-        start, joined, n = 0, self._joined, len(run)
-        ends, sure = [self._ends[c] for c in run], [self._plain(c) for c in run]
-        # the last, and the first, three letters of chunks that say them in one way (all letters of a short one); else ""
-        last = [_base(c[-3:]) if p or 0 < e >> 16 < PLANE else "" for c, e, p in zip(run, ends, sure)]
-        ahead = [_base(c[:3]) if p or e & 0xFFFF else "" for c, e, p in zip(run, ends, sure)]
-        for i in range(1, n + 1):
-            if i < n:
-                a, b = last[i - 1], ahead[i]
-                if not (a and b):
-                    continue
-                more, on = len(a) < 3 and i - 2 >= start, len(b) < 3 and i + 1 < n
-                if (more and not last[i - 2] or on and not ahead[i + 1]
-                        or not self.apart(last[i - 2] if more else "", a, b, ahead[i + 1] if on else "")):
-                    continue
-            if i - start > 1:
-                chunks = tuple(run[start:i])
-                found = joined.get(chunks)
-                out += self.joined(chunks) if found is None else found
-            elif self._doubled[run[start]]:
-                out += self._alone(run[start])
-            start = i
-        if n > 1 and len(run[-1]) > 1 and run[-1][-1] == "!":  # more often a mark than a letter
-            out += self.joined((*run[:-1], run[-1].rstrip("!") or "!"))
+    def restored(self, texts: pa.Array) -> pa.Array:
+        """The texts replaced by their distinct restored words, parted by spaces."""
+        if len(self._pieces.names) > self.bound:
+            self._forget()
+        split = pc.utf8_split_whitespace(pa.array([(text or "").lower() for text in texts.to_pylist()], pa.large_string()))
+        pieces, ends = split.flatten().dictionary_encode(), np.asarray(split.offsets)[1:]
+        pieces = self._learn(pieces.dictionary.to_pylist(), True)[np.asarray(pieces.indices)]
+        flat, stops = self._chunk_row(pieces, ends)
+        places, joined = self._set_apart(flat)
+        owner = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+        owner, pieces = pairs(owner, pieces, len(self._pieces.names))
+        words, at = self._says.gather(pieces)
+        owner, words = pairs(np.append(owner[at], np.searchsorted(stops, places, "right")), np.append(words, joined), len(self._words.names))
+        some, words = _distinct(words)
+        names = pa.array([self._words.names[i] for i in some.tolist()], pa.string())
+        bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), names.take(pa.array(words))), " ")

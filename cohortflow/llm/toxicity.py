@@ -18,19 +18,23 @@ are never read.
 
 from __future__ import annotations
 
+import gc
 import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import FILTER_BITS, bit_filter, land, python_tasks
-from cohortflow.llm.deobfuscate import ORDER, SIZE, Restorer, count_grams, language_model
+from cohortflow.llm.deobfuscate import ORDER, SIZE, Lists, Numbers, Restorer, count_grams, language_model, pairs
 from cohortflow.llm.labels import bounded_sample, fold, logistic, training_rows
 
 #: Prefix lengths that stand for a word family.
@@ -50,70 +54,85 @@ def features(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in PREFIXES if len(word) > k)]
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The words of restored texts, and for each the place of its text."""
+    lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    words = lists.flatten()
+    some = np.asarray(pc.binary_length(words)) > 0
+    return np.repeat(np.arange(len(texts)), np.diff(np.asarray(lists.offsets)))[some], words.filter(pa.array(some))
+
+
+#: What a byte changes in a CRC; strings of more bytes are left to zlib.
+_CRC = np.array([zlib.crc32(bytes([b ^ 0xFF])) ^ 0xFF000000 for b in range(256)], np.uint32)
+_CRC_BYTES = 64
+
+
+def crc32(strings: pa.Array, end: bytes = b"") -> np.ndarray:
+    """The CRC of each string's bytes and those of ``end``."""
+    strings = strings.cast(pa.large_string())
+    bounds = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset:strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)
+    sizes = np.diff(bounds)
+    out = np.full(len(strings), 0xFFFFFFFF, np.uint32)
+    order = np.argsort(-sizes, kind="stable")
+    order = order[np.searchsorted(-sizes[order], -_CRC_BYTES):]
+    begin, crc = bounds[:-1][order], out[order]
+    for k in range(int(sizes[order].max(initial=0))):
+        n = np.searchsorted(-sizes[order], -k)  # those that are longer
+        crc[:n] = _CRC[(crc[:n] ^ data[begin[:n] + k]) & 0xFF] ^ (crc[:n] >> np.uint32(8))
+    out[order] = crc
+    for i in np.flatnonzero(sizes > _CRC_BYTES).tolist():
+        out[i] = zlib.crc32(data[bounds[i]:bounds[i + 1]].tobytes()) ^ 0xFFFFFFFF
+    for b in end:
+        out = _CRC[(out ^ np.uint32(b)) & 0xFF] ^ (out >> np.uint32(8))
+    return ~out
+
+
 class Sieve:
     """Lets every feature of a table pass, and others as often as their bits are taken."""
 
     def __init__(self, table: DataFrame):
         hashed = table.select(F.shiftleft(F.crc32(F.col("feature").cast("binary")), 32).alias("_h"))
-        self.bits = bit_filter(hashed, "_h").tobytes()
+        self.bits = bit_filter(hashed, "_h")
 
-    def __contains__(self, feature: str) -> bool:
-        at = zlib.crc32(feature.encode()) >> 32 - FILTER_BITS
-        return self.bits[at >> 3] >> 7 - (at & 7) & 1 == 1
+    def passes(self, words: pa.Array) -> np.ndarray:
+        """Of each word, whether the word passes, and whether each of its prefixes does."""
+        out = np.zeros((len(words), 1 + len(PREFIXES)), bool)
+        out[:, 0] = self._of(crc32(words))
+        sizes = np.asarray(pc.utf8_length(words))
+        for i, k in enumerate(PREFIXES, 1):
+            long = np.flatnonzero(sizes > k)
+            out[long, i] = self._of(crc32(pc.utf8_slice_codeunits(words.take(pa.array(long)), 0, k), b"*"))
+        return out
 
+    def _of(self, crc: np.ndarray) -> np.ndarray:
+        at = crc >> np.uint32(32 - FILTER_BITS)
+        return (self.bits[at >> np.uint32(3)] >> (np.uint8(7) - (at & np.uint32(7)).astype(np.uint8)) & 1).astype(bool)
 
-class Reader:
-    """Features of restored texts, remembered by word up to a bound.
-
-    Without ``wanted`` a text gives its distinct features; with it, for each restored word that
-    has wanted features, those in one string.
-    """
 
-    def __init__(self, wanted=None):
-        self.wanted, self.memo = wanted, {}
-
-    def _of(self, word: str) -> tuple[str, ...]:
-        if self.wanted is None:
-            return tuple(features(word))
-        some = " ".join(f for f in features(word) if f in self.wanted)
-        return (some,) if some else ()
-
-    def read(self, restored: str) -> set[str]:
-        found, memo = set(), self.memo
-        for word in restored.split():
-            got = memo.get(word)
-            if got is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                got = memo[word] = self._of(word)
-            if got:
-                found.update(got)
-        return found
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """Without the search for cycles, of which there are none, among the many remembered words."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
 
 
 def restored(texts: DataFrame, text_col: str, prices: np.ndarray) -> DataFrame:
-    """The texts replaced by their distinct restored words, in order and parted by spaces."""
+    """The texts replaced by their distinct restored words, parted by spaces."""
     python_tasks(texts.sparkSession)
     shared = texts.sparkSession.sparkContext.broadcast(prices)  # 27^4 numbers
     others = [c for c in texts.columns if c != text_col]
     kinds = "".join(f"`{c}` {texts.schema[c].dataType.simpleString()}, " for c in others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restore, memo = Restorer(shared.value), {}
+        restorer = Restorer(shared.value, MEMO)
         for batch in batches:
-            pieces = [(t.as_py() or "").lower().split() for t in batch.column(len(others))]
-            out = []
-            for some, joined in zip(pieces, restore.set_apart(pieces)):
-                found = set(joined)
-                for raw in set(some):
-                    got = memo.get(raw)
-                    if got is None:
-                        if len(memo) >= MEMO:
-                            memo.clear()
-                        got = memo[raw] = restore.word(raw)
-                    found.update(got)
-                out.append(" ".join(sorted(found)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.string())], [*others, text_col])
+            with uncollected():
+                out = restorer.restored(batch.column(len(others)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], [*others, text_col])
 
     return texts.select(*others, text_col).mapInArrow(run, f"{kinds}`{text_col}` string")
 
@@ -134,26 +153,40 @@ def gram_counts(docs: DataFrame, text_col: str) -> np.ndarray:
     return out
 
 
-def label_counts(rows: DataFrame) -> DataFrame:
-    """(feature, toxic, clean): restored training documents of each label that contain the feature; "" counts documents."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            keys = list({**counts[0], **counts[1]})
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([counts[1][k] for k in keys], pa.int64()),
-                                               pa.array([counts[0][k] for k in keys], pa.int64())], ["feature", "toxic", "clean"])
+def document_counts(rows: DataFrame, sieve: Sieve | None = None) -> DataFrame:
+    """(feature, n): restored texts of ``rows`` that contain the feature, of those that pass the sieve."""
+    shared = rows.sparkSession.sparkContext.broadcast(sieve)
 
-        reader, counts = Reader(), (Counter(), Counter())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, own, names, counts = Numbers(), Lists(), Numbers(), np.zeros(0, np.int64)
         for batch in batches:
-            for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
-                counts[y].update(reader.read(text.as_py()))
-                counts[y][""] += 1
-            if len(counts[0]) + len(counts[1]) > FLUSH:
-                yield out()
-                counts = (Counter(), Counter())
-        yield out()
+            owner, read = split_words(batch.column(0))
+            read = read.dictionary_encode()
+            number, new = words.of(read.dictionary.to_pylist())
+            found = [features(word) for word in new]
+            if shared.value is not None:
+                found = [[*compress(some, passes)] for some, passes in zip(found, shared.value.passes(pa.array(new, pa.string())).tolist())]
+            own.add(names.of([f for some in found for f in some])[0], list(map(len, found)))
+            held, at = own.gather(number[np.asarray(read.indices)])
+            _, held = pairs(owner[at], held, len(names.names))  # each feature once a text
+            counts = np.pad(counts, (0, len(names.names) - len(counts))) + np.bincount(held, minlength=len(names.names))
+            if len(counts) > FLUSH:
+                yield pa.RecordBatch.from_arrays([pa.array(names.names), pa.array(counts)], ["feature", "n"])
+                words, own, names, counts = Numbers(), Lists(), Numbers(), np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(names.names, pa.string()), pa.array(counts)], ["feature", "n"])
+
+    return rows.select("_text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+
 
-    return (rows.select("_text", "_y").mapInArrow(run, "feature string, toxic long, clean long")
-            .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+def label_counts(rows: DataFrame) -> DataFrame:
+    """(feature, toxic, clean): restored training documents of each label, for features of ``MIN_TOXIC`` toxic ones and more.
+
+    Others are no candidates however many clean documents hold them, so of clean documents only
+    what passes the sieve of these is counted.
+    """
+    toxic = land(document_counts(rows.where("_y = 1")).where(F.col("n") >= MIN_TOXIC).withColumnRenamed("n", "toxic"), "toxic_features")
+    clean = document_counts(rows.where("_y = 0"), Sieve(toxic)).withColumnRenamed("n", "clean")
+    return toxic.join(clean, "feature", "left").na.fill(0, ["clean"])
 
 
 def lower_rate(toxic: float, n: float, z: float) -> float:
@@ -241,9 +274,14 @@ def hits(texts: DataFrame, text_col: str, table: DataFrame) -> DataFrame:
     kinds = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value)
         for batch in batches:
-            found = [sorted(reader.read(t.as_py() or "")) for t in batch.column(len(others))]
+            owner, words = split_words(batch.column(len(others)))
+            passes = shared.value.passes(words)
+            some = np.flatnonzero(passes.any(axis=1))
+            found: list = [set() for _ in range(batch.num_rows)]
+            for text, word, pass_ in zip(owner[some].tolist(), words.take(pa.array(some)).to_pylist(), passes[some].tolist()):
+                found[text].add(" ".join(compress(features(word), pass_)))
+            found = list(map(sorted, found))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.string()))], [*others, "found"])
 
     return texts.select(*others, text_col).mapInArrow(run, f"{kinds}, found array<string>")
@@ -265,12 +303,12 @@ def fit_restored(rows: DataFrame, prices: np.ndarray) -> Model:
     """Fit to labelled rows whose ``_text`` is restored."""
     spark = rows.sparkSession
     counts = land(label_counts(rows), "toxic_counts")
-    totals = counts.where("feature = ''").first()
-    toxic, clean = (totals["toxic"], totals["clean"]) if totals else (0, 0)
+    totals = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
+    toxic, clean = totals.get(1, 0), totals.get(0, 0)
     known = toxic + clean
     base = (toxic + 0.5) / (known + 10)
     candidates = land(counts.withColumn("n", F.col("toxic") + F.col("clean"))
-                      .where((F.col("feature") != "") & (F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") > 0.5 * F.col("n")))
+                      .where(F.col("toxic") > 0.5 * F.col("n"))
                       .select("feature", ((F.col("toxic") + 0.1) / (F.col("n") + 1)).alias("rate"), wilson(Z_SURE).alias("sure")),
                       "toxic_candidates")
     if candidates.isEmpty():

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -299,3 +300,33 @@ def test_gaps_decided_at_once_equal_the_search(rude):
         assert [w for w in rude.spaced(" ".join(chunks)) if w not in same] == [w for w in whole if w not in same], chunks
     pieces = [["s", "tupid"], [], ["ass"], ["hole"], ["wor", "(", "thy"]]
     assert rude.set_apart(pieces) == [rude.spaced(" ".join(p), p) for p in pieces] and rude.set_apart([]) == []
+
+
+def test_many_spans_are_searched_at_once(rude, monkeypatch):
+    """All at once, halved where they are many, and cut where they are long: the readings of one search each."""
+    r = random.Random(11)
+    spans = ["".join(r.choice("aabdeiorsstupé$1!*. ") for _ in range(r.randint(0, 12))) for _ in range(400)] + ["w*r*h*l*s*", "日本!", "\U0001F600a"]
+    one = [D.viterbi(span, rude._price) for span in spans]
+    assert D.Lattices(rude.prices).search(spans) == one
+    monkeypatch.setattr(D, "_MOST", 500)
+    assert D.Lattices(rude.prices).search(spans) == one
+    long = [" ".join(r.choice(("bado", "id iot", "stu pid", "n!ce", "aass")) for _ in range(60)), "s t u p i d " * 60]
+    assert rude._readings([*long, "455"]) == [D.viterbi(span, rude._price) for span in (*long, "455")]
+
+
+def test_texts_of_a_batch_are_restored_like_each_alone(rude):
+    texts = ["Bado s t u p i d, nesuko", None, "", " \t\n", "$TUP1D and\x1fid iot!! ass hole", "stuupid stuupid (asshole) bado. ïdïot",
+             "bado ass", "hole nesuko", "st up id!! 日本語 555-1234 m-o-r-o-n"]
+    restorer = D.Restorer(rude.prices)
+    for _ in range(2):  # again, from what is remembered
+        for text, words in zip(texts, restorer.restored(pa.array(texts)).to_pylist()):
+            pieces = (text or "").lower().split()
+            alone = {*rude.spaced("", pieces)}.union(*map(rude.word, pieces))
+            assert sorted(words.split()) == sorted(alone), text
+    assert restorer.restored(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_features_pass_the_filter_by_their_crc():
+    words = ["", "a", "idiot", "ïdïot", "日本語日本語日本語", "x" * 200, "stupidity"]
+    assert toxicity.crc32(pa.array(words)).tolist() == [zlib.crc32(w.encode()) for w in words]
+    assert toxicity.crc32(pa.array(words).slice(2), b"*").tolist() == [zlib.crc32(w.encode() + b"*") for w in words[2:]]
