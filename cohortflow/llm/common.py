@@ -44,9 +44,9 @@ def unsigned_hash(*cols: Column, bits: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 64 - bits)
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write to the shared folder of ``spark.checkpoint.dir`` and read back (cuts lineage)."""
-    return materialize(df, f"llm_{name}")
+    return materialize(df, f"llm_{name}", **options)
 
 
 def packed(df: DataFrame, **keys: Column) -> DataFrame:

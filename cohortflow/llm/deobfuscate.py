@@ -52,13 +52,15 @@ def codes(text: str) -> np.ndarray:
 
 def count_grams(text: str, into: np.ndarray) -> None:
     """Add the 4-grams of a text's words: the context of a word's first letters is empty."""
-    c = np.concatenate([np.zeros(3, np.uint8), codes(text), np.zeros(1, np.uint8)]).astype(np.int32)
-    one, two, three = c[2:-1], c[1:-2].copy(), c[:-3].copy()
-    two[one == 0] = 0
-    three[two == 0] = 0
-    here = c[3:]
-    used = (here != 0) | (one != 0)
-    into += np.bincount((((three * SIZE + two) * SIZE + one) * SIZE + here)[used], minlength=SIZE ** ORDER)
+    c = np.concatenate([np.zeros(3, np.uint8), codes(text), np.zeros(1, np.uint8)])
+    grams = []
+    for k in range(0, len(c) - 3, 1 << 16):  # what the processor's cache holds
+        part = c[k:k + (1 << 16) + 3].astype(np.int32)
+        one, two, three, here = part[2:-1], part[1:-2].copy(), part[:-3].copy(), part[3:]
+        two[one == 0] = 0
+        three[two == 0] = 0
+        grams.append((((three * SIZE + two) * SIZE + one) * SIZE + here)[(here != 0) | (one != 0)])
+    into += np.bincount(np.concatenate(grams), minlength=SIZE ** ORDER)
 
 
 def language_model(counts: np.ndarray, weight: float = 5.0) -> np.ndarray:
@@ -219,7 +221,7 @@ class Lattices:
         begin, lengths, flat = first[order], runs[order], self.flat
         steps = int(lengths[0])
         live = np.searchsorted(-lengths, -np.arange(1, steps + 2), "right")  # spans that have a step
-        item, state, price = np.arange(len(order)), np.zeros(len(order), np.int64), np.zeros(len(order))
+        item, state, price = np.arange(len(order), dtype=np.int32), np.zeros(len(order), np.int32), np.zeros(len(order))
         back, end, held = [], np.zeros(len(order), np.int64), 0
         for t in range(steps):
             op = ops[begin[item] + t]
@@ -237,16 +239,16 @@ class Lattices:
                 k = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
                 op, item, state, price = op[rows], item[rows], state[rows], price[rows]
             one, two = self.one[op, k], self.two[op, k]
-            at = np.where(one >= 0, state * SIZE + one, 0)
+            at = np.where(one >= 0, state * np.int32(SIZE) + one, np.int32(0))
             price = price + self.price[op, k] + flat[at]  # nothing said: flat[0], no price
-            state = np.where(one > 0, at % PLANE, np.where(one == 0, 0, state))
+            state = np.where(one > 0, at % np.int32(PLANE), np.where(one == 0, np.int32(0), state))
             more = np.flatnonzero(two > 0)
-            at = state[more] * SIZE + two[more]
+            at = state[more] * np.int32(SIZE) + two[more]
             price[more] += flat[at]
-            state[more] = at % PLANE
+            state[more] = at % np.int32(PLANE)
             if len(item) > live[t]:
-                key = item * PLANE + state
-                by = np.argsort(key, kind="stable")
+                key = item * np.int32(PLANE) + state  # below _SPANS * PLANE
+                by = np.argsort(key)
                 fresh = np.append(True, np.diff(key[by]) > 0)
                 if not fresh.all():
                     least = np.minimum.reduceat(price[by], np.flatnonzero(fresh))
@@ -658,9 +660,8 @@ class Restorer:
         found, at = self._found.gather(known[which])
         marked = np.array([run[-1] == "!" and run[-2] != " " for run in runs], bool)  # more often a mark than a letter
         again = np.flatnonzero(marked[which] & unsure[~sure])
-        short = [run.rstrip("!") for run in runs]
-        known = self._known_runs([run + "!" if run[-1:] == " " else run for run in short])
-        other, to = self._found.gather(known[which[again]])
+        short = [runs[i].rstrip("!") for i in which[again].tolist()]
+        other, to = self._found.gather(self._known_runs([run + "!" if run[-1:] == " " else run for run in short]))
         alone, by = self._alone.gather(flat[single])
         places = np.concatenate([a[sure], a[~sure][at], a[~sure][again][to], single[by]])
         order = np.argsort(places, kind="stable")

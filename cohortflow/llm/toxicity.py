@@ -67,27 +67,33 @@ _CRC = np.array([zlib.crc32(bytes([b ^ 0xFF])) ^ 0xFF000000 for b in range(256)]
 _CRC_BYTES = 64
 
 
-def crc32(strings: pa.Array, end: bytes = b"") -> np.ndarray:
-    """The CRC of each string's bytes and those of ``end``."""
+def crc32(strings: pa.Array, end: bytes = b"", stops: dict[int, np.ndarray] | None = None) -> np.ndarray:
+    """The CRC of each string's bytes and those of ``end``; into ``stops`` those of its first so many bytes, if it is longer, and "*"."""
     strings = strings.cast(pa.large_string())
     bounds = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset:strings.offset + len(strings) + 1]
     data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)
-    sizes = np.diff(bounds)
+    sizes, stops = np.diff(bounds), stops or {}
     out = np.full(len(strings), 0xFFFFFFFF, np.uint32)
     order = np.argsort(-sizes, kind="stable")
-    order = order[np.searchsorted(-sizes[order], -_CRC_BYTES):]
-    begin, crc = bounds[:-1][order], out[order]
-    for k in range(int(sizes[order].max(initial=0))):
-        n = np.searchsorted(-sizes[order], -k)  # those that are longer
-        crc[:n] = _CRC[(crc[:n] ^ data[begin[:n] + k]) & 0xFF] ^ (crc[:n] >> np.uint32(8))
+    begin, sizes = bounds[:-1][order], sizes[order]
+    crc = out[order]
+    for k in range(min(_CRC_BYTES, int(sizes.max(initial=0)))):
+        n = np.searchsorted(-sizes, -k)  # those that are longer
+        if k in stops:
+            stops[k][order[:n]] = ~_crc_on(crc[:n], ord("*"))
+        crc[:n] = _crc_on(crc[:n], data[begin[:n] + k])
+    for i in range(np.searchsorted(-sizes, -_CRC_BYTES)):
+        crc[i] = zlib.crc32(data[begin[i]:begin[i] + sizes[i]].tobytes()) ^ 0xFFFFFFFF
     out[order] = crc
-    for i in np.flatnonzero(sizes > _CRC_BYTES).tolist():
-        out[i] = zlib.crc32(data[bounds[i]:bounds[i + 1]].tobytes()) ^ 0xFFFFFFFF
     for b in end:
-        out = _CRC[(out ^ np.uint32(b)) & 0xFF] ^ (out >> np.uint32(8))
+        out = _crc_on(out, b)
     return ~out
 
 
+def _crc_on(crc: np.ndarray, byte: np.ndarray | int) -> np.ndarray:
+    return _CRC[(crc & np.uint32(0xFF)).astype(np.uint8) ^ np.uint8(byte)] ^ (crc >> np.uint32(8))
+
+
 class Sieve:
     """Lets every feature of a table pass, and others as often as their bits are taken."""
 
@@ -98,10 +104,13 @@ class Sieve:
     def passes(self, words: pa.Array) -> np.ndarray:
         """Of each word, whether the word passes, and whether each of its prefixes does."""
         out = np.zeros((len(words), 1 + len(PREFIXES)), bool)
-        out[:, 0] = self._of(crc32(words))
         sizes = np.asarray(pc.utf8_length(words))
+        ascii_ = sizes == np.asarray(pc.binary_length(words))
+        ends = {k: np.zeros(len(words), np.uint32) for k in PREFIXES}
+        out[:, 0] = self._of(crc32(words, stops=ends))
         for i, k in enumerate(PREFIXES, 1):
-            long = np.flatnonzero(sizes > k)
+            out[:, i] = self._of(ends[k]) & ascii_ & (sizes > k)
+            long = np.flatnonzero(~ascii_ & (sizes > k))
             out[long, i] = self._of(crc32(pc.utf8_slice_codeunits(words.take(pa.array(long)), 0, k), b"*"))
         return out
 
@@ -369,7 +378,7 @@ def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held_out = fold(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1]
     prices = character_prices(docs)
     texts = docs.select("doc_id", held_out.alias("held_out"), F.col("text").alias("_text"))
-    texts = land(restored(texts, "_text", prices), "toxic_restored")
+    texts = land(restored(texts, "_text", prices), "toxic_restored", compression="zstd")
     rows = land(training_rows(texts, labels, "toxic", fold(F.col("doc_id"), HELD_OUT[0]) != HELD_OUT[1], text_col="_text"),
-                "toxic_training")
+                "toxic_training", compression="zstd")
     return scored_restored(texts, fit_restored(rows, prices), "_text").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
