@@ -469,7 +469,7 @@ class Restorer:
     def spans(self, raws: list[str]) -> list[tuple[str, ...]]:
         """The words of the cheapest reading of each disguised span."""
         memo = self.memo
-        if len(memo) > self.bound:
+        if len(memo) > self.bound >> 2:
             memo.clear()
         new = list({raw for raw in raws if raw not in memo})
         read = dict(zip(new, map(tuple, map(str.split, self._readings(new)))))
@@ -718,6 +718,7 @@ class Restorer:
         """The texts replaced by their distinct restored words, parted by spaces."""
         if len(self._pieces.names) > self.bound:
             self._forget()
+        self._runs, self._found = Numbers(), Lists()  # few come again
         split = pc.utf8_split_whitespace(pa.array([(text or "").lower() for text in texts.to_pylist()], pa.large_string()))
         pieces, ends = split.flatten().dictionary_encode(), np.asarray(split.offsets)[1:]
         pieces = self._learn(pieces.dictionary.to_pylist(), True)[np.asarray(pieces.indices)]

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.common import FILTER_BITS, bit_filter, land, python_tasks
-from cohortflow.llm.deobfuscate import ORDER, SIZE, Lists, Numbers, Restorer, count_grams, language_model, pairs
+from cohortflow.llm.deobfuscate import ORDER, SIZE, Numbers, Restorer, count_grams, language_model, pairs
 from cohortflow.llm.labels import bounded_sample, fold, logistic, training_rows
 
 #: Prefix lengths that stand for a word family.
@@ -47,7 +47,7 @@ MIN_TOXIC, Z_SURE, Z_COVER = 2, 3.0, 1.64
 #: Toxic documents that a clean one outweighs in the cover.
 CLEAN = 4
 #: Features a worker holds before it passes their counts on, and words it remembers.
-FLUSH, MEMO = 400_000, 1 << 19
+FLUSH, MEMO = 400_000, 1 << 18
 
 
 def features(word: str) -> list[str]:
@@ -167,21 +167,31 @@ def document_counts(rows: DataFrame, sieve: Sieve | None = None) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, own, names, counts = Numbers(), Lists(), Numbers(), np.zeros(0, np.int64)
+        names, counts = Numbers(), np.zeros(0, np.int64)
         for batch in batches:
             owner, read = split_words(batch.column(0))
             read = read.dictionary_encode()
-            number, new = words.of(read.dictionary.to_pylist())
-            found = [features(word) for word in new]
+            passes = np.ones((len(read.dictionary), 1 + len(PREFIXES)), bool)
             if shared.value is not None:
-                found = [[*compress(some, passes)] for some, passes in zip(found, shared.value.passes(pa.array(new, pa.string())).tolist())]
-            own.add(names.of([f for some in found for f in some])[0], list(map(len, found)))
-            held, at = own.gather(number[np.asarray(read.indices)])
-            _, held = pairs(owner[at], held, len(names.names))  # each feature once a text
-            counts = np.pad(counts, (0, len(names.names) - len(counts))) + np.bincount(held, minlength=len(names.names))
+                passes = shared.value.passes(read.dictionary)
+            held = []
+            for i, k in enumerate((None, *PREFIXES)):  # the words that have such a feature, and the features' numbers
+                some, found = read.dictionary, np.flatnonzero(passes[:, i])
+                if k:
+                    found = found[np.asarray(pc.utf8_length(some))[found] > k]
+                some = some.take(pa.array(found))
+                if k:
+                    some = pc.binary_join_element_wise(pc.utf8_slice_codeunits(some, 0, k), "*", "")
+                some = some.dictionary_encode()
+                number = np.full(len(read.dictionary), -1, np.int64)
+                number[found] = names.of(some.dictionary.to_pylist())[0][np.asarray(some.indices)]
+                number = number[np.asarray(read.indices)]
+                held.append((owner[number >= 0], number[number >= 0]))
+            _, found = pairs(*map(np.concatenate, zip(*held)), len(names.names))  # each feature once a text
+            counts = np.pad(counts, (0, len(names.names) - len(counts))) + np.bincount(found, minlength=len(names.names))
             if len(counts) > FLUSH:
                 yield pa.RecordBatch.from_arrays([pa.array(names.names), pa.array(counts)], ["feature", "n"])
-                words, own, names, counts = Numbers(), Lists(), Numbers(), np.zeros(0, np.int64)
+                names, counts = Numbers(), np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(names.names, pa.string()), pa.array(counts)], ["feature", "n"])
 
     return rows.select("_text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))

@@ -330,3 +330,12 @@ def test_features_pass_the_filter_by_their_crc():
     words = ["", "a", "idiot", "ïdïot", "日本語日本語日本語", "x" * 200, "stupidity"]
     assert toxicity.crc32(pa.array(words)).tolist() == [zlib.crc32(w.encode()) for w in words]
     assert toxicity.crc32(pa.array(words).slice(2), b"*").tolist() == [zlib.crc32(w.encode() + b"*") for w in words[2:]]
+
+
+def test_feature_counts_equal_counting_each_text(spark):
+    texts = [("idiot ïdïotisch stupidity", 1), ("idiotic idiots", 1), ("idiot stupidity bado", 0), ("", 1), ("nesukotalmer bado", 0), ("idiots idiot idioti", 0)]
+    data = spark.createDataFrame(texts, "_text string, _y int")
+    held = [(y, {f for w in t.split() for f in toxicity.features(w)}) for t, y in texts]
+    counts = {r["feature"]: (r["toxic"], r["clean"]) for r in toxicity.label_counts(data).collect()}
+    every = {f: tuple(sum(f in some for y, some in held if y == label) for label in (1, 0)) for _, some in held for f in some}
+    assert counts == {f: n for f, n in every.items() if n[0] >= toxicity.MIN_TOXIC}
